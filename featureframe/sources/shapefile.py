@@ -73,8 +73,10 @@ def _stem(member: str) -> str:
 
 def _members(path: str) -> list[str]:
     """``.shp`` files of a source, and ``.dbf`` files that have no ``.shp``."""
-    if path.lower().endswith((".shp", ".dbf")):
+    if path.lower().endswith(".shp"):
         return [path]
+    if path.lower().endswith(".dbf"):  # beside a .shp it is no source of its own
+        return [] if _sibling(path, ".shp") else [path]
     files = list_folder(path)
     shapes = [f for f in files if f.lower().endswith(".shp")]
     stems = {_stem(f) for f in shapes}

@@ -1,0 +1,161 @@
+from __future__ import annotations
+
+import datetime
+import struct
+
+import numpy as np
+import pytest
+
+from featureframe import read_vector_files
+from featureframe.sources import shapefile
+from featureframe.testing.encode import shape_parts, shapefile_parts, table_part
+from tests.conftest import ATTRIBUTES, row
+
+CW = [(0, 0), (0, 10), (10, 10), (10, 0), (0, 0)]
+HOLE = [(2, 2), (4, 2), (4, 4), (2, 4), (2, 2)]
+FAR = [(20, 0), (20, 5), (25, 5), (25, 0), (20, 0)]
+FAR_HOLE = [(21, 1), (22, 1), (22, 2), (21, 2), (21, 1)]
+
+
+def parts_shape(code: int, parts: list[list[tuple]], z=None, m=None) -> bytes:
+    points = [p for part in parts for p in part]
+    starts = np.cumsum([0, *[len(part) for part in parts]])[:-1]
+    body = struct.pack("<i4d2i", code, 0, 0, 0, 0, len(parts), len(points))
+    body += struct.pack(f"<{len(parts)}i", *starts) + struct.pack(f"<{len(points) * 2}d", *np.ravel(points))
+    for values in (z, m):
+        if values:
+            body += struct.pack(f"<2d{len(values)}d", 0, 0, *values)
+    return body
+
+
+def ring(points) -> bytes:
+    return struct.pack("<I", len(points)) + struct.pack(f"<{len(points) * 2}d", *np.ravel(points))
+
+
+def polygon(*rings) -> bytes:
+    return struct.pack("<BII", 1, 3, len(rings)) + b"".join(ring(r) for r in rings)
+
+
+def write(folder, shapes: list[bytes], code: int, name: str = "a") -> str:
+    rows = [row(i, f"r{i}", 0.0, 0.0) for i in range(len(shapes))]
+    for extension, data in (shape_parts(shapes, code) | {".dbf": table_part(rows, ATTRIBUTES)}).items():
+        (folder / (name + extension)).write_bytes(data)
+    return str(folder / f"{name}.shp")
+
+
+def geometries(path: str) -> list[bytes | None]:
+    name = shapefile.layer_names(path)[0]
+    return [g for rows in shapefile.batches(path, name, None, None, None) for g in rows.geometry.to_pylist()]
+
+
+def test_lines(tmp_path):
+    one, two = [(0, 0), (1, 2)], [(5, 5), (6, 6), (7, 7)]
+    path = write(tmp_path, [parts_shape(3, [one]), parts_shape(3, [one, two]), struct.pack("<i", 0)], 3)
+    first = struct.pack("<BI", 1, 2) + ring(one)
+    second = struct.pack("<BII", 1, 5, 2) + first + struct.pack("<BI", 1, 2) + ring(two)
+    assert geometries(path) == [first, second, None]
+
+
+def test_polygons_and_holes(tmp_path):
+    shapes = [
+        parts_shape(5, [CW]),
+        parts_shape(5, [CW, HOLE]),
+        parts_shape(5, [FAR_HOLE, CW, FAR, HOLE]),
+        parts_shape(5, [HOLE]),
+    ]
+    multi = struct.pack("<BII", 1, 6, 2) + polygon(CW, HOLE) + polygon(FAR, FAR_HOLE)
+    assert geometries(write(tmp_path, shapes, 5)) == [polygon(CW), polygon(CW, HOLE), multi, polygon(HOLE)]
+
+
+def test_hole_goes_to_the_smallest_outer_ring_around_it(tmp_path):
+    island = [(2.5, 2.5), (2.5, 3.5), (3.5, 3.5), (3.5, 2.5), (2.5, 2.5)]
+    lake = [(2.8, 2.8), (3.0, 2.8), (3.0, 3.0), (2.8, 3.0), (2.8, 2.8)]
+    path = write(tmp_path, [parts_shape(5, [CW, island, HOLE, lake])], 5)
+    assert geometries(path) == [struct.pack("<BII", 1, 6, 2) + polygon(CW, HOLE) + polygon(island, lake)]
+
+
+def test_z_and_m(tmp_path):
+    none = -1e39
+    shapes = [
+        struct.pack("<i4d", 11, 1, 2, 3, none),
+        struct.pack("<i4d", 11, 1, 2, 3, 4),
+        parts_shape(13, [[(0, 0), (1, 1)]], z=[5, 6], m=[none, none]),
+        parts_shape(13, [[(0, 0), (1, 1)]], z=[5, 6]),
+        parts_shape(23, [[(0, 0), (1, 1)]], m=[7, 8]),
+    ]
+    flat = write(tmp_path, shapes, 11)
+    z_line = struct.pack("<BII6d", 1, 0x80000002, 2, 0, 0, 5, 1, 1, 6)
+    assert geometries(flat) == [
+        struct.pack("<BI3d", 1, 0x80000001, 1, 2, 3),
+        struct.pack("<BI4d", 1, 3001, 1, 2, 3, 4),
+        z_line,
+        z_line,
+        struct.pack("<BII6d", 1, 2002, 2, 0, 0, 7, 1, 1, 8),
+    ]
+
+
+def test_multipoint(tmp_path):
+    shape = struct.pack("<i4di4d", 8, 0, 0, 0, 0, 2, 1, 2, 3, 4)
+    members = struct.pack("<BIdd", 1, 1, 1, 2) + struct.pack("<BIdd", 1, 1, 3, 4)
+    assert geometries(write(tmp_path, [shape], 8)) == [struct.pack("<BII", 1, 4, 2) + members]
+
+
+def test_every_ordinal_range(tmp_path, monkeypatch):
+    monkeypatch.setattr(shapefile, "BATCH_ROWS", 3)
+    rows = [row(i, f"c{i}", None if i % 4 == 0 else float(i), 0.0) for i in range(11)]
+    for extension, data in shapefile_parts(rows, ATTRIBUTES).items():
+        (tmp_path / f"a{extension}").write_bytes(data)
+    path = str(tmp_path / "a.shp")
+    for start in range(12):
+        for stop in range(start, 13):
+            found = list(shapefile.batches(path, "a", start, stop, ["id"]))
+            ids = [i for rows in found for i in rows.columns["id"].to_pylist()]
+            assert ids == list(range(11))[start:stop]
+            nulls = [g is None for rows in found for g in rows.geometry.to_pylist()]
+            assert nulls == [i % 4 == 0 for i in ids]
+            assert all(set(rows.columns) == {"id"} for rows in found)
+
+
+def test_attribute_types_nulls_dates_and_deleted_records(spark, tmp_path):
+    attributes = [("id", "bigint"), ("small", "int"), ("real", "double"), ("text", "string"), ("day", "date")]
+    rows = [
+        {"id": 1, "small": -5, "real": 2.5, "text": " Zürich ", "day": datetime.date(2020, 1, 31)},
+        {"id": None, "small": None, "real": None, "text": None, "day": None},
+        {"id": 3, "small": 3, "real": 3.0, "text": "gone", "day": None},
+        {"id": 10**15, "small": 0, "real": -1e10, "text": "x", "day": datetime.date(1999, 12, 1)},
+    ]
+    (tmp_path / "t.dbf").write_bytes(table_part(rows, attributes, deleted={2}))
+    (tmp_path / "t.cpg").write_text("UTF-8")
+    df = read_vector_files(str(tmp_path), suffix="dbf", spark=spark)
+    assert df.schema.simpleString() == "struct<id:bigint,small:int,real:double,text:string,day:string,geometry:binary>"
+    assert [tuple(r) for r in df.collect()] == [
+        (1, -5, 2.5, "Zürich", "2020/01/31", None),
+        (None, None, None, None, None, None),
+        (10**15, 0, -1e10, "x", "1999/12/01", None),
+    ]
+
+
+@pytest.mark.parametrize(("page", "encoded"), [("ISO-8859-1", "é".encode("latin-1")), ("1251", "Ж".encode("cp1251"))])
+def test_code_pages(tmp_path, page, encoded):
+    table = table_part([row(0, "@@", 0.0, 0.0)], ATTRIBUTES).replace(b"@@", encoded + b" ")
+    (tmp_path / "t.dbf").write_bytes(table)
+    (tmp_path / "t.cpg").write_text(page)
+    found = next(shapefile.batches(str(tmp_path / "t.dbf"), "t", None, None, None))
+    codec = "latin-1" if page.startswith("ISO") else "cp1251"
+    assert found.columns["category"].to_pylist() == [encoded.decode(codec)]
+
+
+def test_malformed_numbers_are_null(tmp_path):
+    table = table_part([row(0, "a", 0.0, 0.0), row(1, "b", 0.0, 0.0)], ATTRIBUTES)
+    at = table.index(b"\r") + 2
+    (tmp_path / "t.dbf").write_bytes(table[:at] + b"12 x 9".ljust(18) + table[at + 18 :])
+    found = next(shapefile.batches(str(tmp_path / "t.dbf"), "t", None, None, None))
+    assert found.columns["id"].to_pylist() == [None, 1]
+
+
+def test_truncated_file_is_an_error_not_fewer_rows(tmp_path):
+    path = write(tmp_path, [parts_shape(5, [CW])] * 10, 5)
+    data = (tmp_path / "a.shp").read_bytes()
+    (tmp_path / "a.shp").write_bytes(data[:-50])
+    with pytest.raises(ValueError, match="ends before"):
+        geometries(path)
