@@ -36,6 +36,7 @@ from featureframe.testing.encode import gpb_boxed_points, gpb_points, write_vect
 from featureframe.types import declared_type_column, ogr_type_column
 
 PART_ROWS = 1000
+FLAT_PART_ROWS = 3000
 EVENT_FILE_ROWS = 5000
 ORDER_FILE_ROWS = 20_000
 CHUNK = 1000
@@ -73,10 +74,10 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_files(spark: SparkSession, sf_dir: str, kind: str, extension: str) -> str:
-    """One file per segment and ``PART_ROWS`` keys, flat."""
+    """One file per segment and ``FLAT_PART_ROWS`` keys, flat."""
 
     def write(folder: str) -> None:
-        name = F.concat("layer", F.lit("_"), _part("id", PART_ROWS), F.lit(f".{extension}"))
+        name = F.concat("layer", F.lit("_"), _part("id", FLAT_PART_ROWS), F.lit(f".{extension}"))
         write_vector_files(_customers(spark, sf_dir).withColumn("file", name), folder, kind)
 
     return _once(spark, sf_dir, f"customer-{kind}-{extension}", write)
@@ -86,7 +87,7 @@ def _nested_customer_files(spark: SparkSession, sf_dir: str) -> str:
     """GeoPackages in one subfolder per segment; feature ids have wide gaps."""
 
     def write(folder: str) -> None:
-        name = F.concat("layer", F.lit("/part_"), _part("id", PART_ROWS), F.lit(".gpkg"))
+        name = F.concat("layer", F.lit("/part_"), _part("id", FLAT_PART_ROWS), F.lit(".gpkg"))
         sparse = _customers(spark, sf_dir).withColumn("file", name).withColumn("fid", F.col("id") * 1000 + 3)
         write_vector_files(sparse, folder, "geopackage")
 
@@ -123,7 +124,7 @@ def _folder_customer_files(spark: SparkSession, sf_dir: str) -> str:
 
 def _archive_files(spark: SparkSession, sf_dir: str) -> str:
     def write(folder: str) -> None:
-        name = F.concat("layer", F.lit("_"), _part("id", PART_ROWS), F.lit(".tar.gz"))
+        name = F.concat("layer", F.lit("_"), _part("id", FLAT_PART_ROWS), F.lit(".tar.gz"))
         write_vector_files(_customers(spark, sf_dir).withColumn("file", name), folder, "archive")
 
     return _once(spark, sf_dir, "customer-archive", write)
@@ -306,7 +307,7 @@ def q_read_rows_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _nested_customer_files(spark, sf_dir)
     return _with_xy(
         read_vector_files(
-            folder, suffix="gpkg", recursive=True, concurrency_strategy="rows", ideal_chunk_size=100, spark=spark
+            folder, suffix="gpkg", recursive=True, concurrency_strategy="rows", ideal_chunk_size=250, spark=spark
         )
     )
 
@@ -319,7 +320,7 @@ def q_read_shapefile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_read_shapefile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _customer_files(spark, sf_dir, "shapefile", "shp")
     return _with_xy(
-        read_vector_files(folder, suffix=".shp", concurrency_strategy="rows", ideal_chunk_size=150, spark=spark)
+        read_vector_files(folder, suffix=".shp", concurrency_strategy="rows", ideal_chunk_size=250, spark=spark)
     )
 
 
@@ -537,9 +538,9 @@ _PART_FILE = "'part_' || (c_custkey // 1000) || '.gpkg'"
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for each query."""
     return {
-        "q_list_files": "select distinct 'BUILDING_' || (c_custkey // 1000) || '.shp' as file_name"
+        "q_list_files": "select distinct 'BUILDING_' || (c_custkey // 3000) || '.shp' as file_name"
         " from customer where c_mktsegment = 'BUILDING'",
-        "q_list_files_recursive": "select c_mktsegment as folder, count(distinct c_custkey // 1000) as files"
+        "q_list_files_recursive": "select c_mktsegment as folder, count(distinct c_custkey // 3000) as files"
         " from customer group by 1",
         "q_archive_paths": "select page_id, '/vsigzip//' || ltrim(url, '/') as vsi_path from pages",
         "q_read_archive": _CUSTOMER_POINTS,
@@ -569,7 +570,7 @@ def oracle_sql() -> dict[str, str]:
         "q_tolerant_read": "select s_suppkey id, s_name category, s_acctbal balance from supplier",
         "q_skipped_files": "select cast(1 as bigint) unreadable, count(*) features from supplier",
         "q_infer_schema": "select f.file_name, t.pos, t.name, t.spark_type from (select distinct c_mktsegment || '_' ||"
-        " (c_custkey // 1000) || '.shp' as file_name from customer) f, (values (0, 'id', 'bigint'),"
+        " (c_custkey // 3000) || '.shp' as file_name from customer) f, (values (0, 'id', 'bigint'),"
         " (1, 'category', 'string')) t(pos, name, spark_type)",
         "q_type_map": "select t.spark_type, count(*) as fields from lineitem l left join (values " + _TYPES + ")"
         " t(a, b, spark_type) on l.l_partkey % 14 = t.a and l.l_suppkey % 6 = t.b group by 1",

@@ -41,17 +41,31 @@ HEADER_SCHEMA = StructType(
 )
 
 
-def _byte(blob: Column, position: int) -> Column:
-    return F.conv(F.hex(F.substring(blob, position, 1)), 16, 10).cast("int")
+_HEX_DIGITS = "0123456789ABCDEF"
 
 
-def header_length(blob: Column) -> Column:
-    """Header bytes of each blob, from its own flags (null for an invalid code)."""
-    code = F.shiftright(_byte(blob, 4), 1).bitwiseAND(F.lit(7))
+def _byte(digits: Column, position: int) -> Column:
+    """Value of the byte at a position (from 1) of hexadecimal text."""
+    high, low = (F.instr(F.lit(_HEX_DIGITS), F.substring(digits, position * 2 + at, 1)) - 1 for at in (-1, 0))
+    return high * 16 + low
+
+
+def _header_length(digits: Column) -> Column:
+    code = F.shiftright(_byte(digits, 4), 1).bitwiseAND(F.lit(7))
     sizes = F.array(*[F.lit(FIXED_BYTES + size) for size in ENVELOPE_BYTES])
     return F.get(sizes, code)
 
 
+def _fixed_part(blob: Column) -> Column:
+    """The first eight bytes as hexadecimal text."""
+    return F.hex(F.substring(blob, 1, FIXED_BYTES))
+
+
+def header_length(blob: Column) -> Column:
+    """Header bytes of each blob, from its own flags (null for an invalid code)."""
+    return _header_length(_fixed_part(blob))
+
+
 def _length(blob: Column, fixed: int | None) -> Column:
     return header_length(blob) if fixed is None else F.lit(fixed)
 
@@ -67,11 +81,11 @@ def wkb_bytes(blob: Column, fixed_length: int | None = None) -> Column:
     return F.substring(blob, start + 1, F.length(blob) - start)
 
 
-def _srs_id(header: Column) -> Column:
-    digits = F.hex(F.substring(header, 5, 4))
-    swapped = F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)])
-    little = _byte(header, 4).bitwiseAND(F.lit(1)) == 1
-    unsigned = F.conv(F.when(little, swapped).otherwise(digits), 16, 10).cast("bigint")
+def _srs_id(digits: Column) -> Column:
+    text = F.substring(digits, 9, 8)
+    swapped = F.concat(*[F.substring(text, at, 2) for at in (7, 5, 3, 1)])
+    little = _byte(digits, 4).bitwiseAND(F.lit(1)) == 1
+    unsigned = F.conv(F.when(little, swapped).otherwise(text), 16, 10).cast("bigint")
     return F.when(unsigned >= 2**31, unsigned - 2**32).otherwise(unsigned).cast("int")
 
 
@@ -99,19 +113,22 @@ def envelope(header: pa.Array) -> pa.Array:
     )
 
 
-def unpack_header(header: Column) -> Column:
-    """Header bytes as ``struct(magic, version, flags, srs_id, envelope)``."""
-    bits = F.lpad(F.conv(F.hex(F.substring(header, 4, 1)), 16, 2), 8, "0")
+def _header_struct(header: Column, digits: Column) -> Column:
     fields = F.struct(
         F.decode(F.substring(header, 1, 2), "US-ASCII").alias("magic"),
-        _byte(header, 3).alias("version"),
-        bits.alias("flags"),
-        _srs_id(header).alias("srs_id"),
+        _byte(digits, 3).alias("version"),
+        F.lpad(F.bin(_byte(digits, 4)), 8, "0").alias("flags"),
+        _srs_id(digits).alias("srs_id"),
         envelope(header).alias("envelope"),
     )
     return F.when(header.isNotNull(), fields).cast(HEADER_SCHEMA)
 
 
+def unpack_header(header: Column) -> Column:
+    """Header bytes as ``struct(magic, version, flags, srs_id, envelope)``."""
+    return _header_struct(header, _fixed_part(header))
+
+
 def split_geometry(
     df: DataFrame,
     geometry_column: str = "geom",
@@ -123,8 +140,16 @@ def split_geometry(
     Both are appended at the end. ``fixed_header_length`` forces one header
     length; by default each row's own flags decide.
     """
-    blob = F.col(f"`{geometry_column}`")
+    blob, digits, start = F.col(f"`{geometry_column}`"), F.col("_gpb_digits"), F.col("_gpb_length")
     others = [F.col(f"`{name}`") for name in df.columns if name != geometry_column]
-    header = unpack_header(header_bytes(blob, fixed_header_length)).alias("gpb_header")
-    wkb = wkb_bytes(blob, fixed_header_length).alias("wkb_geometry")
-    return df.select(*others, *([] if drop_gpb_header else [header]), wkb)
+    # values used many times get a projection of their own, so each is computed once per row
+    staged = df.withColumn("_gpb_digits", _fixed_part(blob))
+    length = _header_length(digits) if fixed_header_length is None else F.lit(fixed_header_length)
+    staged = staged.withColumn("_gpb_length", length)
+    if drop_gpb_header:
+        added = []
+    else:
+        staged = staged.withColumn("_gpb_header", F.substring(blob, F.lit(1), start))
+        added = [_header_struct(F.col("_gpb_header"), digits).alias("gpb_header")]
+    wkb = F.substring(blob, start + 1, F.length(blob) - start).alias("wkb_geometry")
+    return staged.select(*others, *added, wkb)

@@ -42,29 +42,28 @@ def total_chunks(layers: DataFrame, size: int, count: str = "feature_count") ->
 
 def chunk_table(layers: DataFrame, size: int, keys: list[str], count: str = "feature_count") -> DataFrame:
     """``plan_chunks`` with a dense ``id`` from 0, ordered by the key columns, then ``start``."""
-    counted = layers.select(*keys, count, chunk_count(F.col(count), size).alias("_chunks"))
-    numbered = running_total(counted, keys, "_chunks", "_before")
-    planned = plan_chunks(numbered, size, count)
-    chunk_id = F.col("_before") + F.expr(f"start div {size}")
-    return planned.select(*keys, chunk_id.cast("bigint").alias("id"), "start", "stop")
+    planned = plan_chunks(layers.select(*keys, count), size, count).orderBy(*keys, "start")
+    return with_dense_id(settle(planned), "id").select(*keys, "id", "start", "stop")
 
 
-def running_total(df: DataFrame, keys: list[str], value: str, output: str) -> DataFrame:
-    """Sum of ``value`` over all rows before this one in key order, without a one-task sort.
+def with_dense_id(settled: DataFrame, name: str) -> DataFrame:
+    """Number the rows of a settled DataFrame from 0, in the order they lie in.
 
-    Rows are range-partitioned by the keys and kept; each partition adds its own
-    rows up, and the partition totals (one row each) give what came before it.
+    Every partition numbers its own rows; how many rows the partitions before it
+    hold (one row per partition) is added.
     """
-    ranged = settle(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()))
-    parts = ranged.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    # the lower 33 bits of this id are the row's place in its partition
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = settled.withColumns({"_part": F.spark_partition_id(), "_place": place})
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    local = F.coalesce(F.sum(value).over(within), F.lit(0))
-    # one row per partition of the range exchange: bounded by spark.sql.shuffle.partitions
-    joined = ranged.withColumn("_local", local).join(F.broadcast(offsets), "_part")
-    total = (F.col("_local") + F.col("_offset")).cast("bigint")
-    return joined.withColumn(output, total).drop("_part", "_local", "_offset")
+    offsets = (
+        rows.groupBy("_part")
+        .agg(F.count("*").alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0).cast("bigint")).alias("_before"))
+    )
+    # as many rows as the settled metadata has partitions
+    numbered = rows.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_place") + F.col("_before"))
+    return numbered.drop("_part", "_place", "_before")
 
 
 def id_ranges(catalog: DataFrame, size: int) -> DataFrame:
@@ -88,8 +87,31 @@ def id_ranges(catalog: DataFrame, size: int) -> DataFrame:
 def place_evenly(ranges: DataFrame) -> DataFrame:
     """One partition per range: hashing as many keys into as many partitions would
     leave some with several and many with none."""
-    keys = ["path", "layer_name", "start"]
-    numbered = running_total(ranges.withColumn("_one", F.lit(1).cast("bigint")), keys, "_one", "_id")
-    total = numbered.agg(F.max("_id")).first()[0]
-    placed = numbered.repartitionById(1 if total is None else total + 1, F.col("_id").cast("int"))
-    return placed.drop("_one", "_id")
+    settled = settle(ranges)
+    return _deal(settled, max(settled.count(), 1))
+
+
+def place_by_size(sources: DataFrame, total_bytes: int, count: int) -> DataFrame:
+    """Pack whole sources into partitions of about the size Spark packs files into.
+
+    Sources are dealt out from largest to smallest, so partitions come out alike.
+    """
+    conf = sources.sparkSession.conf
+    largest, opening = (_bytes(conf.get(f"spark.sql.files.{name}")) for name in ("maxPartitionBytes", "openCostInBytes"))
+    weight = total_bytes + count * opening
+    cores = sources.sparkSession.sparkContext.defaultParallelism
+    target = min(largest, max(opening, weight // cores))
+    partitions = min(max(-(-weight // target), 1), max(count, 1))
+    return _deal(settle(sources.orderBy(F.col("length").desc(), "path")), partitions)
+
+
+def _deal(settled: DataFrame, partitions: int) -> DataFrame:
+    numbered = with_dense_id(settled, "_id")
+    return numbered.repartitionById(partitions, (F.col("_id") % partitions).cast("int")).drop("_id")
+
+
+def _bytes(text: str) -> int:
+    """``128MB`` or ``4194304`` as a number, in Spark's size notation."""
+    digits = text.lower().rstrip("bkmgtp")
+    unit = text.lower()[len(digits) :].rstrip("b")
+    return int(digits) << (10 * "kmgtp".find(unit[0]) + 10 if unit else 0)

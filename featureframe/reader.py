@@ -11,19 +11,17 @@ from pyspark.sql.types import DataType, StructType
 
 from featureframe.operators.schema import conform, layer_schema
 from featureframe.plans.catalog import LayerIdentifier, select_layer
-from featureframe.plans.chunks import id_ranges, place_evenly
+from featureframe.plans.chunks import id_ranges, place_by_size, place_evenly
 from featureframe.session import active_session, settle
 from featureframe.sources import geojson, gml
 from featureframe.sources.archive import unpack_archives
-from featureframe.sources.listing import SOURCE_BY_EXTENSION, find_sources
+from featureframe.sources.listing import Sources, find_sources, summarise
 from featureframe.sources.tasks import CATALOG_SCHEMA, describe_sources, read_ranges
 from featureframe.types import OGR_TO_SPARK, ConcurrencyStrategy
 
 TEXT_SOURCES = {"geojson": geojson, "gml": gml}
 # Files above this size are cut into row ranges under the "files" strategy too
 WHOLE_FILE_BYTES = 256 << 20
-# Files looked at, in path order, for one that can be opened to infer a schema from
-_SCHEMA_CANDIDATES = 8
 
 
 def read_vector_files(
@@ -75,26 +73,22 @@ def read_vector_files(
     if isinstance(layer_identifier, int) and layer_identifier < 0:
         raise ValueError(f"Expecting an index from 0 but received {layer_identifier}.")
 
-    sources, packed = find_sources(path, pattern, suffix, recursive, session)
-    if vsi_prefix:
-        sources, packed = unpack_archives(sources, vsi_prefix), False
-        suffix = "*"
-    elif not packed:
-        sources = settle(sources)  # grouping folders is a shuffle; do it once
+    sources = _sources(path, pattern, suffix, recursive, vsi_prefix, session)
+    binary_kinds = sources.kinds - TEXT_SOURCES.keys()
+    catalog = None
+    if binary_kinds and strategy is ConcurrencyStrategy.ROWS:
+        catalog = settle(describe_sources(_binary(sources.rows), ideal_chunk_size))
 
-    kinds = _present_sources(sources, suffix)
     inferred = schema is None
     if schema is None:
-        found = _first_attributes(sources, kinds, layer_identifier)
+        found = _first_attributes(sources, catalog, layer_identifier)
         schema = layer_schema(found, ogr_to_spark_type_map, geom_field_name, geom_field_type)
 
     frames = []
-    if kinds - TEXT_SOURCES.keys():
-        binary = sources.filter(~F.coalesce(F.col("source").isin(*TEXT_SOURCES), F.lit(False)))
-        ranges = _plan_ranges(binary, packed, strategy, ideal_chunk_size, layer_identifier)
+    if binary_kinds or not sources.kinds:
         frames += [
             read_ranges(
-                part,
+                ranges,
                 schema,
                 layer_identifier,
                 geom_field_name,
@@ -102,15 +96,27 @@ def read_vector_files(
                 allow_additional=coerce_to_schema or not inferred,
                 mode=mode,
             )
-            for part in ranges
+            for ranges in _plan_ranges(sources, catalog, ideal_chunk_size, layer_identifier)
         ]
-    for kind in sorted(kinds & TEXT_SOURCES.keys()):
-        records = _text_features(sources, kind, layer_identifier)
+    for kind in sorted(sources.kinds & TEXT_SOURCES.keys()):
+        records = _text_features(sources.rows, kind, layer_identifier)
         if records is not None:
             frames.append(TEXT_SOURCES[kind].read(records, schema, geom_field_name))
     return reduce(DataFrame.union, frames) if frames else session.createDataFrame([], schema)
 
 
+def _sources(
+    path: str, pattern: str, suffix: str, recursive: bool, vsi_prefix: str | None, session: SparkSession
+) -> Sources:
+    found = find_sources(path, pattern, suffix, recursive, session)
+    return summarise(unpack_archives(found.rows, vsi_prefix), packed=False) if vsi_prefix else found
+
+
+def _binary(rows: DataFrame) -> DataFrame:
+    """Everything but text files; files no source reads are among them, to be reported or passed over."""
+    return rows.filter(~F.coalesce(F.col("source").isin(*TEXT_SOURCES), F.lit(False)))
+
+
 def describe_layers(
     path: str,
     pattern: str = "*",
@@ -121,71 +127,66 @@ def describe_layers(
 ) -> DataFrame:
     """Catalog of the layers of every matching file, with feature counts and attributes."""
     session = active_session(spark)
-    sources, _ = find_sources(path, pattern, suffix, recursive, session)
-    if vsi_prefix:
-        sources = unpack_archives(sources, vsi_prefix)
-    kinds = _present_sources(sources, "*" if vsi_prefix else suffix)
-    frames = []
-    if kinds - TEXT_SOURCES.keys():
-        binary = sources.filter(~F.coalesce(F.col("source").isin(*TEXT_SOURCES), F.lit(False)))
-        frames.append(describe_sources(binary))
-    for kind in sorted(kinds & TEXT_SOURCES.keys()):
-        frames.append(_describe_text(sources, kind))
+    sources = _sources(path, pattern, suffix, recursive, vsi_prefix, session)
+    frames = [describe_sources(_binary(sources.rows))]
+    frames += [_describe_text(sources.rows, kind) for kind in sorted(sources.kinds & TEXT_SOURCES.keys())]
     return reduce(DataFrame.unionByName, frames)
 
 
-def _present_sources(sources: DataFrame, suffix: str) -> set[str | None]:
-    """Kinds of sources among the files; a suffix of one kind needs no look at them."""
-    by_suffix = SOURCE_BY_EXTENSION.get(suffix.strip(".").lower())
-    if by_suffix:
-        return {by_suffix}
-    return {row["source"] for row in sources.select("source").distinct().collect()}
-
-
 def _plan_ranges(
-    sources: DataFrame,
-    packed: bool,
-    strategy: ConcurrencyStrategy,
-    size: int,
-    layer_identifier: LayerIdentifier,
+    sources: Sources, catalog: DataFrame | None, size: int, layer_identifier: LayerIdentifier
 ) -> list[DataFrame]:
-    """Ranges ``(path, source, layer_name, start, stop)`` to read, placed in partitions."""
-    if strategy is ConcurrencyStrategy.ROWS:
-        return _split_ranges(sources, size, layer_identifier)
-    small = sources.filter(F.col("length") <= WHOLE_FILE_BYTES)
-    whole = small.select(
-        "path",
-        "source",
-        F.lit(None).cast("string").alias("layer_name"),
-        F.lit(None).cast("bigint").alias("start"),
-        F.lit(None).cast("bigint").alias("stop"),
-    )
-    # the listing's partitions already hold files packed by size; other rows are dealt out
-    placed = [whole if packed else place_evenly(whole)]
-    large = sources.filter(F.col("length") > WHOLE_FILE_BYTES)
-    return placed if large.isEmpty() else placed + _split_ranges(large, size, layer_identifier)
-
+    """Ranges ``(path, source, layer_name, start, stop)`` to read, placed in partitions.
 
-def _split_ranges(sources: DataFrame, size: int, layer_identifier: LayerIdentifier) -> list[DataFrame]:
-    catalog = describe_sources(sources, size)
-    return [place_evenly(id_ranges(select_layer(catalog, layer_identifier), size))]
-
-
-def _first_attributes(sources: DataFrame, kinds: set, layer_identifier: LayerIdentifier) -> list:
-    """Attributes of the layer in the first readable file by path."""
-    readable = sources.filter(F.col("source").isNotNull())
-    for candidates in (readable.orderBy("path").limit(_SCHEMA_CANDIDATES), readable):
-        first = _first_layer_with(candidates, kinds, layer_identifier)
-        if first is not None:
-            return first
+    With a catalog all sources are split; without one, only those above ``WHOLE_FILE_BYTES``.
+    """
+    if catalog is not None:
+        return [_split_ranges(catalog, size, layer_identifier)]
+    rows = _binary(sources.rows)
+    small = rows.filter(F.col("length") <= WHOLE_FILE_BYTES)
+    # the listing's partitions already hold files packed by size; other rows are dealt out
+    whole = small if sources.packed else place_by_size(small, sources.total_bytes, sources.count)
+    placed = [
+        whole.select(
+            "path",
+            "source",
+            F.lit(None).cast("string").alias("layer_name"),
+            F.lit(None).cast("bigint").alias("start"),
+            F.lit(None).cast("bigint").alias("stop"),
+        )
+    ]
+    if sources.largest_bytes > WHOLE_FILE_BYTES:
+        large = settle(describe_sources(rows.filter(F.col("length") > WHOLE_FILE_BYTES), size))
+        placed.append(_split_ranges(large, size, layer_identifier))
+    return placed
+
+
+def _split_ranges(catalog: DataFrame, size: int, layer_identifier: LayerIdentifier) -> DataFrame:
+    return place_evenly(id_ranges(select_layer(catalog, layer_identifier), size))
+
+
+def _first_attributes(sources: Sources, catalog: DataFrame | None, layer_identifier: LayerIdentifier) -> list:
+    """Attributes of the layer in the first file by path that can be opened and has it."""
+    if sources.first:
+        session = sources.rows.sparkSession
+        first = session.createDataFrame([sources.first], "path string, source string")
+        found = _first_layer_with(first, {sources.first[1]}, None, layer_identifier)
+        if found is not None:
+            return found
+        found = _first_layer_with(sources.rows, sources.kinds, catalog, layer_identifier)
+        if found is not None:
+            return found
     raise ValueError(f"No file could be opened with a layer {layer_identifier!r}; pass a schema.")
 
 
-def _first_layer_with(sources: DataFrame, kinds: set, layer_identifier: LayerIdentifier) -> list | None:
+def _first_layer_with(
+    sources: DataFrame, kinds: set[str], catalog: DataFrame | None, layer_identifier: LayerIdentifier
+) -> list | None:
     options = []
     if kinds - TEXT_SOURCES.keys():
-        catalog = select_layer(describe_sources(sources.filter(~F.col("source").isin(*TEXT_SOURCES))), layer_identifier)
-        options += catalog.filter("error is null").orderBy("path").select("path", "attributes").limit(1).collect()
+        described = catalog if catalog is not None else describe_sources(_binary(sources))
+        layers = select_layer(described, layer_identifier).filter("error is null")
+        options += layers.orderBy("path").select("path", "attributes").limit(1).collect()
     for kind in kinds & TEXT_SOURCES.keys():
         probed = _probe_text(sources, kind, layer_identifier).filter("error is null")
         options += probed.orderBy("path").select("path", F.lit(kind).alias("kind")).limit(1).collect()

@@ -16,12 +16,13 @@ import pyarrow as pa
 
 from featureframe.functions.gpb import ENVELOPE_BYTES, FIXED_BYTES
 from featureframe.functions.wkb import little_endian
-from featureframe.sources.layers import BATCH_ROWS, Attribute, Layer, RowBatches, Rows
+from featureframe.sources.layers import BATCH_BYTES, BATCH_ROWS, Attribute, Layer, RowBatches, Rows
 from featureframe.types import base_declared_type, sqlite_ogr_type
 
 # A layer whose id range is wider than this many times its rows is sparse: equal
 # id ranges would leave some tasks full and most empty.
 SPARSE_FACTOR = 4
+_FIRST_ROWS = 64
 
 
 def connect(path: str) -> sqlite3.Connection:
@@ -135,8 +136,18 @@ def fetch(
     with closing(connect(path)) as db:
         db.text_factory = lambda raw: raw.decode("utf-8", "replace")
         cursor = db.execute(query, [value for _, value in ranges if value is not None])
-        while rows := cursor.fetchmany(BATCH_ROWS):
-            yield len(rows), [list(values) for values in zip(*rows)][: len(columns)]
+        size = _FIRST_ROWS
+        while rows := cursor.fetchmany(size):
+            values = [list(column) for column in zip(*rows)]
+            yield len(rows), values[: len(columns)]
+            size = _next_size(size, values)
+
+
+def _next_size(size: int, values: list[list]) -> int:
+    """Rows to fetch next, so that geometries as large as the last ones fit a batch."""
+    held = sum(len(value) for column in values for value in column if type(value) is bytes)
+    fitting = BATCH_BYTES * size // max(held, 1)
+    return max(1, min(BATCH_ROWS, size * 8, fitting))
 
 
 def batches(path: str, layer: str, start: int | None, stop: int | None, columns: list[str] | None) -> RowBatches:

@@ -9,7 +9,9 @@ from typing import NamedTuple
 import pyarrow as pa
 import pyarrow.fs as pafs
 
+# Rows are handed to Spark in batches of at most this many rows and about this many bytes
 BATCH_ROWS = 8192
+BATCH_BYTES = 64 << 20
 
 
 class Attribute(NamedTuple):

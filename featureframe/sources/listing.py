@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import fnmatch
 import os
-from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureframe.session import active_session
+from featureframe.session import active_session, settle
 
 # File extension -> source that reads it
 SOURCE_BY_EXTENSION = {
@@ -110,30 +110,58 @@ def _check_folder(path: str) -> str:
     return root
 
 
+class Sources(NamedTuple):
+    """What a read found: ``rows`` of ``(path, length, source)`` and a summary of them.
+
+    ``packed`` tells that the rows are plain files straight from the listing, which
+    Spark has already packed into partitions by size. ``first`` is the first path
+    some source reads, with that source.
+    """
+
+    rows: DataFrame
+    packed: bool
+    count: int
+    total_bytes: int
+    largest_bytes: int
+    kinds: set[str]
+    first: tuple[str, str] | None
+
+
+def summarise(rows: DataFrame, packed: bool) -> Sources:
+    """One pass over the listing for all that planning a read asks of it."""
+    readable = F.when(F.col("source").isNotNull(), F.struct("path", "source"))
+    summary = rows.agg(
+        F.count("*").alias("count"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("total"),
+        F.coalesce(F.max("length"), F.lit(0)).alias("largest"),
+        F.collect_set("source").alias("kinds"),
+        F.min(readable).alias("first"),
+    ).first()
+    first = tuple(summary["first"]) if summary["first"] else None
+    return Sources(rows, packed, summary["count"], summary["total"], summary["largest"], set(summary["kinds"]), first)
+
+
 def find_sources(
     path: str,
     pattern: str = "*",
     suffix: str = "*",
     recursive: bool = False,
     spark: SparkSession | None = None,
-) -> tuple[DataFrame, bool]:
-    """``(path, length, source)`` of every file and shapefile folder that matches.
-
-    The flag tells whether the rows are plain files straight from the listing, so
-    that Spark has already packed them into partitions by size.
-    """
+) -> Sources:
+    """Every file and shapefile folder that matches ``{pattern}.{suffix}``."""
     arguments = (path, pattern, suffix, recursive, spark)
-    found = [list_files(*arguments).withColumn("source", source_of(F.col("path")))]
+    files = summarise(list_files(*arguments).withColumn("source", source_of(F.col("path"))), packed=True)
     if suffix.strip(".").lower() not in SOURCE_BY_EXTENSION:
-        found.append(list_folders(*arguments).withColumn("source", F.lit("shapefile")))
-    present = [not sources.isEmpty() for sources in found]
-    all_files = not any(present[1:])
-    found = [sources for sources, some in zip(found, present) if some]
-    if not found:
+        # grouping members into folders is a shuffle, so it is done once
+        folders = summarise(settle(list_folders(*arguments).withColumn("source", F.lit("shapefile"))), packed=False)
+        if folders.count and files.count:
+            return summarise(files.rows.unionByName(folders.rows), packed=False)
+        files = folders if folders.count else files
+    if not files.count:
         raise FileNotFoundError(
             f'No files found for: path: "{path}", pattern: "{pattern}", suffix: "{suffix}", recursive: {recursive}.'
         )
-    return reduce(DataFrame.unionByName, found), all_files
+    return files
 
 
 def archive_paths(paths: DataFrame, prefix: str, column: str = "path", output: str = "path") -> DataFrame:

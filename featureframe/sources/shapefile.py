@@ -9,6 +9,8 @@ from __future__ import annotations
 import codecs
 import os
 import struct
+from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,7 @@ import pyarrow.compute as pc
 from featureframe.functions import wkb
 from featureframe.functions.buffers import doubles_at
 from featureframe.sources.layers import (
+    BATCH_BYTES,
     BATCH_ROWS,
     Attribute,
     Layer,
@@ -56,8 +59,7 @@ def batches(path: str, layer: str, start: int | None, stop: int | None, columns:
     table, shapes = _open(path, layer)
     total = _record_count(table, shapes)
     start, stop = max(start or 0, 0), total if stop is None else min(stop, total)
-    for low in range(start, stop, BATCH_ROWS):
-        high = min(low + BATCH_ROWS, stop)
+    for low, high in _cuts(shapes, start, stop):
         arrays, kept = table.read(low, high, columns)
         geometry = shapes.read(low, high) if shapes else pa.nulls(high - low, pa.binary())
         if not kept.all():  # records flagged as deleted
@@ -67,6 +69,17 @@ def batches(path: str, layer: str, start: int | None, stop: int | None, columns:
         yield Rows(int(kept.sum()), arrays, geometry)
 
 
+def _cuts(shapes: _Shapes | None, start: int, stop: int) -> Iterator[tuple[int, int]]:
+    """Cut ``[start, stop)`` into batches bounded in rows and in geometry bytes."""
+    for low in range(start, stop, BATCH_ROWS):
+        high = min(low + BATCH_ROWS, stop)
+        sizes = shapes.entries(low, high)[:, 1] if shapes else np.empty(0, np.int64)
+        groups = np.cumsum(sizes) // BATCH_BYTES
+        inner = low + 1 + np.flatnonzero(np.diff(groups))
+        bounds = [low, *inner.tolist(), high]
+        yield from zip(bounds, bounds[1:])
+
+
 def _stem(member: str) -> str:
     return os.path.splitext(os.path.basename(member))[0]
 
@@ -226,23 +239,40 @@ class _Shapes:
             raise ValueError(f"{self.index} is not a shapefile index.")
         self.count = (words * 2 - SHP_HEADER) // SHX_RECORD
 
-    def read(self, low: int, high: int) -> pa.Array:
-        known = min(high, self.count)
-        if known <= low:
-            return pa.nulls(high - low, pa.binary())
+    def entries(self, low: int, high: int) -> np.ndarray:
+        """``(offset, length)`` in bytes of the records of ``[low, high)`` the index has."""
+        known = max(min(high, self.count) - low, 0)
         with open_binary(self.index) as file:
             file.seek(SHP_HEADER + low * SHX_RECORD)
-            entries = np.frombuffer(file.read((known - low) * SHX_RECORD), ">i4").reshape(-1, 2).astype(np.int64) * 2
-        begin = entries[:, 0] + 8
-        first, last = int(begin.min()), int((begin + entries[:, 1]).max())
+            words = np.frombuffer(file.read(known * SHX_RECORD), ">i4")
+        return words.reshape(-1, 2).astype(np.int64) * 2
+
+    def read(self, low: int, high: int) -> pa.Array:
+        entries = self.entries(low, high)
+        missing = pa.nulls(high - low - len(entries), pa.binary())
+        if not len(entries):
+            return missing
+        begin, sizes = entries[:, 0] + 8, entries[:, 1]
         with open_binary(self.path) as file:
-            file.seek(first)
-            data = file.read(last - first)
-        if len(data) < last - first:
-            raise ValueError(f"{self.path} ends before record {known}.")
-        geometry = _to_wkb(data, begin - first, entries[:, 1])
-        missing = high - known
-        return pa.concat_arrays([geometry, pa.nulls(missing, pa.binary())]) if missing else geometry
+            data, starts = _read_records(file, begin, sizes)
+        if len(data) < int((starts + sizes).max()):
+            raise ValueError(f"{self.path} ends before record {low + len(entries)}.")
+        geometry = _to_wkb(data, starts, sizes)
+        return pa.concat_arrays([geometry, missing]) if len(missing) else geometry
+
+
+def _read_records(file: BinaryIO, begin: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Bytes holding the records and where in them each record starts."""
+    first, last = int(begin.min()), int((begin + sizes).max())
+    if last - first <= 2 * int(sizes.sum()) + BATCH_BYTES:
+        file.seek(first)
+        return file.read(last - first), begin - first
+    pieces = []  # records of an edited file may lie far apart
+    for at, size in zip(begin.tolist(), sizes.tolist()):
+        file.seek(at)
+        pieces.append(file.read(size))
+    lengths = [len(piece) for piece in pieces]
+    return b"".join(pieces), np.cumsum([0, *lengths[:-1]])
 
 
 def _to_wkb(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:

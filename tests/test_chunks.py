@@ -3,7 +3,17 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from featureframe.plans.chunks import chunk_table, id_ranges, place_evenly, plan_chunks, running_total, total_chunks
+from featureframe.plans.chunks import (
+    _bytes,
+    chunk_table,
+    id_ranges,
+    place_by_size,
+    place_evenly,
+    plan_chunks,
+    total_chunks,
+    with_dense_id,
+)
+from featureframe.session import settle
 
 
 def layers(spark, *counts):
@@ -54,13 +64,26 @@ def test_chunk_table_schema_and_dense_ids(spark):
     ]
 
 
-def test_running_total_over_many_partitions(spark):
-    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 5).alias("v"))
-    rows = sorted((r["k"], r["v"], r["before"]) for r in running_total(df, ["k"], "v", "before").collect())
-    before = 0
-    for _, value, found in rows:
-        assert found == before
-        before += value
+def test_dense_ids_follow_the_order_over_many_partitions(spark):
+    df = spark.range(0, 1000, 1, 7).select((F.col("id") * 7919 % 1000).alias("k")).orderBy("k")
+    rows = with_dense_id(settle(df), "id").collect()
+    assert sorted((r["k"], r["id"]) for r in rows) == [(i, i) for i in range(1000)]
+
+
+def test_sources_are_packed_by_size(spark):
+    lengths = [1000 << 20] + [1 << 20] * 400
+    df = spark.createDataFrame([(f"/p/{i}", n) for i, n in enumerate(lengths)], "path string, length bigint")
+    placed = place_by_size(df, sum(lengths), len(lengths))
+    sizes = placed.groupBy(F.spark_partition_id()).agg(F.sum("length").alias("bytes"), F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in sizes) == 401
+    others = [r["bytes"] for r in sizes if r["bytes"] < 1000 << 20]
+    assert max(others) <= 128 << 20
+    assert max(others) - min(others) <= 1 << 20
+
+
+@pytest.mark.parametrize(("text", "size"), [("134217728b", 128 << 20), ("128MB", 128 << 20), ("4m", 4 << 20), ("77", 77)])
+def test_size_notation(text, size):
+    assert _bytes(text) == size
 
 
 def ranges(spark, first, last, starts, size):

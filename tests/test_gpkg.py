@@ -154,3 +154,16 @@ def test_big_endian_and_z_geometries_are_normalised(spark, tmp_path):
         struct.pack("<BIdd", 1, 1, 3, 4),
         struct.pack("<BI3d", 1, 0x80000001, 1, 2, 3),
     ]
+
+
+def test_large_geometries_come_in_small_batches(tmp_path, monkeypatch):
+    from featureframe.sources import geopackage as source
+
+    path = write_layers(str(tmp_path / "a.gpkg"), {"first": [row(i, "x", 0.0, 0.0) for i in range(1000)]})
+    with closing(sqlite3.connect(path)) as db:
+        db.execute("update first set geom = zeroblob(20000) where id >= 100")
+        db.commit()
+    monkeypatch.setattr(source, "BATCH_BYTES", 200_000)
+    counts = [count for count, _ in source.fetch(path, "first", ["id", "geom"], None, None)]
+    assert sum(counts) == 1000
+    assert set(counts[5:-1]) == {10}

@@ -159,3 +159,30 @@ def test_truncated_file_is_an_error_not_fewer_rows(tmp_path):
     (tmp_path / "a.shp").write_bytes(data[:-50])
     with pytest.raises(ValueError, match="ends before"):
         geometries(path)
+
+
+def test_batches_are_bounded_in_bytes(tmp_path, monkeypatch):
+    long = [(i, i) for i in range(100)]
+    shapes = [parts_shape(3, [long if i % 3 == 0 else [(0, 0), (1, i)]]) for i in range(20)]
+    path = write(tmp_path, shapes, 3)
+    whole = geometries(path)
+    monkeypatch.setattr(shapefile, "BATCH_BYTES", 2000)
+    found = list(shapefile.batches(path, "a", None, None, ["id"]))
+    assert len(found) > 3
+    assert [i for rows in found for i in rows.columns["id"].to_pylist()] == list(range(20))
+    assert [g for rows in found for g in rows.geometry.to_pylist()] == whole
+
+
+def test_records_far_apart(tmp_path, monkeypatch):
+    path = write(tmp_path, [parts_shape(3, [[(0, 0), (1, i)]]) for i in range(5)], 3)
+    whole = geometries(path)
+    shp, shx = tmp_path / "a.shp", tmp_path / "a.shx"
+    data, index = shp.read_bytes(), bytearray(shx.read_bytes())
+    offset, words = struct.unpack_from(">2i", index, 100 + 8 * 2)
+    record = data[offset * 2 : offset * 2 + 8 + words * 2]
+    moved = data + b"\0" * 100_000 + record  # record 2 rewritten at the end
+    struct.pack_into(">i", index, 100 + 8 * 2, (len(moved) - len(record)) // 2)
+    shp.write_bytes(moved)
+    shx.write_bytes(index)
+    monkeypatch.setattr(shapefile, "BATCH_BYTES", 1000)
+    assert geometries(path) == whole
