@@ -19,7 +19,8 @@ from featureframe.functions.wkb import wkb_bounds
 from featureframe.plans.chunks import id_ranges, place_evenly
 from featureframe.session import active_session, settle
 from featureframe.sources import geopackage
-from featureframe.sources.tasks import UNREADABLE, read_table
+from featureframe.sources.listing import few_partitions
+from featureframe.sources.tasks import not_vector_data, read_table
 from featureframe.types import sqlite_spark_type
 
 RANGE_ROWS = 1_000_000
@@ -58,7 +59,7 @@ def _describe_table(paths: DataFrame, table: str, range_rows: int) -> DataFrame:
             ("range_starts", pa.list_(pa.int64())),
         ]
     )
-    return paths.select("path").mapInArrow(describe, _TABLE_SCHEMA)
+    return few_partitions(paths).select("path").mapInArrow(describe, _TABLE_SCHEMA)
 
 
 def _table_row(path: str, table: str, range_rows: int) -> dict:
@@ -110,13 +111,15 @@ def _small_table(paths: DataFrame, table: str, ddl: str) -> DataFrame:
             for path in batch["path"].to_pylist():
                 try:
                     found = list(geopackage.fetch(path, table, names, None, None))
-                except UNREADABLE:
-                    continue
+                except Exception as error:
+                    if not_vector_data(error):
+                        continue
+                    raise
                 for count, values in found:
                     arrays = [pa.array(column, kind) for column, kind in zip([[path] * count, *values], types)]
                     yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return paths.select("path").mapInArrow(read, schema)
+    return few_partitions(paths).select("path").mapInArrow(read, schema)
 
 
 _ARROW = {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}

@@ -35,7 +35,7 @@ def _convert(value: object, target: pa.DataType) -> object:
 
 def _as(value: object, target: pa.DataType) -> object:
     if isinstance(value, bytes) and not pa.types.is_binary(target):
-        value = value.decode("utf-8")
+        value = value.decode("utf-8", "replace")
     if pa.types.is_boolean(target):
         return value.strip().lower() in ("true", "t", "yes", "y", "1") if isinstance(value, str) else bool(value)
     if pa.types.is_integer(target):

@@ -77,7 +77,7 @@ def read_vector_files(
     binary_kinds = sources.kinds - TEXT_SOURCES.keys()
     catalog = None
     if binary_kinds and strategy is ConcurrencyStrategy.ROWS:
-        catalog = settle(describe_sources(_binary(sources.rows), ideal_chunk_size))
+        catalog = settle(describe_sources(_binary(sources.names()), ideal_chunk_size))
 
     inferred = schema is None
     if schema is None:
@@ -99,7 +99,7 @@ def read_vector_files(
             for ranges in _plan_ranges(sources, catalog, ideal_chunk_size, layer_identifier)
         ]
     for kind in sorted(sources.kinds & TEXT_SOURCES.keys()):
-        records = _text_features(sources.rows, kind, layer_identifier)
+        records = _text_features(sources.names(), kind, layer_identifier)
         if records is not None:
             frames.append(TEXT_SOURCES[kind].read(records, schema, geom_field_name))
     return reduce(DataFrame.union, frames) if frames else session.createDataFrame([], schema)
@@ -109,7 +109,7 @@ def _sources(
     path: str, pattern: str, suffix: str, recursive: bool, vsi_prefix: str | None, session: SparkSession
 ) -> Sources:
     found = find_sources(path, pattern, suffix, recursive, session)
-    return summarise(unpack_archives(found.rows, vsi_prefix), packed=False) if vsi_prefix else found
+    return summarise(unpack_archives(found.rows, vsi_prefix, found.count), packed=False) if vsi_prefix else found
 
 
 def _binary(rows: DataFrame) -> DataFrame:
@@ -128,8 +128,8 @@ def describe_layers(
     """Catalog of the layers of every matching file, with feature counts and attributes."""
     session = active_session(spark)
     sources = _sources(path, pattern, suffix, recursive, vsi_prefix, session)
-    frames = [describe_sources(_binary(sources.rows))]
-    frames += [_describe_text(sources.rows, kind) for kind in sorted(sources.kinds & TEXT_SOURCES.keys())]
+    frames = [describe_sources(_binary(sources.names()))]
+    frames += [_describe_text(sources.names(), kind) for kind in sorted(sources.kinds & TEXT_SOURCES.keys())]
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -156,7 +156,7 @@ def _plan_ranges(
         )
     ]
     if sources.largest_bytes > WHOLE_FILE_BYTES:
-        large = settle(describe_sources(rows.filter(F.col("length") > WHOLE_FILE_BYTES), size))
+        large = settle(describe_sources(_binary(sources.names()).filter(F.col("length") > WHOLE_FILE_BYTES), size))
         placed.append(_split_ranges(large, size, layer_identifier))
     return placed
 
@@ -173,7 +173,7 @@ def _first_attributes(sources: Sources, catalog: DataFrame | None, layer_identif
         found = _first_layer_with(first, {sources.first[1]}, None, layer_identifier)
         if found is not None:
             return found
-        found = _first_layer_with(sources.rows, sources.kinds, catalog, layer_identifier)
+        found = _first_layer_with(sources.names(), sources.kinds, catalog, layer_identifier)
         if found is not None:
             return found
     raise ValueError(f"No file could be opened with a layer {layer_identifier!r}; pass a schema.")

@@ -46,6 +46,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def metadata_tasks(spark: SparkSession) -> int:
+    """Most tasks a job over file names takes.
+
+    Spark packs a file listing by file size, so a job that only looks at names or
+    headers of a large folder would get as many tasks as one that reads it all.
+    """
+    return max(1000, 4 * spark.sparkContext.defaultParallelism)
+
+
 def plain_path(uri: str) -> str:
     """``file:/a/b`` -> ``/a/b``; other schemes stay."""
     if uri.startswith("file:"):

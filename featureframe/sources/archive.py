@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from featureframe.session import new_shared_folder, settle
+from featureframe.session import metadata_tasks, new_shared_folder, settle
 from featureframe.sources.layers import open_binary
 from featureframe.sources.listing import SOURCE_BY_EXTENSION
 
@@ -46,7 +46,7 @@ def archive_kind(prefix: str) -> str:
     raise ValueError(f'"{prefix}" names no archive kind; expecting /vsitar/, /vsizip/ or /vsigzip/.')
 
 
-def unpack_archives(paths: DataFrame, prefix: str) -> DataFrame:
+def unpack_archives(paths: DataFrame, prefix: str, count: int) -> DataFrame:
     """``(path, length, source, archive, error)`` of the sources inside every archive.
 
     An archive that cannot be read gives one row with an error and no source.
@@ -59,7 +59,9 @@ def unpack_archives(paths: DataFrame, prefix: str) -> DataFrame:
                 yield _member_batch(_unpack_one(path, kind, os.path.join(root, name)))
 
     named = paths.select("path", F.sha2("path", 256).alias("name"))
-    return settle(named.mapInArrow(unpack, MEMBER_SCHEMA))
+    members = named.mapInArrow(unpack, MEMBER_SCHEMA)
+    # a few rows per archive come back; unpacking again after a lost executor is harmless
+    return settle(members.repartition(min(max(count, 1), metadata_tasks(paths.sparkSession))))
 
 
 def _unpack_one(path: str, kind: str, folder: str) -> list[tuple]:

@@ -6,8 +6,10 @@ storage that is mounted on every executor.
 
 from __future__ import annotations
 
+import os
 import re
 import sqlite3
+import struct
 from collections.abc import Iterator
 from contextlib import closing
 from urllib.parse import quote
@@ -15,7 +17,7 @@ from urllib.parse import quote
 import pyarrow as pa
 
 from featureframe.functions.gpb import ENVELOPE_BYTES, FIXED_BYTES
-from featureframe.functions.wkb import little_endian
+from featureframe.functions.wkb import LINESTRING, POINT, POLYGON, little_endian
 from featureframe.sources.layers import BATCH_BYTES, BATCH_ROWS, Attribute, Layer, RowBatches, Rows
 from featureframe.types import base_declared_type, sqlite_ogr_type
 
@@ -23,12 +25,29 @@ from featureframe.types import base_declared_type, sqlite_ogr_type
 # id ranges would leave some tasks full and most empty.
 SPARSE_FACTOR = 4
 _FIRST_ROWS = 64
+# header bytes by the flag bits that hold the envelope code
+_HEADER_BYTES = {code << 1: FIXED_BYTES + size for code, size in enumerate(ENVELOPE_BYTES)}
+# heads of little-endian 2D geometries without parts of their own byte order
+_PLAIN = {struct.pack("<BI", 1, code) for code in (POINT, LINESTRING, POLYGON)}
 
 
 def connect(path: str) -> sqlite3.Connection:
     if "://" in path:
-        raise OSError(f"SQLite cannot open {path}; use a mounted path.")
-    return sqlite3.connect(f"file:{quote(path)}?mode=ro", uri=True)
+        raise ValueError(f"SQLite cannot open {path}; use a mounted path.")
+    uri = f"file:{quote(path)}?mode=ro"
+    db = sqlite3.connect(uri, uri=True)
+    try:
+        db.execute("select 1 from sqlite_master limit 1")
+    except sqlite3.OperationalError:
+        db.close()
+        if not os.path.isfile(path):
+            raise
+        # a write-ahead log cannot be set up on read-only storage; nobody writes there either
+        db = sqlite3.connect(f"{uri}&immutable=1", uri=True)
+    except sqlite3.Error:
+        db.close()
+        raise
+    return db
 
 
 def identifier(name: str) -> str:
@@ -134,7 +153,7 @@ def fetch(
     chosen = ", ".join(identifier(name) for name in columns) or "1"
     query = f"select {chosen} from {identifier(table)}" + (f" where {where}" if where else "")
     with closing(connect(path)) as db:
-        db.text_factory = lambda raw: raw.decode("utf-8", "replace")
+        db.text_factory = bytes  # Arrow decodes whole columns
         cursor = db.execute(query, [value for _, value in ranges if value is not None])
         size = _FIRST_ROWS
         while rows := cursor.fetchmany(size):
@@ -145,7 +164,8 @@ def fetch(
 
 def _next_size(size: int, values: list[list]) -> int:
     """Rows to fetch next, so that geometries as large as the last ones fit a batch."""
-    held = sum(len(value) for column in values for value in column if type(value) is bytes)
+    stride = max(len(values[0]) // 256, 1)
+    held = stride * sum(len(value) for column in values for value in column[::stride] if type(value) is bytes)
     fitting = BATCH_BYTES * size // max(held, 1)
     return max(1, min(BATCH_ROWS, size * 8, fitting))
 
@@ -166,16 +186,21 @@ def _wkb(blob: bytes | None) -> bytes | None:
     """The WKB behind a GPB header; a geometry flagged as empty is still a geometry."""
     if blob is None:
         return None
-    return little_endian(blob[FIXED_BYTES + ENVELOPE_BYTES[blob[3] >> 1 & 7] :])
+    shape = blob[_HEADER_BYTES[blob[3] & 14] :]
+    return shape if shape[:5] in _PLAIN else little_endian(shape)
 
 
-def _array(attribute: Attribute, values: list) -> pa.Array | list:
+def _array(attribute: Attribute, values: list) -> list:
     kind = (attribute.ogr_type, attribute.ogr_subtype)
-    if kind == (9, 0):
-        return [v.replace("-", "/") if isinstance(v, str) else v for v in values]
-    if kind == (11, 0):
-        return [_date_time(v) if isinstance(v, str) else v for v in values]
-    return values
+    if kind not in ((9, 0), (11, 0)):
+        return values
+    texts = [value.decode("utf-8", "replace") if isinstance(value, bytes) else value for value in values]
+    show = _date if kind == (9, 0) else _date_time
+    return [show(text) if isinstance(text, str) else text for text in texts]
+
+
+def _date(text: str) -> str:
+    return text.replace("-", "/")
 
 
 # Parts of an ISO date-time, and how a vector reader prints them

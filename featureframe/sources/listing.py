@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureframe.session import active_session, settle
+from featureframe.session import active_session, metadata_tasks, settle
 
 # File extension -> source that reads it
 SOURCE_BY_EXTENSION = {
@@ -126,11 +126,19 @@ class Sources(NamedTuple):
     kinds: set[str]
     first: tuple[str, str] | None
 
+    def names(self) -> DataFrame:
+        """The rows in few partitions, for jobs that do not read the files."""
+        return few_partitions(self.rows)
+
+
+def few_partitions(rows: DataFrame) -> DataFrame:
+    return rows.coalesce(metadata_tasks(rows.sparkSession))
+
 
 def summarise(rows: DataFrame, packed: bool) -> Sources:
     """One pass over the listing for all that planning a read asks of it."""
     readable = F.when(F.col("source").isNotNull(), F.struct("path", "source"))
-    summary = rows.agg(
+    summary = few_partitions(rows).agg(
         F.count("*").alias("count"),
         F.coalesce(F.sum("length"), F.lit(0)).alias("total"),
         F.coalesce(F.max("length"), F.lit(0)).alias("largest"),

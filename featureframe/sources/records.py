@@ -48,7 +48,7 @@ def _look(path: str, look: Callable[[str, str], dict]) -> dict:
         with open_binary(path) as file:
             head = file.read(HEAD_BYTES).decode("utf-8", "replace")
         return {"path": path, **look(path, head)}
-    except (OSError, ValueError) as error:
+    except (FileNotFoundError, IsADirectoryError, ValueError) as error:
         return {"path": path, "error": str(error)}
 
 

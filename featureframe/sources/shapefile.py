@@ -10,14 +10,14 @@ import codecs
 import os
 import struct
 from collections.abc import Iterator
-from typing import BinaryIO
+from typing import BinaryIO, NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 from featureframe.functions import wkb
-from featureframe.functions.buffers import doubles_at
+from featureframe.functions.buffers import doubles_at, gather
 from featureframe.sources.layers import (
     BATCH_BYTES,
     BATCH_ROWS,
@@ -277,92 +277,139 @@ def _read_records(file: BinaryIO, begin: np.ndarray, sizes: np.ndarray) -> tuple
 
 def _to_wkb(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
     view = np.frombuffer(data, np.uint8)
-    codes = (view[starts[:, None] + np.arange(4)].view("<i4")).ravel()
+    codes = gather(view, starts, 4).view("<i4").ravel()
     if np.isin(codes, (0, 1)).all():  # 2D points only: one vectorised gather
         valid = codes == 1
         xy = np.zeros((len(codes), 2))
         xy[valid] = doubles_at(view, starts[valid] + 4, 2, "<f8")
         return wkb.encode_points(xy[:, 0], xy[:, 1], valid)
-    values = [_shape_wkb(data, int(at), int(size), int(code)) for at, size, code in zip(starts, lengths, codes)]
-    return pa.array(values, pa.binary())
+    areas = _ring_areas(data, starts[np.isin(codes, POLYGON_TYPES)])
+    records = zip(starts.tolist(), lengths.tolist(), codes.tolist())
+    return pa.array([_shape_wkb(data, at, at + size, code, areas.get(at)) for at, size, code in records], pa.binary())
 
 
-def _shape_wkb(data: bytes, at: int, size: int, code: int) -> bytes | None:
-    """WKB of one shape record whose content begins at ``at``."""
+def _ring_areas(data: bytes, starts: np.ndarray) -> dict[int, list[float]]:
+    """Twice the signed area of every ring (clockwise is negative) of the polygons with
+    several rings, by record start; all rings of a batch at once."""
+    view = np.frombuffer(data, np.uint8)
+    counts = gather(view, starts + 36, 8).view("<i4")
+    many = counts[:, 0] > 1
+    records = list(zip(starts[many].tolist(), counts[many].tolist()))
+    if not records:
+        return {}
+    blocks, ring_starts, base = [], [], 0
+    for at, (rings, points) in records:
+        begin = at + 44 + 4 * rings
+        blocks.append(data[begin : begin + 16 * points])
+        ring_starts += [base + start for start in struct.unpack_from(f"<{rings}i", data, at + 44)]
+        base += points
+    first = np.array([*ring_starts, base])
+    sizes = np.diff(first)
+    points = np.frombuffer(b"".join(blocks), "<f8").reshape(-1, 2)
+    x, y = (points - np.repeat(points[np.minimum(first[:-1], base - 1)], sizes, axis=0)).T
+    cross = np.zeros(base + 1)
+    cross[: base - 1] = x[:-1] * y[1:] - x[1:] * y[:-1]
+    cross[np.maximum(first[1:] - 1, 0)] = 0  # no edge from one ring to the next
+    totals = np.where(sizes > 0, np.add.reduceat(cross, first[:-1]), 0.0).tolist()
+    areas, at_ring = {}, 0
+    for at, (rings, _) in records:
+        areas[at] = totals[at_ring : at_ring + rings]
+        at_ring += rings
+    return areas
+
+
+# Well-known binary heads of the plain 2D shapes
+_LINE, _POLYGON = struct.pack("<BI", 1, wkb.LINESTRING), struct.pack("<BI", 1, wkb.POLYGON)
+
+
+def _shape_wkb(data: bytes, at: int, end: int, code: int, areas: list[float] | None) -> bytes | None:
+    """WKB of the shape record whose content is ``data[at:end]``.
+
+    Shapefile points and counts are little-endian as in WKB, so 2D shapes of one part
+    are put together from slices of the record.
+    """
     if code == 0:
         return None
-    end = at + size
-    has_z, has_m = code in (11, 13, 15, 18), code > 20
     if code in POINT_TYPES:
-        values = np.frombuffer(data, "<f8", (size - 4) // 8, at + 4)
-        points = values[None, :2]
-        z = values[2:3] if has_z else None
-        m = values[3:4] if has_z else values[2:3]
-        return _geometry(wkb.POINT, _stack(points, z, m))
+        return _point(data, at, end, code)
     if code in MULTIPOINT_TYPES:
         (count,) = struct.unpack_from("<i", data, at + 36)
-        parts, position = np.array([0]), at + 40
-    elif code in LINE_TYPES + POLYGON_TYPES:
-        part_count, count = struct.unpack_from("<2i", data, at + 36)
-        parts, position = np.frombuffer(data, "<i4", part_count, at + 44), at + 44 + 4 * part_count
-    else:
+        shape = _vertices(data, at + 40, count, end, code)
+        head = shape.head(wkb.POINT)
+        points = b"".join(head + shape.slice(i, i + 1) for i in range(count))
+        return shape.head(wkb.MULTIPOINT) + struct.pack("<I", count) + points
+    if code not in LINE_TYPES + POLYGON_TYPES:
         raise ValueError(f"Shape type {code} is not supported.")
-    points = np.frombuffer(data, "<f8", count * 2, position).reshape(-1, 2)
-    position += count * 16
-    z = m = None
-    if has_z:
-        z = np.frombuffer(data, "<f8", count, position + 16)
-        position += 16 + count * 8
-    if (has_z or has_m) and position + 16 + count * 8 <= end:
-        m = np.frombuffer(data, "<f8", count, position + 16)
-    vertices = _stack(points, z, m)
-    runs = [vertices.rows(low, high) for low, high in zip(parts, [*parts[1:], count])]
-    if code in MULTIPOINT_TYPES:
-        single = [_geometry(wkb.POINT, vertices.rows(i, i + 1)) for i in range(count)]
-        return _collection(wkb.MULTIPOINT, vertices, single)
+    part_count, count = struct.unpack_from("<2i", data, at + 36)
+    if part_count == 1 and code == 3:
+        return _LINE + data[at + 40 : at + 44] + data[at + 48 : at + 48 + 16 * count]
+    if part_count == 1 and code == 5:
+        return _POLYGON + data[at + 36 : at + 44] + data[at + 48 : at + 48 + 16 * count]
+    starts = struct.unpack_from(f"<{part_count}i", data, at + 44)
+    shape = _vertices(data, at + 44 + 4 * part_count, count, end, code)
+    parts = list(zip(starts, (*starts[1:], count)))
+    runs = [struct.pack("<I", high - low) + shape.slice(low, high) for low, high in parts]
     if code in LINE_TYPES:
-        lines = [_geometry(wkb.LINESTRING, run, struct.pack("<I", len(run.xyzm))) for run in runs]
-        return lines[0] if len(lines) == 1 else _collection(wkb.MULTILINESTRING, vertices, lines)
-    polygons = [_polygon(rings) for rings in _rings_by_polygon(runs)]
-    return polygons[0] if len(polygons) == 1 else _collection(wkb.MULTIPOLYGON, vertices, polygons)
-
-
-class _Vertices:
-    """Coordinates of one shape with the dimensions they carry."""
+        return _one_or_many([shape.head(wkb.LINESTRING) + run for run in runs], shape, wkb.MULTILINESTRING)
+    head = shape.head(wkb.POLYGON)
+    polygons = [
+        head + struct.pack("<I", len(rings)) + b"".join(runs[ring] for ring in rings)
+        for rings in _rings_by_polygon(shape, parts, areas)
+    ]
+    return _one_or_many(polygons, shape, wkb.MULTIPOLYGON)
 
-    def __init__(self, xyzm: np.ndarray, has_z: bool, has_m: bool) -> None:
-        self.xyzm, self.has_z, self.has_m = xyzm, has_z, has_m
 
-    def rows(self, low: int, high: int) -> _Vertices:
-        return _Vertices(self.xyzm[low:high], self.has_z, self.has_m)
+class _Vertices(NamedTuple):
+    """Interleaved coordinates of one shape and the dimensions they carry."""
 
+    raw: bytes
+    width: int
+    has_z: bool
+    has_m: bool
 
-def _stack(points: np.ndarray, z: np.ndarray | None, m: np.ndarray | None) -> _Vertices:
-    has_m = m is not None and len(m) > 0 and bool((m > NO_DATA).any())
-    columns = [points] + ([z[:, None]] if z is not None else []) + ([m[:, None]] if has_m else [])
-    return _Vertices(np.hstack(columns), z is not None, has_m)
+    def slice(self, low: int, high: int) -> bytes:
+        return self.raw[low * self.width * 8 : high * self.width * 8]
 
+    def head(self, base: int) -> bytes:
+        return struct.pack("<BI", 1, wkb.type_code(base, self.has_z, self.has_m))
 
-def _head(base: int, vertices: _Vertices) -> bytes:
-    return struct.pack("<BI", 1, wkb.type_code(base, vertices.has_z, vertices.has_m))
+    def xy(self) -> np.ndarray:
+        return np.frombuffer(self.raw, "<f8").reshape(-1, self.width)[:, :2]
 
 
-def _geometry(base: int, vertices: _Vertices, counts: bytes = b"") -> bytes:
-    return _head(base, vertices) + counts + vertices.xyzm.astype("<f8").tobytes()
+def _one_or_many(parts: list[bytes], shape: _Vertices, many: int) -> bytes:
+    return parts[0] if len(parts) == 1 else shape.head(many) + struct.pack("<I", len(parts)) + b"".join(parts)
 
 
-def _collection(base: int, vertices: _Vertices, members: list[bytes]) -> bytes:
-    return _head(base, vertices) + struct.pack("<I", len(members)) + b"".join(members)
+def _point(data: bytes, at: int, end: int, code: int) -> bytes:
+    values = struct.unpack_from(f"<{(end - at - 4) // 8}d", data, at + 4)
+    has_z = code == 11
+    measure = values[3:4] if has_z else values[2:3]
+    has_m = code != 1 and bool(measure) and measure[0] > NO_DATA
+    kept = values[:2] + (values[2:3] if has_z else ()) + (measure if has_m else ())
+    return struct.pack(f"<BI{len(kept)}d", 1, wkb.type_code(wkb.POINT, has_z, has_m), *kept)
 
 
-def _polygon(rings: list[_Vertices]) -> bytes:
-    body = b"".join(struct.pack("<I", len(r.xyzm)) + r.xyzm.astype("<f8").tobytes() for r in rings)
-    return _head(wkb.POLYGON, rings[0]) + struct.pack("<I", len(rings)) + body
-
-
-def _signed_area(ring: np.ndarray) -> float:
-    x, y = ring[:, 0] - ring[0, 0], ring[:, 1] - ring[0, 1]
-    return float(np.dot(x[:-1], y[1:]) - np.dot(x[1:], y[:-1])) / 2
+def _vertices(data: bytes, at: int, count: int, end: int, code: int) -> _Vertices:
+    """Vertices that begin at ``at``; z and m values follow in blocks of their own."""
+    after = at + count * 16
+    if code < 10:
+        return _Vertices(data[at:after], 2, False, False)
+    has_z = code < 20
+    blocks = []
+    if has_z:
+        blocks.append(np.frombuffer(data, "<f8", count, after + 16))
+        after += 16 + count * 8
+    has_m = False
+    if after + 16 + count * 8 <= end:  # measures may be left out
+        measures = np.frombuffer(data, "<f8", count, after + 16)
+        has_m = bool((measures > NO_DATA).any())
+        blocks += [measures] if has_m else []
+    rows = np.empty((count, 2 + len(blocks)), "<f8")
+    rows[:, :2] = np.frombuffer(data, "<f8", count * 2, at).reshape(-1, 2)
+    for column, block in enumerate(blocks, 2):
+        rows[:, column] = block
+    return _Vertices(rows.tobytes(), 2 + len(blocks), has_z, has_m)
 
 
 def _contains(ring: np.ndarray, point: np.ndarray) -> bool:
@@ -373,21 +420,24 @@ def _contains(ring: np.ndarray, point: np.ndarray) -> bool:
     return bool((crosses & (point[0] < at)).sum() % 2)
 
 
-def _rings_by_polygon(rings: list[_Vertices]) -> list[list[_Vertices]]:
+def _rings_by_polygon(
+    shape: _Vertices, parts: list[tuple[int, int]], areas: list[float] | None
+) -> list[list[int]]:
     """Group rings: clockwise ones are outer, the others go to the smallest outer around them."""
-    if len(rings) == 1:
-        return [rings]
-    areas = [_signed_area(ring.xyzm) for ring in rings]
+    if areas is None:
+        return [[0]]
     outer = [i for i, area in enumerate(areas) if area <= 0]
-    if not outer:
-        return [[ring] for ring in rings]
-    polygons = {i: [rings[i]] for i in outer}
-    for i, area in enumerate(areas):
-        if area <= 0:
-            continue
-        around = [o for o in outer if _contains(rings[o].xyzm, rings[i].xyzm[0])]
-        if around or len(outer) == 1:
-            polygons[min(around or outer, key=lambda o: abs(areas[o]))].append(rings[i])
-        else:
-            polygons[i] = [rings[i]]
+    inner = [i for i, area in enumerate(areas) if area > 0]
+    if len(outer) == 1:
+        return [outer + inner]
+    points = shape.xy()
+    polygons = {i: [i] for i in outer}
+    by_size = sorted((o for o in outer if parts[o][0] < parts[o][1]), key=lambda o: abs(areas[o]))
+    low = np.array([points[slice(*parts[o])].min(axis=0) for o in by_size]).reshape(-1, 2)
+    high = np.array([points[slice(*parts[o])].max(axis=0) for o in by_size]).reshape(-1, 2)
+    for i in inner:
+        at = points[parts[i][0]]
+        holders = np.flatnonzero(((low <= at) & (at <= high)).all(axis=1))
+        around = next((by_size[h] for h in holders if _contains(points[slice(*parts[by_size[h]])], at)), None)
+        polygons.setdefault(i if around is None else around, []).append(i)
     return list(polygons.values())

@@ -29,7 +29,20 @@ from featureframe.sources import geopackage, shapefile
 from featureframe.sources.layers import Attribute, Rows
 
 RANGE_READERS: dict[str, ModuleType] = {"geopackage": geopackage, "shapefile": shapefile}
-UNREADABLE = (OSError, EOFError, sqlite3.Error, struct.error, UnicodeDecodeError, IndexError, ValueError)
+# SQLite result codes of a file that is absent, damaged or no database
+_SQLITE_UNREADABLE = {1, 11, 14, 26}
+_FORMAT_ERRORS = (FileNotFoundError, IsADirectoryError, NotADirectoryError, EOFError, struct.error, IndexError, ValueError)
+
+
+def not_vector_data(error: Exception) -> bool:
+    """Whether an error says that a path holds no readable source.
+
+    A tolerant read passes over such files. Anything else, such as a failing disk
+    or a locked file, must fail the task and be tried again, or rows would be lost.
+    """
+    if isinstance(error, sqlite3.Error):
+        return getattr(error, "sqlite_errorcode", 0) & 0xFF in _SQLITE_UNREADABLE
+    return isinstance(error, _FORMAT_ERRORS)
 
 ATTRIBUTE_TYPE = StructType(
     [
@@ -87,8 +100,10 @@ def _catalog_rows(path: str, source: str | None, range_rows: int | None) -> list
         return [{"path": path, "source": source, "error": "No source reads this file."}]
     try:
         found = [reader.describe(path, name) for name in reader.layer_names(path)]
-    except UNREADABLE as error:
-        return [{"path": path, "source": source, "error": str(error)}]
+    except Exception as error:
+        if not_vector_data(error):
+            return [{"path": path, "source": source, "error": str(error) or type(error).__name__}]
+        raise
     rows = []
     for index, layer in enumerate(found):
         starts = None
@@ -144,11 +159,11 @@ def read_ranges(
                 reader, path, name = RANGE_READERS.get(row["source"]), row["path"], row["layer_name"]
                 try:
                     if reader is None:
-                        raise OSError(f"No source reads {path}.")
+                        raise ValueError(f"No source reads {path}.")
                     layer = resolve_layer(reader.layer_names(path), layer_identifier if name is None else name)
                     attributes = reader.attributes(path, layer)
-                except UNREADABLE:
-                    if mode == "FAILFAST":
+                except Exception as error:
+                    if mode == "FAILFAST" or not not_vector_data(error):
                         raise
                     continue
                 check(path, attributes)

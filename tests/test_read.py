@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import errno
 import os
+import sqlite3
+import struct
+from contextlib import closing
 
 import pytest
 from pyspark.errors import PythonException
@@ -11,6 +15,8 @@ from pyspark.sql.types import StructType
 
 from featureframe import describe_layers, read_vector_files
 from featureframe.plans.catalog import feature_counts, select_layer, skipped_files
+from featureframe.sources import geopackage as source
+from featureframe.sources.tasks import not_vector_data
 from tests.conftest import (
     FIRST,
     OTHER_FIRST,
@@ -216,3 +222,32 @@ def test_mixed_sources_in_one_folder(spark, tmp_path):
     df = read_vector_files(str(tmp_path), schema=SCHEMA, coerce_to_schema=True, spark=spark)
     # the .dbf beside the .shp is part of it, not a source of its own
     assert collected(df) == expected(FIRST + SECOND + OTHER_FIRST[:1])
+
+
+@pytest.mark.parametrize(
+    ("error", "passed_over"),
+    [
+        (FileNotFoundError("gone"), True),
+        (ValueError("not a shapefile"), True),
+        (struct.error("short"), True),
+        (OSError(errno.EIO, "disk"), False),
+        (MemoryError(), False),
+        (RuntimeError("other"), False),
+    ],
+)
+def test_only_format_errors_are_passed_over(error, passed_over):
+    assert not_vector_data(error) is passed_over
+
+
+def test_locked_geopackage_is_an_error(geopackage):
+    with closing(sqlite3.connect(geopackage)) as db:
+        db.execute("begin exclusive")
+        with pytest.raises(sqlite3.OperationalError) as raised, closing(sqlite3.connect(geopackage, timeout=0)) as other:
+            other.execute("select * from first").fetchall()
+        assert not not_vector_data(raised.value)
+
+
+def test_absent_geopackage_is_passed_over():
+    with pytest.raises(sqlite3.OperationalError) as raised:
+        source.layer_names("/erroneous/file/path")
+    assert not_vector_data(raised.value)
