@@ -6,9 +6,9 @@ import json
 import re
 import struct
 import xml.etree.ElementTree as ElementTree
-from collections.abc import Callable
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -30,6 +30,13 @@ _DEPTH = {"Point": 0, "MultiPoint": 1, "LineString": 1, "MultiLineString": 2, "P
 # EPSG codes whose axes are latitude, longitude in URN spelling
 _LATITUDE_FIRST = {"4326", "4258", "4269", "4277", "4230", "4171"}
 _PREFIX = re.compile(r"(</?|\s)[\w.-]+:(?=[\w.-]+[\s=/>])")
+_OPENING = re.compile(r"<([\w.-]+:)?")
+_NUMBER = r"([+-]?[\d.]+(?:[eE][+-]?\d+)?)"
+# a 2D point whose axes need no look at its coordinate system
+_PLAIN_POINT = re.compile(
+    r"<(?:[\w.-]+:)?Point(?:\s+(?!srs)[\w.:-]+=\"[^\"]*\"|\s+srsName=\"EPSG:\d+\")*\s*>\s*"
+    rf"<(?:[\w.-]+:)?(?:pos|coordinates)\s*>\s*{_NUMBER}[\s,]+{_NUMBER}\s*<"
+)
 _URN = re.compile(r"urn:(?:x-)?ogc:def:crs:EPSG:[^:]*:(\d+)|http://www\.opengis\.net/def/crs/EPSG/0/(\d+)")
 
 
@@ -65,10 +72,19 @@ def _encode(kind: str, coordinates: list, size: int) -> bytes:
     return head + b"".join(_encode(kind.removeprefix("Multi"), part, size) for part in coordinates)
 
 
-def geojson_to_wkb(text: str | None) -> bytes | None:
-    """WKB of one GeoJSON geometry object."""
-    geometry = json.loads(text) if text else None
-    return _from_object(geometry) if geometry else None
+def geojson_to_wkb(texts: list[str | None]) -> pa.Array:
+    """WKB of GeoJSON geometry objects, parsed a batch at a time."""
+    geometries = json.loads("[" + ",".join(text or "null" for text in texts) + "]")
+    if all(geometry is None or _is_plain_point(geometry) for geometry in geometries):
+        valid = np.array([geometry is not None for geometry in geometries], dtype=bool)
+        points = [geometry["coordinates"] if geometry else (0.0, 0.0) for geometry in geometries]
+        x, y = np.array(points, dtype=np.float64).reshape(-1, 2).T
+        return wkb.encode_points(x, y, valid)
+    return pa.array([_from_object(geometry) if geometry else None for geometry in geometries], pa.binary())
+
+
+def _is_plain_point(geometry: dict) -> bool:
+    return geometry["type"] == "Point" and len(geometry["coordinates"]) == 2
 
 
 def _from_object(geometry: dict) -> bytes | None:
@@ -80,11 +96,27 @@ def _from_object(geometry: dict) -> bytes | None:
     return head + b"".join(parts)
 
 
-def gml_to_wkb(text: str | None) -> bytes | None:
-    """WKB of one GML geometry element, namespace prefixes as they come."""
-    if not text:
-        return None
-    return _from_element(ElementTree.fromstring(_PREFIX.sub(r"\1", text)), None, 2)
+def gml_to_wkb(texts: list[str | None]) -> pa.Array:
+    """WKB of GML geometry elements, namespace prefixes as they come."""
+    found = [_PLAIN_POINT.match(text) if text else None for text in texts]
+    if all(match or not text for match, text in zip(found, texts)):
+        valid = np.array([match is not None for match in found], dtype=bool)
+        points = [match.groups() if match else (0, 0) for match in found]
+        x, y = np.array(points, dtype=np.float64).reshape(-1, 2).T
+        return wkb.encode_points(x, y, valid)
+    return pa.array([_from_element(_element(text), None, 2) if text else None for text in texts], pa.binary())
+
+
+def _element(text: str) -> ElementTree.Element:
+    """The parsed element with plain tag names."""
+    prefix = _OPENING.match(text)[1]
+    try:
+        root = ElementTree.fromstring(f'<r xmlns:{prefix[:-1]}="g">{text}</r>' if prefix else text)
+    except ElementTree.ParseError:  # more prefixes, declared outside the geometry
+        return ElementTree.fromstring(_PREFIX.sub(r"\1", text))
+    for node in root.iter():
+        node.tag = node.tag.rsplit("}", 1)[-1]
+    return root[0] if prefix else root
 
 
 def _from_element(element: ElementTree.Element, srs: str | None, size: int) -> bytes | None:
@@ -138,13 +170,13 @@ def _read_positions(node: ElementTree.Element, srs: str | None, size: int) -> li
     return found
 
 
-def _column(convert: Callable[[str | None], bytes | None]) -> Callable[[pa.Array], pa.Array]:
-    def apply(text: pa.Array) -> pa.Array:
-        return pa.array([convert(value) for value in text.to_pylist()], pa.binary())
-
-    apply.__annotations__ = {"text": pa.Array, "return": pa.Array}
-    return apply
+@F.arrow_udf(BinaryType())
+def geojson_wkb(text: pa.Array) -> pa.Array:
+    """Column form of :func:`geojson_to_wkb`."""
+    return geojson_to_wkb(text.to_pylist())
 
 
-geojson_wkb = F.arrow_udf(_column(geojson_to_wkb), BinaryType())
-gml_wkb = F.arrow_udf(_column(gml_to_wkb), BinaryType())
+@F.arrow_udf(BinaryType())
+def gml_wkb(text: pa.Array) -> pa.Array:
+    """Column form of :func:`gml_to_wkb`."""
+    return gml_to_wkb(text.to_pylist())

@@ -82,11 +82,10 @@ def wkb_bytes(blob: Column, fixed_length: int | None = None) -> Column:
 
 
 def _srs_id(digits: Column) -> Column:
-    text = F.substring(digits, 9, 8)
-    swapped = F.concat(*[F.substring(text, at, 2) for at in (7, 5, 3, 1)])
+    swapped = F.concat(*[F.substring(digits, at, 2) for at in (15, 13, 11, 9)])
     little = _byte(digits, 4).bitwiseAND(F.lit(1)) == 1
-    unsigned = F.conv(F.when(little, swapped).otherwise(text), 16, 10).cast("bigint")
-    return F.when(unsigned >= 2**31, unsigned - 2**32).otherwise(unsigned).cast("int")
+    unsigned = F.conv(F.when(little, swapped).otherwise(F.substring(digits, 9, 8)), 16, 10).cast("bigint")
+    return F.shiftright(F.shiftleft(unsigned, 32), 32).cast("int")  # two's complement
 
 
 @F.arrow_udf(ArrayType(DoubleType()))

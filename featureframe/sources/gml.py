@@ -164,10 +164,9 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str) -> DataFram
     inner = [f for f in schema.fields if f.name != geom_field_name and f.name not in FID_FIELDS]
     texts = StructType([StructField(field.name, StringType()) for field in inner])
     fid = F.nullif(F.regexp_extract("feature", _FID, 1), F.lit(""))
-    plain = F.regexp_replace("feature", _GEOMETRY, "")
     columns = [fid.alias("fid")]
     if inner:
-        columns.append(F.from_xml(plain, texts, {"ignoreNamespace": "true"}).alias("f"))
+        columns.append(F.from_xml("feature", texts, {"ignoreNamespace": "true"}).alias("f"))
     if geom_field_name in schema.names:
         columns.append(F.nullif(F.regexp_extract("feature", _GEOMETRY, 0), F.lit("")).alias("shape"))
     parsed = found.select(*columns)

@@ -135,7 +135,9 @@ def test_geojson_layer_names(spark, tmp_path):
     ],
 )
 def test_geojson_geometries(geometry, wkb):
-    assert geojson_to_wkb(json.dumps(geometry)) == wkb
+    assert geojson_to_wkb([json.dumps(geometry)]).to_pylist() == [wkb]
+    line = {"type": "LineString", "coordinates": [[0, 0], [1, 1]]}
+    assert geojson_to_wkb([json.dumps(line), json.dumps(geometry), None]).to_pylist()[1:] == [wkb, None]
 
 
 SQUARE = "0 0 1 0 1 1 0 0"
@@ -151,6 +153,13 @@ RING = struct.pack("<I8d", 4, 0, 0, 1, 0, 1, 1, 0, 0)
             '<gml:Point srsName="urn:ogc:def:crs:EPSG::4326"><gml:pos>51 -1</gml:pos></gml:Point>',
             struct.pack("<BIdd", 1, 1, -1, 51),
         ),
+        (
+            '<gml:Point srsName="EPSG:27700" gml:id="p"><gml:pos> -1.5e3 2 </gml:pos></gml:Point>',
+            struct.pack("<BIdd", 1, 1, -1500, 2),
+        ),
+        ("<g:Point xlink:href='h' g:id='p'><g:pos>1 2</g:pos></g:Point>", struct.pack("<BIdd", 1, 1, 1, 2)),
+        ("<Point><pos>1 2</pos></Point>", struct.pack("<BIdd", 1, 1, 1, 2)),
+        ("<Point/>", None),
         (
             '<gml:Point srsDimension="3"><gml:pos>1 2 3</gml:pos></gml:Point>',
             struct.pack("<BI3d", 1, 0x80000001, 1, 2, 3),
@@ -182,7 +191,9 @@ RING = struct.pack("<I8d", 4, 0, 0, 1, 0, 1, 1, 0, 0)
     ],
 )
 def test_gml_geometries(gml, wkb):
-    assert gml_to_wkb(gml) == wkb
+    assert gml_to_wkb([gml]).to_pylist() == [wkb]
+    line = "<LineString><posList>0 0 1 1</posList></LineString>"
+    assert gml_to_wkb([line, gml, None]).to_pylist()[1:] == [wkb, None]
 
 
 def gml_feature(layer: str, i: int, body: str) -> str:
