@@ -1,12 +1,17 @@
 """GeoJSON documents and newline-delimited GeoJSON.
 
-Three layouts, found by a probe of the first bytes:
-
-* ``token``: every feature begins with the same text, such as ``{"type":"Feature",``.
-  That text is the record separator. It cannot occur inside a JSON string, where its
-  quotes would be escaped.
-* ``lines``: one feature per line with its members in another order.
+A probe of the first bytes finds how a file is laid out. In the first three layouts a
+text every feature has is the record separator; it cannot occur inside a JSON string,
+where its quotes would be escaped.
+
+* ``first``: features begin with ``{"type":"Feature",``.
+* ``after``: short members such as an id come before ``"type":"Feature",``.
+* ``last``: features end with ``"type":"Feature"}``, as in documents with sorted keys.
+* ``lines``: one feature per line, in another order.
 * ``document``: any other JSON; parsed as a whole, so one task per file.
+
+White space in the separators is as the file has it. A file whose features are not all
+laid out alike is an error, never fewer rows.
 """
 
 from __future__ import annotations
@@ -25,9 +30,13 @@ from featureframe.sources.listing import escaped
 from featureframe.sources.records import by_separator, file_path, probe, text_records, typed
 from featureframe.types import OGR_TO_SPARK
 
-_FEATURE_START = re.compile(r'\{\s*"type"\s*:\s*"Feature"\s*,\s*(?=")')
+_TYPE = r'"type"\s*:\s*"Feature"'
+_FIRST = re.compile(r"\{\s*" + _TYPE + r'\s*,\s*(?=")')
+_AFTER = re.compile(_TYPE + r'\s*,\s*(?=")')
+_LAST = re.compile(_TYPE + r"\s*\}")
+_CONTENT = re.compile(r'"(?:properties|geometry)"\s*:')
+_FEATURES = r'"features"\s*:\s*\[\s*'
 _COLLECTION_NAME = re.compile(r'^\s*\{(?:(?!"features").)*?"name"\s*:\s*("(?:[^"\\]|\\.)*")', re.DOTALL)
-_ANOTHER_FEATURE = r'"type"\s*:\s*"Feature"'
 _INT_MAX = 2**31 - 1
 
 
@@ -36,13 +45,29 @@ def look(path: str, head: str) -> dict:
     text = head.lstrip("﻿\x1e \t\r\n")
     if not text.startswith("{"):
         raise ValueError(f"{path} is not GeoJSON.")
-    begin = _FEATURE_START.search(text)
-    before = text[: begin.start()] if begin else text
+    layout, separator = _layout(text)
+    before = text[: text.index(separator)] if separator else text
     named = _COLLECTION_NAME.search(before)
     layer = json.loads(named[1]) if named else os.path.splitext(os.path.basename(path))[0]
-    if begin:
-        return {"layer_name": layer, "layout": "token", "separator": begin[0]}
-    return {"layer_name": layer, "layout": "lines" if _is_feature_line(text) else "document"}
+    return {"layer_name": layer, "layout": layout, "separator": separator}
+
+
+def _layout(text: str) -> tuple[str, str | None]:
+    """Layout and separator, from the first feature."""
+    typed = re.search(_TYPE, text)
+    first = _FIRST.search(text)
+    if first and first.start() < typed.start() < first.end():
+        return "first", first[0]
+    if _is_feature_line(text):
+        return "lines", None
+    opening = re.search(_FEATURES, text)
+    if typed and opening and opening.end() < typed.start():
+        content = _CONTENT.search(text, opening.end())
+        if (after := _AFTER.match(text, typed.start())) and content and content.start() > typed.start():
+            return "after", after[0]
+        if last := _LAST.match(text, typed.start()):
+            return "last", last[0]
+    return "document", None
 
 
 def _is_feature_line(text: str) -> bool:
@@ -61,14 +86,13 @@ def features(probed: DataFrame) -> DataFrame | None:
     spark = probed.sparkSession
 
     def read(layout: str, separator: str | None, paths: list[str]) -> DataFrame:
-        if layout == "token":
+        if layout in _CUT:
             records = text_records(spark, paths, separator)
-            # what precedes the first separator of a file is not a feature
-            follows = F.ltrim(F.col("value")).startswith('"')
-            merged = F.regexp_count(F.col("value"), F.lit(_ANOTHER_FEATURE)) > 0
+            is_feature, feature, fits = _CUT[layout](F.col("value"), separator)
+            alone = F.regexp_count(F.col("value"), F.lit(_TYPE)) == 0
             message = F.concat(F.lit("Features of differing member order in "), F.col("path"))
-            feature = F.when(merged, F.raise_error(message)).otherwise(F.concat(F.lit(separator), F.col("value")))
-            return records.filter(follows).select("path", feature.alias("feature"))
+            checked = F.when(alone & fits, feature).otherwise(F.raise_error(message))
+            return records.filter(is_feature).select("path", checked.alias("feature"))
         if layout == "lines":
             records = text_records(spark, paths, "\n")
             return records.filter(F.trim("value") != "").select("path", F.col("value").alias("feature"))
@@ -79,6 +103,29 @@ def features(probed: DataFrame) -> DataFrame | None:
     return by_separator(probed, read)
 
 
+def _cut_first(value: Column, separator: str) -> tuple[Column, Column, Column]:
+    # what precedes the first separator of a file is not a feature
+    return value.startswith('"'), F.concat(F.lit(separator), value), F.lit(True)
+
+
+def _cut_after(value: Column, separator: str) -> tuple[Column, Column, Column]:
+    # the members before the type of the next feature trail behind, outside the object
+    feature = F.concat(F.lit("{" + separator), value)
+    return value.startswith('"'), feature, value.rlike(r'"properties"\s*:')
+
+
+def _cut_last(value: Column, separator: str) -> tuple[Column, Column, Column]:
+    # the first record opens the collection, the text behind the last closes it
+    member = F.regexp_replace(value, r"^\s*,\s*", "")
+    opened = F.regexp_replace(value, r"(?s)^.*?" + _FEATURES, "")
+    feature = F.concat(F.when(value.rlike(r"^\s*,"), member).otherwise(opened), F.lit(separator))
+    return ~value.rlike(r"^\s*\]"), feature, F.try_parse_json(feature).isNotNull()
+
+
+# per layout: whether a record is a feature, the feature's text, whether it is a whole one
+_CUT = {"first": _cut_first, "after": _cut_after, "last": _cut_last}
+
+
 def attributes(found: DataFrame) -> list[dict]:
     """Names and OGR types of the properties in the given features, by first position."""
     properties = found.select(F.from_json("feature", "properties string")["properties"].alias("text"))

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from featureframe import describe_layers, read_vector_files
 from featureframe.functions.coordinates import geojson_to_wkb, gml_to_wkb
+from featureframe.sources.geojson import look
 
 
 def feature(i: int, **properties) -> dict:
@@ -33,6 +34,11 @@ LAYOUTS = {
     "per line": '{"type": "FeatureCollection", "features": [\n' + ",\n".join(map(json.dumps, FEATURES)) + "\n]}",
     "sequence": "\n".join(map(json.dumps, FEATURES)) + "\n",
     "other order per line": "\n".join(json.dumps(dict(reversed(f.items()))) for f in FEATURES),
+    "id before": document([{"id": f"{{{f['properties']['id']}", **f} for f in FEATURES]),
+    "id before, compact": document([{"id": 7, "bbox": [1, 2], **f} for f in FEATURES], separators=(",", ":")),
+    "sorted": json.dumps(json.loads(document(FEATURES)), sort_keys=True),
+    "sorted, pretty": json.dumps(json.loads(document(FEATURES, name="a")), sort_keys=True, indent=1),
+    "type in the middle": document([{"geometry": f["geometry"], "type": "Feature", "properties": f["properties"]} for f in FEATURES]),
     "other order": document([dict(reversed(f.items())) for f in FEATURES], indent=1),
     "members after": document(FEATURES)[:-1] + ', "crs": {"type": "name", "properties": {"name": "EPSG:27700"}}}',
 }
@@ -49,8 +55,7 @@ def test_geojson_layouts_and_splits(spark, tmp_path, layout, split_bytes):
         rows = sorted(map(tuple, df.collect()))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    if layout in ("compact", "spaced", "pretty", "per line", "sequence", "members after"):
-        assert df.schema.simpleString() == "struct<id:int,name:string,value:double,geometry:binary>"
+    assert df.schema.simpleString() == "struct<id:int,name:string,value:double,geometry:binary>"
     expected = []
     for i, item in enumerate(FEATURES):
         point = bytearray(struct.pack("<BIdd", 1, 1, i, -i)) if i % 5 else None
@@ -67,13 +72,49 @@ def test_small_splits_really_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_features_of_differing_member_order_are_not_lost(spark, tmp_path):
-    mixed = [FEATURES[0], dict(reversed(FEATURES[1].items()))]
-    (tmp_path / "a.geojson").write_text(document(mixed))
+def turned(item: dict) -> dict:
+    return dict(reversed(item.items()))
+
+
+@pytest.mark.parametrize(
+    "features",
+    [
+        [FEATURES[0], turned(FEATURES[1])],
+        [turned(FEATURES[0]), FEATURES[1]],
+        [{"id": 1, **FEATURES[0]}, {"id": 1, "properties": {}, "type": "Feature", "geometry": None}],
+        [{"id": 1, **FEATURES[0]}, turned(FEATURES[1])],
+        [turned(feature(1, sub={"type": "Feature"}))],
+    ],
+)
+def test_features_of_differing_member_order_are_not_lost(spark, tmp_path, features):
+    (tmp_path / "a.geojson").write_text(document(features))
     with pytest.raises(Exception, match="differing member order"):
         read(spark, tmp_path, suffix="geojson", schema=StructType().add("id", "long")).collect()
 
 
+@pytest.mark.parametrize(
+    ("text", "layout"),
+    [
+        (LAYOUTS["compact"], "first"),
+        (LAYOUTS["sequence"], "first"),
+        (LAYOUTS["id before"], "after"),
+        (LAYOUTS["sorted"], "last"),
+        (LAYOUTS["other order"], "last"),
+        (LAYOUTS["other order per line"], "lines"),
+        (LAYOUTS["type in the middle"], "document"),
+        (document([]), "document"),
+    ],
+)
+def test_layout_of(text, layout):
+    assert look("a.geojson", text)["layout"] == layout
+
+
+def test_empty_collection(spark, tmp_path):
+    (tmp_path / "a.geojson").write_text(document([]))
+    assert read(spark, tmp_path, suffix="geojson").collect() == []
+    assert describe_layers(str(tmp_path), suffix="geojson", spark=spark).first()["feature_count"] == 0
+
+
 def test_geojson_types(spark, tmp_path):
     first = {"big": 2**40, "flag": True, "list": [1, 2], "texts": ["a"], "reals": [0.5], "sub": {"k": 1}, "void": None}
     second = {"big": 1, "late": "x", "mixed": 1}
