@@ -95,13 +95,13 @@ def little_endian(wkb: bytes) -> bytes:
     return b"".join(parts)
 
 
-def _bounds(wkb: bytes) -> list[float] | None:
+def _bounds(wkb: bytes) -> list[float]:
     runs: list[np.ndarray] = []
     _walk(wkb, 0, [], runs)
     points = np.concatenate(runs) if runs else np.empty((0, 2))
     points = points[~np.isnan(points).any(axis=1)]
     if not len(points):
-        return None
+        return [np.nan] * 4
     (min_x, min_y), (max_x, max_y) = points.min(axis=0), points.max(axis=0)
     return [min_x, max_x, min_y, max_y]
 
@@ -117,15 +117,13 @@ def _plain_points(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, val
 def wkb_bounds(wkb: pa.Array) -> pa.Array:
     """``[minx, maxx, miny, maxy]`` of each geometry; null for null or empty ones."""
     data, starts, lengths, valid = binary_layout(wkb)
+    corners = np.full((len(wkb), 4), np.nan)
     plain = _plain_points(data, starts, lengths, valid)
-    if plain.all():  # points only, the common case: no per-row work
-        xy = doubles_at(data, starts + 5, 2, "<f8")
-        corners = np.repeat(xy, 2, axis=1).ravel()
-        offsets = pa.array(np.arange(len(wkb) + 1, dtype=np.int32) * 4)
-        empty = np.isnan(xy).any(axis=1)
-        return pa.ListArray.from_arrays(offsets, pa.array(corners), mask=pa.array(empty))
-    rows = [_bounds(value) if value is not None else None for value in wkb.to_pylist()]
-    return pa.array(rows, pa.list_(pa.float64()))
+    corners[plain] = np.repeat(doubles_at(data, starts[plain] + 5, 2, "<f8"), 2, axis=1)
+    for row in np.flatnonzero(valid & ~plain).tolist():
+        corners[row] = _bounds(wkb[row].as_py())
+    offsets = pa.array(np.arange(len(wkb) + 1, dtype=np.int32) * 4)
+    return pa.ListArray.from_arrays(offsets, pa.array(corners.ravel()), mask=pa.array(np.isnan(corners).any(axis=1)))
 
 
 @F.arrow_udf(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())]))

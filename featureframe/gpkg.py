@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from featureframe.functions.gpb import envelope, header_bytes, split_geometry, wkb_bytes
+from featureframe.functions.gpb import FIXED_BYTES, envelope, header_bytes, header_length, split_geometry, wkb_bytes
 from featureframe.functions.wkb import wkb_bounds
 from featureframe.plans.chunks import id_ranges, place_evenly
 from featureframe.session import active_session, settle
@@ -155,7 +155,9 @@ def computed_bounds(df: DataFrame, keys: list[str], geometry_column: str = "geom
     handful of rows per task.
     """
     blob = F.col(f"`{geometry_column}`")
-    box = F.coalesce(envelope(header_bytes(blob)), wkb_bounds(wkb_bytes(blob)))
+    # geometries whose header has an envelope are not sent to Python
+    bare = F.when(header_length(blob) == FIXED_BYTES, wkb_bytes(blob))
+    box = F.coalesce(envelope(header_bytes(blob)), wkb_bounds(bare))
     boxes = df.select(*keys, box.alias("_box"))
     corners = [F.col("_box").getItem(i) for i in range(4)]
     return boxes.groupBy(*keys).agg(
@@ -174,7 +176,7 @@ def list_layers(path: str, spark: SparkSession | None = None) -> list[str]:
 
 def _one_layer(rows: list, path: str, layer_name: str, spark: SparkSession | None) -> tuple:
     if not rows:
-        raise ValueError(f"Expecting one of {tuple(list_layers(path, spark))} but received {layer_name}.")
+        raise ValueError(f"{path} has no layer {layer_name!r}, only {list_layers(path, spark)}.")
     return rows[0]
 
 

@@ -14,7 +14,7 @@ def select_layer(catalog: DataFrame, identifier: LayerIdentifier) -> DataFrame:
         return catalog.filter(F.col("layer_name") == identifier)
     index = 0 if identifier is None else identifier
     if index < 0:
-        raise ValueError(f"Expecting an index from 0 but received {index}.")
+        raise ValueError(f"Layer index {index} is below 0.")
     return catalog.filter(F.col("layer_index") == index)
 
 

@@ -71,7 +71,7 @@ def read_vector_files(
     session = active_session(spark)
     strategy = ConcurrencyStrategy(concurrency_strategy)
     if isinstance(layer_identifier, int) and layer_identifier < 0:
-        raise ValueError(f"Expecting an index from 0 but received {layer_identifier}.")
+        raise ValueError(f"Layer index {layer_identifier} is below 0.")
 
     sources = _sources(path, pattern, suffix, recursive, vsi_prefix, session)
     binary_kinds = sources.kinds - TEXT_SOURCES.keys()

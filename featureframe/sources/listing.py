@@ -59,7 +59,7 @@ def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
         return reader.load(escaped(path)).select(local_path(F.col("path")).alias("path"), "length")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise NotADirectoryError(f'"{path}" is not a directory.') from error
+            raise NotADirectoryError(f"{path} is not a folder.") from error
         raise
 
 
@@ -106,7 +106,7 @@ def list_folders(
 def _check_folder(path: str) -> str:
     root = _root(path.removeprefix("file://") if path.startswith("file:///") else path)
     if "://" not in root and not os.path.isdir(root):
-        raise NotADirectoryError(f'"{path}" is not a directory.')
+        raise NotADirectoryError(f"{path} is not a folder.")
     return root
 
 
@@ -167,7 +167,7 @@ def find_sources(
         files = folders if folders.count else files
     if not files.count:
         raise FileNotFoundError(
-            f'No files found for: path: "{path}", pattern: "{pattern}", suffix: "{suffix}", recursive: {recursive}.'
+            f"Nothing matches {path=}, {pattern=}, {suffix=}, {recursive=}."
         )
     return files
 

@@ -71,11 +71,11 @@ def resolve_layer(names: list[str], identifier: LayerIdentifier) -> str:
     """The named layer, the layer at an index, or the first layer."""
     if isinstance(identifier, str):
         if identifier not in names:
-            raise ValueError(f"Expecting one of {tuple(names)} but received {identifier}.")
+            raise ValueError(f"There is no layer {identifier!r}, only {names}.")
         return identifier
     index = 0 if identifier is None else identifier
     if not 0 <= index < len(names):
-        raise ValueError(f"Expecting an index from 0 to {len(names) - 1} but received {index}.")
+        raise ValueError(f"Layer index {index} is outside 0 to {len(names) - 1}.")
     return names[index]
 
 

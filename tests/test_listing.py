@@ -51,7 +51,7 @@ def test_not_a_directory(spark, tmp_path):
 
 
 def test_nothing_found_names_the_arguments(spark, tmp_path):
-    with pytest.raises(FileNotFoundError, match='pattern: "a", suffix: "b", recursive: True'):
+    with pytest.raises(FileNotFoundError, match="pattern='a', suffix='b', recursive=True"):
         find_sources(str(tmp_path), "a", "b", True, spark)
 
 
