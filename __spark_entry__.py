@@ -359,8 +359,9 @@ def q_tolerant_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog = describe_layers(_supplier_files(spark, sf_dir), suffix="gpkg", spark=spark)
-    unreadable = skipped_files(catalog).agg(F.count("*").alias("unreadable"))
-    return unreadable.crossJoin(feature_counts(catalog).agg(F.sum("feature_count").alias("features")))
+    skipped = skipped_files(catalog).select(_file_name(), F.lit(None).cast("bigint").alias("features"))
+    read = feature_counts(catalog).select(_file_name(), F.col("feature_count").alias("features"))
+    return skipped.unionByName(read)
 
 
 # --- schema ----------------------------------------------------------------
@@ -568,7 +569,8 @@ def oracle_sql() -> dict[str, str]:
         "q_wkb_points": "select o_orderkey id, o_totalprice x, o_custkey::double y from orders",
         "q_null_geometry": "select c_custkey id, c_acctbal < 0 as is_null from customer",
         "q_tolerant_read": "select s_suppkey id, s_name category, s_acctbal balance from supplier",
-        "q_skipped_files": "select cast(1 as bigint) unreadable, count(*) features from supplier",
+        "q_skipped_files": "select 'supplier_' || (s_suppkey // 50) || '.gpkg' as file_name, count(*) features"
+        " from supplier group by 1 union all select 'broken.gpkg', null",
         "q_infer_schema": "select f.file_name, t.pos, t.name, t.spark_type from (select distinct c_mktsegment || '_' ||"
         " (c_custkey // 3000) || '.shp' as file_name from customer) f, (values (0, 'id', 'bigint'),"
         " (1, 'category', 'string')) t(pos, name, spark_type)",

@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from featureframe.operators.schema import conform, layer_schema
-from featureframe.plans.catalog import LayerIdentifier, select_layer
+from featureframe.plans.catalog import LayerIdentifier
 from featureframe.plans.chunks import id_ranges, place_by_size, place_evenly
 from featureframe.session import active_session, settle
 from featureframe.sources import geojson, gml
 from featureframe.sources.archive import unpack_archives
 from featureframe.sources.listing import Sources, find_sources, summarise
-from featureframe.sources.tasks import CATALOG_SCHEMA, describe_sources, read_ranges
+from featureframe.sources.tasks import (
+    CATALOG_SCHEMA,
+    describe_attributes,
+    describe_layer,
+    describe_sources,
+    read_ranges,
+)
 from featureframe.types import OGR_TO_SPARK, ConcurrencyStrategy
 
 TEXT_SOURCES = {"geojson": geojson, "gml": gml}
@@ -77,7 +83,7 @@ def read_vector_files(
     binary_kinds = sources.kinds - TEXT_SOURCES.keys()
     catalog = None
     if binary_kinds and strategy is ConcurrencyStrategy.ROWS:
-        catalog = settle(describe_sources(_binary(sources.names()), ideal_chunk_size))
+        catalog = settle(describe_layer(_binary(sources.names()), layer_identifier, ideal_chunk_size))
 
     inferred = schema is None
     if schema is None:
@@ -141,7 +147,7 @@ def _plan_ranges(
     With a catalog all sources are split; without one, only those above ``WHOLE_FILE_BYTES``.
     """
     if catalog is not None:
-        return [_split_ranges(catalog, size, layer_identifier)]
+        return [place_evenly(id_ranges(catalog.filter("error is null"), size))]
     rows = _binary(sources.rows)
     small = rows.filter(F.col("length") <= WHOLE_FILE_BYTES)
     # the listing's partitions already hold files packed by size; other rows are dealt out
@@ -156,15 +162,12 @@ def _plan_ranges(
         )
     ]
     if sources.largest_bytes > WHOLE_FILE_BYTES:
-        large = settle(describe_sources(_binary(sources.names()).filter(F.col("length") > WHOLE_FILE_BYTES), size))
-        placed.append(_split_ranges(large, size, layer_identifier))
+        large = _binary(sources.names()).filter(F.col("length") > WHOLE_FILE_BYTES)
+        described = settle(describe_layer(large, layer_identifier, size))
+        placed.append(place_evenly(id_ranges(described.filter("error is null"), size)))
     return placed
 
 
-def _split_ranges(catalog: DataFrame, size: int, layer_identifier: LayerIdentifier) -> DataFrame:
-    return place_evenly(id_ranges(select_layer(catalog, layer_identifier), size))
-
-
 def _first_attributes(sources: Sources, catalog: DataFrame | None, layer_identifier: LayerIdentifier) -> list:
     """Attributes of the layer in the first file by path that can be opened and has it."""
     if sources.first:
@@ -184,8 +187,8 @@ def _first_layer_with(
 ) -> list | None:
     options = []
     if kinds - TEXT_SOURCES.keys():
-        described = catalog if catalog is not None else describe_sources(_binary(sources))
-        layers = select_layer(described, layer_identifier).filter("error is null")
+        described = catalog if catalog is not None else describe_attributes(_binary(sources), layer_identifier)
+        layers = described.filter("error is null")
         options += layers.orderBy("path").select("path", "attributes").limit(1).collect()
     for kind in kinds & TEXT_SOURCES.keys():
         probed = _probe_text(sources, kind, layer_identifier).filter("error is null")

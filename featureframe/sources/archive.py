@@ -15,14 +15,16 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from pathlib import PurePosixPath
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from featureframe.session import metadata_tasks, new_shared_folder, settle
-from featureframe.sources.layers import open_binary
+from featureframe.sources.layers import filesystem_of, list_folder, open_binary
 from featureframe.sources.listing import SOURCE_BY_EXTENSION
 
 MEMBER_SCHEMA = StructType(
@@ -34,7 +36,8 @@ MEMBER_SCHEMA = StructType(
         StructField("error", StringType()),
     ]
 )
-_UNREADABLE = (OSError, EOFError, tarfile.TarError, zipfile.BadZipFile, zlib.error)
+# what a damaged archive raises; other input errors fail the task
+_UNREADABLE = (EOFError, gzip.BadGzipFile, tarfile.TarError, zipfile.BadZipFile, zlib.error)
 _COPY_BYTES = 1 << 20
 
 
@@ -65,18 +68,23 @@ def unpack_archives(paths: DataFrame, prefix: str, count: int) -> DataFrame:
 
 
 def _unpack_one(path: str, kind: str, folder: str) -> list[tuple]:
-    attempt = f"{folder}.{uuid.uuid4().hex}"
-    os.makedirs(attempt)
+    filesystem, final = filesystem_of(folder)
+    attempt = f"{final}.{uuid.uuid4().hex}"
+    filesystem.create_dir(attempt)
     try:
         for name, stream in _members(path, kind):
-            with open(os.path.join(attempt, os.path.basename(name)), "wb") as target:
+            # subfolders stay, so members of one name in two folders do; nothing leaves the attempt's folder
+            parts = [part for part in PurePosixPath(name).parts if part not in ("/", "..")]
+            filesystem.create_dir("/".join([attempt, *parts[:-1]]))
+            with filesystem.open_output_stream("/".join([attempt, *parts])) as target:
                 shutil.copyfileobj(stream, target, _COPY_BYTES)
     except _UNREADABLE as error:
         return [(path, 0, None, path, str(error))]
     try:
-        os.rename(attempt, folder)
+        filesystem.move(attempt, final)
     except OSError:
-        if not os.path.isdir(folder):  # no other attempt of this task got there first
+        # another attempt of this task may have got there first
+        if filesystem.get_file_info(final).type != pafs.FileType.Directory:
             raise
     return _sources(path, folder)
 
@@ -98,18 +106,17 @@ def _members(path: str, kind: str) -> Iterator[tuple[str, object]]:
 
 
 def _sources(archive: str, folder: str) -> list[tuple]:
-    """A folder with shapefiles is one source, every other vector file its own."""
-    rows, shapefile_bytes = [], 0
-    for name in sorted(os.listdir(folder)):
-        member = os.path.join(folder, name)
-        source = SOURCE_BY_EXTENSION.get(name.rsplit(".", 1)[-1].lower())
-        size = os.path.getsize(member)
+    """Every folder with shapefiles is one source, every other vector file its own."""
+    rows: list[tuple] = []
+    shapefile_bytes: dict[str, int] = {}
+    for member, size in list_folder(folder, recursive=True):
+        source = SOURCE_BY_EXTENSION.get(member.rsplit(".", 1)[-1].lower())
         if source == "shapefile":
-            shapefile_bytes += size
+            parent = member.rsplit("/", 1)[0]
+            shapefile_bytes[parent] = shapefile_bytes.get(parent, 0) + size
         elif source:
             rows.append((member, size, source, archive, None))
-    if shapefile_bytes:
-        rows.insert(0, (folder, shapefile_bytes, "shapefile", archive, None))
+    rows += [(parent, size, "shapefile", archive, None) for parent, size in shapefile_bytes.items()]
     return rows or [(archive, 0, None, archive, "The archive holds no vector file.")]
 
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from typing import NamedTuple
+from dataclasses import dataclass
+from typing import BinaryIO, NamedTuple
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -35,7 +35,6 @@ class Layer:
     attributes: list[Attribute]
     first_id: int | None = None
     last_id: int | None = None
-    details: dict = field(default_factory=dict)
 
 
 class Rows(NamedTuple):
@@ -49,21 +48,22 @@ class Rows(NamedTuple):
 RowBatches = Iterator[Rows]
 
 
-def open_binary(path: str):
+def filesystem_of(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a mounted path or a URI, and the path's name in it."""
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
+def open_binary(path: str) -> BinaryIO:
     """A seekable file for a mounted path or a URI."""
     if "://" not in path:
         return open(path, "rb")
-    filesystem, name = pafs.FileSystem.from_uri(path)
+    filesystem, name = filesystem_of(path)
     return filesystem.open_input_file(name)
 
 
-def list_folder(path: str) -> list[str]:
-    """Full paths of the files directly in a folder, sorted."""
-    if "://" in path:
-        filesystem, name = pafs.FileSystem.from_uri(path)
-        scheme = path.split("://")[0]
-    else:
-        filesystem, name, scheme = pafs.LocalFileSystem(), path, None
-    entries = filesystem.get_file_info(pafs.FileSelector(name))
-    files = sorted(entry.path for entry in entries if entry.type == pafs.FileType.File)
-    return [f"{scheme}://{file}" if scheme else file for file in files]
+def list_folder(path: str, recursive: bool = False) -> list[tuple[str, int]]:
+    """Full paths and sizes of the files in a folder, sorted by path."""
+    filesystem, name = filesystem_of(path.rstrip("/"))
+    entries = filesystem.get_file_info(pafs.FileSelector(name, recursive=recursive))
+    files = [entry for entry in entries if entry.type == pafs.FileType.File]
+    return sorted((path.rstrip("/") + entry.path[len(name) :], entry.size) for entry in files)

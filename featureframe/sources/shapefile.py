@@ -90,7 +90,7 @@ def _members(path: str) -> list[str]:
         return [path]
     if path.lower().endswith(".dbf"):  # beside a .shp it is no source of its own
         return [] if _sibling(path, ".shp") else [path]
-    files = list_folder(path)
+    files = [file for file, _ in list_folder(path)]
     shapes = [f for f in files if f.lower().endswith(".shp")]
     stems = {_stem(f) for f in shapes}
     tables = [f for f in files if f.lower().endswith(".dbf") and _stem(f) not in stems]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import sqlite3
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from types import ModuleType
 
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql.types import (
 from featureframe.operators.fit import fit
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources import geopackage, shapefile
-from featureframe.sources.layers import Attribute, Rows
+from featureframe.sources.layers import Attribute, Layer, Rows
 
 RANGE_READERS: dict[str, ModuleType] = {"geopackage": geopackage, "shapefile": shapefile}
 # SQLite result codes of a file that is absent, damaged or no database
@@ -80,51 +80,77 @@ def resolve_layer(names: list[str], identifier: LayerIdentifier) -> str:
 
 
 def describe_sources(sources: DataFrame, range_rows: int | None = None) -> DataFrame:
-    """One catalog row per layer of every source; one row with an error per unreadable source.
+    """One catalog row per layer of every source; one row with an error per unreadable source."""
 
-    With ``range_rows``, layers with sparse ids also get the ids their ranges start at.
+    def find(path: str, reader: ModuleType) -> list[dict]:
+        names = enumerate(reader.layer_names(path))
+        return [_layer_row(path, index, reader.describe(path, name), range_rows) for index, name in names]
+
+    return _catalog(sources, find)
+
+
+def describe_layer(sources: DataFrame, layer_identifier: LayerIdentifier, range_rows: int) -> DataFrame:
+    """One catalog row per source for the layer to read, without a look at the others.
+
+    Layers with sparse ids get the ids that ranges of ``range_rows`` rows start at.
     """
+
+    def find(path: str, reader: ModuleType) -> list[dict]:
+        names = reader.layer_names(path)
+        name = resolve_layer(names, layer_identifier)
+        return [_layer_row(path, names.index(name), reader.describe(path, name), range_rows)]
+
+    return _catalog(sources, find)
+
+
+def describe_attributes(sources: DataFrame, layer_identifier: LayerIdentifier) -> DataFrame:
+    """As :func:`describe_layer` with the attributes only, which needs no count of features."""
+
+    def find(path: str, reader: ModuleType) -> list[dict]:
+        name = resolve_layer(reader.layer_names(path), layer_identifier)
+        return [{"layer_name": name, "attributes": [a._asdict() for a in reader.attributes(path, name)]}]
+
+    return _catalog(sources, find)
+
+
+def _layer_row(path: str, index: int, layer: Layer, range_rows: int | None) -> dict:
+    starts = None
+    if range_rows and geopackage.is_sparse(layer.feature_count, layer.first_id, layer.last_id):
+        starts = geopackage.range_starts(path, layer.name, range_rows)
+    return {
+        "layer_index": index,
+        "layer_name": layer.name,
+        "feature_count": layer.feature_count,
+        "first_id": layer.first_id,
+        "last_id": layer.last_id,
+        "range_starts": starts,
+        "attributes": [attribute._asdict() for attribute in layer.attributes],
+    }
+
+
+def _catalog(sources: DataFrame, find: Callable[[str, ModuleType], list[dict]]) -> DataFrame:
     arrow_schema = to_arrow_schema(CATALOG_SCHEMA)
 
+    def rows(path: str, source: str | None) -> list[dict]:
+        reader = RANGE_READERS.get(source)
+        if reader is None:
+            return [{"error": "No source reads this file."}]
+        try:
+            return find(path, reader)
+        except Exception as error:
+            if not_vector_data(error):
+                return [{"error": str(error) or type(error).__name__}]
+            raise
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, source in zip(batch["path"].to_pylist(), batch["source"].to_pylist()):
-                yield pa.RecordBatch.from_pylist(_catalog_rows(path, source, range_rows), arrow_schema)
+                found = [{"path": path, "source": source, **row} for row in rows(path, source)]
+                yield pa.RecordBatch.from_pylist(found, arrow_schema)
 
     return sources.select("path", "source").mapInArrow(describe, CATALOG_SCHEMA)
 
 
-def _catalog_rows(path: str, source: str | None, range_rows: int | None) -> list[dict]:
-    reader = RANGE_READERS.get(source)
-    if reader is None:
-        return [{"path": path, "source": source, "error": "No source reads this file."}]
-    try:
-        found = [reader.describe(path, name) for name in reader.layer_names(path)]
-    except Exception as error:
-        if not_vector_data(error):
-            return [{"path": path, "source": source, "error": str(error) or type(error).__name__}]
-        raise
-    rows = []
-    for index, layer in enumerate(found):
-        starts = None
-        if range_rows and geopackage.is_sparse(layer.feature_count, layer.first_id, layer.last_id):
-            starts = geopackage.range_starts(path, layer.name, range_rows)
-        rows.append(
-            {
-                "path": path,
-                "source": source,
-                "layer_index": index,
-                "layer_name": layer.name,
-                "feature_count": layer.feature_count,
-                "first_id": layer.first_id,
-                "last_id": layer.last_id,
-                "range_starts": starts,
-                "attributes": [attribute._asdict() for attribute in layer.attributes],
-            }
-        )
-    return rows
-
-
 def read_ranges(
     ranges: DataFrame,
     schema: StructType,

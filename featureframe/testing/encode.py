@@ -67,6 +67,8 @@ def write_vector_files(df: DataFrame, root: str, kind: str) -> str:
     """Write every file below ``root``; returns ``root``. Runs at once."""
     attributes = [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name not in PLACING]
     write = WRITERS[kind]
+    if "://" in root:
+        raise ValueError(f"Vector files are written to mounted paths only, not to {root}.")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in batch.to_pylist())

@@ -28,6 +28,15 @@ def test_zip(spark, tmp_path, strategy):
     assert collected(df) == expected(FIRST + SECOND)
 
 
+def test_members_of_one_name_in_two_folders(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        for folder, rows in (("x/", FIRST), ("x/../y/", SECOND)):
+            for extension, data in shapefile_parts(rows, ATTRIBUTES).items():
+                archive.writestr(f"{folder}a{extension}", data)
+    df = read_vector_files(str(tmp_path), suffix="zip", vsi_prefix="/vsizip/", spark=spark)
+    assert collected(df) == expected(FIRST + SECOND)
+
+
 def test_gzipped_geopackage(spark, tmp_path):
     path = write_layers(str(tmp_path / "plain" / "a.gpkg"), {"first": FIRST})
     os.makedirs(tmp_path / "packed")
