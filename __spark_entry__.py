@@ -161,18 +161,18 @@ def _supplier_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
-    """Customer files ``(id, category)`` beside files that have a balance too, as text."""
+    """Files ``(id, category)`` beside files of customers in debt, with their balance and the id as text."""
 
     def write(folder: str) -> None:
         customers = _customers(spark, sf_dir)
         name = F.concat(F.lit("a_"), _part("id", PART_ROWS), F.lit(".gpkg"))
         layer = F.lit("points")
-        even = customers.filter("id % 2 = 0").withColumn("layer", layer).withColumn("file", name)
-        write_vector_files(even, folder, "geopackage")
+        owed = customers.filter("x >= 0").withColumn("layer", layer).withColumn("file", name)
+        write_vector_files(owed, folder, "geopackage")
         name = F.concat(F.lit("b_"), _part("id", PART_ROWS), F.lit(".gpkg"))
-        odd = customers.filter("id % 2 = 1").withColumn("layer", layer).withColumn("file", name)
-        odd = odd.withColumn("id", F.col("id").cast("string")).withColumn("balance", F.col("x"))
-        write_vector_files(odd, folder, "geopackage")
+        owing = customers.filter("x < 0").withColumn("layer", layer).withColumn("file", name)
+        owing = owing.withColumn("id", F.col("id").cast("string")).withColumn("balance", F.col("x"))
+        write_vector_files(owing, folder, "geopackage")
 
     return _once(spark, sf_dir, "customer-mixed", write)
 
@@ -584,7 +584,7 @@ def oracle_sql() -> dict[str, str]:
         "q_drop_additional": "select c_custkey id, c_mktsegment category from customer",
         "q_union_files": "select c_custkey id, c_name category, c_acctbal bal from customer"
         " union all select s_suppkey, s_name, cast(null as double) from supplier",
-        "q_coerce_files": "select c_custkey id, c_name category, case when c_custkey % 2 = 1 then c_acctbal end balance,"
+        "q_coerce_files": "select c_custkey id, c_name category, case when c_acctbal < 0 then c_acctbal end balance,"
         " null::boolean flag from customer",
         "q_user_schema": "select o_orderkey id, o_orderpriority category from orders",
         "q_read_gpkg": "select o_orderkey feature_id, o_orderkey id, o_orderpriority category, 27700 srs_id,"

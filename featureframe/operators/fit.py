@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import decimal
 
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_FAILED = (pa.ArrowInvalid, pa.ArrowTypeError, pa.ArrowNotImplementedError, OverflowError, TypeError, ValueError)
+_FAILED = (pa.ArrowInvalid, pa.ArrowTypeError, pa.ArrowNotImplementedError, OverflowError, TypeError, ValueError, decimal.InvalidOperation)
 
 
 def fit(values: pa.Array | list, target: pa.DataType) -> pa.Array:
@@ -44,6 +45,11 @@ def _as(value: object, target: pa.DataType) -> object:
         return float(value)
     if pa.types.is_date(target):
         return datetime.date.fromisoformat(str(value).replace("/", "-")[:10])
+    if pa.types.is_timestamp(target):
+        moment = datetime.datetime.fromisoformat(str(value).replace("/", "-"))
+        return moment if moment.tzinfo or not target.tz else moment.replace(tzinfo=datetime.timezone.utc)
+    if pa.types.is_decimal(target):
+        return decimal.Decimal(str(value)).quantize(decimal.Decimal(1).scaleb(-target.scale))
     if pa.types.is_string(target):
         return str(value).lower() if isinstance(value, bool) else str(value)
     if pa.types.is_binary(target) and isinstance(value, str):

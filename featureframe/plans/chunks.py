@@ -47,9 +47,10 @@ def chunk_table(layers: DataFrame, size: int, keys: list[str], count: str = "fea
 
 
 def with_dense_id(settled: DataFrame, name: str) -> DataFrame:
-    """Number the rows of a settled DataFrame from 0, in the order they lie in.
+    """Number the rows of a DataFrame from 0, in the order they lie in.
 
-    Every partition numbers its own rows; how many rows the partitions before it
+    It must be settled, or come from a settled one by row-wise steps, so that rows
+    keep their partitions and places. Every partition numbers its own rows; how many rows the partitions before it
     hold (one row per partition) is added.
     """
     # the lower 33 bits of this id are the row's place in its partition
@@ -86,9 +87,11 @@ def id_ranges(catalog: DataFrame, size: int) -> DataFrame:
 
 def place_evenly(ranges: DataFrame) -> DataFrame:
     """One partition per range: hashing as many keys into as many partitions would
-    leave some with several and many with none."""
-    settled = settle(ranges)
-    return _deal(settled, max(settled.count(), 1))
+    leave some with several and many with none.
+
+    The ranges must come from a settled catalog by row-wise steps.
+    """
+    return _deal(ranges, max(ranges.count(), 1))
 
 
 def place_by_size(sources: DataFrame, total_bytes: int, count: int) -> DataFrame:

@@ -114,7 +114,7 @@ def read_vector_files(
 def _sources(
     path: str, pattern: str, suffix: str, recursive: bool, vsi_prefix: str | None, session: SparkSession
 ) -> Sources:
-    found = find_sources(path, pattern, suffix, recursive, session)
+    found = find_sources(path, pattern, suffix, recursive, session, folders=not vsi_prefix)
     return summarise(unpack_archives(found.rows, vsi_prefix, found.count), packed=False) if vsi_prefix else found
 
 
@@ -170,7 +170,11 @@ def _plan_ranges(
 
 def _first_attributes(sources: Sources, catalog: DataFrame | None, layer_identifier: LayerIdentifier) -> list:
     """Attributes of the layer in the first file by path that can be opened and has it."""
-    if sources.first:
+    if catalog is not None and not sources.kinds & TEXT_SOURCES.keys():
+        found = _first_layer_with(sources.names(), sources.kinds, catalog, layer_identifier)
+        if found is not None:
+            return found
+    elif sources.first:
         session = sources.rows.sparkSession
         first = session.createDataFrame([sources.first], "path string, source string")
         found = _first_layer_with(first, {sources.first[1]}, None, layer_identifier)

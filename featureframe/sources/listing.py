@@ -155,16 +155,18 @@ def find_sources(
     suffix: str = "*",
     recursive: bool = False,
     spark: SparkSession | None = None,
+    folders: bool = True,
 ) -> Sources:
-    """Every file and shapefile folder that matches ``{pattern}.{suffix}``."""
+    """Every file, and unless told otherwise shapefile folder, that matches ``{pattern}.{suffix}``."""
     arguments = (path, pattern, suffix, recursive, spark)
     files = summarise(list_files(*arguments).withColumn("source", source_of(F.col("path"))), packed=True)
-    if suffix.strip(".").lower() not in SOURCE_BY_EXTENSION:
+    if folders and suffix.strip(".").lower() not in SOURCE_BY_EXTENSION:
         # grouping members into folders is a shuffle, so it is done once
-        folders = summarise(settle(list_folders(*arguments).withColumn("source", F.lit("shapefile"))), packed=False)
-        if folders.count and files.count:
-            return summarise(files.rows.unionByName(folders.rows), packed=False)
-        files = folders if folders.count else files
+        grouped = settle(list_folders(*arguments).withColumn("source", F.lit("shapefile")))
+        found = summarise(grouped, packed=False)
+        if found.count and files.count:
+            return summarise(files.rows.unionByName(grouped), packed=False)
+        files = found if found.count else files
     if not files.count:
         raise FileNotFoundError(
             f"Nothing matches {path=}, {pattern=}, {suffix=}, {recursive=}."

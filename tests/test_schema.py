@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import decimal
 
 import pyarrow as pa
 import pytest
@@ -100,6 +101,12 @@ def test_union_of_differing_frames(spark):
         ([2**40, 1], pa.int32(), [None, 1]),
         (pa.array([1, 2]), pa.string(), ["1", "2"]),
         (["2020-01-31", "2020/02/01", "junk"], pa.date32(), [datetime.date(2020, 1, 31), datetime.date(2020, 2, 1), None]),
+        (
+            ["2020/01/31 12:34:56+01", "2020-01-31T12:34:56", "junk"],
+            pa.timestamp("us", "UTC"),
+            [datetime.datetime(2020, 1, 31, h, 34, 56, tzinfo=datetime.timezone.utc) for h in (11, 12)] + [None],
+        ),
+        ([1.256, "2", "x"], pa.decimal128(10, 2), [decimal.Decimal("1.26"), decimal.Decimal("2.00"), None]),
         ([1, 2.5, "3"], pa.float64(), [1.0, 2.5, 3.0]),
         ([1, "a", b"b", None], pa.string(), ["1", "a", "b", None]),
         (pa.nulls(2), pa.int64(), [None, None]),
