@@ -104,9 +104,11 @@ def _layered_customer_files(spark: SparkSession, sf_dir: str) -> str:
             customer.groupBy("file", "c_mktsegment")
             .agg(F.min("c_nationkey").alias("n_nationkey"))
             .join(_table(spark, sf_dir, "nation"), "n_nationkey")
-            .select("file", F.col("c_mktsegment").alias("layer"), F.col("n_nationkey").alias("srs_id"), F.col("n_name").alias("definition"))
+            .withColumnsRenamed({"c_mktsegment": "layer", "n_nationkey": "srs_id", "n_name": "definition"})
+            .select("file", "layer", "srs_id", "definition")
         )
-        rows = _customers(spark, sf_dir).withColumn("file", F.concat(F.lit("part_"), _part("id", PART_ROWS), F.lit(".gpkg")))
+        name = F.concat(F.lit("part_"), _part("id", PART_ROWS), F.lit(".gpkg"))
+        rows = _customers(spark, sf_dir).withColumn("file", name)
         write_vector_files(rows.join(systems, ["file", "layer"]), folder, "geopackage")
 
     return _once(spark, sf_dir, "customer-layered", write)

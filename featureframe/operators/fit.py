@@ -8,13 +8,15 @@ import decimal
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_FAILED = (pa.ArrowInvalid, pa.ArrowTypeError, pa.ArrowNotImplementedError, OverflowError, TypeError, ValueError, decimal.InvalidOperation)
+_FAILED = (pa.ArrowException, OverflowError, TypeError, ValueError, decimal.InvalidOperation)
 
 
 def fit(values: pa.Array | list, target: pa.DataType) -> pa.Array:
     """``values`` as ``target``; what cannot be converted becomes null."""
     try:
-        array = pa.array(values, None if pa.types.is_boolean(target) else target) if isinstance(values, list) else values
+        array = values
+        if isinstance(values, list):
+            array = pa.array(values, None if pa.types.is_boolean(target) else target)
         if array.type == target:
             return array
         if pa.types.is_floating(array.type) and pa.types.is_integer(target):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
@@ -46,12 +46,12 @@ def drop_additional_columns(df: DataFrame, schema: StructType) -> DataFrame:
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the schema's fields, in its order and types; impossible casts give null."""
-    present = set(df.columns)
-    columns = [
-        (F.col(f"`{field.name}`").try_cast(field.dataType) if field.name in present else F.lit(None).cast(field.dataType)).alias(field.name)
-        for field in schema.fields
-    ]
-    return df.select(*columns)
+
+    def column(field: StructField) -> Column:
+        found = F.col(f"`{field.name}`") if field.name in df.columns else F.lit(None)
+        return found.try_cast(field.dataType).alias(field.name)
+
+    return df.select(*[column(field) for field in schema.fields])
 
 
 def union_conformed(frames: Iterable[DataFrame], schema: StructType) -> DataFrame:

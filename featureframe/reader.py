@@ -102,10 +102,10 @@ def read_vector_files(
                 allow_additional=coerce_to_schema or not inferred,
                 mode=mode,
             )
-            for ranges in _plan_ranges(sources, catalog, ideal_chunk_size, layer_identifier)
+            for ranges in _plan_ranges(sources, catalog, ideal_chunk_size, layer_identifier, mode)
         ]
     for kind in sorted(sources.kinds & TEXT_SOURCES.keys()):
-        records = _text_features(sources.names(), kind, layer_identifier)
+        records = _text_features(sources.names(), kind, layer_identifier, mode)
         if records is not None:
             frames.append(TEXT_SOURCES[kind].read(records, schema, geom_field_name))
     return reduce(DataFrame.union, frames) if frames else session.createDataFrame([], schema)
@@ -140,14 +140,14 @@ def describe_layers(
 
 
 def _plan_ranges(
-    sources: Sources, catalog: DataFrame | None, size: int, layer_identifier: LayerIdentifier
+    sources: Sources, catalog: DataFrame | None, size: int, layer_identifier: LayerIdentifier, mode: str
 ) -> list[DataFrame]:
     """Ranges ``(path, source, layer_name, start, stop)`` to read, placed in partitions.
 
     With a catalog all sources are split; without one, only those above ``WHOLE_FILE_BYTES``.
     """
     if catalog is not None:
-        return [place_evenly(id_ranges(catalog.filter("error is null"), size))]
+        return [place_evenly(id_ranges(_readable(catalog, mode), size))]
     rows = _binary(sources.rows)
     small = rows.filter(F.col("length") <= WHOLE_FILE_BYTES)
     # the listing's partitions already hold files packed by size; other rows are dealt out
@@ -164,10 +164,19 @@ def _plan_ranges(
     if sources.largest_bytes > WHOLE_FILE_BYTES:
         large = _binary(sources.names()).filter(F.col("length") > WHOLE_FILE_BYTES)
         described = settle(describe_layer(large, layer_identifier, size))
-        placed.append(place_evenly(id_ranges(described.filter("error is null"), size)))
+        placed.append(place_evenly(id_ranges(_readable(described, mode), size)))
     return placed
 
 
+def _readable(settled: DataFrame, mode: str) -> DataFrame:
+    """Rows of files that could be opened; with ``FAILFAST`` any other is an error."""
+    if mode == "FAILFAST":
+        failed = settled.filter("error is not null").select("path", "error").first()
+        if failed is not None:
+            raise ValueError(f"{failed['path']} cannot be read: {failed['error']}")
+    return settled.filter("error is null")
+
+
 def _first_attributes(sources: Sources, catalog: DataFrame | None, layer_identifier: LayerIdentifier) -> list:
     """Attributes of the layer in the first file by path that can be opened and has it."""
     if catalog is not None and not sources.kinds & TEXT_SOURCES.keys():
@@ -218,8 +227,11 @@ def _probe_text(sources: DataFrame, kind: str, layer_identifier: LayerIdentifier
     return probed if not layer_identifier else probed.filter("false")
 
 
-def _text_features(sources: DataFrame, kind: str, layer_identifier: LayerIdentifier) -> DataFrame | None:
-    return TEXT_SOURCES[kind].features(settle(_probe_text(sources, kind, layer_identifier)))
+def _text_features(
+    sources: DataFrame, kind: str, layer_identifier: LayerIdentifier, mode: str = "PERMISSIVE"
+) -> DataFrame | None:
+    probed = settle(_probe_text(sources, kind, layer_identifier))
+    return TEXT_SOURCES[kind].features(_readable(probed, mode))
 
 
 def _describe_text(sources: DataFrame, kind: str) -> DataFrame:

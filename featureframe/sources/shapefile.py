@@ -32,10 +32,22 @@ from featureframe.sources.layers import (
 # The shapefile format
 SHP_HEADER = 100
 SHX_RECORD = 8
-POINT_TYPES, LINE_TYPES, POLYGON_TYPES, MULTIPOINT_TYPES = (1, 11, 21), (3, 13, 23), (5, 15, 25), (8, 18, 28)
+POINT_TYPES = (1, 11, 21)
+LINE_TYPES = (3, 13, 23)
+POLYGON_TYPES = (5, 15, 25)
+MULTIPOINT_TYPES = (8, 18, 28)
 NO_DATA = -1e38
 # Fixed values: .dbf language driver ids -> codec
-LANGUAGE_CODECS = {1: "cp437", 2: "cp850", 3: "cp1252", 87: "cp1252", 100: "cp852", 101: "cp866", 200: "cp1250", 201: "cp1251"}
+LANGUAGE_CODECS = {
+    1: "cp437",
+    2: "cp850",
+    3: "cp1252",
+    87: "cp1252",
+    100: "cp852",
+    101: "cp866",
+    200: "cp1250",
+    201: "cp1251",
+}
 
 
 def layer_names(path: str) -> list[str]:

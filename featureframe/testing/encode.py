@@ -30,7 +30,14 @@ from featureframe.functions.wkb import encode_points
 
 PLACING = ("file", "layer", "fid", "x", "y", "srs_id", "definition")
 SRS_ID = 27700
-_SQLITE = {"bigint": "INTEGER", "int": "MEDIUMINT", "double": "DOUBLE", "string": "TEXT", "boolean": "BOOLEAN", "date": "DATE"}
+_SQLITE = {
+    "bigint": "INTEGER",
+    "int": "MEDIUMINT",
+    "double": "DOUBLE",
+    "string": "TEXT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
 
 
 def gpb_point(x: float, y: float, srs_id: int = SRS_ID, code: int = 1, little: bool = True) -> bytes:
@@ -155,7 +162,13 @@ def shape_parts(shapes: list[bytes], shape_type: int) -> dict[str, bytes]:
     return {".shp": header(100 + len(records)) + records, ".shx": header(100 + len(index)) + index}
 
 
-_DBF = {"bigint": (b"N", 18, 0), "int": (b"N", 9, 0), "double": (b"N", 24, 15), "string": (b"C", 80, 0), "date": (b"D", 8, 0)}
+_DBF = {
+    "bigint": (b"N", 18, 0),
+    "int": (b"N", 9, 0),
+    "double": (b"N", 24, 15),
+    "string": (b"C", 80, 0),
+    "date": (b"D", 8, 0),
+}
 
 
 def table_part(rows: list[dict], attributes: list[tuple[str, str]], deleted: set[int] = frozenset()) -> bytes:
@@ -232,7 +245,8 @@ def write_geojson(target: str, rows: list[dict], attributes: list[tuple[str, str
 
 
 def write_gml(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
-    lines = ['<?xml version="1.0" encoding="utf-8" ?>', '<ogr:FeatureCollection xmlns:ogr="http://ogr.maptools.org/" xmlns:gml="http://www.opengis.net/gml">']
+    namespaces = 'xmlns:ogr="http://ogr.maptools.org/" xmlns:gml="http://www.opengis.net/gml"'
+    lines = ['<?xml version="1.0" encoding="utf-8" ?>', f"<ogr:FeatureCollection {namespaces}>"]
     for row in rows:
         layer = row["layer"]
         values = "".join(f"<ogr:{n}>{escape(str(row[n]))}</ogr:{n}>" for n, _ in attributes if row[n] is not None)
