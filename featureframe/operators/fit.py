@@ -16,7 +16,11 @@ def fit(values: pa.Array | list, target: pa.DataType) -> pa.Array:
     try:
         array = values
         if isinstance(values, list):
-            array = pa.array(values, None if pa.types.is_boolean(target) else target)
+            # dates are read from text only: Arrow would take numbers as days since 1970
+            direct = pa.string() if pa.types.is_temporal(target) else None if pa.types.is_boolean(target) else target
+            array = pa.array(values, direct)
+        if pa.types.is_date(target) and pa.types.is_string(array.type):
+            array = pc.replace_substring(array, "/", "-")
         if array.type == target:
             return array
         if pa.types.is_floating(array.type) and pa.types.is_integer(target):

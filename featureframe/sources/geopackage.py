@@ -91,10 +91,12 @@ def is_sparse(feature_count: int, first_id: int | None, last_id: int | None) ->
     return first_id is not None and last_id - first_id + 1 > SPARSE_FACTOR * max(feature_count, 1)
 
 
-def _geometry_columns(db: sqlite3.Connection, tables: set[str]) -> dict[str, str]:
-    if "gpkg_geometry_columns" not in tables:
-        return {}
-    return dict(db.execute("select table_name, column_name from gpkg_geometry_columns"))
+def _geometry_column(db: sqlite3.Connection, layer: str) -> str | None:
+    if "gpkg_geometry_columns" not in _tables(db):
+        return None
+    query = "select column_name from gpkg_geometry_columns where table_name = ?"
+    found = db.execute(query, (layer,)).fetchone()
+    return found[0] if found else None
 
 
 def _feature_count(db: sqlite3.Connection, table: str, tables: set[str]) -> int:
@@ -125,17 +127,19 @@ def layer_names(path: str) -> list[str]:
 def attributes(path: str, layer: str) -> list[Attribute]:
     """Attributes of a layer: every column but the feature id and the geometry."""
     with closing(connect(path)) as db:
-        hidden = {_geometry_columns(db, _tables(db)).get(layer)}
-        columns = declared_columns(db, layer)
-    hidden.add(_row_id_column(columns))
+        return _attributes(db, layer, _geometry_column(db, layer))
+
+
+def _attributes(db: sqlite3.Connection, layer: str, geometry: str | None) -> list[Attribute]:
+    columns = declared_columns(db, layer)
+    hidden = {geometry, _row_id_column(columns)}
     return [Attribute(name, *sqlite_ogr_type(declared)) for name, declared, _ in columns if name not in hidden]
 
 
 def describe(path: str, layer: str) -> Layer:
     with closing(connect(path)) as db:
-        count = _feature_count(db, layer, _tables(db))
-        bounds = id_bounds(db, layer)
-    return Layer(layer, count, attributes(path, layer), *bounds)
+        found = _attributes(db, layer, _geometry_column(db, layer))
+        return Layer(layer, _feature_count(db, layer, _tables(db)), found, *id_bounds(db, layer))
 
 
 def _row_id_column(columns: list[tuple[str, str, bool]]) -> str | None:
@@ -147,19 +151,25 @@ def _row_id_column(columns: list[tuple[str, str, bool]]) -> str | None:
 def fetch(
     path: str, table: str, columns: list[str], start: int | None, stop: int | None
 ) -> Iterator[tuple[int, list[list]]]:
-    """``(rows, values per column)`` for rowids in ``[start, stop)``."""
+    """``(rows, values per column)`` for rowids in ``[start, stop)``; text comes as bytes."""
+    with closing(connect(path)) as db:
+        yield from _fetch(db, table, columns, start, stop)
+
+
+def _fetch(
+    db: sqlite3.Connection, table: str, columns: list[str], start: int | None, stop: int | None
+) -> Iterator[tuple[int, list[list]]]:
     ranges = [("rowid >= ?", start), ("rowid < ?", stop)]
     where = " and ".join(text for text, value in ranges if value is not None)
     chosen = ", ".join(identifier(name) for name in columns) or "1"
     query = f"select {chosen} from {identifier(table)}" + (f" where {where}" if where else "")
-    with closing(connect(path)) as db:
-        db.text_factory = bytes  # Arrow decodes whole columns
-        cursor = db.execute(query, [value for _, value in ranges if value is not None])
-        size = _FIRST_ROWS
-        while rows := cursor.fetchmany(size):
-            values = [list(column) for column in zip(*rows)]
-            yield len(rows), values[: len(columns)]
-            size = _next_size(size, values)
+    db.text_factory = bytes  # Arrow decodes whole columns
+    cursor = db.execute(query, [value for _, value in ranges if value is not None])
+    size = _FIRST_ROWS
+    while rows := cursor.fetchmany(size):
+        values = [list(column) for column in zip(*rows)]
+        yield len(rows), values[: len(columns)]
+        size = _next_size(size, values)
 
 
 def _next_size(size: int, values: list[list]) -> int:
@@ -173,13 +183,13 @@ def _next_size(size: int, values: list[list]) -> int:
 def batches(path: str, layer: str, start: int | None, stop: int | None, columns: list[str] | None) -> RowBatches:
     """Rows of a layer with plain WKB geometry; ``columns`` limits what is read."""
     with closing(connect(path)) as db:
-        geometry = _geometry_columns(db, _tables(db)).get(layer)
-    wanted = [a for a in attributes(path, layer) if columns is None or a.name in columns]
-    names = [a.name for a in wanted] + ([geometry] if geometry else [])
-    for count, values in fetch(path, layer, names, start, stop):
-        shapes = pa.array([_wkb(blob) for blob in values[-1]], pa.binary()) if geometry else None
-        arrays = {a.name: _array(a, column) for a, column in zip(wanted, values)}
-        yield Rows(count, arrays, shapes)
+        geometry = _geometry_column(db, layer)
+        wanted = [a for a in _attributes(db, layer, geometry) if columns is None or a.name in columns]
+        names = [a.name for a in wanted] + ([geometry] if geometry else [])
+        for count, values in _fetch(db, layer, names, start, stop):
+            shapes = pa.array([_wkb(blob) for blob in values[-1]], pa.binary()) if geometry else None
+            arrays = {a.name: _array(a, column) for a, column in zip(wanted, values)}
+            yield Rows(count, arrays, shapes)
 
 
 def _wkb(blob: bytes | None) -> bytes | None:
