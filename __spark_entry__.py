@@ -7,6 +7,7 @@ folder with the operator under test and return the rows it gives.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -505,7 +506,7 @@ def _run(query: Callable[[SparkSession, str], DataFrame], spark: SparkSession, s
     return query(spark, sf_dir)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def _reader_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries by name."""
     return {name: partial(_run, query) for name, query in globals().items() if name.startswith("q_")}
 
@@ -538,7 +539,7 @@ _DECLARED_TYPES = (
 _PART_FILE = "'part_' || (c_custkey // 1000) || '.gpkg'"
 
 
-def oracle_sql() -> dict[str, str]:
+def _reader_sql() -> dict[str, str]:
     """DuckDB SQL for each query."""
     return {
         "q_list_files": "select distinct 'BUILDING_' || (c_custkey // 3000) || '.shp' as file_name"
@@ -605,3 +606,30 @@ def oracle_sql() -> dict[str, str]:
         "q_header_length": "select c_custkey, (case c_custkey % 5 when 0 then 8 when 1 then 40 when 4 then 72 else 56 end)"
         " header_len, 21 wkb_len from customer",
     }
+
+
+def _has_corpus_operators() -> bool:
+    """The corpus operators may have been taken out; the rest works without them."""
+    return all(importlib.util.find_spec(name) for name in ("featureframe.llm", "corpus_pipeline"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = _reader_queries()
+    if _has_corpus_operators():
+        import corpus_pipeline
+        from featureframe.llm.queries import QUERIES
+
+        found |= QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = _reader_sql()
+    if _has_corpus_operators():
+        import corpus_pipeline
+        from featureframe.llm.queries import ORACLE
+
+        found |= ORACLE
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
