@@ -8,13 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureframe.llm import byte_pairs, exact_dedup
+from featureframe.llm import byte_pairs, exact_dedup, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2
+    )
+    return token_files.read_documents(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +38,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": op1_token_files,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
