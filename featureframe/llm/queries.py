@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureframe.llm import byte_pairs, exact_dedup, packing, token_files
+from featureframe.llm import byte_pairs, exact_dedup, packing, substring_dedup, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_shared_passages(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, placed = packing.pack_documents(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2
@@ -48,6 +54,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_packing": op3_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
