@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureframe.llm import byte_pairs, exact_dedup, packing, substring_dedup, token_files
+from featureframe.llm import byte_pairs, exact_dedup, near_dedup, packing, substring_dedup, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.find_near_duplicates(_table(spark, sf_dir, "documents"), width=2)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_packing": op3_packing,
+    "op4_minhash": op4_minhash,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
