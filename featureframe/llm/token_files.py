@@ -60,22 +60,23 @@ class _SequenceWriter:
             self._flush(last=False)
 
     def _flush(self, last: bool) -> None:
+        """Write what is waiting; all batches but a file's last have the same number of sequences."""
         ids = np.frombuffer(b"".join(self._waiting), self._dtype)
-        whole = len(ids) // self._length * self._length
-        rest = ids[whole:]
-        mask = np.ones(whole, bool)
-        if last and len(rest):
-            fill = self._length - len(rest)
+        per_batch = SEQUENCES_PER_BATCH * self._length
+        given = len(ids)
+        if last:
+            fill = -given % self._length
             ids = np.concatenate([ids, np.full(fill, self._end_id, self._dtype)])
-            mask = np.concatenate([np.ones(whole + len(rest), bool), np.zeros(fill, bool)])
-            whole, rest = len(ids), rest[:0]
-        for first in range(0, whole, SEQUENCES_PER_BATCH * self._length):
-            part = slice(first, min(whole, first + SEQUENCES_PER_BATCH * self._length))
+        whole = len(ids) if last else given // per_batch * per_batch
+        for first in range(0, whole, per_batch):
+            part = ids[first : min(whole, first + per_batch)]
+            mask = np.arange(first, first + len(part)) < given
             columns = [
-                pa.FixedSizeListArray.from_arrays(pa.array(ids[part]), self._length),
-                pa.FixedSizeListArray.from_arrays(pa.array(mask[part]), self._length),
+                pa.FixedSizeListArray.from_arrays(pa.array(part), self._length),
+                pa.FixedSizeListArray.from_arrays(pa.array(mask), self._length),
             ]
             self._file.write_batch(pa.RecordBatch.from_arrays(columns, ["ids", "mask"]))
+        rest = ids[whole:]
         self._waiting = [rest.tobytes()] if len(rest) else []
         self._bytes = len(rest) * self._dtype.itemsize
 
@@ -171,6 +172,8 @@ class TokenShard:
         while count > 0:
             batch, at = divmod(start, per_batch)
             part = self.sequences(batch)[0].reshape(-1)[at : at + count]
+            if not len(part):
+                raise ValueError(f"the shard ends {count} ids before the span does")
             parts.append(part)
             start, count = start + len(part), count - len(part)
         return parts[0] if len(parts) == 1 else np.concatenate(parts)
