@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureframe.llm import byte_pairs, exact_dedup, near_dedup, packing, substring_dedup, token_files
+from featureframe.llm import byte_pairs, exact_dedup, near_dedup, nearest, packing, substring_dedup, token_files, toxicity
+from featureframe.llm.common import id_remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,16 +57,52 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_block_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+#: Documents whose id has this remainder are held out of training.
+_TOXIC_FOLDS, _TOXIC_HELD_OUT = 5, 0
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    remainder = id_remainder(_TOXIC_FOLDS)
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), learn=remainder != _TOXIC_HELD_OUT)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(remainder == _TOXIC_HELD_OUT, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_packing": op3_packing,
     "op4_minhash": op4_minhash,
+    "op5_block_join": op5_block_join,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_block_join": """
+        with vectors as (
+            select vec_id, embedding::double[] as v from embeddings
+            where len([x for x in embedding if x is null or not isfinite(x)]) = 0
+              and len([x for x in embedding if x <> 0]) > 0
+        ), ranked as (
+            select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.v, c.v) as score,
+                   row_number() over (partition by q.vec_id order by list_inner_product(q.v, c.v) desc, c.vec_id) as rank
+            from vectors q join vectors c on c.vec_id <> q.vec_id
+            where q.vec_id % 20 = 0
+        )
+        select query_id, cast(rank as int) as rank, vec_id, score from ranked where rank <= 20
+    """,
     "op6_exact_dedup": r"""
         with rows as (
             select doc_id, length(coalesce(text, '')) as points,
