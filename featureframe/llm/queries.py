@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureframe.llm import byte_pairs, exact_dedup, near_dedup, nearest, packing, substring_dedup, token_files, toxicity
+from featureframe.llm import byte_pairs, exact_dedup, language, near_dedup, nearest, packing, substring_dedup, token_files, toxicity
 from featureframe.llm.common import id_remainder
 
 
@@ -78,6 +78,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LANG_FOLDS, _LANG_HELD_OUT = 4, 2
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    remainder = id_remainder(_LANG_FOLDS)
+    model = language.train(docs, learn=remainder != _LANG_HELD_OUT)
+    return language.predict(docs, model).select(
+        "doc_id", F.coalesce(remainder == _LANG_HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_substring_dedup": op2_substring_dedup,
@@ -86,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_block_join": op5_block_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_toxicity": op7_toxicity,
+    "op9_language": op9_language,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
