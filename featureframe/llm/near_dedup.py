@@ -284,3 +284,12 @@ def find_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, mar
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component its smallest id.
+
+    Of rows that repeat an id all stay or none, so nothing unique is lost.
+    """
+    judged = find_near_duplicates(docs, width, percent).filter("kept").select(F.col("doc_id").alias("kept_id"))
+    return docs.join(judged.distinct(), docs["doc_id"].cast("long").eqNullSafe(F.col("kept_id")), "left_semi")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureframe.llm import byte_pairs, exact_dedup, language, near_dedup, nearest, packing, substring_dedup, token_files, toxicity
+from featureframe.llm import byte_pairs, exact_dedup, language, near_dedup, nearest, packing, personal_data, substring_dedup, token_files, toxicity
 from featureframe.llm.common import id_remainder
 
 
@@ -78,6 +78,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(_table(spark, sf_dir, "documents"))
+    rows = personal_data.described(found)
+    base = F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256")
+    return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, "spans")
+
+
 _LANG_FOLDS, _LANG_HELD_OUT = 4, 2
 
 
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_block_join": op5_block_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_personal_data": op8_personal_data,
     "op9_language": op9_language,
     "op10_byte_bpe": op10_byte_bpe,
 }

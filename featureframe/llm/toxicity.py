@@ -23,9 +23,11 @@ of both kinds every score is the share of toxic ones (0 without labels).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -207,6 +209,27 @@ def _logistic(x):
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
+class _Scorer:
+    """Scores texts one by one."""
+
+    def __init__(self, model: Model):
+        self._model = model
+        weights = model.weights
+        self._weight = _Remembering(lambda word: float(weights[_features(word)].sum())).__getitem__
+
+    def __call__(self, text: str) -> tuple[float, np.ndarray, list[tuple[int, int]]]:
+        """The document's score, and score and place of each sentence that has words."""
+        logits, places = [], []
+        for sentence in _SENTENCE.finditer(text.lower()):
+            found = _WORD.findall(sentence[0])
+            if found:
+                logits.append(self._model.bias + sum(map(self._weight, found)))
+                places.append(sentence.span())
+        clean = -np.logaddexp(0, logits) if logits else np.zeros(0)
+        whole = float(-np.expm1(clean.sum())) if self._model.constant is None else self._model.constant
+        return whole, -np.expm1(clean), places
+
+
 def score(docs: DataFrame, model: Model, worst: float = 0.5) -> DataFrame:
     """``doc_id, score, sentences``: the spans of sentences whose own probability reaches ``worst``."""
     spark = docs.sparkSession
@@ -214,22 +237,12 @@ def score(docs: DataFrame, model: Model, worst: float = 0.5) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        model = shared.value
-        weights = model.weights
-        known = _Remembering(lambda word: float(weights[_features(word)].sum()))
-        find = known.__getitem__
+        scorer = _Scorer(shared.value)
         for batch in batches:
             scores, spans = [], []
             for text in batch.column("text"):
-                logits, places = [], []
-                for sentence in _SENTENCE.finditer(text.as_py().lower()):
-                    found = _WORD.findall(sentence[0])
-                    if found:
-                        logits.append(model.bias + sum(map(find, found)))
-                        places.append(sentence.span())
-                clean = -np.logaddexp(0, logits) if logits else np.zeros(0)
-                scores.append(model.constant if model.constant is not None else float(-np.expm1(clean.sum())))
-                own = -np.expm1(clean)
+                whole, own, places = scorer(text.as_py())
+                scores.append(whole)
                 spans.append(
                     [{"start": places[at][0], "end": places[at][1], "score": float(own[at])} for at in np.flatnonzero(own >= worst)]
                 )
@@ -242,3 +255,17 @@ def score(docs: DataFrame, model: Model, worst: float = 0.5) -> DataFrame:
     return ids_and_texts(docs).mapInArrow(
         run, "doc_id long, score double, sentences array<struct<start:int,end:int,score:double>>"
     )
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = _Scorer(shared.value)
+        for texts in parts:
+            yield pd.Series([scorer(text)[0] for text in texts], dtype="float64")
+
+    return docs.filter(scored(F.coalesce(F.col("text").cast("string"), F.lit(""))) < threshold)
