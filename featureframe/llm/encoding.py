@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -98,3 +99,9 @@ class TextEncoder:
             mapped = piece.encode("utf-8").decode("latin-1").translate(letters)
             self._known[piece] = np.array([token.id for token in tokenize(mapped)], dtype).tobytes()
         return self._known
+
+
+@lru_cache(maxsize=2)
+def text_encoder(vocabulary: bytes) -> TextEncoder:
+    """One encoder for all tasks of a Python worker, with the pieces it remembers."""
+    return TextEncoder(vocabulary)

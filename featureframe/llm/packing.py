@@ -102,9 +102,9 @@ def cut_documents(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: i
     vocabulary = broadcast_file(spark, tokenizer_file)
 
     def run(batches):
-        from featureframe.llm.encoding import TextEncoder
+        from featureframe.llm.encoding import text_encoder
 
-        encoder = TextEncoder(vocabulary.value)
+        encoder = text_encoder(vocabulary.value)
         width = encoder.dtype.itemsize
         end = np.array([end_id], encoder.dtype).tobytes()
         task = TaskContext.get().partitionId()

@@ -20,7 +20,7 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2
     )
-    return token_files.read_documents(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_files.read_documents(manifest, with_ids=False)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

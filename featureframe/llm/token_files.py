@@ -99,9 +99,9 @@ def write_token_files(
     folder = folder or new_shared_folder(spark, "tokens")
 
     def run(batches):
-        from featureframe.llm.encoding import TextEncoder
+        from featureframe.llm.encoding import text_encoder
 
-        encoder = TextEncoder(vocabulary.value)
+        encoder = text_encoder(vocabulary.value)
         end = np.array([end_id], encoder.dtype).tobytes()
         shard = TaskContext.get().partitionId()
         system, root = _open(folder)
@@ -182,19 +182,8 @@ class TokenShard:
         self._file.close()
 
 
-def _documents(ids_path: str, docs_path: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    system, path = _open(docs_path)
-    shard = TokenShard(ids_path)
-    with system.open_input_file(path) as file:
-        index = pa.ipc.open_file(file)
-        for number in range(index.num_record_batches):
-            batch = index.get_batch(number)
-            starts, sizes = batch.column("start").to_pylist(), batch.column("n_tokens").to_pylist()
-            yield batch, [shard.span(start, size) for start, size in zip(starts, sizes, strict=True)]
-
-
-def read_documents(manifest: DataFrame) -> DataFrame:
-    """Every document as its files have it: ``doc_id, start, n_tokens, ids, ids_crc32``.
+def read_documents(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
+    """Every document as its files have it: ``doc_id, start, n_tokens, ids_crc32`` and, if asked for, ``ids``.
 
     ``ids`` are little-endian unsigned 32-bit integers, ``start`` counts the ids of all
     documents before.
@@ -202,29 +191,35 @@ def read_documents(manifest: DataFrame) -> DataFrame:
     spark = manifest.sparkSession
     ship_package(spark)
 
+    def read(row: dict) -> Iterator[pa.RecordBatch]:
+        system, path = _open(row["docs_path"])
+        shard = TokenShard(row["ids_path"])
+        with system.open_input_file(path) as file:
+            index = pa.ipc.open_file(file)
+            for number in range(index.num_record_batches):
+                docs = index.get_batch(number)
+                for first in range(0, docs.num_rows, 256):
+                    part = docs.slice(first, 256)
+                    starts, sizes = part.column("start").to_numpy(), part.column("n_tokens")
+                    places = zip(starts.tolist(), sizes.to_pylist(), strict=True)
+                    ids = [shard.span(start, size).astype("<u4").tobytes() for start, size in places]
+                    columns = [part.column("doc_id"), pa.array(starts + row["start"]), sizes]
+                    columns.append(pa.array([zlib.crc32(one) for one in ids], pa.int64()))
+                    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+                    if with_ids:
+                        columns.append(pa.array(ids, pa.binary()))
+                        names.append("ids")
+                    yield pa.RecordBatch.from_arrays(columns, names)
+        shard.close()
+
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                for docs, spans in _documents(row["ids_path"], row["docs_path"]):
-                    for first in range(0, docs.num_rows, 512):
-                        part = docs.slice(first, 512)
-                        ids = [span.astype("<u4").tobytes() for span in spans[first : first + 512]]
-                        starts = part.column("start").to_numpy() + row["start"]
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                part.column("doc_id"),
-                                pa.array(starts),
-                                part.column("n_tokens"),
-                                pa.array(ids, pa.binary()),
-                                pa.array([zlib.crc32(one) for one in ids], pa.int64()),
-                            ],
-                            ["doc_id", "start", "n_tokens", "ids", "ids_crc32"],
-                        )
+                yield from read(row)
 
+    columns = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
     shards = spark.sparkContext.defaultParallelism * 4
-    return manifest.repartition(shards, "shard").mapInArrow(
-        run, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long"
-    )
+    return manifest.repartition(shards, "shard").mapInArrow(run, columns)
 
 
 def read_sequences(manifest: DataFrame) -> DataFrame:
