@@ -3,7 +3,7 @@
 Documents longer than a sequence are cut into full pieces and a rest. The packing
 itself only sees the histogram of piece lengths: lengths are placed longest first,
 each into the pack with the most room, and packs of equal make-up are one pattern with
-a count. There are at most twice as many patterns as lengths, whatever the corpus.
+a count. There are at most three times as many patterns as lengths, whatever the corpus.
 Patterns then meet pieces by rank: the k-th piece of a length takes the k-th slot that
 patterns have for it. Ranks come from counts by task and length, so no length, however
 common, gathers in one task; ids never shuffle.
@@ -66,8 +66,11 @@ def pack_histogram(histogram: dict[int, int], capacity: int) -> list[Pattern]:
             else:
                 pattern.lengths.append((length, 1))
             put(fill + length, pattern)
-        if left:
-            put(length, Pattern([(length, 1)], left))
+        # a new pack takes its own length as long as that fits, and only then the next is opened
+        fitting = capacity // length
+        for times, count in ((fitting, left // fitting), (left % fitting, 1)):
+            if times and count:
+                put(length * times, Pattern([(length, times)], count))
     return [pattern for fill in sorted(packs, reverse=True) for pattern in packs[fill]]
 
 
