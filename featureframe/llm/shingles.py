@@ -85,4 +85,4 @@ class MinHash:
         low = (minima & np.uint32((1 << self.bits) - 1)).astype(np.uint64)
         per_word = 64 // self.bits
         shifts = np.arange(per_word, dtype=np.uint64) * np.uint64(self.bits)
-        return np.bitwise_or.reduce(low.reshape(len(low), -1, per_word) << shifts, axis=2).view(np.int64)
+        return np.bitwise_or.reduce(low.reshape(len(low), self.minima // per_word, per_word) << shifts, axis=2).view(np.int64)
