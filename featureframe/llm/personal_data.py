@@ -175,7 +175,8 @@ def _with_content(docs: DataFrame) -> DataFrame:
 def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, n_t``: in how many documents each of ``terms`` (``term``, ``slot``) is, and maybe some others."""
     spark = docs.sparkSession
-    slots = terms.select(F.col("slot").cast("long").alias("slot")).distinct()
+    # bitmaps count from 1 on
+    slots = terms.select((F.col("slot").cast("long") + 1).alias("slot")).distinct()
     bits = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
     )
