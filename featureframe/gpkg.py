@@ -83,7 +83,8 @@ def _paths(spark: SparkSession, path: str) -> DataFrame:
 def read_gpkg_tables(paths: DataFrame, table: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """All columns of one table of many GeoPackage or SQLite files, read by rowid ranges.
 
-    Columns and types are those of the first file that has the table.
+    Columns and types are those of the first file that has the table; columns a later
+    file lacks are null there.
     """
     described = settle(_describe_table(paths, table, range_rows)).filter("ddl is not null")
     first = described.orderBy("path").select("ddl").first()
@@ -159,7 +160,8 @@ def computed_bounds(df: DataFrame, keys: list[str], geometry_column: str = "geom
     bare = F.when(header_length(blob) == FIXED_BYTES, wkb_bytes(blob))
     box = F.coalesce(envelope(header_bytes(blob)), wkb_bounds(bare))
     boxes = df.select(*keys, box.alias("_box"))
-    corners = [F.col("_box").getItem(i) for i in range(4)]
+    # an empty geometry may have corners that are no numbers
+    corners = [F.nanvl(F.col("_box").getItem(i), F.lit(None).cast("double")) for i in range(4)]
     return boxes.groupBy(*keys).agg(
         F.min(corners[0]).alias("min_x"),
         F.min(corners[2]).alias("min_y"),

@@ -8,7 +8,9 @@ import decimal
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_FAILED = (pa.ArrowException, OverflowError, TypeError, ValueError, decimal.InvalidOperation)
+_FAILED = (pa.ArrowException, OverflowError, TypeError, ValueError, KeyError, decimal.InvalidOperation)
+# Texts of truth values
+_BOOLEANS = dict.fromkeys(("true", "t", "yes", "y", "1"), True) | dict.fromkeys(("false", "f", "no", "n", "0"), False)
 
 
 def fit(values: pa.Array | list, target: pa.DataType) -> pa.Array:
@@ -44,7 +46,7 @@ def _as(value: object, target: pa.DataType) -> object:
     if isinstance(value, bytes) and not pa.types.is_binary(target):
         value = value.decode("utf-8", "replace")
     if pa.types.is_boolean(target):
-        return value.strip().lower() in ("true", "t", "yes", "y", "1") if isinstance(value, str) else bool(value)
+        return _BOOLEANS[value.strip().lower()] if isinstance(value, str) else bool(value)
     if pa.types.is_integer(target):
         return int(value) if isinstance(value, str) and value.strip().lstrip("+-").isdigit() else int(float(value))
     if pa.types.is_floating(target):

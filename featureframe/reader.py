@@ -85,9 +85,14 @@ def read_vector_files(
     if binary_kinds and strategy is ConcurrencyStrategy.ROWS:
         catalog = settle(describe_layer(_binary(sources.names()), layer_identifier, ideal_chunk_size))
 
+    if "geopackage" in sources.kinds and "://" in sources.first[0]:
+        raise ValueError("SQLite cannot open GeoPackages by a URI; use a mounted path.")
+
     inferred = schema is None
-    if schema is None:
+    if schema is None or layer_identifier is not None:
+        # with a schema too, a layer that no file has is an error and not an empty result
         found = _first_attributes(sources, catalog, layer_identifier)
+    if schema is None:
         schema = layer_schema(found, ogr_to_spark_type_map, geom_field_name, geom_field_type)
 
     frames = []
@@ -192,7 +197,8 @@ def _first_attributes(sources: Sources, catalog: DataFrame | None, layer_identif
         found = _first_layer_with(sources.names(), sources.kinds, catalog, layer_identifier)
         if found is not None:
             return found
-    raise ValueError(f"No file could be opened with a layer {layer_identifier!r}; pass a schema.")
+    wanted = "" if layer_identifier is None else f" with the layer {layer_identifier!r}"
+    raise ValueError(f"No file could be opened{wanted}.")
 
 
 def _first_layer_with(

@@ -18,7 +18,16 @@ import pyarrow as pa
 
 from featureframe.functions.gpb import ENVELOPE_BYTES, FIXED_BYTES
 from featureframe.functions.wkb import LINESTRING, POINT, POLYGON, little_endian
-from featureframe.sources.layers import BATCH_BYTES, BATCH_ROWS, Attribute, Layer, RowBatches, Rows
+from featureframe.sources.layers import (
+    BATCH_BYTES,
+    BATCH_ROWS,
+    Attribute,
+    Layer,
+    NotVectorData,
+    RowBatches,
+    Rows,
+    absent,
+)
 from featureframe.types import base_declared_type, sqlite_ogr_type
 
 # A layer whose id range is wider than this many times its rows is sparse: equal
@@ -31,25 +40,49 @@ _HEADER_BYTES = {code << 1: FIXED_BYTES + size for code, size in enumerate(ENVEL
 _PLAIN = {struct.pack("<BI", 1, code) for code in (POINT, LINESTRING, POLYGON)}
 
 
+# SQLite result codes
+_DAMAGED = {11, 26}  # malformed, not a database
+_NO_SIDE_FILES = {8, 14}  # read-only storage, where a write-ahead log cannot be set up
+_LOCK_SECONDS = 5.0
+
+
+def is_damaged(error: Exception) -> bool:
+    """Whether SQLite says that the file itself is no sound database."""
+    return isinstance(error, sqlite3.Error) and getattr(error, "sqlite_errorcode", 0) & 0xFF in _DAMAGED
+
+
 def connect(path: str) -> sqlite3.Connection:
+    """The database at a mounted path. A lock is waited for, then an error, and never read past."""
     if "://" in path:
-        raise ValueError(f"SQLite cannot open {path}; use a mounted path.")
+        raise OSError(f"SQLite cannot open {path}; use a mounted path.")
+    if not os.path.isfile(path):
+        raise NotVectorData(f"{path} is a folder.") if os.path.isdir(path) else absent(path)
     uri = f"file:{quote(path)}?mode=ro"
-    db = sqlite3.connect(uri, uri=True)
     try:
-        db.execute("select 1 from sqlite_master limit 1")
-    except sqlite3.OperationalError:
-        db.close()
-        if not os.path.isfile(path):
+        return _opened(uri)
+    except sqlite3.OperationalError as error:
+        if error.sqlite_errorcode & 0xFF not in _NO_SIDE_FILES or _has_log(path):
             raise
-        # a write-ahead log cannot be set up on read-only storage; nobody writes there either
-        db = sqlite3.connect(f"{uri}&immutable=1", uri=True)
+        # nobody writes to read-only storage either
+        return _opened(f"{uri}&immutable=1")
+
+
+def _opened(uri: str) -> sqlite3.Connection:
+    db = sqlite3.connect(uri, uri=True, timeout=_LOCK_SECONDS)
+    try:
+        db.execute("select 1 from sqlite_master limit 1").fetchall()
     except sqlite3.Error:
         db.close()
         raise
     return db
 
 
+def _has_log(path: str) -> bool:
+    """Whether changes wait beside the file that it does not have yet."""
+    logs = (path + ending for ending in ("-wal", "-journal"))
+    return any(os.path.isfile(log) and os.path.getsize(log) for log in logs)
+
+
 def identifier(name: str) -> str:
     """A quoted SQL identifier."""
     return '"' + name.replace('"', '""') + '"'
@@ -151,9 +184,19 @@ def _row_id_column(columns: list[tuple[str, str, bool]]) -> str | None:
 def fetch(
     path: str, table: str, columns: list[str], start: int | None, stop: int | None
 ) -> Iterator[tuple[int, list[list]]]:
-    """``(rows, values per column)`` for rowids in ``[start, stop)``; text comes as bytes."""
+    """``(rows, values per column)`` for rowids in ``[start, stop)``; text comes as bytes.
+
+    Columns the file's table lacks are null; a file without the table has no rows.
+    """
     with closing(connect(path)) as db:
-        yield from _fetch(db, table, columns, start, stop)
+        # SQLite takes a quoted name it does not know for text
+        known = {name.lower() for name, _, _ in declared_columns(db, table)}
+        if not known:
+            return
+        present = [name for name in columns if name.lower() in known]
+        for count, values in _fetch(db, table, present, start, stop):
+            found = dict(zip(present, values))
+            yield count, [found.get(name, [None] * count) for name in columns]
 
 
 def _fetch(
@@ -196,7 +239,10 @@ def _wkb(blob: bytes | None) -> bytes | None:
     """The WKB behind a GPB header; a geometry flagged as empty is still a geometry."""
     if blob is None:
         return None
-    shape = blob[_HEADER_BYTES[blob[3] & 14] :]
+    header = _HEADER_BYTES.get(blob[3] & 14) if len(blob) > 3 else None
+    if header is None:  # an envelope code the format does not have: no way to tell where the shape begins
+        return None
+    shape = blob[header:]
     return shape if shape[:5] in _PLAIN else little_endian(shape)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import BinaryIO, NamedTuple
@@ -14,6 +15,14 @@ BATCH_ROWS = 8192
 BATCH_BYTES = 64 << 20
 
 
+class NotVectorData(ValueError):
+    """The file itself is why it cannot be read; a tolerant read passes over it.
+
+    Whatever else goes wrong, such as a failing disk, a lock or an absent folder, is
+    another error and fails the task, or rows of healthy files would be lost.
+    """
+
+
 class Attribute(NamedTuple):
     """One attribute of a layer with its OGR type pair."""
 
@@ -61,6 +70,22 @@ def open_binary(path: str) -> BinaryIO:
     return filesystem.open_input_file(name)
 
 
+def absent(path: str) -> Exception:
+    """Why a path cannot be found: the file is gone, or its whole folder cannot be reached."""
+    filesystem, name = filesystem_of(path.rstrip("/"))
+    folder = filesystem.get_file_info(os.path.dirname(name) or ".")
+    if folder.type == pafs.FileType.Directory:
+        return NotVectorData(f"{path} does not exist.")
+    return FileNotFoundError(f"The folder of {path} cannot be reached.")
+
+
+def existing(paths: list[str]) -> str | None:
+    """The first of some paths in one folder that is a file, without opening any."""
+    filesystem, _ = filesystem_of(paths[0])
+    found = filesystem.get_file_info([filesystem_of(path)[1] for path in paths])
+    return next((path for path, info in zip(paths, found) if info.type == pafs.FileType.File), None)
+
+
 def list_folder(path: str, recursive: bool = False) -> list[tuple[str, int]]:
     """Full paths and sizes of the files in a folder, sorted by path."""
     filesystem, name = filesystem_of(path.rstrip("/"))

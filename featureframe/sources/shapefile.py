@@ -23,8 +23,11 @@ from featureframe.sources.layers import (
     BATCH_ROWS,
     Attribute,
     Layer,
+    NotVectorData,
     RowBatches,
     Rows,
+    absent,
+    existing,
     list_folder,
     open_binary,
 )
@@ -98,11 +101,17 @@ def _stem(member: str) -> str:
 
 def _members(path: str) -> list[str]:
     """``.shp`` files of a source, and ``.dbf`` files that have no ``.shp``."""
-    if path.lower().endswith(".shp"):
-        return [path]
-    if path.lower().endswith(".dbf"):  # beside a .shp it is no source of its own
-        return [] if _sibling(path, ".shp") else [path]
-    files = [file for file, _ in list_folder(path)]
+    if path.lower().endswith((".shp", ".dbf")):
+        if existing([path]) is None:
+            raise absent(path)
+        # a .dbf beside a .shp is no source of its own
+        return [] if path.lower().endswith(".dbf") and _sibling(path, ".shp") else [path]
+    try:
+        files = [file for file, _ in list_folder(path)]
+    except FileNotFoundError:
+        raise absent(path) from None
+    except NotADirectoryError:
+        raise NotVectorData(f"{path} is no folder of shapefiles.") from None
     shapes = [f for f in files if f.lower().endswith(".shp")]
     stems = {_stem(f) for f in shapes}
     tables = [f for f in files if f.lower().endswith(".dbf") and _stem(f) not in stems]
@@ -111,13 +120,7 @@ def _members(path: str) -> list[str]:
 
 def _sibling(member: str, extension: str) -> str | None:
     base = os.path.splitext(member)[0]
-    for candidate in (base + extension, base + extension.upper()):
-        try:
-            with open_binary(candidate):
-                return candidate
-        except OSError:
-            continue
-    return None
+    return existing([base + extension, base + extension.upper()])
 
 
 def _record_count(table: _Table, shapes: _Shapes | None) -> int:
@@ -139,8 +142,12 @@ class _Table:
             return
         with open_binary(path) as file:
             header = file.read(32)
+            if len(header) < 32:
+                raise NotVectorData(f"{path} ends in its header.")
             self.count, self.header_bytes, self.record_bytes = struct.unpack_from("<IHH", header, 4)
-            descriptors = file.read(self.header_bytes - 32)
+            descriptors = file.read(max(self.header_bytes - 32, 0))
+            if len(descriptors) < self.header_bytes - 32 or self.header_bytes < 33:
+                raise NotVectorData(f"{path} ends in its header.")
         self.encoding = _encoding(code_page, header[29])
         names, formats, offsets, position = ["_deleted"], ["S1"], [0], 1
         self.kinds: dict[str, str] = {}
@@ -244,11 +251,12 @@ class _Shapes:
         self.path = path
         self.index = _sibling(path, ".shx")
         if self.index is None:
-            raise FileNotFoundError(f"{path} has no .shx index.")
+            raise NotVectorData(f"{path} has no .shx index.")
         with open_binary(self.index) as file:
-            file_code, _, _, _, _, _, words = struct.unpack(">7i", file.read(28))
-        if file_code != 9994:
-            raise ValueError(f"{self.index} is not a shapefile index.")
+            header = file.read(28)
+        if len(header) < 28 or header[:4] != b"\0\0\x27\x0a":
+            raise NotVectorData(f"{self.index} is not a shapefile index.")
+        (words,) = struct.unpack_from(">i", header, 24)
         self.count = (words * 2 - SHP_HEADER) // SHX_RECORD
 
     def entries(self, low: int, high: int) -> np.ndarray:

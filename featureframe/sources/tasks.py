@@ -6,9 +6,7 @@ Spark decides where every file or range is read.
 
 from __future__ import annotations
 
-import sqlite3
-import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from types import ModuleType
 
 import pyarrow as pa
@@ -26,23 +24,16 @@ from pyspark.sql.types import (
 from featureframe.operators.fit import fit
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources import geopackage, shapefile
-from featureframe.sources.layers import Attribute, Layer, Rows
+from featureframe.sources.layers import Attribute, Layer, NotVectorData, Rows
+from featureframe.types import OGR_TO_SPARK
 
 RANGE_READERS: dict[str, ModuleType] = {"geopackage": geopackage, "shapefile": shapefile}
-# SQLite result codes of a file that is absent, damaged or no database
-_SQLITE_UNREADABLE = {1, 11, 14, 26}
-_FORMAT_ERRORS = (FileNotFoundError, IsADirectoryError, NotADirectoryError, EOFError, struct.error, IndexError, ValueError)
 
 
 def not_vector_data(error: Exception) -> bool:
-    """Whether an error says that a path holds no readable source.
+    """Whether an error says that the file at a path is no readable source."""
+    return isinstance(error, NotVectorData) or geopackage.is_damaged(error)
 
-    A tolerant read passes over such files. Anything else, such as a failing disk
-    or a locked file, must fail the task and be tried again, or rows would be lost.
-    """
-    if isinstance(error, sqlite3.Error):
-        return getattr(error, "sqlite_errorcode", 0) & 0xFF in _SQLITE_UNREADABLE
-    return isinstance(error, _FORMAT_ERRORS)
 
 ATTRIBUTE_TYPE = StructType(
     [
@@ -71,11 +62,11 @@ def resolve_layer(names: list[str], identifier: LayerIdentifier) -> str:
     """The named layer, the layer at an index, or the first layer."""
     if isinstance(identifier, str):
         if identifier not in names:
-            raise ValueError(f"There is no layer {identifier!r}, only {names}.")
+            raise NotVectorData(f"There is no layer {identifier!r}, only {names}.")
         return identifier
     index = 0 if identifier is None else identifier
     if not 0 <= index < len(names):
-        raise ValueError(f"Layer index {index} is outside 0 to {len(names) - 1}.")
+        raise NotVectorData(f"Layer index {index} is outside 0 to {len(names) - 1}.")
     return names[index]
 
 
@@ -163,8 +154,10 @@ def read_ranges(
     """Rows of every ``(path, source, layer_name, start, stop)``.
 
     A null ``layer_name`` is resolved from ``layer_identifier`` when the file is
-    opened. Only attributes in ``schema`` are decoded. A source that cannot be
-    opened or has no such layer gives no rows, or fails with ``mode="FAILFAST"``.
+    opened. Only attributes in ``schema`` are decoded. A file that is no vector data
+    or has no such layer gives no rows, or fails with ``mode="FAILFAST"``. Unless
+    columns may be missing, a value of a column of another type that does not fit the
+    schema's is an error too.
     """
     arrow_schema = to_arrow_schema(schema)
     wanted = [name for name in schema.names if name != geom_field_name]
@@ -179,13 +172,18 @@ def read_ranges(
                 "set coerce_to_schema=True to fit it."
             )
 
+    def unlike(attributes: list[Attribute]) -> set[str]:
+        """Columns that have another type in this file than in the schema."""
+        own = {one.name: OGR_TO_SPARK.get((one.ogr_type, one.ogr_subtype)) for one in attributes}
+        return {name for name in wanted if name in own and own[name] != schema[name].dataType}
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 reader, path, name = RANGE_READERS.get(row["source"]), row["path"], row["layer_name"]
                 try:
                     if reader is None:
-                        raise ValueError(f"No source reads {path}.")
+                        raise NotVectorData(f"No source reads {path}.")
                     layer = resolve_layer(reader.layer_names(path), layer_identifier if name is None else name)
                     attributes = reader.attributes(path, layer)
                 except Exception as error:
@@ -193,21 +191,36 @@ def read_ranges(
                         raise
                     continue
                 check(path, attributes)
+                strict = set() if allow_missing else unlike(attributes)
                 for rows in reader.batches(path, layer, row["start"], row["stop"], wanted):
-                    yield _fitted(rows, arrow_schema, geom_field_name)
+                    yield _fitted(rows, arrow_schema, geom_field_name, path, strict)
 
     columns = ["path", "source", "layer_name", "start", "stop"]
     return ranges.select(*columns).mapInArrow(read, schema)
 
 
-def _fitted(rows: Rows, schema: pa.Schema, geom_field_name: str) -> pa.RecordBatch:
+def _fitted(
+    rows: Rows, schema: pa.Schema, geom_field_name: str, path: str = "", strict: Collection[str] = ()
+) -> pa.RecordBatch:
+    """Rows in the schema's types; no value of the columns in ``strict`` may get lost by that."""
     arrays = []
     for field in schema:
         values = rows.geometry if field.name == geom_field_name else rows.columns.get(field.name)
-        arrays.append(pa.nulls(rows.count, field.type) if values is None else fit(values, field.type))
+        if values is None:
+            arrays.append(pa.nulls(rows.count, field.type))
+            continue
+        arrays.append(fit(values, field.type))
+        if field.name in strict and arrays[-1].null_count > _null_count(values):
+            raise RuntimeError(
+                f"{path} has values of {field.name} that are no {field.type}; set coerce_to_schema=True to fit it."
+            )
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def _null_count(values: pa.Array | list) -> int:
+    return values.count(None) if isinstance(values, list) else values.null_count
+
+
 def read_table(ranges: DataFrame, table: str, schema: StructType) -> DataFrame:
     """All columns of one SQLite table over ``(path, start, stop)`` rowid ranges, as stored."""
     arrow_schema = to_arrow_schema(schema)

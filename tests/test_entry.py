@@ -22,11 +22,15 @@ def tables():
     return connection
 
 
+def test_every_sql_has_its_query():
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
+
+
 def ordered(rows):
     return sorted(rows, key=lambda row: [(value is None, str(value)) for value in row])
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.oracle_sql())
 def test_query(spark, tables, name):
     df = entry.queries()[name](spark, SF_DIR)
     columns = ", ".join(f'"{column}"' for column in df.columns)

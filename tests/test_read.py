@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import errno
 import os
+import pathlib
+import resource
 import sqlite3
-import struct
 from contextlib import closing
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from featureframe import describe_layers, read_vector_files
+from featureframe.gpkg import read_gpkg_tables
 from featureframe.plans.catalog import feature_counts, select_layer, skipped_files
 from featureframe.sources import geopackage as source
+from featureframe.sources import shapefile
+from featureframe.sources.layers import NotVectorData
 from featureframe.sources.tasks import not_vector_data
 from tests.conftest import (
     FIRST,
@@ -226,9 +231,9 @@ def test_mixed_sources_in_one_folder(spark, tmp_path):
 @pytest.mark.parametrize(
     ("error", "passed_over"),
     [
-        (FileNotFoundError("gone"), True),
-        (ValueError("not a shapefile"), True),
-        (struct.error("short"), True),
+        (NotVectorData("not a shapefile"), True),
+        (FileNotFoundError("gone"), False),
+        (ValueError("other"), False),
         (OSError(errno.EIO, "disk"), False),
         (MemoryError(), False),
         (RuntimeError("other"), False),
@@ -238,15 +243,95 @@ def test_only_format_errors_are_passed_over(error, passed_over):
     assert not_vector_data(error) is passed_over
 
 
-def test_locked_geopackage_is_an_error(geopackage):
+def test_locked_geopackage_is_an_error(geopackage, monkeypatch):
+    monkeypatch.setattr(source, "_LOCK_SECONDS", 0.1)
     with closing(sqlite3.connect(geopackage)) as db:
         db.execute("begin exclusive")
-        with pytest.raises(sqlite3.OperationalError) as raised, closing(sqlite3.connect(geopackage, timeout=0)) as other:
-            other.execute("select * from first").fetchall()
+        with pytest.raises(sqlite3.OperationalError) as raised:
+            source.layer_names(geopackage)
         assert not not_vector_data(raised.value)
 
 
-def test_absent_geopackage_is_passed_over():
-    with pytest.raises(sqlite3.OperationalError) as raised:
-        source.layer_names("/erroneous/file/path")
-    assert not_vector_data(raised.value)
+def test_changes_that_wait_in_a_log_are_read_or_an_error(tmp_path):
+    path = str(tmp_path / "a.gpkg")
+    write_layers(path, {"first": FIRST})
+    with closing(sqlite3.connect(path)) as db:
+        db.execute("pragma journal_mode=wal")
+        db.execute("insert into first (id, category) values (77, 'late')")
+        db.commit()
+        with closing(source.connect(path)) as other:
+            assert other.execute("select count(*) from first where id = 77").fetchone() == (1,)
+
+
+def test_only_a_file_that_is_gone_is_passed_over(tmp_path):
+    for module, ending in ((source, "gpkg"), (shapefile, "shp")):
+        with pytest.raises(NotVectorData):
+            module.layer_names(str(tmp_path / f"gone.{ending}"))
+        with pytest.raises(FileNotFoundError) as raised:
+            module.layer_names(f"/erroneous/file/path.{ending}")
+        assert not not_vector_data(raised.value)
+        with pytest.raises((OSError, pa.ArrowException)) as raised:
+            module.layer_names(f"hdfs://nowhere.invalid:1/a.{ending}")
+        assert not not_vector_data(raised.value)
+
+
+def test_no_descriptors_left_is_an_error(geopackage):
+    limits = resource.getrlimit(resource.RLIMIT_NOFILE)
+    held = []
+    try:
+        resource.setrlimit(resource.RLIMIT_NOFILE, (64, limits[1]))
+        with pytest.raises((sqlite3.OperationalError, OSError)) as raised:
+            while True:
+                held.append(source.connect(geopackage))
+        assert not not_vector_data(raised.value)
+    finally:
+        for one in held:
+            one.close()
+        resource.setrlimit(resource.RLIMIT_NOFILE, limits)
+
+
+def test_failing_reads_of_a_member_are_errors(shapefiles, monkeypatch):
+    def failing(path):
+        if path.endswith(".dbf"):
+            raise OSError(errno.EIO, "disk")
+        return open(path, "rb")
+
+    monkeypatch.setattr(shapefile, "open_binary", failing)
+    path = next(str(one) for one in sorted(pathlib.Path(shapefiles).rglob("*.shp")))
+    with pytest.raises(OSError) as raised:
+        shapefile.attributes(path, shapefile.layer_names(path)[0])
+    assert not not_vector_data(raised.value)
+
+
+@STRATEGIES
+def test_a_layer_no_file_has_is_an_error(spark, geopackage, strategy):
+    with pytest.raises(ValueError, match="nowhere"):
+        read_vector_files(
+            os.path.dirname(geopackage), suffix="gpkg", layer_identifier="nowhere", schema=SCHEMA,
+            concurrency_strategy=strategy, spark=spark,
+        )
+
+
+@STRATEGIES
+def test_other_types_need_coercion(spark, tmp_path, strategy):
+    for name, kind, value in (("a", "INTEGER", 1), ("b", "TEXT", "x17")):
+        with closing(sqlite3.connect(tmp_path / f"{name}.sqlite")) as db:
+            db.execute(f"create table t (code {kind}, other TEXT)")
+            db.execute("insert into t values (?, 'o')", (value,))
+            db.commit()
+    arguments = {"path": str(tmp_path), "suffix": "sqlite", "concurrency_strategy": strategy, "spark": spark}
+    with pytest.raises(PythonException, match="coerce_to_schema"):
+        read_vector_files(**arguments).collect()
+    coerced = read_vector_files(**arguments, coerce_to_schema=True).collect()
+    assert sorted((row.code, row.other) for row in coerced if row.code) == [(1, "o")] and len(coerced) == 2
+
+
+def test_columns_a_table_lacks_are_null(spark, tmp_path):
+    for name, columns in (("a", "name, owner"), ("b", "name")):
+        with closing(sqlite3.connect(tmp_path / f"{name}.sqlite")) as db:
+            db.execute(f"create table t ({columns.replace(',', ' TEXT,')} TEXT)")
+            db.execute(f"insert into t (name) values ('{name}')")
+            db.commit()
+    paths = spark.createDataFrame([(str(tmp_path / f"{name}.sqlite"),) for name in "ab"], "path string")
+    rows = read_gpkg_tables(paths, "t").collect()
+    assert sorted((row.name, row.owner) for row in rows) == [("a", None), ("b", None)]
