@@ -13,7 +13,7 @@ from featureframe.operators.schema import conform, layer_schema
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.plans.chunks import id_ranges, place_by_size, place_evenly
 from featureframe.session import active_session, settle
-from featureframe.sources import geojson, gml
+from featureframe.sources import geojson, gml, records
 from featureframe.sources.archive import unpack_archives
 from featureframe.sources.listing import Sources, find_sources, summarise
 from featureframe.sources.tasks import (
@@ -26,8 +26,7 @@ from featureframe.sources.tasks import (
 from featureframe.types import OGR_TO_SPARK, ConcurrencyStrategy
 
 TEXT_SOURCES = {"geojson": geojson, "gml": gml}
-# Files above this size are cut into row ranges under the "files" strategy too
-WHOLE_FILE_BYTES = 256 << 20
+SPLIT_BYTES = 128 << 20
 
 
 def read_vector_files(
@@ -47,6 +46,7 @@ def read_vector_files(
     layer_identifier: LayerIdentifier = None,
     mode: str = "PERMISSIVE",
     spark: SparkSession | None = None,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """One layer of every matching file as a DataFrame with geometry as WKB.
 
@@ -65,14 +65,17 @@ def read_vector_files(
         spark_to_pandas_type_map: Accepted for existing calls and not used; Arrow
             carries the types.
         concurrency_strategy: "files" (one task per file; only files above
-            ``WHOLE_FILE_BYTES`` are split) or "rows" (one task per chunk of rows).
+            ``split_bytes`` are split) or "rows" (one task per chunk of rows).
         vsi_prefix: Archive prefix: "/vsitar/", "/vsizip/" or "/vsigzip/".
         schema: Result schema; also the list of columns that are decoded. Inferred
             from the first readable file by path if not given.
         layer_identifier: Layer name or index; the first layer if not given.
-        mode: "PERMISSIVE" passes over files that cannot be opened or lack the
-            layer, "FAILFAST" fails on them.
+        mode: "PERMISSIVE" passes over files that are no vector data or lack the
+            layer, "FAILFAST" fails on them. Other errors fail in both.
         spark: Session to use; the active one if not given.
+        split_bytes: Size above which a file is read by several tasks under the
+            "files" strategy, and GeoJSON and GML under both. It changes how a file
+            is read, never its rows.
     """
     session = active_session(spark)
     strategy = ConcurrencyStrategy(concurrency_strategy)
@@ -107,12 +110,11 @@ def read_vector_files(
                 allow_additional=coerce_to_schema or not inferred,
                 mode=mode,
             )
-            for ranges in _plan_ranges(sources, catalog, ideal_chunk_size, layer_identifier, mode)
+            for ranges in _plan_ranges(sources, catalog, ideal_chunk_size, layer_identifier, mode, split_bytes)
         ]
     for kind in sorted(sources.kinds & TEXT_SOURCES.keys()):
-        records = _text_features(sources.names(), kind, layer_identifier, mode)
-        if records is not None:
-            frames.append(TEXT_SOURCES[kind].read(records, schema, geom_field_name))
+        found = _text_features(sources, kind, layer_identifier, mode, split_bytes)
+        frames.append(TEXT_SOURCES[kind].read(found, schema, geom_field_name))
     return reduce(DataFrame.union, frames) if frames else session.createDataFrame([], schema)
 
 
@@ -145,32 +147,52 @@ def describe_layers(
 
 
 def _plan_ranges(
-    sources: Sources, catalog: DataFrame | None, size: int, layer_identifier: LayerIdentifier, mode: str
+    sources: Sources,
+    catalog: DataFrame | None,
+    size: int,
+    layer_identifier: LayerIdentifier,
+    mode: str,
+    split_bytes: int,
 ) -> list[DataFrame]:
     """Ranges ``(path, source, layer_name, start, stop)`` to read, placed in partitions.
 
-    With a catalog all sources are split; without one, only those above ``WHOLE_FILE_BYTES``.
+    With a catalog all sources are split; without one, only those above ``split_bytes``.
     """
     if catalog is not None:
         return [place_evenly(id_ranges(_readable(catalog, mode), size))]
-    rows = _binary(sources.rows)
-    small = rows.filter(F.col("length") <= WHOLE_FILE_BYTES)
-    # the listing's partitions already hold files packed by size; other rows are dealt out
-    whole = small if sources.packed else place_by_size(small, sources.total_bytes, sources.count)
-    placed = [
-        whole.select(
-            "path",
-            "source",
-            F.lit(None).cast("string").alias("layer_name"),
-            F.lit(None).cast("bigint").alias("start"),
-            F.lit(None).cast("bigint").alias("stop"),
-        )
-    ]
-    if sources.largest_bytes > WHOLE_FILE_BYTES:
-        large = _binary(sources.names()).filter(F.col("length") > WHOLE_FILE_BYTES)
-        described = settle(describe_layer(large, layer_identifier, size))
-        placed.append(place_evenly(id_ranges(_readable(described, mode), size)))
-    return placed
+    nothing = F.lit(None)
+    whole = _placed(sources, _binary(sources.rows).filter(F.col("length") <= split_bytes)).select(
+        "path",
+        "source",
+        nothing.cast("string").alias("layer_name"),
+        nothing.cast("bigint").alias("start"),
+        nothing.cast("bigint").alias("stop"),
+    )
+    if sources.largest_bytes <= split_bytes:
+        return [whole]
+    large = _binary(sources.names()).filter(F.col("length") > split_bytes)
+    described = settle(describe_layer(large, layer_identifier, size))
+    return [whole, place_evenly(id_ranges(_readable(described, mode), size))]
+
+
+def _placed(sources: Sources, rows: DataFrame) -> DataFrame:
+    """Whole files in the partitions the listing packed them into by size; other rows are dealt out."""
+    return rows if sources.packed else place_by_size(rows, sources.total_bytes, sources.count)
+
+
+def _text_features(
+    sources: Sources, kind: str, layer_identifier: LayerIdentifier, mode: str, split_bytes: int
+) -> DataFrame:
+    """``(path, feature)`` of the layer in all text files of one kind."""
+    module = TEXT_SOURCES[kind]
+    is_kind = F.col("source") == kind
+    small = _placed(sources, sources.rows.filter(is_kind & (F.col("length") <= split_bytes)))
+    found = records.whole_files(small, module, layer_identifier, mode)
+    if sources.largest_bytes <= split_bytes:
+        return found
+    large = sources.names().filter(is_kind & (F.col("length") > split_bytes))
+    ranges = settle(records.planned(large, module, layer_identifier, split_bytes, mode))
+    return found.union(records.ranged(place_evenly(ranges), module))
 
 
 def _readable(settled: DataFrame, mode: str) -> DataFrame:
@@ -210,7 +232,8 @@ def _first_layer_with(
         layers = described.filter("error is null")
         options += layers.orderBy("path").select("path", "attributes").limit(1).collect()
     for kind in kinds & TEXT_SOURCES.keys():
-        probed = _probe_text(sources, kind, layer_identifier).filter("error is null")
+        files = sources.filter(F.col("source") == kind)
+        probed = records.found_layers(files, TEXT_SOURCES[kind], layer_identifier).filter("error is null")
         options += probed.orderBy("path").select("path", F.lit(kind).alias("kind")).limit(1).collect()
     if not options:
         return None
@@ -219,46 +242,11 @@ def _first_layer_with(
         return first["attributes"]
     module = TEXT_SOURCES[first["kind"]]
     one = sources.filter(F.col("path") == first["path"])
-    return module.attributes(_text_features(one, first["kind"], layer_identifier))
-
-
-def _probe_text(sources: DataFrame, kind: str, layer_identifier: LayerIdentifier) -> DataFrame:
-    """Text files of one kind that have the layer."""
-    files = sources.filter(F.col("source") == kind)
-    if kind == "gml":
-        return gml.probe_files(files, layer_identifier)
-    probed = geojson.probe_files(files)
-    if isinstance(layer_identifier, str):
-        return probed.filter(F.col("error").isNotNull() | (F.col("layer_name") == layer_identifier))
-    return probed if not layer_identifier else probed.filter("false")
-
-
-def _text_features(
-    sources: DataFrame, kind: str, layer_identifier: LayerIdentifier, mode: str = "PERMISSIVE"
-) -> DataFrame | None:
-    probed = settle(_probe_text(sources, kind, layer_identifier))
-    return TEXT_SOURCES[kind].features(_readable(probed, mode))
+    return module.attributes(records.whole_files(one, module, layer_identifier))
 
 
 def _describe_text(sources: DataFrame, kind: str) -> DataFrame:
     """Catalog rows of text files, their features counted by one pass."""
-    probed = settle(_probe_text(sources, kind, None))
-    failed = _as_catalog(probed.filter("error is not null").select("path", "error"), kind)
-    readable = probed.filter("error is null")
-    if readable.isEmpty():
-        return failed
-    if kind == "gml":
-        return _as_catalog(gml.layers(readable), kind).unionByName(failed)
-    counts = geojson.features(readable).groupBy("path").agg(F.count("*").alias("feature_count"))
-    # a file without features has no records to count
-    layers = readable.join(counts, "path", "left").select(
-        "path",
-        "layer_name",
-        F.lit(0).alias("layer_index"),
-        F.coalesce("feature_count", F.lit(0)).alias("feature_count"),
-    )
-    return _as_catalog(layers, kind).unionByName(failed)
-
-
-def _as_catalog(rows: DataFrame, kind: str) -> DataFrame:
-    return conform(rows.withColumn("source", F.lit(kind)), CATALOG_SCHEMA)
+    files = sources.filter(F.col("source") == kind)
+    found = records.found_layers(files, TEXT_SOURCES[kind], count=True)
+    return conform(found.withColumn("source", F.lit(kind)), CATALOG_SCHEMA)

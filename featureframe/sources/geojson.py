@@ -1,17 +1,9 @@
-"""GeoJSON documents and newline-delimited GeoJSON.
+"""GeoJSON documents, and sequences of features with or without record separators.
 
-A probe of the first bytes finds how a file is laid out. In the first three layouts a
-text every feature has is the record separator; it cannot occur inside a JSON string,
-where its quotes would be escaped.
-
-* ``first``: features begin with ``{"type":"Feature",``.
-* ``after``: short members such as an id come before ``"type":"Feature",``.
-* ``last``: features end with ``"type":"Feature"}``, as in documents with sorted keys.
-* ``lines``: one feature per line, in another order.
-* ``document``: any other JSON; parsed as a whole, so one task per file.
-
-White space in the separators is as the file has it. A file whose features are not all
-laid out alike is an error, never fewer rows.
+Features are the objects right inside the ``features`` array, or all objects of a file
+that is a sequence, told apart by how deep brackets nest outside strings. So neither the
+order of members, nor white space, nor what properties hold can lose or add a feature.
+Brackets and quotes of a block are found by numpy at once.
 """
 
 from __future__ import annotations
@@ -19,111 +11,174 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from featureframe.functions.coordinates import geojson_wkb
-from featureframe.sources.listing import escaped
-from featureframe.sources.records import by_separator, file_path, probe, text_records, typed
+from featureframe.plans.catalog import LayerIdentifier
+from featureframe.sources.layers import NotVectorData
+from featureframe.sources.records import Located, blocks, chosen, opened, typed
 from featureframe.types import OGR_TO_SPARK
 
-_TYPE = r'"type"\s*:\s*"Feature"'
-_FIRST = re.compile(r"\{\s*" + _TYPE + r'\s*,\s*(?=")')
-_AFTER = re.compile(_TYPE + r'\s*,\s*(?=")')
-_LAST = re.compile(_TYPE + r"\s*\}")
-_CONTENT = re.compile(r'"(?:properties|geometry)"\s*:')
-_FEATURES = r'"features"\s*:\s*\[\s*'
-_COLLECTION_NAME = re.compile(r'^\s*\{(?:(?!"features").)*?"name"\s*:\s*("(?:[^"\\]|\\.)*")', re.DOTALL)
+_TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*"|"|[{}\[\]:,]', re.DOTALL)
+_SPACE = b" \t\r\n"
+_BETWEEN = _SPACE + b",\x1e"
+_BOM = b"\xef\xbb\xbf"
+_HEAD_BYTES = 1 << 16
 _INT_MAX = 2**31 - 1
 
 
-def look(path: str, head: str) -> dict:
-    """Layer name and layout of one file, from its first text."""
-    text = head.lstrip("﻿\x1e \t\r\n")
-    if not text.startswith("{"):
-        raise ValueError(f"{path} is not GeoJSON.")
-    layout, separator = _layout(text)
-    before = text[: text.index(separator)] if separator else text
-    named = _COLLECTION_NAME.search(before)
-    layer = json.loads(named[1]) if named else os.path.splitext(os.path.basename(path))[0]
-    return {"layer_name": layer, "layout": layout, "separator": separator}
-
-
-def _layout(text: str) -> tuple[str, str | None]:
-    """Layout and separator, from the first feature."""
-    typed = re.search(_TYPE, text)
-    first = _FIRST.search(text)
-    if first and first.start() < typed.start() < first.end():
-        return "first", first[0]
-    if _is_feature_line(text):
-        return "lines", None
-    opening = re.search(_FEATURES, text)
-    if typed and opening and opening.end() < typed.start():
-        content = _CONTENT.search(text, opening.end())
-        if (after := _AFTER.match(text, typed.start())) and content and content.start() > typed.start():
-            return "after", after[0]
-        if last := _LAST.match(text, typed.start()):
-            return "last", last[0]
-    return "document", None
-
-
-def _is_feature_line(text: str) -> bool:
-    try:
-        return json.loads(text.split("\n", 1)[0]).get("type") == "Feature"
-    except ValueError:
-        return False
-
-
-def probe_files(sources: DataFrame) -> DataFrame:
-    return probe(sources, look)
-
-
-def features(probed: DataFrame) -> DataFrame | None:
-    """``(path, feature)`` with one JSON object text per feature; None without readable files."""
-    spark = probed.sparkSession
-
-    def read(layout: str, separator: str | None, paths: list[str]) -> DataFrame:
-        if layout in _CUT:
-            records = text_records(spark, paths, separator)
-            is_feature, feature, fits = _CUT[layout](F.col("value"), separator)
-            alone = F.regexp_count(F.col("value"), F.lit(_TYPE)) == 0
-            message = F.concat(F.lit("Features of differing member order in "), F.col("path"))
-            checked = F.when(alone & fits, feature).otherwise(F.raise_error(message))
-            return records.filter(is_feature).select("path", checked.alias("feature"))
-        if layout == "lines":
-            records = text_records(spark, paths, "\n")
-            return records.filter(F.trim("value") != "").select("path", F.col("value").alias("feature"))
-        schema = "type string, features array<string>"
-        documents = spark.read.schema(schema).option("multiLine", True).json([escaped(path) for path in paths])
-        return documents.select(file_path(), F.explode("features").alias("feature"))
-
-    return by_separator(probed, read)
-
-
-def _cut_first(value: Column, separator: str) -> tuple[Column, Column, Column]:
-    # what precedes the first separator of a file is not a feature
-    return value.startswith('"'), F.concat(F.lit(separator), value), F.lit(True)
-
-
-def _cut_after(value: Column, separator: str) -> tuple[Column, Column, Column]:
-    # the members before the type of the next feature trail behind, outside the object
-    feature = F.concat(F.lit("{" + separator), value)
-    return value.startswith('"'), feature, value.rlike(r'"properties"\s*:')
-
-
-def _cut_last(value: Column, separator: str) -> tuple[Column, Column, Column]:
-    # the first record opens the collection, the text behind the last closes it
-    member = F.regexp_replace(value, r"^\s*,\s*", "")
-    opened = F.regexp_replace(value, r"(?s)^.*?" + _FEATURES, "")
-    feature = F.concat(F.when(value.rlike(r"^\s*,"), member).otherwise(opened), F.lit(separator))
-    return ~value.rlike(r"^\s*\]"), feature, F.try_parse_json(feature).isNotNull()
-
-
-# per layout: whether a record is a feature, the feature's text, whether it is a whole one
-_CUT = {"first": _cut_first, "after": _cut_after, "last": _cut_last}
+def locate(path: str, layer: LayerIdentifier) -> Located:
+    """The layer, and where its first feature can begin.
+
+    Reads on until the ``features`` array opens or the first object ends.
+    """
+    with opened(path) as file:
+        text = file.read(_HEAD_BYTES)
+        base = first = len(_BOM) if text.startswith(_BOM) else 0
+        text = text[base:]
+        if not text.lstrip(_BETWEEN).startswith(b"{"):
+            raise NotVectorData(f"{path} is not GeoJSON.")
+        name = os.path.splitext(os.path.basename(path))[0]
+        at = depth = 0
+        begin = None
+        key = string = None
+        members = {}
+        while begin is None:
+            token = _TOKEN.search(text, at)
+            if token is None or token[0] == b'"':  # a string may end further on
+                more = file.read(max(_HEAD_BYTES, len(text)))
+                if not more:
+                    raise NotVectorData(f"{path} ends before its first feature does.")
+                kept = token.start() if token else len(text)
+                base, text, at = base + kept, text[kept:] + more, 0
+                continue
+            at, mark = token.end(), token[0]
+            if mark == b":" and depth == 1:
+                key, string = string, None
+            elif mark == b",":
+                key = None if depth == 1 else key
+            elif mark[:1] == b'"' and depth == 1:
+                string = mark
+                if key is not None:
+                    members[key], key = mark, None
+            elif mark in (b"{", b"["):
+                if mark == b"[" and depth == 1 and key == b'"features"':
+                    begin = base + at
+                depth, key = depth + 1, None
+            elif mark in (b"}", b"]"):
+                depth -= 1
+                if depth == 0:
+                    if members.get(b'"type"') != b'"Feature"':
+                        raise NotVectorData(f"{path} holds no features.")
+                    begin, members = first, {}
+        named = members.get(b'"name"')
+        name = json.loads(named) if named else name
+    chosen([name], layer, path)
+    return Located(name, str(begin))
+
+
+class _Nesting:
+    """Follows quotes and brackets from block to block."""
+
+    def __init__(self) -> None:
+        self.depth = 0
+        self.closed = False
+        self._in_string = False
+        self._slashes = 0
+
+    def feed(self, block: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where objects of the outermost level open and close in the block."""
+        letters = np.frombuffer(block, np.uint8)
+        quotes = np.flatnonzero(letters == 0x22)
+        if self._slashes or b"\\" in block:
+            quotes = self._unescaped(letters, quotes)
+        marks = np.flatnonzero((letters | 0x20 == 0x7B) | (letters | 0x20 == 0x7D))
+        outside = (np.searchsorted(quotes, marks) + self._in_string) % 2 == 0
+        marks = marks[outside]
+        kinds = letters[marks]
+        steps = np.where(kinds | 0x20 == 0x7B, 1, -1)
+        after = self.depth + np.cumsum(steps)
+        past = np.flatnonzero(after < 0)  # the array of features closes
+        if len(past):
+            self.closed = True
+            marks, kinds, steps, after = (one[: past[0]] for one in (marks, kinds, steps, after))
+        self._in_string = bool((len(quotes) + self._in_string) % 2)
+        self.depth = int(after[-1]) if len(after) else self.depth
+        return marks[(kinds == 0x7B) & (after - steps == 0)], marks[(kinds == 0x7D) & (after == 0)]
+
+    def _unescaped(self, letters: np.ndarray, quotes: np.ndarray) -> np.ndarray:
+        places = np.arange(len(letters))
+        other = np.maximum.accumulate(np.where(letters == 0x5C, -1, places))
+        # backslashes right before each place; a run may go on from the block before
+        before = np.concatenate([[-1], other])
+        runs = places - 1 - before[:-1] + np.where(before[:-1] < 0, self._slashes, 0)
+        self._slashes = int(len(letters) - 1 - other[-1] + (self._slashes if other[-1] < 0 else 0))
+        return quotes[runs[quotes] % 2 == 0]
+
+
+def features(path: str, key: str, start: int | None, stop: int | None) -> Iterator[str]:
+    """Texts of the features in a range that begins and ends between features."""
+    nesting = _Nesting()
+    held: list[bytes] = []  # what earlier blocks have of the feature that is open
+    with opened(path) as file:
+        for block in blocks(file, int(key) if start is None else start, stop):
+            was_open = nesting.depth > 0
+            opens, closes = (places.tolist() for places in nesting.feed(block))
+            if was_open:
+                opens.insert(0, 0)
+            done = 0
+            for first, last in zip(opens, closes):
+                _check_gap(path, block[done:first])
+                held.append(block[first : last + 1])
+                yield b"".join(held).decode("utf-8", "replace")
+                held, done = [], last + 1
+            if len(opens) > len(closes):
+                _check_gap(path, block[done : opens[-1]])
+                held.append(block[opens[-1] :])
+            elif not nesting.closed:
+                _check_gap(path, block[done:])
+            if nesting.closed:
+                return
+    if nesting.depth:
+        raise ValueError(f"{path} ends within a feature.")
+
+
+def _check_gap(path: str, gap: bytes) -> None:
+    if gap.strip(_BETWEEN):
+        raise ValueError(f"{path} has text between features: {gap.strip(_BETWEEN)[:40]!r}")
+
+
+def plan(path: str, key: str, step: int) -> list[tuple[int, int | None]]:
+    """Ranges of about ``step`` bytes; one pass that only looks at brackets."""
+    nesting = _Nesting()
+    at = int(key)
+    cuts = [at]
+    with opened(path) as file:
+        for block in blocks(file, at, None):
+            opens = nesting.feed(block)[0] + at
+            while len(later := opens[opens >= cuts[-1] + step]):
+                cuts.append(int(later[0]))
+            at += len(block)
+            if nesting.closed:
+                break
+    return list(zip(cuts, [*cuts[1:], None]))
+
+
+def layers(path: str) -> list[tuple[str, int]]:
+    """The file's layer and the number of its features."""
+    found = locate(path, None)
+    nesting, count = _Nesting(), 0
+    with opened(path) as file:
+        for block in blocks(file, int(found.key), None):
+            count += len(nesting.feed(block)[0])
+            if nesting.closed:
+                break
+    return [(found.layer_name, count)]
 
 
 def attributes(found: DataFrame) -> list[dict]:
@@ -171,7 +226,15 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str) -> DataFram
     members = [StructField("properties", texts)] if wanted else []
     if geom_field_name in schema.names:
         members.append(StructField("geometry", StringType()))
-    parsed = found.select(F.from_json("feature", StructType(members)).alias("f"))
+    # values of other types make a record corrupt too, so those are parsed again to tell
+    members.append(StructField(_CORRUPT, StringType()))
+    options = {"columnNameOfCorruptRecord": _CORRUPT}
+    parsed = found.select(
+        "path", "feature", F.from_json("feature", StructType(members), options).alias("f")
+    )
+    broken = F.col(f"f.{_CORRUPT}").isNotNull() & F.try_parse_json("feature").isNull()
+    message = F.concat(F.lit("A feature cannot be parsed in "), F.col("path"))
+    parsed = parsed.select(F.when(broken, F.raise_error(message)).otherwise(F.col("f")).alias("f"))
 
     def column(field: StructField) -> Column:
         if field.name == geom_field_name:
@@ -182,5 +245,8 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str) -> DataFram
     return parsed.select(*[column(field) for field in schema.fields])
 
 
+_CORRUPT = "_corrupt"
+
+
 def _raw_type(data_type: DataType) -> DataType:
     return data_type if isinstance(data_type, ArrayType) else StringType()

@@ -1,24 +1,33 @@
 """GML feature collections.
 
-The closing tag of a layer's feature element, such as ``</ogr:parcel>``, is the
-record separator, so the text source splits a file between features.
+A streaming parser finds the elements that stand for features. Features are then cut out
+between an element's opening and closing tag; a feature belongs to the byte range its
+opening tag begins in, so a large file is read by many tasks without a look at what is
+before.
 """
 
 from __future__ import annotations
 
+import codecs
+import json
+import os
 import re
+from collections.abc import Callable, Iterator
+from xml.parsers import expat
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
-from pyspark.sql.window import Window
 
 from featureframe.functions.coordinates import gml_wkb
-from featureframe.plans.catalog import select_layer
-from featureframe.session import settle
-from featureframe.sources.records import by_separator, probe, text_records, typed
-
-_MEMBER = re.compile(r"<((?:[\w.-]+:)?(?:featureMembers?|member))(?:\s[^>]*)?>\s*<([\w.:-]+)")
+from featureframe.plans.catalog import LayerIdentifier
+from featureframe.sources.layers import NotVectorData
+from featureframe.sources.records import Located, chosen, opened, typed
+
+# Elements features are wrapped in
+_WRAPPERS = ("member", "featureMember", "featureMembers")
+_READ_BYTES = 1 << 20
+_ENCODING = re.compile(rb"""<\?xml[^>]*?\sencoding\s*=\s*["']([\w.:-]+)["']""")
 # GML geometry elements
 _SHAPES = (
     "Point|LineString|Curve|Polygon|Surface|MultiPoint|MultiLineString|MultiCurve"
@@ -37,91 +46,120 @@ def _local(element: str) -> str:
     return element.rsplit(":", 1)[-1]
 
 
-def looker(layer: str | int | None):
-    """A probe for the feature element of a layer: the named one, or the n-th new one.
-
-    ``layout`` is the element features are wrapped in. Without a separator the layer
-    did not show in the first bytes and has to be searched for.
-    """
-
-    def look(path: str, head: str) -> dict:
-        found = _MEMBER.findall(head)
-        if not found:
-            raise ValueError(f"{path} is not GML.")
-        elements = list(dict.fromkeys(element for _, element in found))
-        if isinstance(layer, str):
-            named = [element for element in elements if _local(element) == layer]
-        else:
-            named = elements[layer or 0 :]
-        answer = {"layout": found[0][0], "layer_name": _local(elements[0])}
-        return answer | ({"layer_name": _local(named[0]), "separator": named[0]} if named else {})
-
-    return look
-
-
-def probe_files(sources: DataFrame, layer: str | int | None = None) -> DataFrame:
-    """Files with the feature element of the layer as separator; files without the layer are left out."""
-    probed = settle(probe(sources, looker(layer)))
-    seen = probed.filter("separator is not null or error is not null")
-    unseen = probed.filter("separator is null and error is null")
-    if layer is None or unseen.isEmpty():
-        return seen
-    elements = layers(unseen).select("path", "layer_name", "layer_index", "element")
-    searched = select_layer(elements, layer).withColumnRenamed("element", "separator")
-    return seen.unionByName(searched.drop("layer_index").join(unseen.select("path", "layout", "error"), "path"))
+def _encoding(path: str, head: bytes) -> str:
+    """The encoding the file declares; tags must be readable as ASCII in it."""
+    if head.startswith((codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)):
+        raise ValueError(f"{path} is UTF-16, which cannot be cut into features; store it as UTF-8.")
+    declared = _ENCODING.search(head[:1024])
+    return codecs.lookup(declared[1].decode("ascii")).name if declared else "utf-8"
 
 
-def layers(probed: DataFrame) -> DataFrame:
-    """``(path, layer_name, layer_index, element, feature_count)`` by one pass over the files.
+def _elements(path: str, enough: Callable[[dict[str, int]], bool]) -> tuple[dict[str, int], str]:
+    """How often each feature element occurs, in order of first appearance, and the encoding.
 
-    Layers are in order of first appearance: by the block of the file a record was
-    read from, then by its place in that block.
+    Reads on until ``enough`` says so, and always to the first feature.
     """
-    spark = probed.sparkSession
-
-    def read(wrapper: str, _: str | None, paths: list[str]) -> DataFrame:
-        many = _local(wrapper) == "featureMembers"  # one wrapper around all features
-        if many:
-            return _plural_layers(spark, wrapper, paths)
-        records = text_records(spark, paths, f"</{wrapper}>")
-        element = F.regexp_extract("value", rf"<{re.escape(wrapper)}(?:\s[^>]*)?>\s*<([\w.:-]+)", 1)
-        return records.select("path", "place", element.alias("element")).filter("element != ''")
-
-    found = by_separator(probed.withColumn("separator", F.lit(None).cast("string")), read)
-    counted = found.groupBy("path", "element").agg(
-        F.count("*").alias("feature_count"), F.min("place").alias("first")
-    )
-    # one row per layer of one file
-    order = Window.partitionBy("path").orderBy("first")
-    return counted.select(
-        "path",
-        F.substring_index("element", ":", -1).alias("layer_name"),
-        (F.row_number().over(order) - 1).alias("layer_index"),
-        "element",
-        "feature_count",
-    )
-
-
-def _plural_layers(spark: SparkSession, wrapper: str, paths: list[str]) -> DataFrame:
-    """Feature elements below one wrapper: those that carry an id right after their name."""
-    records = text_records(spark, paths, ">")
-    tag = F.regexp_extract("value", r"<([\w.:-]+)\s(?:[^<]*\s)?(?:[\w.-]+:id|fid)\s*=", 1)
-    geometry = F.substring_index("element", ":", -1).rlike(f"^(?:{_SHAPES}|\\w*(?:Ring|Patch|Segment))$")
-    elements = records.select("path", "place", tag.alias("element"))
-    return elements.filter((F.col("element") != "") & ~geometry)
-
-
-def features(probed: DataFrame) -> DataFrame | None:
-    """``(path, feature)`` with the text of one feature element per row, closing tag included."""
-    spark = probed.sparkSession
-
-    def read(_: str, element: str, paths: list[str]) -> DataFrame:
-        records = text_records(spark, paths, f"</{element}>")
-        text = F.regexp_extract("value", rf"(?s)<{re.escape(element)}[\s>].*", 0)
-        whole = F.concat(F.col("text"), F.lit(f"</{element}>"))
-        return records.select("path", text.alias("text")).filter("text != ''").select("path", whole.alias("feature"))
-
-    return by_separator(probed, read)
+    counts: dict[str, int] = {}
+    names: list[str] = []
+
+    def start(name: str, _: dict) -> None:
+        # features are grandchildren of the root, below a wrapper
+        if len(names) == 2 and _local(names[1]) in _WRAPPERS:
+            counts[name] = counts.get(name, 0) + 1
+        names.append(name)
+
+    parser = expat.ParserCreate()
+    parser.StartElementHandler = start
+    parser.EndElementHandler = lambda _: names.pop()
+    with opened(path) as file:
+        head = block = file.read(_READ_BYTES)
+        encoding = _encoding(path, head)
+        try:
+            while block and not (counts and enough(counts)):
+                parser.Parse(block, False)
+                block = file.read(_READ_BYTES)
+            if not block:
+                parser.Parse(b"", True)
+        except expat.ExpatError as error:
+            raise NotVectorData(f"{path} is not well-formed XML: {error}.") from None
+    if not counts:
+        raise NotVectorData(f"{path} is not GML.")
+    return counts, encoding
+
+
+def locate(path: str, layer: LayerIdentifier) -> Located:
+    """The layer's feature element, read on for until it is found."""
+
+    def enough(counts: dict[str, int]) -> bool:
+        if isinstance(layer, str):
+            return any(_local(element) == layer for element in counts)
+        return len(counts) > (layer or 0)
+
+    counts, encoding = _elements(path, enough)
+    elements = list(counts)
+    element = elements[chosen([_local(one) for one in elements], layer, path)]
+    return Located(_local(element), json.dumps([element, encoding]))
+
+
+def layers(path: str) -> list[tuple[str, int]]:
+    """Layers in order of first appearance with the number of their features."""
+    counts, _ = _elements(path, lambda _: False)
+    return [(_local(element), count) for element, count in counts.items()]
+
+
+def plan(path: str, key: str, step: int) -> list[tuple[int, int | None]]:
+    """Ranges of ``step`` bytes; any place will do."""
+    with opened(path) as file:
+        size = file.seek(0, os.SEEK_END) if hasattr(file, "seekable") else file.size()
+    starts = list(range(0, max(size, 1), step))
+    return list(zip(starts, [*starts[1:], None]))
+
+
+def features(path: str, key: str, start: int | None, stop: int | None) -> Iterator[str]:
+    """Texts of the feature elements whose opening tag begins in the range."""
+    element, encoding = json.loads(key)
+    name = re.escape(element.encode(encoding))
+    opening, closing = re.compile(rb"<" + name + rb"(?=[\s>/])"), re.compile(rb"</" + name + rb"\s*>")
+    with opened(path) as file:
+        base = start or 0
+        file.seek(base)
+        text, at = b"", 0
+
+        def more() -> bool:
+            nonlocal text, at, base
+            block = file.read(max(_READ_BYTES, len(text) - at))
+            base, text, at = base + at, text[at:] + block, 0
+            return bool(block)
+
+        while True:
+            found = opening.search(text, at)
+            if found is None:
+                # a tag may begin in the last bytes
+                at = max(at, len(text) - len(element) - 2)
+                if (stop is not None and base + at >= stop) or not more():
+                    return
+                continue
+            at = found.start()
+            if stop is not None and base + at >= stop:
+                return
+            end = _end_of(text, at, closing)
+            while end is None:
+                if not more():
+                    raise ValueError(f"{path} ends within a feature.")
+                end = _end_of(text, at, closing)
+            yield text[at:end].decode(encoding, "replace")
+            at = end
+
+
+def _end_of(text: bytes, at: int, closing: re.Pattern) -> int | None:
+    """Where the feature element that begins at ``at`` ends, if the text goes on that far."""
+    tag = text.find(b">", at)
+    if tag < 0:
+        return None
+    if text[tag - 1 : tag] == b"/":  # an element without content
+        return tag + 1
+    close = closing.search(text, tag)
+    return close.end() if close else None
 
 
 def attributes(found: DataFrame) -> list[dict]:
@@ -166,10 +204,16 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str) -> DataFram
     fid = F.nullif(F.regexp_extract("feature", _FID, 1), F.lit(""))
     columns = [fid.alias("fid")]
     if inner:
-        columns.append(F.from_xml("feature", texts, {"ignoreNamespace": "true"}).alias("f"))
+        with_corrupt = StructType([*texts.fields, StructField(_CORRUPT, StringType())])
+        options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": _CORRUPT}
+        columns += ["path", F.from_xml("feature", with_corrupt, options).alias("f")]
     if geom_field_name in schema.names:
         columns.append(F.nullif(F.regexp_extract("feature", _GEOMETRY, 0), F.lit("")).alias("shape"))
     parsed = found.select(*columns)
+    if inner:
+        message = F.concat(F.lit("A feature cannot be parsed in "), F.col("path"))
+        broken = F.col(f"f.{_CORRUPT}").isNotNull()
+        parsed = parsed.withColumn("f", F.when(broken, F.raise_error(message)).otherwise(F.col("f")))
 
     def column(field: StructField) -> Column:
         if field.name == geom_field_name:
@@ -178,3 +222,6 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str) -> DataFram
         return typed(raw, field.dataType).alias(field.name)
 
     return parsed.select(*[column(field) for field in schema.fields])
+
+
+_CORRUPT = "_corrupt"

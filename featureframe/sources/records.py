@@ -1,86 +1,158 @@
-"""Text files of features, cut into one record per feature by Spark's text source.
+"""Text files of features, cut into one record per feature inside the tasks.
 
-The text source splits files by byte range for any record separator, so one large
-file is read by many tasks. What separates features differs from file to file (white
-space, namespace prefixes); a probe of each file's first bytes finds it.
+A format module says where a file's features are (``locate``), where it can be cut
+(``plan``), and yields the features of a byte range (``features``). Files up to a size
+are read by the task Spark's listing packed them into. Larger ones are planned first, one
+row per range, and read by as many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Iterator
+from types import ModuleType
+from typing import BinaryIO, NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import DataType
 
-from featureframe.sources.layers import open_binary
-from featureframe.sources.listing import escaped
+from featureframe.plans.catalog import LayerIdentifier
+from featureframe.sources.layers import NotVectorData, absent, open_binary
 
-HEAD_BYTES = 1 << 20
+BLOCK_BYTES = 8 << 20
+_FEATURES_PER_BATCH = 2048
+_TEXT_PER_BATCH = 32 << 20
 
-PROBE_SCHEMA = StructType(
-    [
-        StructField("path", StringType()),
-        StructField("layer_name", StringType()),
-        StructField("layout", StringType()),
-        StructField("separator", StringType()),
-        StructField("error", StringType()),
-    ]
-)
+FEATURES = "path string, feature string"
+RANGES = "path string, layer_name string, key string, start long, stop long"
+FOUND = "path string, layer_index int, layer_name string, feature_count long, error string"
 
 
-def probe(sources: DataFrame, look: Callable[[str, str], dict]) -> DataFrame:
-    """What ``look(path, first text of the file)`` finds, one row per file."""
+class Located(NamedTuple):
+    """A layer of one text file; ``key`` is what its module needs to find its features."""
+
+    layer_name: str
+    key: str
+
+
+def opened(path: str) -> BinaryIO:
+    try:
+        return open_binary(path)
+    except FileNotFoundError:
+        raise absent(path) from None
+    except IsADirectoryError:
+        raise NotVectorData(f"{path} is a folder.") from None
+
+
+def blocks(file: BinaryIO, start: int, stop: int | None) -> Iterator[bytes]:
+    """The bytes from ``start`` up to ``stop`` or the end, a block at a time."""
+    file.seek(start)
+    while stop is None or start < stop:
+        block = file.read(BLOCK_BYTES if stop is None else min(BLOCK_BYTES, stop - start))
+        if not block:
+            return
+        start += len(block)
+        yield block
+
+
+def _located(module: ModuleType, path: str, layer: LayerIdentifier, mode: str) -> Located | None:
+    try:
+        return module.locate(path, layer)
+    except NotVectorData:
+        if mode == "FAILFAST":
+            raise
+        return None
+
+
+def _batches(path: str, features: Iterator[str]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([path] * len(held)), pa.array(held)], ["path", "feature"])
+
+    for feature in features:
+        held.append(feature)
+        size += len(feature)
+        if len(held) == _FEATURES_PER_BATCH or size >= _TEXT_PER_BATCH:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def whole_files(files: DataFrame, module: ModuleType, layer: LayerIdentifier, mode: str = "PERMISSIVE") -> DataFrame:
+    """``(path, feature)`` of the layer, every file read by one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_look(path, look) for path in batch["path"].to_pylist()]
-            arrays = [pa.array([row.get(name) for row in rows], pa.string()) for name in PROBE_SCHEMA.names]
-            yield pa.RecordBatch.from_arrays(arrays, names=PROBE_SCHEMA.names)
+            for path in batch["path"].to_pylist():
+                if found := _located(module, path, layer, mode):
+                    yield from _batches(path, module.features(path, found.key, None, None))
 
-    return sources.select("path").mapInArrow(run, PROBE_SCHEMA)
+    return files.select("path").mapInArrow(run, FEATURES)
 
 
-def _look(path: str, look: Callable[[str, str], dict]) -> dict:
-    try:
-        with open_binary(path) as file:
-            head = file.read(HEAD_BYTES).decode("utf-8", "replace")
-        return {"path": path, **look(path, head)}
-    except (FileNotFoundError, IsADirectoryError, ValueError) as error:
-        return {"path": path, "error": str(error)}
+def planned(files: DataFrame, module: ModuleType, layer: LayerIdentifier, step: int, mode: str) -> DataFrame:
+    """Ranges of about ``step`` bytes that begin and end between features."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch["path"].to_pylist():
+                if found := _located(module, path, layer, mode):
+                    starts, stops = zip(*module.plan(path, found.key, step))
+                    n = len(starts)
+                    columns = [[path] * n, [found.layer_name] * n, [found.key] * n]
+                    arrays = [*(pa.array(column) for column in columns), *(pa.array(c, pa.int64()) for c in (starts, stops))]
+                    yield pa.RecordBatch.from_arrays(arrays, ["path", "layer_name", "key", "start", "stop"])
 
-def text_records(spark: SparkSession, paths: list[str], separator: str) -> DataFrame:
-    """``(value, path, place)``: the text between separators.
+    return files.select("path").mapInArrow(run, RANGES)
 
-    ``place`` orders the records of a file: the block they were read from, then the
-    position in it.
-    """
-    reader = spark.read.option("lineSep", separator)
-    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
-    return reader.text([escaped(path) for path in paths]).select("value", file_path(), place.alias("place"))
 
+def ranged(ranges: DataFrame, module: ModuleType) -> DataFrame:
+    """``(path, feature)`` of planned ranges."""
 
-def file_path() -> Column:
-    """The file a row was read from, spelled as the listing spells it."""
-    uri = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return F.regexp_replace(F.url_decode(uri), "^file:/+", "/").alias("path")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from _batches(row["path"], module.features(row["path"], row["key"], row["start"], row["stop"]))
 
+    return ranges.select("path", "key", "start", "stop").mapInArrow(run, FEATURES)
 
-def by_separator(probed: DataFrame, read: Callable[[str, str, list[str]], DataFrame]) -> DataFrame | None:
-    """Union of ``read(layout, separator, paths)`` over the distinct ways files are laid out.
 
-    File names go through the driver, as they do for every Spark reader; file
-    contents do not.
-    """
-    readable = probed.filter(F.col("error").isNull())
-    groups = readable.groupBy("layout", "separator").agg(F.collect_list("path").alias("paths")).collect()
-    if not groups:
-        return None
-    frames = [read(row["layout"], row["separator"], sorted(row["paths"])) for row in groups]
-    return reduce(DataFrame.unionByName, frames)
+def found_layers(files: DataFrame, module: ModuleType, layer: LayerIdentifier = None, count: bool = False) -> DataFrame:
+    """``(path, layer_index, layer_name, feature_count, error)`` of every file: the layer asked for, or,
+    to ``count``, all of them with their features."""
+
+    def look(path: str) -> list[tuple]:
+        try:
+            if count:
+                return [(path, at, name, n, None) for at, (name, n) in enumerate(module.layers(path))]
+            return [(path, None, module.locate(path, layer).layer_name, None, None)]
+        except NotVectorData as error:
+            return [(path, None, None, None, str(error))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string()]
+        names = ["path", "layer_index", "layer_name", "feature_count", "error"]
+        for batch in batches:
+            rows = [row for path in batch["path"].to_pylist() for row in look(path)]
+            if rows:
+                arrays = [pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return files.select("path").mapInArrow(run, FOUND)
+
+
+def chosen(names: list[str], layer: LayerIdentifier, path: str) -> int:
+    """Place of the named layer, the layer at an index, or the first one."""
+    if isinstance(layer, str):
+        if layer not in names:
+            raise NotVectorData(f"{path} has no layer {layer!r}, only {names}.")
+        return names.index(layer)
+    if not 0 <= (layer or 0) < len(names):
+        raise NotVectorData(f"{path} has no layer {layer}, only {names}.")
+    return layer or 0
 
 
 def typed(text: Column, data_type: DataType) -> Column:

@@ -149,12 +149,12 @@ def test_rows_strategy_reads_one_chunk_per_partition(spark, tmp_path):
     assert sizes == [10] * 10
 
 
-def test_large_files_are_split_under_the_files_strategy(spark, tmp_path, monkeypatch):
+def test_large_files_are_split_under_the_files_strategy(spark, tmp_path):
     rows = [row(i, "x", 0.0, 0.0) for i in range(100)]
     write_layers(str(tmp_path / "a.gpkg"), {"first": rows})
     write_layers(str(tmp_path / "b.gpkg"), {"first": [row(i, "y" * 1000, 0.0, 0.0) for i in range(100, 400)]})
-    monkeypatch.setattr("featureframe.reader.WHOLE_FILE_BYTES", os.path.getsize(tmp_path / "a.gpkg"))
-    df = read_vector_files(str(tmp_path), suffix="gpkg", ideal_chunk_size=50, spark=spark)
+    whole = os.path.getsize(tmp_path / "a.gpkg")
+    df = read_vector_files(str(tmp_path), suffix="gpkg", ideal_chunk_size=50, spark=spark, split_bytes=whole)
     assert df.select("id").distinct().count() == df.count() == 400
     assert len(df.groupBy(F.spark_partition_id()).count().collect()) == 1 + 6
 

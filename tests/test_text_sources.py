@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from featureframe import describe_layers, read_vector_files
 from featureframe.functions.coordinates import geojson_to_wkb, gml_to_wkb
-from featureframe.sources.geojson import look
+from featureframe.sources import geojson, gml, records
 
 
 def feature(i: int, **properties) -> dict:
@@ -44,69 +44,72 @@ LAYOUTS = {
 }
 
 
+LAYOUTS["record separators"] = "".join(f"\x1e{json.dumps(item)}\n" for item in FEATURES)
+LAYOUTS["byte order mark"] = "\ufeff" + LAYOUTS["sequence"]
+LAYOUTS["type first in properties"] = document(
+    [{"type": "Feature", "properties": {"type": "Feature", **f["properties"]}, "geometry": f["geometry"]} for f in FEATURES]
+)
+LAYOUTS["differing order"] = document([dict(reversed(f.items())) if i % 2 else f for i, f in enumerate(FEATURES)])
+LAYOUTS["mixed white space"] = document(FEATURES).replace('}, {"type": "Feature"', '}\t,\n\n {"type" :"Feature"', 7)
+LAYOUTS["long first line"] = json.dumps({"id": "x" * (1 << 21), **FEATURES[0]}) + "\n" + "\n".join(map(json.dumps, FEATURES[1:]))
+LAYOUTS["long head"] = document(FEATURES, crs={"note": "{[" + "x" * (1 << 21)}, n=1)
+LAYOUTS["backslashes"] = document([{"note": "\\" * (i % 7) + '"', **f} for i, f in enumerate(FEATURES)])
+
+
 @pytest.mark.parametrize("layout", LAYOUTS)
-@pytest.mark.parametrize("split_bytes", ["128m", "1000b"])
-def test_geojson_layouts_and_splits(spark, tmp_path, layout, split_bytes):
+@pytest.mark.parametrize("split_bytes", [128 << 20, 1000])
+@pytest.mark.parametrize("block_bytes", [8 << 20, 37])
+def test_geojson_layouts_and_splits(spark, tmp_path, monkeypatch, layout, split_bytes, block_bytes):
+    if block_bytes == 37:  # in this process, where blocks can be made small
+        if len(LAYOUTS[layout]) > 1 << 20:
+            pytest.skip("takes long")
+        monkeypatch.setattr(records, "BLOCK_BYTES", block_bytes)
+        path = str(tmp_path / "a.geojson")
+        (tmp_path / "a.geojson").write_text(LAYOUTS[layout])
+        key = geojson.locate(path, None).key
+        ranges = geojson.plan(path, key, split_bytes)
+        found = [json.loads(text) for start, stop in ranges for text in geojson.features(path, key, start, stop)]
+        assert [(f["properties"]["id"], f["geometry"]) for f in found] == [
+            (f["properties"]["id"], f["geometry"]) for f in FEATURES
+        ]
+        assert geojson.layers(path)[0][1] == 300
+        return
     (tmp_path / "a.geojson").write_text(LAYOUTS[layout])
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
-    try:
-        df = read(spark, tmp_path, suffix="geojson")
-        rows = sorted(map(tuple, df.collect()))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert df.schema.simpleString() == "struct<id:int,name:string,value:double,geometry:binary>"
+    df = read(spark, tmp_path, suffix="geojson", split_bytes=split_bytes)
+    rows = sorted(map(tuple, df.select("id", "name", "value", "geometry").collect()))
     expected = []
     for i, item in enumerate(FEATURES):
         point = bytearray(struct.pack("<BIdd", 1, 1, i, -i)) if i % 5 else None
         expected.append((i, item["properties"]["name"], i / 4, point))
-    assert [tuple(row[df.columns.index(c)] for c in ("id", "name", "value", "geometry")) for row in rows] == expected
+    assert rows == expected
 
 
 def test_small_splits_really_split(spark, tmp_path):
     (tmp_path / "a.geojson").write_text(LAYOUTS["compact"])
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
-    try:
-        assert read(spark, tmp_path, suffix="geojson").rdd.getNumPartitions() > 10
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
-def turned(item: dict) -> dict:
-    return dict(reversed(item.items()))
+    assert read(spark, tmp_path, suffix="geojson", split_bytes=1000).rdd.getNumPartitions() > 10
 
 
 @pytest.mark.parametrize(
-    "features",
+    "text",
     [
-        [FEATURES[0], turned(FEATURES[1])],
-        [turned(FEATURES[0]), FEATURES[1]],
-        [{"id": 1, **FEATURES[0]}, {"id": 1, "properties": {}, "type": "Feature", "geometry": None}],
-        [{"id": 1, **FEATURES[0]}, turned(FEATURES[1])],
-        [turned(feature(1, sub={"type": "Feature"}))],
+        document(FEATURES[:3])[:-40],
+        document(FEATURES[:3]).replace('"geometry"', '"geometry":', 1),
+        "\n".join(map(json.dumps, FEATURES[:3])) + "\nnonsense",
     ],
 )
-def test_features_of_differing_member_order_are_not_lost(spark, tmp_path, features):
-    (tmp_path / "a.geojson").write_text(document(features))
-    with pytest.raises(Exception, match="differing member order"):
+def test_malformed_features_are_errors(spark, tmp_path, text):
+    (tmp_path / "a.geojson").write_text(text)
+    with pytest.raises(Exception, match="a.geojson"):
         read(spark, tmp_path, suffix="geojson", schema=StructType().add("id", "long")).collect()
 
 
-@pytest.mark.parametrize(
-    ("text", "layout"),
-    [
-        (LAYOUTS["compact"], "first"),
-        (LAYOUTS["sequence"], "first"),
-        (LAYOUTS["id before"], "after"),
-        (LAYOUTS["sorted"], "last"),
-        (LAYOUTS["other order"], "last"),
-        (LAYOUTS["other order per line"], "lines"),
-        (LAYOUTS["type in the middle"], "document"),
-        (document([]), "document"),
-    ],
-)
-def test_layout_of(text, layout):
-    assert look("a.geojson", text)["layout"] == layout
+def test_json_that_is_no_geojson_is_passed_over(spark, tmp_path):
+    (tmp_path / "a.geojson").write_text(document(FEATURES[:3]))
+    (tmp_path / "b.geojson").write_text('{"some": "json", "n": 1}')
+    (tmp_path / "c.geojson").write_text("[1, 2]")
+    assert read(spark, tmp_path, suffix="geojson").count() == 3
+    with pytest.raises(Exception, match="geojson"):
+        read(spark, tmp_path, suffix="geojson", mode="FAILFAST").count()
 
 
 def test_empty_collection(spark, tmp_path):
@@ -257,35 +260,50 @@ TOWNS = [gml_feature("town", i, f"<ogr:id>{i}</ogr:id><ogr:size>{i}.5</ogr:size>
 
 
 @pytest.mark.parametrize(("wrapper", "plural"), [("gml:featureMember", False), ("wfs:member", False), ("gml:featureMembers", True)])
-@pytest.mark.parametrize("split_bytes", ["128m", "1000b"])
+@pytest.mark.parametrize("split_bytes", [128 << 20, 1000])
 def test_gml(spark, tmp_path, wrapper, plural, split_bytes):
     (tmp_path / "a.gml").write_text(collection(*ROADS, *TOWNS, wrapper=wrapper, plural=plural))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
-    try:
-        roads = read(spark, tmp_path, suffix="gml")
-        assert roads.schema.simpleString() == "struct<fid:string,id:int,name:string,geometry:binary>"
-        assert sorted(map(tuple, roads.collect()), key=lambda r: r[1]) == [
-            (f"road.{i}", i, f"A & <{i}>", bytearray(struct.pack("<BIdd", 1, 1, i, 0))) for i in range(200)
-        ]
-        for layer in ("town", 1):
-            towns = read(spark, tmp_path, suffix="gml", layer_identifier=layer)
-            assert sorted(r["size"] for r in towns.collect()) == [i + 0.5 for i in range(50)]
-        catalog = describe_layers(str(tmp_path), suffix="gml", spark=spark).orderBy("layer_index")
-        assert [(r["layer_name"], r["feature_count"]) for r in catalog.collect()] == [("road", 200), ("town", 50)]
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
-def test_gml_layer_that_begins_after_the_probed_bytes(spark, tmp_path, monkeypatch):
-    import featureframe.sources.records as records
-
-    (tmp_path / "a.gml").write_text(collection(*ROADS, *TOWNS))
-    (tmp_path / "b.gml").write_text(collection(*ROADS))
-    monkeypatch.setattr(records, "HEAD_BYTES", 2000)
+    roads = read(spark, tmp_path, suffix="gml", split_bytes=split_bytes)
+    assert roads.schema.simpleString() == "struct<fid:string,id:int,name:string,geometry:binary>"
+    assert sorted(map(tuple, roads.collect()), key=lambda r: r[1]) == [
+        (f"road.{i}", i, f"A & <{i}>", bytearray(struct.pack("<BIdd", 1, 1, i, 0))) for i in range(200)
+    ]
+    for layer in ("town", 1):
+        towns = read(spark, tmp_path, suffix="gml", layer_identifier=layer, split_bytes=split_bytes)
+        assert sorted(r["size"] for r in towns.collect()) == [i + 0.5 for i in range(50)]
+    catalog = describe_layers(str(tmp_path), suffix="gml", spark=spark).orderBy("layer_index")
+    assert [(r["layer_name"], r["feature_count"]) for r in catalog.collect()] == [("road", 200), ("town", 50)]
+
+
+def test_gml_ranges_of_every_size(tmp_path, monkeypatch):
+    monkeypatch.setattr(gml, "_READ_BYTES", 50)
+    (tmp_path / "a.gml").write_text(collection(*ROADS[:20], *TOWNS[:5]))
+    path = str(tmp_path / "a.gml")
+    key = gml.locate(path, None).key
+    for step in (7, 100, 10_000):
+        found = [text for start, stop in gml.plan(path, key, step) for text in gml.features(path, key, start, stop)]
+        assert len(found) == 20 and all(text.startswith("<") and text.endswith(">") for text in found)
+
+
+def test_gml_that_begins_late(spark, tmp_path):
+    late = f"<!-- {'x' * (2 << 20)} -->"
+    (tmp_path / "a.gml").write_text(collection(*ROADS).replace("<gml:featureMember>", f"{late}<gml:featureMember>", 1))
+    (tmp_path / "b.gml").write_text(collection(*ROADS, *TOWNS))
+    assert read(spark, tmp_path, suffix="gml").count() == 400
     towns = read(spark, tmp_path, suffix="gml", layer_identifier="town", schema=StructType().add("size", "double"))
     assert towns.count() == 50
 
 
+def test_gml_in_its_declared_encoding(spark, tmp_path):
+    text = collection(gml_feature("road", 1, "<ogr:id>1</ogr:id><ogr:name>Straße é</ogr:name>"))
+    text = text.replace('<?xml version="1.0"?>', '<?xml version="1.0" encoding="ISO-8859-1"?>')
+    (tmp_path / "a.gml").write_bytes(text.encode("iso-8859-1"))
+    assert [row["name"] for row in read(spark, tmp_path, suffix="gml").collect()] == ["Straße é"]
+    (tmp_path / "b.gml").write_bytes(text.encode("utf-16"))
+    with pytest.raises(Exception, match="UTF-16"):
+        read(spark, tmp_path, suffix="gml").collect()
+
+
 def test_gml_files_with_differing_fields(spark, tmp_path):
     (tmp_path / "a.gml").write_text(collection(gml_feature("road", 1, "<ogr:id>1</ogr:id>")))
     (tmp_path / "b.gml").write_text(collection(gml_feature("road", 2, "<ogr:id>x</ogr:id><ogr:name>B</ogr:name>")))
