@@ -20,7 +20,7 @@ tie) towards 1; it is 1 where only one language was learned.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,23 +37,21 @@ UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 300_000
-_CODE_POINTS = 0x110000
 
 
-@dataclass
 class SuffixAutomaton:
-    """Transitions sorted by state and character: ``keys`` lead to ``targets``."""
+    """``step[state][letter]`` is the state after a letter; state 0 is before any."""
 
-    keys: list[int]
-    targets: list[int]
+    def __init__(self, step: list[dict[str, int]]):
+        self.step = step
 
     @classmethod
     def of(cls, text: str) -> SuffixAutomaton:
         """Built online: one state per class of substrings that end at the same places."""
-        step: list[dict[int, int]] = [{}]
+        step: list[dict[str, int]] = [{}]
         link, longest = [-1], [0]
         last = 0
-        for letter in map(ord, text):
+        for letter in text:
             new = len(step)
             step.append({})
             longest.append(longest[last] + 1)
@@ -76,34 +74,48 @@ class SuffixAutomaton:
                         at = link[at]
                     link[target] = link[new] = copy
             last = new
-        arcs = [(state * _CODE_POINTS + letter, to) for state, own in enumerate(step) for letter, to in sorted(own.items())]
-        return cls([key for key, _ in arcs], [to for _, to in arcs])
+        return cls(step)
+
+    def packed(self) -> tuple[np.ndarray, np.ndarray, str]:
+        """Arcs as flat arrays: where each starts and ends, and their letters."""
+        sizes = [len(own) for own in self.step]
+        targets = [target for own in self.step for target in own.values()]
+        letters = "".join(letter for own in self.step for letter in own)
+        return np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), np.array(targets, np.int32), letters
+
+    @classmethod
+    def unpacked(cls, starts: np.ndarray, targets: np.ndarray, letters: str) -> SuffixAutomaton:
+        step: list[dict[str, int]] = [{} for _ in range(int(targets.max()) + 1 if len(targets) else 1)]
+        for start, target, letter in zip(starts.tolist(), targets.tolist(), letters, strict=True):
+            step[start][letter] = target
+        return cls(step)
 
     def phrases(self, text: str) -> int:
         """Longest matches, one after another, that spell ``text``; an unknown character is one."""
-        count = state = 0
-        for letter in map(ord, text):
-            after = self._follow(state, letter)
-            if after is None and state:
-                count += 1
-                after = self._follow(0, letter)
+        step = self.step
+        begin = own = step[0]
+        count = 0
+        for letter in text:
+            after = own.get(letter)
             if after is None:
-                count += 1
-                after = 0
-            state = after
-        return count + (state != 0)
-
-    def _follow(self, state: int, letter: int) -> int | None:
-        key = state * _CODE_POINTS + letter
-        at = bisect_left(self.keys, key)
-        return self.targets[at] if at < len(self.keys) and self.keys[at] == key else None
+                # the phrase ends before the letter, and the next one begins with it
+                count += own is not begin
+                after = begin.get(letter)
+                if after is None:
+                    count += 1
+                    own = begin
+                    continue
+            own = step[after]
+        return count + (own is not begin)
 
 
 @dataclass
 class Model:
     languages: list[str]
-    #: Sorted transition keys and targets of each language's automaton.
-    arcs: list[tuple[np.ndarray, np.ndarray]]
+    #: Each language's automaton as flat arrays.
+    packed: list[tuple[np.ndarray, np.ndarray, str]]
+    #: Tells models apart where a worker keeps what it made of one.
+    name: str
 
 
 def _words(rows: DataFrame) -> DataFrame:
@@ -143,7 +155,7 @@ def train(docs: DataFrame, learn: Column) -> Model:
         vocabulary.setdefault(lang, []).append(word)
     languages = sorted(vocabulary)
     automata = [SuffixAutomaton.of(f" {' '.join(sorted(vocabulary[lang]))} ") for lang in languages]
-    return Model(languages, [(np.array(one.keys, np.int64), np.array(one.targets, np.int32)) for one in automata])
+    return Model(languages, [one.packed() for one in automata], uuid.uuid4().hex)
 
 
 class _Costs(dict):
@@ -151,7 +163,8 @@ class _Costs(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self._automata = [SuffixAutomaton(memoryview(keys), memoryview(targets)) for keys, targets in model.arcs]
+        self.name = model.name
+        self._automata = [SuffixAutomaton.unpacked(*one) for one in model.packed]
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= _REMEMBERED:
@@ -161,6 +174,16 @@ class _Costs(dict):
         return found
 
 
+_kept: list[_Costs] = []
+
+
+def _costs(model: Model) -> _Costs:
+    """What a Python worker knows of the model's words, kept from task to task."""
+    if not _kept or _kept[0].name != model.name:
+        _kept[:] = [_Costs(model)]
+    return _kept[0]
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score`` and ``phrases``, the phrases per character in each language."""
     spark = docs.sparkSession
@@ -169,7 +192,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         languages = shared.value.languages
-        costs = _Costs(shared.value)
+        costs = _costs(shared.value)
         for batch in batches:
             names, scores, rates = [], [], []
             for text in batch.column("text"):
