@@ -86,6 +86,19 @@ def existing(paths: list[str]) -> str | None:
     return next((path for path, info in zip(paths, found) if info.type == pafs.FileType.File), None)
 
 
+def folder_entries(path: str) -> Iterator[tuple[str, int | None]]:
+    """Full path and size of what is right inside a folder; a folder's size is None."""
+    if "://" not in path:
+        with os.scandir(path) as entries:
+            for entry in entries:
+                yield entry.path, None if entry.is_dir() else entry.stat().st_size
+        return
+    filesystem, name = filesystem_of(path.rstrip("/"))
+    for entry in filesystem.get_file_info(pafs.FileSelector(name)):
+        is_folder = entry.type == pafs.FileType.Directory
+        yield path.rstrip("/") + entry.path[len(name) :], None if is_folder else entry.size
+
+
 def list_folder(path: str, recursive: bool = False) -> list[tuple[str, int]]:
     """Full paths and sizes of the files in a folder, sorted by path."""
     filesystem, name = filesystem_of(path.rstrip("/"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import fnmatch
 import os
+import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -11,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureframe.session import active_session, metadata_tasks, settle
+from featureframe.sources.layers import folder_entries
 
 # File extension -> source that reads it
 SOURCE_BY_EXTENSION = {
@@ -52,15 +55,55 @@ def source_of(path: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), extension(path))
 
 
-def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """All files below a folder whose name matches; no file content is read."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+def _files(spark: SparkSession, root: str, glob: str, recursive: bool) -> DataFrame:
+    """Files in a folder, or also below it, whose name matches; no file content is read.
+
+    A flat listing names the matches, so Spark does not look into subfolders. Names that
+    begin with ``_`` or ``.``, which Spark leaves out, are added.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    # a path without a scheme is one of the mounted file system, whatever Spark's default is
+    place = escaped(root) if "://" in root else f"file://{escaped(root)}"
     try:
-        return reader.load(escaped(path)).select(local_path(F.col("path")).alias("path"), "length")
+        listed = reader.option("pathGlobFilter", glob).load(place) if recursive else reader.load(f"{place}/{glob}")
+        files = listed.select(local_path(F.col("path")).alias("path"), "length")
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise NotADirectoryError(f"{path} is not a folder.") from error
-        raise
+        if error.getCondition() != "PATH_NOT_FOUND" or (recursive and "://" in root):
+            raise
+        files = spark.createDataFrame([], "path string, length long")
+    hidden = list(_hidden_files(root, glob, recursive))
+    return files.unionByName(spark.createDataFrame(hidden, files.schema)) if hidden else files
+
+
+def _left_out(name: str) -> bool:
+    """Whether Spark leaves a file or folder out by its name."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
+
+
+def _hidden_files(root: str, glob: str, recursive: bool) -> Iterator[tuple[str, int]]:
+    """Matching files Spark leaves out, by their own name or a folder's."""
+    matches = re.compile(_as_regex(glob)).fullmatch
+    folders = [(root, False)]
+    while folders:
+        folder, inside = folders.pop()
+        for path, length in folder_entries(folder):
+            name = path.rsplit("/", 1)[-1]
+            hidden = inside or _left_out(name)
+            if length is None:
+                if recursive:
+                    folders.append((path, hidden))
+            elif hidden and matches(name):
+                yield path, length
+
+
+def _as_regex(glob: str) -> str:
+    """A pattern as Spark's globs have it, with alternatives in braces."""
+    parts = re.split(r"(\{[^{}]*\})", glob)
+    return "".join(
+        f"(?:{'|'.join(map(_as_regex, part[1:-1].split(',')))})" if part.startswith("{") and part.endswith("}")
+        else fnmatch.translate(part).removeprefix("(?s:").removesuffix(")\\Z").removesuffix(")\\z")
+        for part in parts if part
+    )
 
 
 def escaped(path: str) -> str:
@@ -81,7 +124,8 @@ def list_files(
     """``(path, length)`` of the files matching ``{pattern}.{suffix}`` in a folder."""
     session = active_session(spark)
     root = _check_folder(path)
-    files = _files(session, root, f"{pattern}.{suffix.strip('.')}")
+    files = _files(session, root, f"{pattern}.{suffix.strip('.')}", recursive)
+    # a folder whose name matches is listed too
     return files if recursive else files.filter(parent(F.col("path")) == root)
 
 
@@ -95,7 +139,7 @@ def list_folders(
     """``(path, length)`` of folders matching ``{pattern}.{suffix}`` that hold shapefiles."""
     session = active_session(spark)
     root = _check_folder(path)
-    members = _files(session, root, "*.{shp,SHP,dbf,DBF}").select(parent(F.col("path")).alias("path"), "length")
+    members = _files(session, root, "*.{shp,SHP,dbf,DBF}", True).select(parent(F.col("path")).alias("path"), "length")
     name = fnmatch.translate(f"{pattern}.{suffix.strip('.')}")
     matching = members.filter(base_name(F.col("path")).rlike(name)).filter(F.col("path") != root)
     if not recursive:

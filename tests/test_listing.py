@@ -62,3 +62,20 @@ def test_archive_paths(spark, prefix):
         "/vsigzip//a/first.gdb",
         "/vsigzip//a/second.gdb",
     ]
+
+
+def test_names_spark_leaves_out(spark, tmp_path):
+    for name in ("_a.gpkg", ".b.gpkg", "c.gpkg", "_d/e.gpkg", ".f/g/h.gpkg", "k=_1/i.gpkg", "_l.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True, parents=True)
+        (tmp_path / name).write_text("x")
+    assert names(list_files(str(tmp_path), suffix="gpkg", spark=spark)) == [".b.gpkg", "_a.gpkg", "c.gpkg"]
+    below = names(list_files(str(tmp_path), suffix="gpkg", recursive=True, spark=spark))
+    assert below == [".b.gpkg", "_a.gpkg", "c.gpkg", "e.gpkg", "h.gpkg", "i.gpkg"]
+    assert names(list_files(str(tmp_path), "_?", "{gpkg,txt}", spark=spark)) == ["_a.gpkg", "_l.txt"]
+
+
+def test_a_flat_listing_does_not_look_below(spark, tmp_path):
+    (tmp_path / "a.gpkg").write_text("x")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "b.gpkg").write_text("x")
+    assert list_files(str(tmp_path), suffix="gpkg", spark=spark).inputFiles() == [f"file://{tmp_path}/a.gpkg"]
