@@ -11,7 +11,7 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -21,8 +21,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from featureframe import describe_layers, read_vector_files
 from featureframe.functions import gpb
-from featureframe.functions.wkb import point_wkb, wkb_xy
-from featureframe.gpkg import computed_bounds, gpkg_bounds, gpkg_contents, gpkg_crs, read_gpkg_tables
+from featureframe.functions.wkb import point_wkb, wkb_bounds, wkb_xy
+from featureframe.gpkg import computed_bounds, gpkg_bounds, gpkg_contents, gpkg_crs, read_gpkg, read_gpkg_tables
 from featureframe.operators.schema import (
     add_missing_columns,
     conform,
@@ -30,9 +30,10 @@ from featureframe.operators.schema import (
     union_conformed,
 )
 from featureframe.plans.catalog import feature_counts, skipped_files
-from featureframe.plans.chunks import chunk_table, plan_chunks, total_chunks
-from featureframe.session import new_shared_folder, ship_package
-from featureframe.sources.listing import archive_paths, base_name, list_files, parent
+from featureframe.plans.chunks import id_ranges, with_dense_id
+from featureframe.session import new_shared_folder, settle, ship_package
+from featureframe.sources.listing import archive_paths, base_name, find_sources, list_files, parent
+from featureframe.sources.tasks import describe_sources
 from featureframe.testing.encode import gpb_boxed_points, gpb_points, write_vector_files
 from featureframe.types import declared_type_column, ogr_type_column
 
@@ -40,7 +41,7 @@ PART_ROWS = 1000
 FLAT_PART_ROWS = 3000
 EVENT_FILE_ROWS = 5000
 ORDER_FILE_ROWS = 20_000
-CHUNK = 1000
+CHUNK_OF_LAYER = 250
 
 _folders: dict[tuple[str, str, str], str] = {}
 
@@ -278,21 +279,23 @@ def q_feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.groupBy("layer_name").agg(F.sum("feature_count").alias("feature_count"))
 
 
-def _lineitem_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _table(spark, sf_dir, "lineitem")
-    return lineitem.groupBy(F.col("l_returnflag").alias("layer_name")).agg(F.count("*").alias("feature_count"))
+def _event_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranges a read of all layers of the event files is cut into."""
+    sources = find_sources(_event_files(spark, sf_dir), suffix="gpkg", spark=spark)
+    return id_ranges(settle(describe_sources(sources.names(), CHUNK_OF_LAYER)), CHUNK_OF_LAYER)
 
 
 def q_plan_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan_chunks(_lineitem_layers(spark, sf_dir), CHUNK)
+    return _event_ranges(spark, sf_dir).select(_file_name(), "layer_name", "start", "stop")
 
 
 def q_total_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return total_chunks(_lineitem_layers(spark, sf_dir), CHUNK)
+    return _event_ranges(spark, sf_dir).agg(F.count("*").alias("total_chunks"))
 
 
 def q_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_table(_lineitem_layers(spark, sf_dir), CHUNK, ["layer_name"])
+    ordered = settle(_event_ranges(spark, sf_dir).orderBy("path", "layer_name", "start"))
+    return with_dense_id(ordered, "id").select(_file_name(), "layer_name", "id", "start", "stop")
 
 
 def q_read_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,6 +341,53 @@ def q_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_xy(read_vector_files(folder, suffix="geojson", schema=schema, spark=spark))
 
 
+def _geojson_variant(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    schema = StructType.fromDDL("id bigint, category string, geometry binary")
+    folder = _customer_files(spark, sf_dir, kind, "geojson")
+    return _with_xy(read_vector_files(folder, suffix="geojson", schema=schema, spark=spark))
+
+
+def q_geojson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _geojson_variant(spark, sf_dir, "geojson-lines")
+
+
+def q_geojson_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _geojson_variant(spark, sf_dir, "geojson-sequence")
+
+
+def q_geojson_nested_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _geojson_variant(spark, sf_dir, "geojson-nested")
+
+
+def _shapes(spark: SparkSession, sf_dir: str, shape: Column, label: str) -> DataFrame:
+    """Length and bounds of the customers' shapes, from GeoPackages, shapefiles and GeoJSON in turn."""
+    customers = _customers(spark, sf_dir).withColumn("layer", F.lit("shapes")).withColumn("shape", shape)
+    frames = []
+    for at, (kind, extension) in enumerate((("geopackage", "gpkg"), ("shapefile", "shp"), ("geojson", "geojson"))):
+
+        def write(folder: str) -> None:
+            name = F.concat(F.lit("part_"), _part("id", PART_ROWS), F.lit(f".{extension}"))
+            own = customers.filter(F.col("id") % 3 == at)
+            write_vector_files(own.select("layer", "fid", "x", "y", "shape", "id", name.alias("file")), folder, kind)
+
+        schema = StructType.fromDDL("id bigint, geometry binary")
+        folder = _once(spark, sf_dir, f"{label}-{kind}", write)
+        frames.append(read_vector_files(folder, suffix=extension, schema=schema, spark=spark))
+    box = wkb_bounds(F.col("geometry"))
+    corners = [F.col("box").getItem(i).alias(name) for i, name in enumerate(("min_x", "max_x", "min_y", "max_y"))]
+    rows = reduce(DataFrame.unionByName, frames).select("id", F.length("geometry").alias("bytes"), box.alias("box"))
+    return rows.select("id", "bytes", *corners)
+
+
+def q_read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vertices = F.concat(F.lit("line:"), (2 + F.col("id") % 4).cast("string"))
+    return _shapes(spark, sf_dir, vertices, "customer-lines")
+
+
+def q_read_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shapes(spark, sf_dir, F.lit("polygon"), "customer-polygons")
+
+
 def q_gml(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = StructType.fromDDL("id bigint, category string, geometry binary")
     folder = _customer_files(spark, sf_dir, "gml", "gml")
@@ -370,6 +420,16 @@ def q_skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- schema ----------------------------------------------------------------
 
 
+def q_read_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, name and type of every column of a read, as its rows have them."""
+    rows = read_vector_files(_customer_files(spark, sf_dir, "shapefile", "shp"), suffix="shp", spark=spark)
+    columns = [
+        F.struct(F.lit(at).alias("pos"), F.lit(name).alias("name"), F.typeof(name).alias("spark_type"))
+        for at, name in enumerate(rows.columns)
+    ]
+    return rows.select(F.inline(F.array(*columns))).groupBy("pos", "name", "spark_type").agg(F.count("*").alias("n"))
+
+
 def q_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _customer_files(spark, sf_dir, "shapefile", "shp")
     catalog = describe_layers(folder, suffix="shp", spark=spark)
@@ -444,6 +504,35 @@ def q_user_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- GeoPackage ------------------------------------------------------------
 
 
+def _layer_files(spark: SparkSession, sf_dir: str) -> str:
+    """Files of customers; those in debt come in files of their own, without the balance."""
+
+    def write(folder: str) -> None:
+        rows = _customers(spark, sf_dir).withColumn("layer", F.lit("points"))
+        for name, kept in (("a_", "x >= 0"), ("b_", "x < 0")):
+            own = rows.filter(kept).withColumn("file", F.concat(F.lit(name), _part("id", PART_ROWS), F.lit(".gpkg")))
+            write_vector_files(own.withColumn("balance", F.col("x")) if name == "a_" else own, folder, "geopackage")
+
+    return _once(spark, sf_dir, "customer-columns", write)
+
+
+def q_read_gpkg_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = list_files(_layer_files(spark, sf_dir), suffix="gpkg", spark=spark)
+    return read_gpkg_tables(paths, "points").select("id", "category", "balance")
+
+
+def q_read_gpkg_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file through the reader of one file, by turns its first layer and a named one."""
+    paths = [row["path"] for row in list_files(_order_files(spark, sf_dir), suffix="gpkg", spark=spark).collect()]
+    frames = [
+        read_gpkg(path, drop_gpb_header=bool(at % 2), layer_name="orders" if at % 2 else None, spark=spark)
+        for at, path in enumerate(sorted(paths))
+    ]
+    rows = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames)
+    point = wkb_xy("wkb_geometry").alias("p")
+    return rows.select("feature_id", "id", "category", point).select("feature_id", "id", "category", "p.x", "p.y")
+
+
 def q_read_gpkg(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = list_files(_order_files(spark, sf_dir), suffix="gpkg", spark=spark)
     split = gpb.split_geometry(read_gpkg_tables(paths, "orders", 7000))
@@ -519,11 +608,16 @@ _LAYER_RANK = (
     "select event_id, user_id from (select event_id, user_id,"
     " dense_rank() over (partition by event_id // 5000 order by event_type) r from events) where r = "
 )
-_CHUNKS = (
-    "with c as (select l_returnflag layer_name, count(*) n from lineitem group by 1),"
-    " r as (select layer_name, n, unnest(range(0, n, 1000)) s from c) "
+# layers whose ids are sparse are cut at every 250th row, others at every 250th id
+_RANGES = (
+    "with e as (select 'events_' || (event_id // 5000) || '.gpkg' as file_name, event_type as layer_name, event_id i"
+    " from events), l as (select file_name, layer_name, count(*) n, min(i) lo, max(i) hi from e group by 1, 2),"
+    " s as (select file_name, layer_name, i, hi from (select e.*, n, lo, hi, row_number() over"
+    " (partition by file_name, layer_name order by i) - 1 k from e join l using (file_name, layer_name))"
+    " where hi - lo + 1 > 4 * n and k % 250 = 0 union all select file_name, layer_name, unnest(range(lo, hi + 1, 250)),"
+    " hi from l where hi - lo + 1 <= 4 * n), r as (select file_name, layer_name, i as start, coalesce(lead(i) over"
+    " (partition by file_name, layer_name order by i), hi + 1) as stop from s) "
 )
-_STOP = 's as "start", case when s + 1000 >= n then n + 1 else s + 1000 end as stop from r'
 _TYPES = (
     "(0,0,'int'),(0,1,'boolean'),(0,2,'smallint'),(1,0,'array<int>'),(1,1,'array<boolean>'),(1,2,'array<smallint>'),"
     "(2,0,'double'),(2,3,'float'),(3,0,'array<double>'),(3,3,'array<float>'),(4,0,'string'),(4,4,'string'),"
@@ -555,12 +649,10 @@ def _reader_sql() -> dict[str, str]:
         "q_layer_by_index": _LAYER_RANK + "2",
         "q_first_layer": _LAYER_RANK + "1",
         "q_feature_counts": "select event_type as layer_name, count(*) as feature_count from events group by 1",
-        "q_plan_chunks": _CHUNKS + "select layer_name, " + _STOP,
-        "q_total_chunks": "select cast(sum(ceil(n / 1000.0)) as bigint) as total_chunks"
-        " from (select l_returnflag, count(*) n from lineitem group by 1)",
-        "q_chunk_table": _CHUNKS
-        + "select layer_name, cast(row_number() over (order by layer_name, s) - 1 as bigint) as id, "
-        + _STOP,
+        "q_plan_chunks": _RANGES + "select * from r",
+        "q_total_chunks": _RANGES + "select count(*) as total_chunks from r",
+        "q_chunk_table": _RANGES
+        + "select file_name, layer_name, row_number() over (order by file_name, layer_name, start) - 1 as id, start, stop from r",
         "q_read_files": _ORDER_POINTS,
         "q_read_rows": _ORDER_POINTS,
         "q_read_rows_sparse": _CUSTOMER_POINTS,
@@ -568,6 +660,20 @@ def _reader_sql() -> dict[str, str]:
         "q_read_shapefile_rows": _CUSTOMER_POINTS,
         "q_read_shapefile_folder": _CUSTOMER_POINTS + " where c_mktsegment = 'MACHINERY'",
         "q_geojson": _CUSTOMER_POINTS,
+        "q_geojson_lines": _CUSTOMER_POINTS,
+        "q_geojson_sequence": _CUSTOMER_POINTS,
+        "q_geojson_nested_type": _CUSTOMER_POINTS,
+        "q_read_lines": "select c_custkey id, (9 + 16 * n)::int as bytes, c_acctbal min_x, c_acctbal + (n - 1) max_x,"
+        " c_custkey::double - (n - 1) min_y, c_custkey::double max_y"
+        " from (select *, 2 + c_custkey % 4 as n from customer)",
+        "q_read_polygons": "select c_custkey id, 177 as bytes, c_acctbal min_x, c_acctbal + 4 max_x,"
+        " c_custkey::double min_y, c_custkey::double + 4 max_y from customer",
+        "q_read_gpkg_mixed": "select c_custkey id, c_name category, case when c_acctbal >= 0 then c_acctbal end balance"
+        " from customer",
+        "q_read_gpkg_layer": "select o_orderkey feature_id, o_orderkey id, o_orderpriority category, o_totalprice x,"
+        " o_custkey::double y from orders",
+        "q_read_schema": "select t.pos, t.name, t.spark_type, count(*) as n from customer, (values (0, 'id', 'bigint'),"
+        " (1, 'category', 'string'), (2, 'geometry', 'binary')) t(pos, name, spark_type) group by all",
         "q_gml": _CUSTOMER_POINTS,
         "q_wkb_points": "select o_orderkey id, o_totalprice x, o_custkey::double y from orders",
         "q_null_geometry": "select c_custkey id, c_acctbal < 0 as is_null from customer",

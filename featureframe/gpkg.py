@@ -134,12 +134,31 @@ def gpkg_contents(paths: DataFrame) -> DataFrame:
 def gpkg_crs(paths: DataFrame) -> DataFrame:
     """``(path, layer_name, srs_id, definition)`` of every layer of every file.
 
-    Both sides come from the same files, so they grow with the number of files; the
-    join is left to Spark, which broadcasts when the run-time size allows.
+    Both tables are in the same file, so each file joins its own.
     """
-    contents = gpkg_contents(paths).select("path", F.col("table_name").alias("layer_name"), "srs_id")
-    systems = _small_table(paths, "gpkg_spatial_ref_sys", _SRS)
-    return contents.join(systems, ["path", "srs_id"]).select("path", "layer_name", "srs_id", "definition")
+    tables = ("gpkg_contents", "gpkg_spatial_ref_sys")
+    query = (
+        "select c.table_name, c.srs_id, s.definition from gpkg_contents c"
+        " join gpkg_spatial_ref_sys s on s.srs_id = c.srs_id order by c.rowid"
+    )
+    schema = StructType.fromDDL("path string, layer_name string, srs_id int, definition string")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch["path"].to_pylist():
+                try:
+                    rows = geopackage.answers(path, query, tables)
+                except Exception as error:
+                    if not_vector_data(error):
+                        continue
+                    raise
+                columns = list(zip(*((path, *row) for row in rows)))
+                if columns:
+                    kinds = (pa.string(), pa.string(), pa.int32(), pa.string())
+                    arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return few_partitions(paths).select("path").mapInArrow(read, schema)
 
 
 def gpkg_bounds(paths: DataFrame) -> DataFrame:

@@ -88,6 +88,12 @@ def identifier(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def answers(path: str, query: str, tables: tuple[str, ...]) -> list[tuple]:
+    """Rows of a query on metadata tables; none where the file lacks one of them."""
+    with closing(connect(path)) as db:
+        return db.execute(query).fetchall() if _tables(db).issuperset(tables) else []
+
+
 def _tables(db: sqlite3.Connection) -> set[str]:
     return {name for (name,) in db.execute("select name from sqlite_master where type in ('table', 'view')")}
 

@@ -1,7 +1,7 @@
 """Write a DataFrame as a folder of vector files, each file by one task.
 
 Columns ``file``, ``layer``, ``fid``, ``x`` and ``y`` (null for no geometry) place a
-row; all other columns become attributes. The caller bounds the rows of a file
+row, ``shape`` makes it ``line:<vertices>`` or ``polygon`` in place of a point; all other columns become attributes. The caller bounds the rows of a file
 through the ``file`` column. Files appear under their final name only when complete.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql.types import BinaryType
 from featureframe.functions.gpb import ENVELOPE_BYTES
 from featureframe.functions.wkb import encode_points
 
-PLACING = ("file", "layer", "fid", "x", "y", "srs_id", "definition")
+PLACING = ("file", "layer", "fid", "x", "y", "shape", "srs_id", "definition")
 SRS_ID = 27700
 _SQLITE = {
     "bigint": "INTEGER",
@@ -49,6 +49,55 @@ def gpb_point(x: float, y: float, srs_id: int = SRS_ID, code: int = 1, little: b
     return head + struct.pack("<BIdd", 1, 1, x, y)
 
 
+def parts_of(row: dict) -> list[list[tuple[float, float]]]:
+    """The vertices of a row's line, or of its polygon's outer ring (clockwise) and hole."""
+    x, y, shape = row["x"], row["y"], row["shape"]
+    if shape.startswith("line:"):
+        return [[(x + i, y - i) for i in range(int(shape.removeprefix("line:")))]]
+
+    def ring(low: float, size: float) -> list[tuple[float, float]]:
+        left, bottom = x + low, y + low
+        return [(left, bottom), (left, bottom + size), (left + size, bottom + size), (left + size, bottom), (left, bottom)]
+
+    return [ring(0.0, 4.0), ring(1.0, 2.0)[::-1]]
+
+
+def _packed(part: list[tuple[float, float]]) -> bytes:
+    return struct.pack(f"<{2 * len(part)}d", *(value for vertex in part for value in vertex))
+
+
+def _box(parts: list[list[tuple[float, float]]]) -> tuple[float, float, float, float]:
+    xs, ys = zip(*parts[0])
+    return min(xs), max(xs), min(ys), max(ys)
+
+
+def gpb_shape(row: dict, srs_id: int) -> bytes:
+    """One GPB line or polygon with its envelope."""
+    parts = parts_of(row)
+    runs = [struct.pack("<I", len(part)) + _packed(part) for part in parts]
+    body = struct.pack("<BI", 1, 2) + runs[0] if len(runs) == 1 else struct.pack("<BII", 1, 3, len(runs)) + b"".join(runs)
+    return b"GP" + struct.pack("<BBi4d", 0, 3, srs_id, *_box(parts)) + body
+
+
+def _shape_record(row: dict) -> bytes:
+    """One line or polygon as a shapefile has it."""
+    parts = parts_of(row)
+    min_x, max_x, min_y, max_y = _box(parts)
+    firsts = np.cumsum([0, *(len(part) for part in parts[:-1])]).astype("<i4").tobytes()
+    counts = struct.pack("<2i", len(parts), sum(map(len, parts)))
+    head = struct.pack("<i4d", 3 if len(parts) == 1 else 5, min_x, min_y, max_x, max_y)
+    return head + counts + firsts + b"".join(map(_packed, parts))
+
+
+def _geojson_geometry(row: dict) -> dict | None:
+    if row["x"] is None:
+        return None
+    if not row.get("shape"):
+        return {"type": "Point", "coordinates": [row["x"], row["y"]]}
+    parts = parts_of(row)
+    return {"type": "LineString", "coordinates": parts[0]} if len(parts) == 1 else {"type": "Polygon", "coordinates": parts}
+
+
 @F.arrow_udf(BinaryType())
 def gpb_points(x: pa.Array, y: pa.Array, code: pa.Array) -> pa.Array:
     """GPB points from coordinate columns; ``code`` is the envelope code, null x gives null."""
@@ -121,7 +170,7 @@ def _geopackage(path: str, rows: list[dict], attributes: list[tuple[str, str]])
             db.execute(f'create table "{layer}" (feature_id INTEGER primary key, geom POINT{columns})')
             srs_id = found[0].get("srs_id", SRS_ID)
             values = [
-                (row["fid"], None if row["x"] is None else gpb_point(row["x"], row["y"], srs_id))
+                (row["fid"], _gpb_blob(row, srs_id))
                 + tuple(row[name] for name, _ in attributes)
                 for row in found
             ]
@@ -138,12 +187,23 @@ def _geopackage(path: str, rows: list[dict], attributes: list[tuple[str, str]])
         db.commit()
 
 
+def _gpb_blob(row: dict, srs_id: int) -> bytes | None:
+    if row["x"] is None:
+        return None
+    return gpb_shape(row, srs_id) if row.get("shape") else gpb_point(row["x"], row["y"], srs_id)
+
+
 def shapefile_parts(rows: list[dict], attributes: list[tuple[str, str]]) -> dict[str, bytes]:
-    """``.shp``, ``.shx``, ``.dbf`` and ``.cpg`` bytes of a point layer."""
-    shapes = [
-        struct.pack("<i", 0) if row["x"] is None else struct.pack("<idd", 1, row["x"], row["y"]) for row in rows
-    ]
-    return shape_parts(shapes, 1) | {".dbf": table_part(rows, attributes), ".cpg": b"UTF-8"}
+    """``.shp``, ``.shx``, ``.dbf`` and ``.cpg`` bytes of a layer."""
+
+    def record(row: dict) -> bytes:
+        if row["x"] is None:
+            return struct.pack("<i", 0)
+        return _shape_record(row) if row.get("shape") else struct.pack("<idd", 1, row["x"], row["y"])
+
+    shapes = [record(row) for row in rows]
+    kinds = [int.from_bytes(shape[:4], "little") for shape in shapes]
+    return shape_parts(shapes, max(kinds, default=1) or 1) | {".dbf": table_part(rows, attributes), ".cpg": b"UTF-8"}
 
 
 def shape_parts(shapes: list[bytes], shape_type: int) -> dict[str, bytes]:
@@ -177,7 +237,9 @@ def table_part(rows: list[dict], attributes: list[tuple[str, str]], deleted: set
     width = 1 + sum(size for _, size, _ in kinds)
     head = struct.pack("<4BIHH20x", 3, 120, 1, 1, len(rows), 33 + 32 * len(attributes), width)
     for (name, _), (code, size, decimals) in zip(attributes, kinds):
-        head += struct.pack("<11sc4xBB14x", name.encode()[:10], code, size, decimals)
+        if len(name.encode()) > 10:
+            raise ValueError(f"{name} is longer than the 10 bytes a field name has.")
+        head += struct.pack("<11sc4xBB14x", name.encode(), code, size, decimals)
     lines = []
     for ordinal, row in enumerate(rows):
         cells = [b"*" if ordinal in deleted else b" "]
@@ -194,7 +256,10 @@ def _cell(value: object, code: bytes, size: int) -> bytes:
         return repr(value).encode().rjust(size)
     if code == b"D":
         return value.strftime("%Y%m%d").encode()
-    return str(value).encode("utf-8").ljust(size)
+    text = str(value).encode("utf-8")
+    if len(text) > size:
+        raise ValueError(f"{value!r} is longer than the {size} bytes of its field.")
+    return text.ljust(size)
 
 
 def write_shapefile(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
@@ -229,24 +294,45 @@ def write_archive(target: str, rows: list[dict], attributes: list[tuple[str, str
     _put(target, write)
 
 
-def write_geojson(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
-    features = [
-        json.dumps(
-            {
-                "type": "Feature",
-                "properties": {name: row[name] for name, _ in attributes},
-                "geometry": None if row["x"] is None else {"type": "Point", "coordinates": [row["x"], row["y"]]},
-            }
-        )
+def _geojson_features(rows: list[dict], attributes: list[tuple[str, str]], **leading: object) -> list[dict]:
+    return [
+        {
+            "type": "Feature",
+            "properties": {**leading, **{name: row[name] for name, _ in attributes}},
+            "geometry": _geojson_geometry(row),
+        }
         for row in rows
     ]
+
+
+def write_geojson(target: str, rows: list[dict], attributes: list[tuple[str, str]], **leading: object) -> None:
+    features = map(json.dumps, _geojson_features(rows, attributes, **leading))
     text = '{"type": "FeatureCollection", "name": ' + json.dumps(rows[0]["layer"]) + ', "features": [\n'
     _put(target, lambda path: _dump(path, (text + ",\n".join(features) + "\n]}\n").encode()))
 
 
+def write_geojson_nested(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
+    """Features whose first property reads like the beginning of a feature."""
+    write_geojson(target, rows, attributes, type="Feature")
+
+
+def write_geojson_lines(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
+    """One feature per line, the first one longer than 1 MiB before its type comes."""
+    first, *rest = _geojson_features(rows, attributes)
+    lines = map(json.dumps, [{"id": "x" * (5 << 18), **first}, *rest])
+    _put(target, lambda path: _dump(path, ("\n".join(lines) + "\n").encode()))
+
+
+def write_geojson_sequence(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
+    """Features that each begin with a record separator and may go over several lines."""
+    features = _geojson_features(rows, attributes)
+    _put(target, lambda path: _dump(path, "".join(f"\x1e{json.dumps(one, indent=1)}\n" for one in features).encode()))
+
+
 def write_gml(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
     namespaces = 'xmlns:ogr="http://ogr.maptools.org/" xmlns:gml="http://www.opengis.net/gml"'
-    lines = ['<?xml version="1.0" encoding="utf-8" ?>', f"<ogr:FeatureCollection {namespaces}>"]
+    late = f"<!-- {'x' * (5 << 18)} -->"  # the first feature comes after 1 MiB
+    lines = ['<?xml version="1.0" encoding="utf-8" ?>', f"<ogr:FeatureCollection {namespaces}>", late]
     for row in rows:
         layer = row["layer"]
         values = "".join(f"<ogr:{n}>{escape(str(row[n]))}</ogr:{n}>" for n, _ in attributes if row[n] is not None)
@@ -265,5 +351,8 @@ WRITERS = {
     "shapefile": write_shapefile,
     "archive": write_archive,
     "geojson": write_geojson,
+    "geojson-lines": write_geojson_lines,
+    "geojson-nested": write_geojson_nested,
+    "geojson-sequence": write_geojson_sequence,
     "gml": write_gml,
 }
