@@ -557,9 +557,11 @@ def q_gpkg_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_computed_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    y = F.col("c_custkey").cast("double")
+    """Customers in debt have empty geometries, whose corners are no numbers."""
+    empty = F.col("c_acctbal") < 0
+    x, y = (F.when(empty, float("nan")).otherwise(F.col(name).cast("double")) for name in ("c_acctbal", "c_custkey"))
     customer = _table(spark, sf_dir, "customer").select(
-        F.col("c_mktsegment").alias("layer_name"), gpb_boxed_points("c_acctbal", y).alias("geom")
+        F.col("c_mktsegment").alias("layer_name"), gpb_boxed_points(x, y).alias("geom")
     )
     return computed_bounds(customer, ["layer_name"])
 
@@ -705,7 +707,7 @@ def _reader_sql() -> dict[str, str]:
         "q_gpkg_bounds": f"select {_PART_FILE} as file_name, c_mktsegment layer_name, min(c_acctbal) min_x,"
         " min(c_custkey)::double min_y, max(c_acctbal) max_x, max(c_custkey)::double max_y from customer group by 1, 2",
         "q_computed_bounds": "select c_mktsegment layer_name, min(c_acctbal) min_x, min(c_custkey)::double min_y,"
-        " max(c_acctbal) max_x, max(c_custkey)::double max_y from customer group by 1",
+        " max(c_acctbal) max_x, max(c_custkey)::double max_y from customer where c_acctbal >= 0 group by 1",
         "q_split_geometry": "select o_orderkey, 21 wkb_len, o_totalprice x, o_custkey::double y from orders",
         "q_unpack_header": "select o_orderkey, 'GP' magic, 0 as version, '00000011' flags, 27700 srs_id,"
         " o_totalprice min_x, o_totalprice max_x, o_custkey::double min_y, o_custkey::double max_y from orders",

@@ -114,7 +114,8 @@ def read_vector_files(
         ]
     for kind in sorted(sources.kinds & TEXT_SOURCES.keys()):
         found = _text_features(sources, kind, layer_identifier, mode, split_bytes)
-        frames.append(TEXT_SOURCES[kind].read(found, schema, geom_field_name))
+        strict = inferred and not coerce_to_schema
+        frames.append(TEXT_SOURCES[kind].read(found, schema, geom_field_name, strict))
     return reduce(DataFrame.union, frames) if frames else session.createDataFrame([], schema)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructField, Stru
 from featureframe.functions.coordinates import geojson_wkb
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData
-from featureframe.sources.records import Located, blocks, chosen, opened, typed
+from featureframe.sources.records import Located, blocks, chosen, fitted, opened
 from featureframe.types import OGR_TO_SPARK
 
 _TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*"|"|[{}\[\]:,]', re.DOTALL)
@@ -219,8 +219,11 @@ def _attribute(name: str, kind: str, largest: float | None) -> dict:
     return {"name": name, "ogr_type": pair[0], "ogr_subtype": pair[1]}
 
 
-def read(found: DataFrame, schema: StructType, geom_field_name: str) -> DataFrame:
-    """Features as rows of the schema; properties a feature lacks are null."""
+def read(found: DataFrame, schema: StructType, geom_field_name: str, strict: bool = False) -> DataFrame:
+    """Features as rows of the schema; properties a feature lacks are null.
+
+    With ``strict`` a property the schema does not have, or a value of another type, is an error.
+    """
     wanted = [field for field in schema.fields if field.name != geom_field_name]
     texts = StructType([StructField(field.name, _raw_type(field.dataType)) for field in wanted])
     members = [StructField("properties", texts)] if wanted else []
@@ -234,13 +237,24 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str) -> DataFram
     )
     broken = F.col(f"f.{_CORRUPT}").isNotNull() & F.try_parse_json("feature").isNull()
     message = F.concat(F.lit("A feature cannot be parsed in "), F.col("path"))
-    parsed = parsed.select(F.when(broken, F.raise_error(message)).otherwise(F.col("f")).alias("f"))
+    whole = F.when(broken, F.raise_error(message))
+    if strict:
+        names = F.json_object_keys(F.get_json_object("feature", "$.properties"))
+        more = F.array_except(names, F.lit([field.name for field in wanted]).cast("array<string>"))
+        hint = F.concat(
+            F.col("path"), F.lit(" does not fit the schema (additional: "), F.array_join(more, ", "),
+            F.lit("); set coerce_to_schema=True to fit it."),
+        )
+        whole = whole.when(F.size(more) > 0, F.raise_error(hint))
+    parsed = parsed.select("path", whole.otherwise(F.col("f")).alias("f"))
 
     def column(field: StructField) -> Column:
         if field.name == geom_field_name:
             return geojson_wkb(F.col("f.geometry")).cast(field.dataType).alias(field.name)
         raw = F.col("f.properties").getField(field.name)
-        return (raw if isinstance(field.dataType, ArrayType) else typed(raw, field.dataType)).alias(field.name)
+        if isinstance(field.dataType, ArrayType):
+            return raw.alias(field.name)
+        return fitted(raw, field, F.col("path"), strict).alias(field.name)
 
     return parsed.select(*[column(field) for field in schema.fields])
 

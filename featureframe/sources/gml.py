@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from featureframe.functions.coordinates import gml_wkb
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData
-from featureframe.sources.records import Located, chosen, opened, typed
+from featureframe.sources.records import Located, chosen, fitted, opened
 
 # Elements features are wrapped in
 _WRAPPERS = ("member", "featureMember", "featureMembers")
@@ -197,16 +197,19 @@ def _attribute(row: dict) -> dict:
     return {"name": row["name"], "ogr_type": kind, "ogr_subtype": 0}
 
 
-def read(found: DataFrame, schema: StructType, geom_field_name: str) -> DataFrame:
-    """Feature elements as rows of the schema; elements a feature lacks are null."""
+def read(found: DataFrame, schema: StructType, geom_field_name: str, strict: bool = False) -> DataFrame:
+    """Feature elements as rows of the schema; elements a feature lacks are null.
+
+    With ``strict`` a value of another type is an error.
+    """
     inner = [f for f in schema.fields if f.name != geom_field_name and f.name not in FID_FIELDS]
     texts = StructType([StructField(field.name, StringType()) for field in inner])
     fid = F.nullif(F.regexp_extract("feature", _FID, 1), F.lit(""))
-    columns = [fid.alias("fid")]
+    columns = ["path", fid.alias("fid")]
     if inner:
         with_corrupt = StructType([*texts.fields, StructField(_CORRUPT, StringType())])
         options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": _CORRUPT}
-        columns += ["path", F.from_xml("feature", with_corrupt, options).alias("f")]
+        columns += [F.from_xml("feature", with_corrupt, options).alias("f")]
     if geom_field_name in schema.names:
         columns.append(F.nullif(F.regexp_extract("feature", _GEOMETRY, 0), F.lit("")).alias("shape"))
     parsed = found.select(*columns)
@@ -219,7 +222,7 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str) -> DataFram
         if field.name == geom_field_name:
             return gml_wkb(F.col("shape")).cast(field.dataType).alias(field.name)
         raw = F.col("fid") if field.name in FID_FIELDS else F.col("f").getField(field.name)
-        return typed(raw, field.dataType).alias(field.name)
+        return fitted(raw, field, F.col("path"), strict).alias(field.name)
 
     return parsed.select(*[column(field) for field in schema.fields])
 

@@ -15,7 +15,7 @@ from typing import BinaryIO, NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructField
 
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData, absent, open_binary
@@ -155,6 +155,17 @@ def chosen(names: list[str], layer: LayerIdentifier, path: str) -> int:
     return layer or 0
 
 
+def fitted(text: Column, field: StructField, path: Column, strict: bool) -> Column:
+    """``typed``; where files are not to be fitted, a value that is none of the type is an error."""
+    value = typed(text, field.dataType)
+    if not strict:
+        return value
+    kind = field.dataType.simpleString()
+    hint = f" has a value of {field.name} that is no {kind}; set coerce_to_schema=True to fit it."
+    lost = text.isNotNull() & (F.trim(text.cast("string")) != "") & value.isNull()
+    return F.when(lost, F.raise_error(F.concat(path, F.lit(hint))).cast(field.dataType)).otherwise(value)
+
+
 def typed(text: Column, data_type: DataType) -> Column:
     """Text of one attribute as the schema's type; impossible values give null."""
     name = data_type.typeName()

@@ -103,6 +103,16 @@ def test_malformed_features_are_errors(spark, tmp_path, text):
         read(spark, tmp_path, suffix="geojson", schema=StructType().add("id", "long")).collect()
 
 
+def test_geojson_files_with_differing_properties_need_coercion(spark, tmp_path):
+    (tmp_path / "a.geojson").write_text(document([{"type": "Feature", "properties": {"id": 1}, "geometry": None}]))
+    for other in ({"ident": 2}, {"id": "x"}):
+        (tmp_path / "b.geojson").write_text(document([{"type": "Feature", "properties": other, "geometry": None}]))
+        with pytest.raises(Exception, match="coerce_to_schema"):
+            read(spark, tmp_path, suffix="geojson").collect()
+        coerced = read(spark, tmp_path, suffix="geojson", coerce_to_schema=True)
+        assert sorted(row["id"] or 0 for row in coerced.collect()) == [0, 1]
+
+
 def test_json_that_is_no_geojson_is_passed_over(spark, tmp_path):
     (tmp_path / "a.geojson").write_text(document(FEATURES[:3]))
     (tmp_path / "b.geojson").write_text('{"some": "json", "n": 1}')
