@@ -43,6 +43,27 @@ def broadcast_file(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
+#: Bits of a map of hashed values: 2 MB, whatever the corpus.
+SLOT_BITS = 24
+
+
+def slot_map(slots: DataFrame) -> np.ndarray:
+    """Bytes of a bitmap with the bits of a column ``slot`` (0 to ``2**SLOT_BITS - 1``) set."""
+    # bitmaps count from 1 on
+    numbered = slots.select((F.col("slot").cast("long") + 1).alias("slot")).distinct()
+    bits = numbered.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    found = np.zeros((1 << SLOT_BITS) // 8, np.uint8)
+    for row in bits.collect():
+        found[(row["bucket"] - 1) * 4096 : row["bucket"] * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return found
+
+
+def in_slot_map(found: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (found[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def chunks(text: str) -> list[str]:
     """``text`` in pieces a pattern-splitting tokenizer can encode one by one."""
     return _CUT.split(text)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featureframe.llm.common import ids_and_texts
+from featureframe.llm.common import SLOT_BITS, ids_and_texts, in_slot_map, slot_map
 from featureframe.llm.components import connected_components
 from featureframe.llm.shingles import MinHash, set_key, shingle_set
 from featureframe.session import new_shared_folder, settle, ship_package
@@ -121,9 +121,22 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _likely(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The documents of ``nodes``, and by chance some others: texts of the rest need not be shuffled."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << SLOT_BITS)).alias("slot")
+    wanted = docs.sparkSession.sparkContext.broadcast(slot_map(nodes.select(F.col("node").alias("doc_id")).select(slot)))
+
+    def run(batches):
+        for batch in batches:
+            kept = in_slot_map(wanted.value, batch.column("slot").to_numpy())
+            yield batch.select(["doc_id", "text"]).filter(pa.array(kept))
+
+    return docs.select("doc_id", "text", slot).mapInArrow(run, "doc_id long, text string")
+
+
 def _sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``node, key, shingles, signature`` of ``nodes`` (``node``, ``key``, ``signature``)."""
-    found = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id")
+    """``node, shingles, signature`` of ``nodes`` (``node``, ``key``, ``signature``)."""
+    found = _likely(docs, nodes).join(nodes.withColumnRenamed("node", "doc_id"), "doc_id")
 
     def run(batches):
         for batch in batches:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from featureframe.llm.common import ids_and_texts
+from featureframe.llm.common import SLOT_BITS, ids_and_texts, slot_map
 from featureframe.session import new_shared_folder, ship_package
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -41,8 +41,6 @@ KINDS = ("email", "ip", "card", "phone", "term")
 REACH = 8
 THRESHOLD = 0.8
 LEAST_CONTEXTS = 2
-#: Bits of the map of terms: 2 MB.
-SLOT_BITS = 24
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -175,15 +173,7 @@ def _with_content(docs: DataFrame) -> DataFrame:
 def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, n_t``: in how many documents each of ``terms`` (``term``, ``slot``) is, and maybe some others."""
     spark = docs.sparkSession
-    # bitmaps count from 1 on
-    slots = terms.select((F.col("slot").cast("long") + 1).alias("slot")).distinct()
-    bits = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
-    )
-    # at most 2 MB, whatever the corpus
-    wanted = np.zeros((1 << SLOT_BITS) // 8 + 4096, np.uint8)
-    for row in bits.collect():
-        wanted[(row["bucket"] - 1) * 4096 : row["bucket"] * 4096] = np.frombuffer(row["bits"], np.uint8)
+    wanted = slot_map(terms)
     shared = spark.sparkContext.broadcast(wanted)
 
     def run(batches):
