@@ -37,6 +37,7 @@ UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 300_000
+_PLACES = 1 << 30
 
 
 class SuffixAutomaton:
@@ -141,9 +142,12 @@ def train(docs: DataFrame, learn: Column) -> Model:
     ship_package(docs.sparkSession)
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     labelled = labelled.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & learn)
-    # ids only; each task keeps its first ones before the rest is compared
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= MOST_DOCUMENTS)
+    # ids whose hash is small enough for about twice as many as are wanted go to one task per language
+    labelled = labelled.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(_PLACES)))
+    totals = labelled.groupBy("lang").agg(F.count("*").alias("total"))
+    near = labelled.join(totals, "lang").filter(F.col("place") * F.col("total") < F.lit(2 * MOST_DOCUMENTS * _PLACES))
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= MOST_DOCUMENTS)
     chosen = chosen.select("doc_id", "lang").distinct()
     rows = ids_and_texts(docs).join(chosen, "doc_id").select("lang", "text")
     counts = _words(rows).groupBy("lang", "word").agg(F.sum("n").alias("n"))
