@@ -10,6 +10,7 @@ import codecs
 import os
 import struct
 from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
 from typing import BinaryIO, NamedTuple
 
 import numpy as np
@@ -59,29 +60,29 @@ def layer_names(path: str) -> list[str]:
 
 
 def attributes(path: str, layer: str) -> list[Attribute]:
-    table, _ = _open(path, layer)
-    return table.attributes
+    with _open(path, layer) as (table, _):
+        return table.attributes
 
 
 def describe(path: str, layer: str) -> Layer:
-    table, shapes = _open(path, layer)
-    count = _record_count(table, shapes)
-    return Layer(layer, count, table.attributes, 0, count - 1)
+    with _open(path, layer) as (table, shapes):
+        count = _record_count(table, shapes)
+        return Layer(layer, count, table.attributes, 0, count - 1)
 
 
 def batches(path: str, layer: str, start: int | None, stop: int | None, columns: list[str] | None) -> RowBatches:
     """Rows with ordinals in ``[start, stop)``; ``columns`` limits what is decoded."""
-    table, shapes = _open(path, layer)
-    total = _record_count(table, shapes)
-    start, stop = max(start or 0, 0), total if stop is None else min(stop, total)
-    for low, high in _cuts(shapes, start, stop):
-        arrays, kept = table.read(low, high, columns)
-        geometry = shapes.read(low, high) if shapes else pa.nulls(high - low, pa.binary())
-        if not kept.all():  # records flagged as deleted
-            mask = pa.array(kept)
-            arrays = {name: array.filter(mask) for name, array in arrays.items()}
-            geometry = geometry.filter(mask)
-        yield Rows(int(kept.sum()), arrays, geometry)
+    with _open(path, layer) as (table, shapes):
+        total = _record_count(table, shapes)
+        start, stop = max(start or 0, 0), total if stop is None else min(stop, total)
+        for low, high in _cuts(shapes, start, stop):
+            arrays, kept = table.read(low, high, columns)
+            geometry = shapes.read(low, high) if shapes else pa.nulls(high - low, pa.binary())
+            if not kept.all():  # records flagged as deleted
+                mask = pa.array(kept)
+                arrays = {name: array.filter(mask) for name, array in arrays.items()}
+                geometry = geometry.filter(mask)
+            yield Rows(int(kept.sum()), arrays, geometry)
 
 
 def _cuts(shapes: _Shapes | None, start: int, stop: int) -> Iterator[tuple[int, int]]:
@@ -127,27 +128,30 @@ def _record_count(table: _Table, shapes: _Shapes | None) -> int:
     return max(table.count, shapes.count if shapes else 0)
 
 
-def _open(path: str, layer: str) -> tuple[_Table, _Shapes | None]:
+@contextmanager
+def _open(path: str, layer: str) -> Iterator[tuple[_Table, _Shapes | None]]:
+    """Table and shapes of a layer; each of its files is opened once."""
     member = next(m for m in _members(path) if _stem(m) == layer)
-    table = _Table(_sibling(member, ".dbf"), _sibling(member, ".cpg"))
-    return table, _Shapes(member) if member.lower().endswith(".shp") else None
+    with ExitStack() as files:
+        table = _Table(_sibling(member, ".dbf"), _sibling(member, ".cpg"), files)
+        yield table, _Shapes(member, files) if member.lower().endswith(".shp") else None
 
 
 class _Table:
     """Attribute records of a ``.dbf`` file; a missing file has no attributes."""
 
-    def __init__(self, path: str | None, code_page: str | None) -> None:
+    def __init__(self, path: str | None, code_page: str | None, files: ExitStack) -> None:
         self.path, self.count, self.attributes, self.encoding = path, 0, [], "latin-1"
         if path is None:
             return
-        with open_binary(path) as file:
-            header = file.read(32)
-            if len(header) < 32:
-                raise NotVectorData(f"{path} ends in its header.")
-            self.count, self.header_bytes, self.record_bytes = struct.unpack_from("<IHH", header, 4)
-            descriptors = file.read(max(self.header_bytes - 32, 0))
-            if len(descriptors) < self.header_bytes - 32 or self.header_bytes < 33:
-                raise NotVectorData(f"{path} ends in its header.")
+        self.file = files.enter_context(open_binary(path))
+        header = self.file.read(32)
+        if len(header) < 32:
+            raise NotVectorData(f"{path} ends in its header.")
+        self.count, self.header_bytes, self.record_bytes = struct.unpack_from("<IHH", header, 4)
+        descriptors = self.file.read(max(self.header_bytes - 32, 0))
+        if len(descriptors) < self.header_bytes - 32 or self.header_bytes < 33:
+            raise NotVectorData(f"{path} ends in its header.")
         self.encoding = _encoding(code_page, header[29])
         names, formats, offsets, position = ["_deleted"], ["S1"], [0], 1
         self.kinds: dict[str, str] = {}
@@ -171,9 +175,8 @@ class _Table:
         wanted = [a for a in self.attributes if columns is None or a.name in columns]
         if self.path is None or low >= self.count:
             return {a.name: pa.nulls(high - low) for a in wanted}, np.ones(high - low, dtype=bool)
-        with open_binary(self.path) as file:
-            file.seek(self.header_bytes + low * self.record_bytes)
-            data = file.read((min(high, self.count) - low) * self.record_bytes)
+        self.file.seek(self.header_bytes + low * self.record_bytes)
+        data = self.file.read((min(high, self.count) - low) * self.record_bytes)
         if len(data) < (min(high, self.count) - low) * self.record_bytes:
             raise ValueError(f"{self.path} ends before record {high}.")
         records = np.frombuffer(data, self.dtype)
@@ -247,24 +250,24 @@ def _field_type(kind: str, width: int, decimals: int) -> tuple[int, int]:
 class _Shapes:
     """Geometries of a ``.shp`` file, found through its ``.shx`` index."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, files: ExitStack) -> None:
         self.path = path
-        self.index = _sibling(path, ".shx")
-        if self.index is None:
+        index = _sibling(path, ".shx")
+        if index is None:
             raise NotVectorData(f"{path} has no .shx index.")
-        with open_binary(self.index) as file:
-            header = file.read(28)
+        self._files, self._shapes = files, None
+        self.index = files.enter_context(open_binary(index))
+        header = self.index.read(28)
         if len(header) < 28 or header[:4] != b"\0\0\x27\x0a":
-            raise NotVectorData(f"{self.index} is not a shapefile index.")
+            raise NotVectorData(f"{index} is not a shapefile index.")
         (words,) = struct.unpack_from(">i", header, 24)
         self.count = (words * 2 - SHP_HEADER) // SHX_RECORD
 
     def entries(self, low: int, high: int) -> np.ndarray:
         """``(offset, length)`` in bytes of the records of ``[low, high)`` the index has."""
         known = max(min(high, self.count) - low, 0)
-        with open_binary(self.index) as file:
-            file.seek(SHP_HEADER + low * SHX_RECORD)
-            words = np.frombuffer(file.read(known * SHX_RECORD), ">i4")
+        self.index.seek(SHP_HEADER + low * SHX_RECORD)
+        words = np.frombuffer(self.index.read(known * SHX_RECORD), ">i4")
         return words.reshape(-1, 2).astype(np.int64) * 2
 
     def read(self, low: int, high: int) -> pa.Array:
@@ -273,8 +276,9 @@ class _Shapes:
         if not len(entries):
             return missing
         begin, sizes = entries[:, 0] + 8, entries[:, 1]
-        with open_binary(self.path) as file:
-            data, starts = _read_records(file, begin, sizes)
+        if self._shapes is None:
+            self._shapes = self._files.enter_context(open_binary(self.path))
+        data, starts = _read_records(self._shapes, begin, sizes)
         if len(data) < int((starts + sizes).max()):
             raise ValueError(f"{self.path} ends before record {low + len(entries)}.")
         geometry = _to_wkb(data, starts, sizes)
