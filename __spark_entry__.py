@@ -252,6 +252,20 @@ def q_read_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_xy(read_vector_files(folder, suffix=".gz", vsi_prefix="/vsitar/", spark=spark))
 
 
+def _zip_files(spark: SparkSession, sf_dir: str) -> str:
+    """Zip archives that each hold the shapefiles of all segments, in folders."""
+
+    def write(folder: str) -> None:
+        name = F.concat(F.lit("part_"), _part("id", FLAT_PART_ROWS), F.lit(".zip"))
+        write_vector_files(_customers(spark, sf_dir).withColumn("file", name), folder, "zip")
+
+    return _once(spark, sf_dir, "customer-zip", write)
+
+
+def q_read_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_xy(read_vector_files(_zip_files(spark, sf_dir), suffix="zip", vsi_prefix="/vsizip/", spark=spark))
+
+
 def q_layer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog = describe_layers(_event_files(spark, sf_dir), suffix="gpkg", spark=spark)
     return catalog.select(_file_name(), "layer_index", "layer_name", "feature_count")
@@ -644,6 +658,7 @@ def _reader_sql() -> dict[str, str]:
         " from customer group by 1",
         "q_archive_paths": "select page_id, '/vsigzip//' || ltrim(url, '/') as vsi_path from pages",
         "q_read_archive": _CUSTOMER_POINTS,
+        "q_read_zip": _CUSTOMER_POINTS,
         "q_layer_catalog": "select 'events_' || f || '.gpkg' as file_name, cast(row_number() over"
         " (partition by f order by event_type) - 1 as int) as layer_index, event_type as layer_name, feature_count"
         " from (select event_id // 5000 f, event_type, count(*) feature_count from events group by 1, 2)",

@@ -1,13 +1,14 @@
 """Tar, zip and gzip archives of vector files.
 
 A compressed stream can only be read from its start, so every archive is unpacked
-once, by one task, piece by piece, into the shared folder. From there its members
+once a session, by one task, piece by piece, into the shared folder. From there its members
 are ordinary sources: split by rows, and safe when an executor is lost.
 """
 
 from __future__ import annotations
 
 import gzip
+import hashlib
 import os
 import shutil
 import tarfile
@@ -20,10 +21,9 @@ from pathlib import PurePosixPath
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from featureframe.session import metadata_tasks, new_shared_folder, settle
+from featureframe.session import metadata_tasks, settle, shared_dir
 from featureframe.sources.layers import filesystem_of, list_folder, open_binary
 from featureframe.sources.listing import SOURCE_BY_EXTENSION
 
@@ -52,23 +52,34 @@ def archive_kind(prefix: str) -> str:
 def unpack_archives(paths: DataFrame, prefix: str, count: int) -> DataFrame:
     """``(path, length, source, archive, error)`` of the sources inside every archive.
 
-    An archive that cannot be read gives one row with an error and no source.
+    An archive that cannot be read gives one row with an error and no source. What an
+    earlier read of the session unpacked is used again while the archive's size and time
+    stay as they were.
     """
-    kind, root = archive_kind(prefix), new_shared_folder(paths.sparkSession, "unpacked")
+    kind = archive_kind(prefix)
+    root = f"{shared_dir(paths.sparkSession)}/unpacked-{kind}"
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, name in zip(batch["path"].to_pylist(), batch["name"].to_pylist()):
-                yield _member_batch(_unpack_one(path, kind, os.path.join(root, name)))
+            for path in batch["path"].to_pylist():
+                yield _member_batch(_unpack_one(path, kind, f"{root}/{_identity(path)}"))
 
-    named = paths.select("path", F.sha2("path", 256).alias("name"))
-    members = named.mapInArrow(unpack, MEMBER_SCHEMA)
+    members = paths.select("path").mapInArrow(unpack, MEMBER_SCHEMA)
     # a few rows per archive come back; unpacking again after a lost executor is harmless
     return settle(members.repartition(min(max(count, 1), metadata_tasks(paths.sparkSession))))
 
 
+def _identity(path: str) -> str:
+    """A name for an archive as it is now."""
+    filesystem, name = filesystem_of(path)
+    found = filesystem.get_file_info(name)
+    return hashlib.sha256(f"{path}\0{found.size}\0{found.mtime_ns}".encode()).hexdigest()
+
+
 def _unpack_one(path: str, kind: str, folder: str) -> list[tuple]:
     filesystem, final = filesystem_of(folder)
+    if filesystem.get_file_info(final).type == pafs.FileType.Directory:
+        return _sources(path, folder)
     attempt = f"{final}.{uuid.uuid4().hex}"
     filesystem.create_dir(attempt)
     try:

@@ -14,6 +14,7 @@ import sqlite3
 import struct
 import tarfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import closing
 from itertools import groupby
@@ -294,6 +295,18 @@ def write_archive(target: str, rows: list[dict], attributes: list[tuple[str, str
     _put(target, write)
 
 
+def write_zip(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
+    """A ``.zip`` with the parts of one shapefile per layer."""
+
+    def write(path: str) -> None:
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+            for layer, found in _layers(rows):
+                for extension, data in shapefile_parts(found, attributes).items():
+                    archive.writestr(f"{layer}/{layer}{extension}", data)
+
+    _put(target, write)
+
+
 def _geojson_features(rows: list[dict], attributes: list[tuple[str, str]], **leading: object) -> list[dict]:
     return [
         {
@@ -350,6 +363,7 @@ WRITERS = {
     "geopackage": write_geopackage,
     "shapefile": write_shapefile,
     "archive": write_archive,
+    "zip": write_zip,
     "geojson": write_geojson,
     "geojson-lines": write_geojson_lines,
     "geojson-nested": write_geojson_nested,
