@@ -733,7 +733,7 @@ def _reader_sql() -> dict[str, str]:
 
 def _has_corpus_operators() -> bool:
     """The corpus operators may have been taken out; the rest works without them."""
-    return all(importlib.util.find_spec(name) for name in ("featureframe.llm", "corpus_pipeline"))
+    return all(importlib.util.find_spec(name) for name in ("featureframe.llm", "featureframe.llm.queries", "corpus_pipeline"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
