@@ -24,7 +24,7 @@ from featureframe.sources.layers import NotVectorData
 from featureframe.sources.records import Located, blocks, chosen, fitted, opened
 from featureframe.types import OGR_TO_SPARK
 
-_TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*"|"|[{}\[\]:,]', re.DOTALL)
+_TOKEN = re.compile(rb'"[^"\\]*+(?:\\.[^"\\]*+)*+"|"|[{}\[\]:,]', re.DOTALL)
 _SPACE = b" \t\r\n"
 _BETWEEN = _SPACE + b",\x1e"
 _BOM = b"\xef\xbb\xbf"
