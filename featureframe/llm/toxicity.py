@@ -6,6 +6,10 @@ sentences is, so its probability is the noisy-or of theirs. The likelihood of do
 labels is maximised over the weights of hashed features, and the weights then also tell
 which sentences made a document toxic.
 
+A sentence adds to its document what its probability exceeds that of a plain one, whose
+features weigh nothing. What is toxic without a telling word is one background term per
+document. So plain sentences add nothing, and no text is rejected for its length alone.
+
 The model is fitted on a bounded sample of labelled documents, ``MOST_POSITIVE`` and
 ``MOST_NEGATIVE`` at most, in the order of a hash of their id and weighted back to the
 shares of all labelled documents. Scoring covers every whole text: a word's weight is the
@@ -53,7 +57,10 @@ _LABELLED = ("text", "toxic", "weight")
 @dataclass
 class Model:
     weights: np.ndarray
+    #: Of a sentence.
     bias: float
+    #: Of a document with words, whatever their number.
+    background: float = 0.0
     #: For every text where there is nothing to learn from.
     constant: float | None = None
 
@@ -178,8 +185,7 @@ def _fit(
 ) -> Model:
     """Maximise the weighted log-likelihood of noisy-or labels by full-batch Adam steps.
 
-    ``plain`` counts a document's sentences that have none of the features; they differ
-    by the bias alone.
+    ``plain`` counts a document's sentences that have none of the features.
     """
     sentences = np.array([len(one) for one in sizes])
     document = np.repeat(np.arange(len(sentences)), sentences)
@@ -187,22 +193,32 @@ def _fit(
     sentence = np.repeat(np.arange(len(flat_sizes)), flat_sizes)
     weights = np.zeros(1 << FEATURE_BITS)
     bias = float(np.log(share / (1 - share)) - np.log(max(1.0, (sentences + plain).mean())))
-    mean, square = np.zeros(len(weights) + 1), np.zeros(len(weights) + 1)
+    background = float(np.log(share / (1 - share)))
+    worded = sentences + plain > 0
+    mean, square = np.zeros(len(weights) + 2), np.zeros(len(weights) + 2)
     for step in range(1, ROUNDS + 1):
         logit = np.bincount(sentence, weights=weights[flat], minlength=len(flat_sizes)) + bias
-        # log(1 - p) of sentences, and of documents as their sum
-        clean = np.bincount(document, weights=-np.logaddexp(0, logit), minlength=len(plain))
-        clean = np.minimum(clean - plain * np.logaddexp(0, bias), -1e-12)
+        # log(1 - p) of sentences beyond that of a plain one, and of documents as their sum
+        clean = np.bincount(document, weights=_beyond_plain(logit, bias), minlength=len(plain))
+        clean = np.minimum(clean - worded * np.logaddexp(0, background), -1e-12)
         odds = np.where(toxic == 1, np.exp(clean) / -np.expm1(clean), -1.0) * weight
-        slope = odds[document] * _logistic(logit)
+        odds_of = odds[document] * (logit >= bias)
+        slope = odds_of * _logistic(logit)
         gradient = np.bincount(flat, weights=slope[sentence], minlength=len(weights)) - PENALTY * weights
-        gradient = np.append(gradient, slope.sum() + (odds * plain).sum() * _logistic(bias))
+        own = slope.sum() - odds_of.sum() * _logistic(bias), (odds * worded).sum() * _logistic(background)
+        gradient = np.append(gradient, own)
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         move = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
-        weights += move[:-1]
-        bias += move[-1]
-    return Model(weights.astype(np.float32), float(bias))
+        weights += move[:-2]
+        bias += move[-2]
+        background += move[-1]
+    return Model(weights.astype(np.float32), float(bias), float(background))
+
+
+def _beyond_plain(logit, bias: float):
+    """log(1 - p) of sentences less that of a plain one; none makes its document less toxic."""
+    return np.minimum(np.logaddexp(0, bias) - np.logaddexp(0, logit), 0)
 
 
 def _logistic(x):
@@ -225,9 +241,10 @@ class _Scorer:
             if found:
                 logits.append(self._model.bias + sum(map(self._weight, found)))
                 places.append(sentence.span())
-        clean = -np.logaddexp(0, logits) if logits else np.zeros(0)
-        whole = float(-np.expm1(clean.sum())) if self._model.constant is None else self._model.constant
-        return whole, -np.expm1(clean), places
+        logits, model = np.array(logits, np.float64), self._model
+        clean = _beyond_plain(logits, model.bias).sum() - np.logaddexp(0, model.background) if places else 0.0
+        whole = float(-np.expm1(clean)) if model.constant is None else model.constant
+        return whole, _logistic(logits), places
 
 
 def score(docs: DataFrame, model: Model, worst: float = 0.5) -> DataFrame:

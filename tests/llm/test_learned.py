@@ -93,6 +93,16 @@ def test_toxicity_of_held_out_documents(labelled):
     assert {row.doc_id for row in clean.collect()} == {row.doc_id for row in rows if row.score < 0.5}
 
 
+def test_toxicity_of_long_clean_texts(labelled, make_docs):
+    model = toxicity.train(*labelled, learn=F.lit(True))
+    chance = random.Random(9)
+    long = [" ".join(sentence(chance) for _ in range(10**5)), "Plain words here. " * 10**5]
+    texts = [(1, sentence(chance)), (2, long[0]), (3, long[1]), (4, f"{long[0]} {sentence(chance, 'knave')}")]
+    scores = {row.doc_id: row.score for row in toxicity.score(make_docs(texts), model).collect()}
+    assert scores[1] < 0.05 and scores[2] < 0.05 and scores[3] < 0.05 and scores[4] > 0.5
+    assert {row.doc_id for row in toxicity.drop_toxic(make_docs(texts), model).collect()} == {1, 2, 3}
+
+
 def test_toxicity_of_awkward_documents(labelled, docs, no_docs):
     model = toxicity.train(*labelled, learn=F.lit(True))
     scores = toxicity.score(docs, model).collect()
