@@ -1,16 +1,20 @@
 """Personal data: patterns find entities, corpus co-occurrence finds the terms that give them away.
 
-Entities are email and IP addresses, card and phone numbers. A term is a word near an
-entity. Over the whole corpus, with N documents, of which n_e have entity e, n_t have term
-t, and n_et have t near e,
+Entities are email and IP addresses, card and phone numbers. A term is a word of a document
+that has an entity, wherever it stands there. Over the whole corpus, with N documents, of
+which n_e have entity e, n_t have term t, and n_et have both,
 
     information of e        IC(e)      = log2(N / n_e)
     what t tells about e    PMI(e; t)  = log2(n_et * N / (n_e * n_t))
 
 and t discloses e where PMI(e; t) >= ``threshold`` * IC(e), that is where t is rarely seen
 without e. A pair counts from ``LEAST_CONTEXTS`` different contexts on, so words of one
-text, or of its exact copies, are no evidence. Disclosing terms are spans of kind ``term``
-wherever they stand near their entity. ``sanitise`` puts the kind's name in place of spans.
+text, or of its exact copies, are no evidence; the words about e's mentions in a document
+are its context there; a term near two mentions in different words counts in one document
+too. An entity that has fewer contexts is also disclosed by the words with a capital
+letter that no document without it has. Every occurrence of a disclosing
+term in a document that has its entity is a span of kind ``term``. ``sanitise`` puts the
+kind's name in place of spans.
 
 Counts of words cover all documents; only words that are a term somewhere are counted,
 told by a bitmap of fixed size, where a wrong hit costs a row but changes no result.
@@ -23,9 +27,9 @@ an id have the spans of their own text. Tables without rows give none.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -34,10 +38,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from featureframe.llm.common import SLOT_BITS, ids_and_texts, slot_map
-from featureframe.session import new_shared_folder, ship_package
+from featureframe.session import new_shared_folder, settle, ship_package
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Words on either side of an entity that may be its terms.
+#: Words on either side of a mention that tell its context from others; terms may stand anywhere.
 REACH = 8
 THRESHOLD = 0.8
 LEAST_CONTEXTS = 2
@@ -53,16 +57,12 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 _SPAN = "struct<start:int,kind:int,end:int>"
 _SPAN_TYPE = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-_CONTEXT = "struct<entity:string,term:string,slot:int,context:long,start:int,end:int>"
-_CONTEXT_TYPE = pa.struct(
-    [
-        ("entity", pa.string()),
-        ("term", pa.string()),
-        ("slot", pa.int32()),
-        ("context", pa.int64()),
-        ("start", pa.int32()),
-        ("end", pa.int32()),
-    ]
+_MENTION = "struct<entity:string,context:long,twice:array<string>>"
+_MENTION_TYPE = pa.struct([("entity", pa.string()), ("context", pa.int64()), ("twice", pa.list_(pa.string()))])
+_PLACE_TYPE = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+_TERM = "struct<term:string,slot:int,capital:boolean,places:array<struct<start:int,end:int>>>"
+_TERM_TYPE = pa.struct(
+    [("term", pa.string()), ("slot", pa.int32()), ("capital", pa.bool_()), ("places", pa.list_(_PLACE_TYPE))]
 )
 
 
@@ -123,47 +123,58 @@ def _slot(word: str) -> int:
     return xxhash.xxh32_intdigest(word) & ((1 << SLOT_BITS) - 1)
 
 
-def _contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
-    """The terms near each entity; words inside an entity are none."""
-    taken = np.zeros(len(text), bool)
+def _mentions(text: str, spans: list[tuple[int, int, int]]) -> tuple[list[dict], list[dict]]:
+    """Each entity with its context, and each term with its places; words inside an entity are none."""
+    taken = bytearray(len(text))
     for start, _, end in spans:
-        taken[start:end] = True
-    terms = [(word.start(), word.end(), word[0].lower()) for word in _WORD.finditer(text)]
-    terms = [term for term in terms if not taken[term[0] : term[1]].any()]
-    starts = [term[0] for term in terms]
-    found = []
+        taken[start:end] = b"\1" * (end - start)
+    words = [(*word.span(), word[0]) for word in _WORD.finditer(text) if 1 not in taken[word.start() : word.end()]]
+    starts = [word[0] for word in words]
+    about: dict[str, list[tuple[str, ...]]] = {}
     for start, kind, end in spans:
         value = text[start:end].lower() if kind < 2 else _OTHER.sub("", text[start:end])
-        entity = f"{KINDS[kind]}:{value}"
-        before, after = np.searchsorted(starts, [start, end])
-        near = [*terms[max(0, before - REACH) : before], *terms[after : after + REACH]]
-        context = xxhash.xxh3_64_intdigest(" ".join(term[2] for term in near)) - (1 << 63)
-        found += [(entity, word, _slot(word), context, first, last) for first, last, word in near]
-    return found
+        before, after = bisect_left(starts, start), bisect_left(starts, end)
+        near = tuple(word[2].lower() for word in words[max(0, before - REACH) : after + REACH])
+        about.setdefault(f"{KINDS[kind]}:{value}", []).append(near)
+    terms: dict[str, dict] = {}
+    for start, end, word in words:
+        name = word.lower()
+        term = terms.setdefault(name, {"term": name, "slot": _slot(name), "capital": False, "places": []})
+        term["capital"] |= word[0].isupper()
+        term["places"].append({"start": start, "end": end})
+    mentions = []
+    for entity, nears in about.items():
+        context = xxhash.xxh3_64_intdigest("\n".join(map(" ".join, nears))) - (1 << 63)
+        seen = Counter(name for near in set(nears) for name in set(near))
+        twice = [name for name, count in seen.items() if count >= LEAST_CONTEXTS]
+        mentions.append({"entity": entity, "context": context, "twice": twice})
+    return mentions, list(terms.values())
 
 
 def _entities(docs: DataFrame) -> DataFrame:
-    """Every row's entities, and the terms near them."""
+    """Every row's entities, and the terms of rows that have any."""
 
     def run(batches):
         for batch in batches:
-            for first in range(0, batch.num_rows, 2048):
-                part = batch.slice(first, 2048)
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
                 texts = part.column("text").to_pylist()
                 spans = [base_spans(text) for text in texts]
-                contexts = [_contexts(text, own) if own else [] for text, own in zip(texts, spans, strict=True)]
-                names = [field.name for field in _CONTEXT_TYPE]
+                found = [_mentions(text, own) if own else ([], []) for text, own in zip(texts, spans, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         part.column("content"),
                         pa.array([[dict(zip(("start", "kind", "end"), one, strict=True)) for one in own] for own in spans], pa.list_(_SPAN_TYPE)),
-                        pa.array([[dict(zip(names, one, strict=True)) for one in own] for own in contexts], pa.list_(_CONTEXT_TYPE)),
+                        pa.array([mentions for mentions, _ in found], pa.list_(_MENTION_TYPE)),
+                        pa.array([terms for _, terms in found], pa.list_(_TERM_TYPE)),
                     ],
-                    ["doc_id", "content", "base", "contexts"],
+                    ["doc_id", "content", "base", "mentions", "terms"],
                 )
 
-    return docs.mapInArrow(run, f"doc_id long, content long, base array<{_SPAN}>, contexts array<{_CONTEXT}>")
+    return docs.mapInArrow(
+        run, f"doc_id long, content long, base array<{_SPAN}>, mentions array<{_MENTION}>, terms array<{_TERM}>"
+    )
 
 
 def _with_content(docs: DataFrame) -> DataFrame:
@@ -201,22 +212,48 @@ def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return found.groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
-def _disclosing(docs: DataFrame, near: DataFrame, threshold: float) -> DataFrame:
-    """``entity, term`` where the term tells of the entity."""
-    document = F.struct("doc_id", "content")
-    pairs = near.groupBy("entity", "term", "slot").agg(
-        F.count_distinct(document).alias("n_et"), F.count_distinct("context").alias("contexts")
+def _same(one: DataFrame, other: DataFrame) -> DataFrame:
+    """``one`` with what ``other`` (one row for each ``doc_id, content``) has on its document, if anything."""
+    other = other.withColumnsRenamed({"doc_id": "own_id", "content": "own_content"})
+    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("content") == F.col("own_content"))
+    return one.join(other, same, "left").drop("own_id", "own_content")
+
+
+def _disclosing(texts: DataFrame, own: DataFrame, mentions: DataFrame, threshold: float) -> DataFrame:
+    """``entity, names``: the terms that tell of the entity."""
+    having = mentions.groupBy("entity").agg(
+        F.count("*").alias("n_e"), (F.count_distinct("context") < LEAST_CONTEXTS).alias("lone")
     )
-    pairs = pairs.filter(F.col("contexts") >= LEAST_CONTEXTS)
-    having = near.groupBy("entity").agg(F.count_distinct(document).alias("n_e"))
-    n = F.lit(float(docs.count()))
+    told = mentions.join(having, "entity").groupBy("doc_id", "content")
+    told = told.agg(F.collect_list(F.struct("entity", "context", "twice", "n_e", "lone")).alias("told"))
+    of_document = _same(own.select("doc_id", "content", "rows", "terms"), told)
+    of_document = of_document.select("rows", "terms", F.inline("told"))
+    # an entity with one context needs no other words
+    repeated = lambda term: F.array_contains("twice", term["term"])
+    some = F.filter("terms", lambda term: ~F.col("lone") | term["capital"] | repeated(term))
+    some = F.transform(
+        some,
+        lambda term: F.struct(
+            term["term"].alias("term"), term["slot"].alias("slot"), term["capital"].alias("capital"), repeated(term).alias("repeated")
+        ),
+    )
+    near = of_document.select("entity", "context", "n_e", "lone", "rows", F.inline(some))
+    pairs = near.groupBy("entity", "n_e", "lone", "term", "slot").agg(
+        F.count("*").alias("n_et"),
+        F.sum("rows").alias("rows"),
+        ((F.count_distinct("context") >= LEAST_CONTEXTS) | F.max("repeated")).alias("counts"),
+        F.max("capital").alias("capital"),
+    )
+    name = F.col("lone") & F.col("capital")
+    pairs = settle(pairs.filter(F.col("counts") | name))
+    n = F.lit(float(texts.count()))
     information = F.log2(n / F.col("n_e"))
-    told = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
+    tells = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t"))) >= threshold * information
     return (
-        pairs.join(_document_counts(docs, pairs), "term")
-        .join(having, "entity")
-        .filter((information > 0) & (told >= threshold * information))
-        .select("entity", "term")
+        pairs.join(_document_counts(texts, pairs), "term")
+        .filter((information > 0) & ((F.col("counts") & tells) | (name & (F.col("n_t") <= F.col("rows")))))
+        .groupBy("entity")
+        .agg(F.collect_list("term").alias("names"))
     )
 
 
@@ -238,14 +275,18 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     folder = new_shared_folder(spark, "entities")
     _entities(texts).write.parquet(folder)
     found = spark.read.parquet(folder)
-    near = found.select("doc_id", "content", F.inline("contexts"))
-    terms = near.join(_disclosing(texts, near, threshold), ["entity", "term"])
-    span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end")
-    added = terms.groupBy("doc_id", "content").agg(F.collect_set(span).alias("added"))
-    added = added.withColumnsRenamed({"doc_id": "own_id", "content": "own_content"})
-    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("content") == F.col("own_content"))
-    every = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "added")))
-    return found.join(added, same, "left").select("doc_id", "content", "base", every.alias("spans"))
+    # rows that repeat an id and its text are one document
+    own = found.filter(F.size("mentions") > 0).groupBy("doc_id", "content")
+    own = own.agg(F.count("*").alias("rows"), F.first("mentions").alias("mentions"), F.first("terms").alias("terms"))
+    mentions = own.select("doc_id", "content", F.inline("mentions"))
+    names = mentions.join(_disclosing(texts, own, mentions, threshold), "entity").groupBy("doc_id", "content")
+    names = names.agg(F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"))
+    disclosing = F.filter("terms", lambda term: F.array_contains("names", term["term"]))
+    places = F.flatten(F.transform(disclosing, lambda term: term["places"]))
+    kind = F.lit(KINDS.index("term")).alias("kind")
+    added = F.transform(places, lambda place: F.struct(place["start"].alias("start"), kind, place["end"].alias("end")))
+    every = F.when(F.col("names").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", added)))
+    return _same(found.select("doc_id", "content", "base", "terms"), names).select("doc_id", "content", "base", every.alias("spans"))
 
 
 def _count(spans: Column, kind: int) -> Column:

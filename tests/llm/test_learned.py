@@ -187,6 +187,27 @@ def test_terms_that_only_stand_with_an_entity(make_docs):
     assert not any(term in common for own in terms.values() for term in own)
 
 
+def test_terms_far_from_an_entity_and_of_one_context(make_docs):
+    chance = random.Random(7)
+
+    def some(n):
+        return " ".join(chance.choice("bcdfgh") + chance.choice(["at", "et", "it", "ot"]) for _ in range(n))
+
+    texts = [(n, f"Quillfeather {some(40)} write to jo@x.org {some(40)} yours, quillfeather") for n in range(5)]
+    once = f"{some(30)} call ed@w.org {some(30)}\n\nOssiander {some(9)} mumblecrust"
+    texts += [(20, once), (20, once), (21, f"{some(20)} zu@v.org Elsewhere {some(20)} zu@v.org Elsewhere")]
+    texts += [(30 + n, some(60) + " Elsewhere") for n in range(100)]
+    texts.append((22, f"{some(20)} tersely um@t.org {some(20)} tersely um@t.org {some(20)}"))
+    frame = make_docs(texts)
+    clean = personal_data.sanitise(frame).collect()
+    assert not any("quillfeather" in row.text.lower() for row in clean)
+    assert sum(row.text.count("[TERM]") >= 2 for row in clean if row.doc_id < 5) == 5
+    lone = [row.text for row in clean if row.doc_id == 20]
+    assert len(lone) == 2 and all("Ossiander" not in text and "mumblecrust" in text for text in lone)
+    assert all(("Elsewhere" in row.text) for row in clean if row.doc_id > 22)
+    assert [row.text.count("tersely") for row in clean if row.doc_id == 22] == [0]
+
+
 def test_sanitised_documents(docs):
     clean = personal_data.sanitise(docs)
     assert clean.columns == docs.columns
