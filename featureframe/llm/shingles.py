@@ -81,8 +81,17 @@ class MinHash:
         return key.view(np.int64)
 
     def packed(self, minima: np.ndarray) -> np.ndarray:
-        """The low bits of all minima, side by side in 64-bit words."""
-        low = (minima & np.uint32((1 << self.bits) - 1)).astype(np.uint64)
+        """Low bits of all minima, side by side in 64-bit words.
+
+        The permutations keep which shingles share their low bits, so minima are mixed
+        once more: different minima then agree by chance, anew in each permutation.
+        """
+        mixed = minima.astype(np.uint32)
+        for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+            mixed ^= mixed >> np.uint32(shift)
+            mixed *= np.uint32(factor)
+        mixed ^= mixed >> np.uint32(16)
+        low = (mixed & np.uint32((1 << self.bits) - 1)).astype(np.uint64)
         per_word = 64 // self.bits
         shifts = np.arange(per_word, dtype=np.uint64) * np.uint64(self.bits)
         return np.bitwise_or.reduce(low.reshape(len(low), self.minima // per_word, per_word) << shifts, axis=2).view(np.int64)

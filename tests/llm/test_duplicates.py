@@ -7,10 +7,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from featureframe.llm import exact_dedup, near_dedup, substring_dedup
 from featureframe.llm.components import connected_components
+from featureframe.llm.shingles import MinHash
 from tests.llm.conftest import SCHEMA, TEXTS
 
 
@@ -152,6 +154,17 @@ def test_chunks_of_a_centre_meet(make_docs, monkeypatch):
     assert {row.doc_id: (row.n_shingles, row.component_id) for row in rows} == brute_components(texts, 2)
 
 
+def test_estimates_of_small_sets():
+    chance = np.random.default_rng(5)
+    hasher = MinHash(near_dedup.BANDS, near_dedup.ROWS, near_dedup.BITS)
+    sets = [np.sort(chance.integers(0, 1 << 64, 5, dtype=np.uint64)) for _ in range(5_000)]
+    one, other = (hasher.packed(hasher(some)) for some in (sets, [np.delete(own, 2) for own in sets]))
+    differing = one ^ other
+    merged = (differing | (differing >> 1)) & near_dedup._low_bits(2)
+    agreeing = 1 - np.bitwise_count(merged.view(np.uint64)).sum(axis=1) / hasher.minima
+    assert ((agreeing - 0.25) / 0.75 >= 0.8 - 0.155).all()
+
+
 def test_near_copies_of_awkward_documents(docs):
     rows = near_dedup.find_near_duplicates(docs, width=2).collect()
     assert len(rows) == len(TEXTS)
