@@ -59,10 +59,10 @@ _SPAN = "struct<start:int,kind:int,end:int>"
 _SPAN_TYPE = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
 _MENTION = "struct<entity:string,context:long,twice:array<string>>"
 _MENTION_TYPE = pa.struct([("entity", pa.string()), ("context", pa.int64()), ("twice", pa.list_(pa.string()))])
-_PLACE_TYPE = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-_TERM = "struct<term:string,slot:int,capital:boolean,places:array<struct<start:int,end:int>>>"
+#: A place is start * 2**32 + end, which takes a quarter of a struct's room in a shuffle.
+_TERM = "struct<term:string,slot:int,capital:boolean,places:array<long>>"
 _TERM_TYPE = pa.struct(
-    [("term", pa.string()), ("slot", pa.int32()), ("capital", pa.bool_()), ("places", pa.list_(_PLACE_TYPE))]
+    [("term", pa.string()), ("slot", pa.int32()), ("capital", pa.bool_()), ("places", pa.list_(pa.int64()))]
 )
 
 
@@ -141,7 +141,7 @@ def _mentions(text: str, spans: list[tuple[int, int, int]]) -> tuple[list[dict],
         name = word.lower()
         term = terms.setdefault(name, {"term": name, "slot": _slot(name), "capital": False, "places": []})
         term["capital"] |= word[0].isupper()
-        term["places"].append({"start": start, "end": end})
+        term["places"].append(start << 32 | end)
     mentions = []
     for entity, nears in about.items():
         context = xxhash.xxh3_64_intdigest("\n".join(map(" ".join, nears))) - (1 << 63)
@@ -276,17 +276,21 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     _entities(texts).write.parquet(folder)
     found = spark.read.parquet(folder)
     # rows that repeat an id and its text are one document
-    own = found.filter(F.size("mentions") > 0).groupBy("doc_id", "content")
+    known = F.transform("terms", lambda term: F.struct(*(term[name].alias(name) for name in ("term", "slot", "capital"))))
+    own = found.filter(F.size("mentions") > 0).select("doc_id", "content", "mentions", known.alias("terms"))
+    own = own.groupBy("doc_id", "content")
     own = own.agg(F.count("*").alias("rows"), F.first("mentions").alias("mentions"), F.first("terms").alias("terms"))
     mentions = own.select("doc_id", "content", F.inline("mentions"))
     names = mentions.join(_disclosing(texts, own, mentions, threshold), "entity").groupBy("doc_id", "content")
     names = names.agg(F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"))
+    held = F.transform("terms", lambda term: F.struct(term["term"].alias("term"), term["places"].alias("places")))
     disclosing = F.filter("terms", lambda term: F.array_contains("names", term["term"]))
     places = F.flatten(F.transform(disclosing, lambda term: term["places"]))
     kind = F.lit(KINDS.index("term")).alias("kind")
-    added = F.transform(places, lambda place: F.struct(place["start"].alias("start"), kind, place["end"].alias("end")))
+    ends = lambda place: place.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("end")
+    added = F.transform(places, lambda place: F.struct(F.shiftright(place, 32).cast("int").alias("start"), kind, ends(place)))
     every = F.when(F.col("names").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", added)))
-    return _same(found.select("doc_id", "content", "base", "terms"), names).select("doc_id", "content", "base", every.alias("spans"))
+    return _same(found.select("doc_id", "content", "base", held.alias("terms")), names).select("doc_id", "content", "base", every.alias("spans"))
 
 
 def _count(spans: Column, kind: int) -> Column:
