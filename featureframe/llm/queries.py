@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureframe.llm import byte_pairs, exact_dedup, language, near_dedup, nearest, packing, personal_data, substring_dedup, token_files, toxicity
+from featureframe.llm import (
+    byte_pairs,
+    exact_dedup,
+    language,
+    line_dedup,
+    merkle,
+    near_dedup,
+    nearest,
+    packing,
+    personal_data,
+    spelling,
+    sql,
+    substring_dedup,
+    token_files,
+    toxicity,
+)
 from featureframe.llm.common import id_remainder
 
 
@@ -97,6 +112,32 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: One in so many words of a document is misspelt before words are counted.
+_MISSPELT = 199
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(_table(spark, sf_dir, "documents"), least_points=6, least_count=5, alter_one_in=_MISSPELT)
+    return spelling.group_variants(words, least_points=6, least_ratio=5)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    kept = line_dedup.kept_lines(docs, line_dedup.keep_bitmaps(docs, least_points=20, least_documents=3))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    tampered = merkle.leaf({"text": F.coalesce(text, F.col("text"))})
+    rows = merkle.manifest(_table(spark, sf_dir, "documents"), tampered=tampered)
+    folded = merkle.folded(F.col("tampered"), F.col("path"))
+    proof = F.sha2(merkle.proof(F.col("path")).cast("binary"), 256).alias("proof_sha256")
+    return rows.select("doc_id", "leaf", "subroot", "root", proof, folded.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_substring_dedup": op2_substring_dedup,
@@ -108,6 +149,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_language": op9_language,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling": op11_spelling,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE: dict[str, str] = {
@@ -136,4 +180,7 @@ ORACLE: dict[str, str] = {
         )
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(plain) as text_sha256 from ranked
     """,
+    "op11_spelling": sql.spelling(),
+    "op12_line_dedup": sql.line_dedup(),
+    "op13_merkle": sql.merkle(),
 }
