@@ -86,7 +86,7 @@ class _Remembering(dict):
 
 def _sentences(text: str) -> list[list[str]]:
     """The words of each sentence that has any."""
-    found = (_WORD.findall(one) for one in _SENTENCE.findall(text.lower()))
+    found = (_WORD.findall(one.lower()) for one in _SENTENCE.findall(text))
     return [one for one in found if one]
 
 
@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     totals = rows.agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("toxic")).alias("toxic")).first()
     share = totals["toxic"] / totals["n"] if totals["n"] else 0.0
     if not 0 < share < 1:
-        return Model(np.zeros(1 << FEATURE_BITS, np.float32), 0.0, share)
+        return Model(np.zeros(1 << FEATURE_BITS, np.float32), 0.0, constant=share)
     found = _labelled_features(rows, _telling(rows, share)).toArrow()
     features, sizes = (
         [np.frombuffer(one.as_py(), np.uint32).astype(np.int64) for one in found.column(name)]
@@ -236,15 +236,19 @@ class _Scorer:
     def __call__(self, text: str) -> tuple[float, np.ndarray, list[tuple[int, int]]]:
         """The document's score, and score and place of each sentence that has words."""
         logits, places = [], []
-        for sentence in _SENTENCE.finditer(text.lower()):
-            found = _WORD.findall(sentence[0])
+        for sentence in _SENTENCE.finditer(text):
+            # places are those of the text: lower case may be longer
+            found = _WORD.findall(sentence[0].lower())
             if found:
                 logits.append(self._model.bias + sum(map(self._weight, found)))
                 places.append(sentence.span())
         logits, model = np.array(logits, np.float64), self._model
-        clean = _beyond_plain(logits, model.bias).sum() - np.logaddexp(0, model.background) if places else 0.0
-        whole = float(-np.expm1(clean)) if model.constant is None else model.constant
-        return whole, _logistic(logits), places
+        if model.constant is not None:
+            return model.constant, _logistic(logits), places
+        if not places:
+            return 0.0, logits, places
+        clean = _beyond_plain(logits, model.bias).sum() - np.logaddexp(0, model.background)
+        return float(-np.expm1(clean)), _logistic(logits), places
 
 
 def score(docs: DataFrame, model: Model, worst: float = 0.5) -> DataFrame:
