@@ -17,7 +17,11 @@ term in a document that has its entity is a span of kind ``term``. ``sanitise``
 kind's name in place of spans.
 
 Counts of words cover all documents; only words that are a term somewhere are counted,
-told by a bitmap of fixed size, where a wrong hit costs a row but changes no result.
+told by a bitmap of fixed size, where a wrong hit costs a row but changes no result. No
+entity can be disclosed by a term of more than ``N ** (1 - threshold) * n_e ** threshold``
+documents (n_et is at most n_e), nor one of a single context by a term of more documents
+than hold the entity. So words are counted first, and only terms within the widest of these
+bounds meet entities; a second bitmap tells them.
 
 A null text counts as empty and has no spans. Spans are code points, ends exclusive, per
 kind leftmost and without overlap; spans of different kinds may overlap. Rows that repeat
@@ -30,6 +34,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -37,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from featureframe.llm.common import SLOT_BITS, ids_and_texts, slot_map
+from featureframe.llm.common import SLOT_BITS, ids_and_texts, in_slot_map, slot_map
 from featureframe.session import new_shared_folder, settle, ship_package
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -182,10 +187,9 @@ def _with_content(docs: DataFrame) -> DataFrame:
 
 
 def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``term, n_t``: in how many documents each of ``terms`` (``term``, ``slot``) is, and maybe some others."""
+    """``term, slot, n_t``: in how many documents each of ``terms`` (their ``slot``) is, and maybe some others."""
     spark = docs.sparkSession
-    wanted = slot_map(terms)
-    shared = spark.sparkContext.broadcast(wanted)
+    shared = spark.sparkContext.broadcast(slot_map(terms))
 
     def run(batches):
         wanted = shared.value
@@ -204,12 +208,29 @@ def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
             for text in batch.column("text"):
                 counts.update(filter(is_wanted, set(_WORD.findall(text.as_py().lower()))))
         if counts:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], ["term", "n"]
-            )
+            columns = [pa.array(list(counts)), pa.array(map(_slot, counts), pa.int32()), pa.array(list(counts.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["term", "slot", "n"])
 
-    found = docs.select("text").mapInArrow(run, "term string, n long")
-    return found.groupBy("term").agg(F.sum("n").alias("n_t"))
+    found = docs.select("text").mapInArrow(run, "term string, slot int, n long")
+    return found.groupBy("term", "slot").agg(F.sum("n").alias("n_t"))
+
+
+def _with_terms_of(found: DataFrame, slots: DataFrame) -> DataFrame:
+    """``found`` with those ``terms`` only whose slot is one of ``slots``, and maybe some others."""
+    shared = found.sparkSession.sparkContext.broadcast(slot_map(slots))
+    column = found.columns.index("terms")
+
+    def run(batches):
+        for batch in batches:
+            terms = batch.column("terms")
+            every = terms.flatten()
+            kept = in_slot_map(shared.value, every.field("slot").to_numpy(zero_copy_only=False))
+            before = np.concatenate([[0], np.cumsum(kept)])
+            ends = np.concatenate([[0], np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False))])
+            thinned = pa.ListArray.from_arrays(pa.array(before[ends], pa.int32()), every.filter(pa.array(kept)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:column], thinned, *batch.columns[column + 1 :]], batch.schema.names)
+
+    return found.mapInArrow(run, found.schema)
 
 
 def _same(one: DataFrame, other: DataFrame) -> DataFrame:
@@ -219,15 +240,13 @@ def _same(one: DataFrame, other: DataFrame) -> DataFrame:
     return one.join(other, same, "left").drop("own_id", "own_content")
 
 
-def _disclosing(texts: DataFrame, own: DataFrame, mentions: DataFrame, threshold: float) -> DataFrame:
-    """``entity, names``: the terms that tell of the entity."""
-    having = mentions.groupBy("entity").agg(
-        F.count("*").alias("n_e"), (F.count_distinct("context") < LEAST_CONTEXTS).alias("lone")
-    )
+def _disclosing(found: DataFrame, mentions: DataFrame, having: DataFrame, counts: DataFrame, n: int, threshold: float) -> DataFrame:
+    """``entity, term, slot``: the terms that tell of the entity; ``counts`` has those that may."""
     told = mentions.join(having, "entity").groupBy("doc_id", "content")
     told = told.agg(F.collect_list(F.struct("entity", "context", "twice", "n_e", "lone")).alias("told"))
-    of_document = _same(own.select("doc_id", "content", "rows", "terms"), told)
-    of_document = of_document.select("rows", "terms", F.inline("told"))
+    known = F.transform("terms", lambda term: F.struct(*(term[name].alias(name) for name in ("term", "slot", "capital"))))
+    own = _of_documents(_with_terms_of(found, counts), F.first(known).alias("terms"))
+    of_document = _same(own, told).select("rows", "terms", F.inline("told"))
     # an entity with one context needs no other words
     repeated = lambda term: F.array_contains("twice", term["term"])
     some = F.filter("terms", lambda term: ~F.col("lone") | term["capital"] | repeated(term))
@@ -245,18 +264,32 @@ def _disclosing(texts: DataFrame, own: DataFrame, mentions: DataFrame, threshold
         F.max("capital").alias("capital"),
     )
     name = F.col("lone") & F.col("capital")
-    pairs = settle(pairs.filter(F.col("counts") | name))
-    n = F.lit(float(texts.count()))
-    information = F.log2(n / F.col("n_e"))
-    tells = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t"))) >= threshold * information
+    information = F.log2(F.lit(float(n)) / F.col("n_e"))
+    tells = F.log2(F.col("n_et") * float(n) / (F.col("n_e") * F.col("n_t"))) >= threshold * information
     return (
-        pairs.join(_document_counts(texts, pairs), "term")
+        pairs.filter(F.col("counts") | name)
+        .join(counts, ["term", "slot"])
         .filter((information > 0) & ((F.col("counts") & tells) | (name & (F.col("n_t") <= F.col("rows")))))
-        .groupBy("entity")
-        .agg(F.collect_list("term").alias("names"))
+        .select("entity", "term", "slot")
     )
 
 
+def _of_documents(found: DataFrame, *columns: Column) -> DataFrame:
+    """One row, with their number ``rows``, of those that repeat an id and its text."""
+    return found.filter(F.size("mentions") > 0).groupBy("doc_id", "content").agg(F.count("*").alias("rows"), *columns)
+
+
+def _counts_of_terms(texts: DataFrame, found: DataFrame, having: DataFrame, n: int, threshold: float) -> DataFrame:
+    """``term, slot, n_t`` of terms rare enough to disclose some entity."""
+    widest = F.greatest(
+        F.lit(float(n)) ** (1 - threshold) * F.col("n_e") ** threshold, F.when(F.col("lone"), F.col("copies")).otherwise(0)
+    )
+    # rounding must not decide
+    most = 1.000001 * (having.agg(F.max(widest)).first()[0] or 0)
+    terms = found.filter(F.size("mentions") > 0).select(F.explode("terms.slot").alias("slot"))
+    return settle(_document_counts(texts, terms).filter(F.col("n_t") <= most))
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*(F.lit(kind) for kind in KINDS))
     return F.array_join(
@@ -275,14 +308,16 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     folder = new_shared_folder(spark, "entities")
     _entities(texts).write.parquet(folder)
     found = spark.read.parquet(folder)
-    # rows that repeat an id and its text are one document
-    known = F.transform("terms", lambda term: F.struct(*(term[name].alias(name) for name in ("term", "slot", "capital"))))
-    own = found.filter(F.size("mentions") > 0).select("doc_id", "content", "mentions", known.alias("terms"))
-    own = own.groupBy("doc_id", "content")
-    own = own.agg(F.count("*").alias("rows"), F.first("mentions").alias("mentions"), F.first("terms").alias("terms"))
-    mentions = own.select("doc_id", "content", F.inline("mentions"))
-    names = mentions.join(_disclosing(texts, own, mentions, threshold), "entity").groupBy("doc_id", "content")
+    mentions = _of_documents(found, F.first("mentions").alias("mentions")).select("doc_id", "content", "rows", F.inline("mentions"))
+    having = mentions.groupBy("entity").agg(
+        F.count("*").alias("n_e"), F.sum("rows").alias("copies"), (F.count_distinct("context") < LEAST_CONTEXTS).alias("lone")
+    )
+    having, n = settle(having), texts.count()
+    counts = _counts_of_terms(texts, found, having, n, threshold)
+    told = settle(_disclosing(found, mentions.drop("rows"), having, counts, n, threshold))
+    names = mentions.join(told.groupBy("entity").agg(F.collect_list("term").alias("names")), "entity").groupBy("doc_id", "content")
     names = names.agg(F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"))
+    found = _with_terms_of(found, told)
     held = F.transform("terms", lambda term: F.struct(term["term"].alias("term"), term["places"].alias("places")))
     disclosing = F.filter("terms", lambda term: F.array_contains("names", term["term"]))
     places = F.flatten(F.transform(disclosing, lambda term: term["places"]))
