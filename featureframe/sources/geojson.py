@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructField, Stru
 from featureframe.functions.coordinates import geojson_wkb
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData
-from featureframe.sources.records import Located, blocks, chosen, fitted, opened
+from featureframe.sources.records import Located, blocks, chosen, decoded, fitted, opened
 from featureframe.types import OGR_TO_SPARK
 
 _TOKEN = re.compile(rb'"[^"\\]*+(?:\\.[^"\\]*+)*+"|"|[{}\[\]:,]', re.DOTALL)
@@ -135,7 +135,7 @@ def features(path: str, key: str, start: int | None, stop: int | None) -> Iterat
             for first, last in zip(opens, closes):
                 _check_gap(path, block[done:first])
                 held.append(block[first : last + 1])
-                yield b"".join(held).decode("utf-8", "replace")
+                yield decoded(path, b"".join(held), "utf-8")
                 held, done = [], last + 1
             if len(opens) > len(closes):
                 _check_gap(path, block[done : opens[-1]])

@@ -3,7 +3,7 @@
 A streaming parser finds the elements that stand for features. Features are then cut out
 between an element's opening and closing tag; a feature belongs to the byte range its
 opening tag begins in, so a large file is read by many tasks without a look at what is
-before.
+before. Tags in comments and CDATA sections are none; ranges begin outside of both.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from typing import BinaryIO
 from xml.parsers import expat
 
 from pyspark.sql import Column, DataFrame
@@ -22,12 +23,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 from featureframe.functions.coordinates import gml_wkb
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData
-from featureframe.sources.records import Located, chosen, fitted, opened
+from featureframe.sources.records import Located, chosen, decoded, fitted, opened
 
 # Elements features are wrapped in
 _WRAPPERS = ("member", "featureMember", "featureMembers")
 _READ_BYTES = 1 << 20
 _ENCODING = re.compile(rb"""<\?xml[^>]*?\sencoding\s*=\s*["']([\w.:-]+)["']""")
+# Marks of comments and of sections of plain text
+_SECTION = re.compile(rb"<!--|<!\[CDATA\[")
+_SECTION_ENDS = {b"<!--": re.compile(rb"-->"), b"<![CDATA[": re.compile(rb"\]\]>")}
+_WHOLE_SECTION = re.compile(rb"<!--.*?-->|<!\[CDATA\[(.*?)\]\]>", re.DOTALL)
 # GML geometry elements
 _SHAPES = (
     "Point|LineString|Curve|Polygon|Surface|MultiPoint|MultiLineString|MultiCurve"
@@ -108,18 +113,47 @@ def layers(path: str) -> list[tuple[str, int]]:
 
 
 def plan(path: str, key: str, step: int) -> list[tuple[int, int | None]]:
-    """Ranges of ``step`` bytes; any place will do."""
+    """Ranges of ``step`` bytes; any place will do that is in no comment and no CDATA section."""
     with opened(path) as file:
         size = file.seek(0, os.SEEK_END) if hasattr(file, "seekable") else file.size()
-    starts = list(range(0, max(size, 1), step))
+        starts = list(range(0, max(size, 1), step))
+        at = 0
+        for begin, end in _sections(file):
+            while at < len(starts) and starts[at] <= begin:
+                at += 1
+            while at < len(starts) and starts[at] < end:
+                starts[at] = end
+                at += 1
+    starts = [start for start in dict.fromkeys(starts) if start < max(size, 1)]
     return list(zip(starts, [*starts[1:], None]))
 
 
+def _sections(file: BinaryIO) -> Iterator[tuple[int, int]]:
+    """Where comments and CDATA sections begin and end."""
+    file.seek(0)
+    base, text, begin, wanted = 0, b"", 0, _SECTION
+    while block := file.read(_READ_BYTES):
+        text, at = text + block, 0
+        while found := wanted.search(text, at):
+            at = found.end()
+            if wanted is _SECTION:
+                begin, wanted = base + found.start(), _SECTION_ENDS[found[0]]
+            else:
+                yield begin, base + at
+                wanted = _SECTION
+        # a mark may go on in the next block
+        kept = max(at, len(text) - len("<![CDATA["))
+        base, text = base + kept, text[kept:]
+    if wanted is not _SECTION:
+        yield begin, base + len(text)
+
+
 def features(path: str, key: str, start: int | None, stop: int | None) -> Iterator[str]:
-    """Texts of the feature elements whose opening tag begins in the range."""
+    """Texts of the feature elements whose opening tag begins in the range, without comments and CDATA marks."""
     element, encoding = json.loads(key)
     name = re.escape(element.encode(encoding))
-    opening, closing = re.compile(rb"<" + name + rb"(?=[\s>/])"), re.compile(rb"</" + name + rb"\s*>")
+    opening = re.compile(_SECTION.pattern + rb"|<" + name + rb"(?=[\s>/])")
+    closing = re.compile(_SECTION.pattern + rb"|</" + name + rb"\s*>")
     with opened(path) as file:
         base = start or 0
         file.seek(base)
@@ -134,23 +168,31 @@ def features(path: str, key: str, start: int | None, stop: int | None) -> Iterat
         while True:
             found = opening.search(text, at)
             if found is None:
-                # a tag may begin in the last bytes
-                at = max(at, len(text) - len(element) - 2)
+                # a tag or a mark may begin in the last bytes
+                at = max(at, len(text) - max(len(element.encode(encoding)) + 2, len("<![CDATA[")))
                 if (stop is not None and base + at >= stop) or not more():
                     return
                 continue
             at = found.start()
             if stop is not None and base + at >= stop:
                 return
-            end = _end_of(text, at, closing)
+            ends = _section_end if found[0] in _SECTION_ENDS else _end_of
+            end = ends(text, at, closing)
             while end is None:
                 if not more():
                     raise ValueError(f"{path} ends within a feature.")
-                end = _end_of(text, at, closing)
-            yield text[at:end].decode(encoding, "replace")
+                end = ends(text, at, closing)
+            if ends is _end_of:
+                yield decoded(path, _plain(text[at:end]), encoding)
             at = end
 
 
+def _section_end(text: bytes, at: int, _: re.Pattern) -> int | None:
+    mark = _SECTION.match(text, at)
+    found = _SECTION_ENDS[mark[0]].search(text, mark.end())
+    return found.end() if found else None
+
+
 def _end_of(text: bytes, at: int, closing: re.Pattern) -> int | None:
     """Where the feature element that begins at ``at`` ends, if the text goes on that far."""
     tag = text.find(b">", at)
@@ -158,8 +200,24 @@ def _end_of(text: bytes, at: int, closing: re.Pattern) -> int | None:
         return None
     if text[tag - 1 : tag] == b"/":  # an element without content
         return tag + 1
-    close = closing.search(text, tag)
-    return close.end() if close else None
+    at = tag
+    while found := closing.search(text, at):
+        if found[0] not in _SECTION_ENDS:
+            return found.end()
+        at = _section_end(text, found.start(), closing)
+        if at is None:
+            return None
+    return None
+
+
+def _plain(feature: bytes) -> bytes:
+    """The element without comments, and with CDATA sections as ordinary text."""
+    return _WHOLE_SECTION.sub(_as_text, feature) if b"<!" in feature else feature
+
+
+def _as_text(section: re.Match) -> bytes:
+    inner = section[1]
+    return b"" if inner is None else inner.replace(b"&", b"&amp;").replace(b"<", b"&lt;").replace(b">", b"&gt;")
 
 
 def attributes(found: DataFrame) -> list[dict]:

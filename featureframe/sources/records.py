@@ -45,6 +45,13 @@ def opened(path: str) -> BinaryIO:
         raise NotVectorData(f"{path} is a folder.") from None
 
 
+def decoded(path: str, text: bytes, encoding: str) -> str:
+    try:
+        return text.decode(encoding)
+    except UnicodeDecodeError as error:
+        raise ValueError(f"{path} has a feature that is not {encoding}: {error}") from None
+
+
 def blocks(file: BinaryIO, start: int, stop: int | None) -> Iterator[bytes]:
     """The bytes from ``start`` up to ``stop`` or the end, a block at a time."""
     file.seek(start)

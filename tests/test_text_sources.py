@@ -1,14 +1,17 @@
 from __future__ import annotations
 
 import json
+import random
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from featureframe import describe_layers, read_vector_files
-from featureframe.functions.coordinates import geojson_to_wkb, gml_to_wkb
+from featureframe.functions.coordinates import geojson_wkb, gml_wkb
 from featureframe.sources import geojson, gml, records
+from tests import geometries
 
 
 def feature(i: int, **properties) -> dict:
@@ -51,8 +54,8 @@ LAYOUTS["type first in properties"] = document(
 )
 LAYOUTS["differing order"] = document([dict(reversed(f.items())) if i % 2 else f for i, f in enumerate(FEATURES)])
 LAYOUTS["mixed white space"] = document(FEATURES).replace('}, {"type": "Feature"', '}\t,\n\n {"type" :"Feature"', 7)
-LAYOUTS["long first line"] = json.dumps({"id": "x" * (1 << 21), **FEATURES[0]}) + "\n" + "\n".join(map(json.dumps, FEATURES[1:]))
-LAYOUTS["long head"] = document(FEATURES, crs={"note": "{[" + "x" * (1 << 21)}, n=1)
+LAYOUTS["long first line"] = json.dumps({"id": "x" * (1 << 17), **FEATURES[0]}) + "\n" + "\n".join(map(json.dumps, FEATURES[1:]))
+LAYOUTS["long head"] = document(FEATURES, crs={"note": "{[" + "x" * (1 << 17)}, n=1)
 LAYOUTS["backslashes"] = document([{"note": "\\" * (i % 7) + '"', **f} for i, f in enumerate(FEATURES)])
 
 
@@ -61,8 +64,6 @@ LAYOUTS["backslashes"] = document([{"note": "\\" * (i % 7) + '"', **f} for i, f
 @pytest.mark.parametrize("block_bytes", [8 << 20, 37])
 def test_geojson_layouts_and_splits(spark, tmp_path, monkeypatch, layout, split_bytes, block_bytes):
     if block_bytes == 37:  # in this process, where blocks can be made small
-        if len(LAYOUTS[layout]) > 1 << 20:
-            pytest.skip("takes long")
         monkeypatch.setattr(records, "BLOCK_BYTES", block_bytes)
         path = str(tmp_path / "a.geojson")
         (tmp_path / "a.geojson").write_text(LAYOUTS[layout])
@@ -188,10 +189,52 @@ def test_geojson_layer_names(spark, tmp_path):
         (None, None),
     ],
 )
-def test_geojson_geometries(geometry, wkb):
-    assert geojson_to_wkb([json.dumps(geometry)]).to_pylist() == [wkb]
+def test_geojson_geometries(spark, geometry, wkb):
     line = {"type": "LineString", "coordinates": [[0, 0], [1, 1]]}
-    assert geojson_to_wkb([json.dumps(line), json.dumps(geometry), None]).to_pylist()[1:] == [wkb, None]
+    texts = [None if geometry is None else json.dumps(geometry), json.dumps(line), None]
+    assert converted(spark, texts, geojson_wkb)[::2] == [wkb, None]
+
+
+def converted(spark, texts, function) -> list[bytes | None]:
+    """Of all texts, in batches of other sizes than one."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)
+    found = rows.select("n", function(F.col("text")).alias("wkb")).collect()
+    return [row.wkb and bytes(row.wkb) for row in sorted(found)]
+
+
+def test_random_geojson_geometries(spark):
+    chance = random.Random(3)
+    texts = [None, *(json.dumps(geometries.random_geojson(chance)) for _ in range(700))]
+    assert converted(spark, texts, geojson_wkb) == list(map(geometries.geojson_to_wkb, texts))
+
+
+@pytest.mark.parametrize(
+    ("text", "message"),
+    [
+        ('{"type": "point", "coordinates": [1, 2]}', "Unknown GeoJSON geometry type point"),
+        ('{"type": "Point", "coordinates": "x"}', "cannot be read: x"),
+        ('{"type": "Point"}', "without coordinates"),
+        ('{"type": "LineString", "coordinates": [[1, "a"]]}', "something else than numbers"),
+        ('{"type": "LineString", "coordinates": [[1, null], [1, 2]]}', "something else than numbers"),
+        ('{"type": "GeometryCollection"}', "without geometries"),
+        ("[1]", "Unknown GeoJSON geometry type null"),
+    ],
+)
+def test_geometries_that_are_none(spark, text, message):
+    with pytest.raises(Exception, match=message):
+        converted(spark, [text], geojson_wkb)
+
+
+def test_random_gml_geometries(spark):
+    chance = random.Random(3)
+    texts = [None, *(geometries.random_gml(chance) for _ in range(700))]
+    assert converted(spark, texts, gml_wkb) == list(map(geometries.gml_to_wkb, texts))
+
+
+def test_gml_numbers_that_are_none(spark):
+    for text in ("<Point><pos>1 x</pos></Point>", "<LineString><posList>1 2 3</posList></LineString>"):
+        with pytest.raises(Exception, match="x|whole positions"):
+            converted(spark, [text], gml_wkb)
 
 
 SQUARE = "0 0 1 0 1 1 0 0"
@@ -244,10 +287,9 @@ RING = struct.pack("<I8d", 4, 0, 0, 1, 0, 1, 1, 0, 0)
         (None, None),
     ],
 )
-def test_gml_geometries(gml, wkb):
-    assert gml_to_wkb([gml]).to_pylist() == [wkb]
+def test_gml_geometries(spark, gml, wkb):
     line = "<LineString><posList>0 0 1 1</posList></LineString>"
-    assert gml_to_wkb([line, gml, None]).to_pylist()[1:] == [wkb, None]
+    assert converted(spark, [gml, line, None], gml_wkb)[::2] == [wkb, None]
 
 
 def gml_feature(layer: str, i: int, body: str) -> str:
@@ -320,3 +362,45 @@ def test_gml_files_with_differing_fields(spark, tmp_path):
     schema = StructType().add("id", "long").add("name", "string").add("geometry", "binary")
     df = read(spark, tmp_path, suffix="gml", schema=schema, coerce_to_schema=True)
     assert sorted(map(tuple, df.collect()), key=str) == [(1, None, None), (None, "B", None)]
+
+
+MARKED = [
+    gml_feature("road", 1, shape(1) + "<ogr:id>1</ogr:id>"),
+    "<!-- " + gml_feature("road", 2, "<ogr:id>2</ogr:id>") + " <![CDATA[ -->",
+    gml_feature("road", 3, "<ogr:id><!-- 9 -->3</ogr:id><ogr:name><![CDATA[ </ogr:road> <ogr:road> & --> <!-- ]]></ogr:name>"),
+    "<![CDATA[ <ogr:road><ogr:id>4</ogr:id></ogr:road> ]]>",
+    gml_feature("road", 5, "<!-- </ogr:road> -->" + shape(5).replace("5,0", "<!-- 1,1 -->5,0") + "<ogr:id>5</ogr:id>"),
+]
+
+
+@pytest.mark.parametrize("split_bytes", [128 << 20, 64])
+def test_gml_comments_and_sections(spark, tmp_path, split_bytes):
+    (tmp_path / "a.gml").write_text(collection(*MARKED, plural=True))
+    rows = sorted(map(tuple, read(spark, tmp_path, suffix="gml", split_bytes=split_bytes).select("id", "name", "geometry").collect()))
+    at = [bytearray(struct.pack("<BIdd", 1, 1, i, 0)) for i in (1, 5)]
+    assert rows == [(1, None, at[0]), (3, "</ogr:road> <ogr:road> & --> <!--", None), (5, None, at[1])]
+    assert describe_layers(str(tmp_path), suffix="gml", spark=spark).first()["feature_count"] == 3
+
+
+def test_gml_comments_at_every_split(tmp_path, monkeypatch):
+    path, text = str(tmp_path / "a.gml"), collection(*MARKED, plural=True)
+    (tmp_path / "a.gml").write_text(text)
+    key = gml.locate(path, None).key
+    for read_bytes in (11, 1 << 20):
+        monkeypatch.setattr(gml, "_READ_BYTES", read_bytes)
+        whole = list(gml.features(path, key, None, None))
+        assert [one.count("<ogr:id>") for one in whole] == [1, 1, 1] and not any("<!" in one for one in whole)
+        for step in range(1, len(text) + 1, 1 if read_bytes > 11 else 13):
+            assert whole == [one for start, stop in gml.plan(path, key, step) for one in gml.features(path, key, start, stop)]
+
+
+@pytest.mark.parametrize("suffix", ["geojson", "gml"])
+def test_text_in_another_encoding_is_an_error(spark, tmp_path, suffix):
+    feature = [{"type": "Feature", "properties": {"name": "Müller"}, "geometry": None}]
+    text = json.dumps({"type": "FeatureCollection", "features": feature}, ensure_ascii=False)
+    if suffix == "gml":
+        text = collection(gml_feature("road", 1, "<ogr:name>Müller</ogr:name>"))
+        text = text.replace('<?xml version="1.0"?>', '<?xml version="1.0" encoding="US-ASCII"?>')
+    (tmp_path / f"a.{suffix}").write_bytes(text.encode("latin-1"))
+    with pytest.raises(Exception, match="codec can't decode|not well-formed|No file could be opened"):
+        read(spark, tmp_path, suffix=suffix).collect()
