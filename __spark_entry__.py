@@ -373,20 +373,31 @@ def q_geojson_nested_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _geojson_variant(spark, sf_dir, "geojson-nested")
 
 
-def _shapes(spark: SparkSession, sf_dir: str, shape: Column, label: str) -> DataFrame:
+#: Formats of shapes, with their file extension.
+_SHAPE_KINDS = (("geopackage", "gpkg"), ("shapefile", "shp"), ("geojson", "geojson"))
+
+
+def _shapes(
+    spark: SparkSession,
+    sf_dir: str,
+    shape: Column,
+    label: str,
+    kinds: tuple[tuple[str, str], ...] = _SHAPE_KINDS,
+    bbox: tuple[float, float, float, float] | None = None,
+) -> DataFrame:
     """Length and bounds of the customers' shapes, from GeoPackages, shapefiles and GeoJSON in turn."""
     customers = _customers(spark, sf_dir).withColumn("layer", F.lit("shapes")).withColumn("shape", shape)
     frames = []
-    for at, (kind, extension) in enumerate((("geopackage", "gpkg"), ("shapefile", "shp"), ("geojson", "geojson"))):
+    for at, (kind, extension) in enumerate(kinds):
 
         def write(folder: str) -> None:
             name = F.concat(F.lit("part_"), _part("id", PART_ROWS), F.lit(f".{extension}"))
-            own = customers.filter(F.col("id") % 3 == at)
+            own = customers.filter(F.col("id") % len(kinds) == at)
             write_vector_files(own.select("layer", "fid", "x", "y", "shape", "id", name.alias("file")), folder, kind)
 
         schema = StructType.fromDDL("id bigint, geometry binary")
         folder = _once(spark, sf_dir, f"{label}-{kind}", write)
-        frames.append(read_vector_files(folder, suffix=extension, schema=schema, spark=spark))
+        frames.append(read_vector_files(folder, suffix=extension, schema=schema, spark=spark, bbox=bbox))
     box = wkb_bounds(F.col("geometry"))
     corners = [F.col("box").getItem(i).alias(name) for i, name in enumerate(("min_x", "max_x", "min_y", "max_y"))]
     rows = reduce(DataFrame.unionByName, frames).select("id", F.length("geometry").alias("bytes"), box.alias("box"))
@@ -402,6 +413,20 @@ def q_read_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shapes(spark, sf_dir, F.lit("polygon"), "customer-polygons")
 
 
+def q_gml_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shapes(spark, sf_dir, F.lit("polygon"), "customer-polygons-all", (("gml", "gml"),))
+
+
+#: The box of the query, in the customers' coordinates
+_BBOX = (-100.0, 100.0, 4000.0, 1200.0)
+
+
+def q_read_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' polygons near a box, a fifth of them in each format."""
+    kinds = (("geopackage", "gpkg"), ("geopackage-indexed", "gpkg"), *_SHAPE_KINDS[1:], ("gml", "gml"))
+    return _shapes(spark, sf_dir, F.lit("polygon"), "customer-boxed", kinds, _BBOX)
+
+
 def q_gml(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = StructType.fromDDL("id bigint, category string, geometry binary")
     folder = _customer_files(spark, sf_dir, "gml", "gml")
@@ -618,6 +643,10 @@ def _reader_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # --- SQL equivalents -------------------------------------------------------
 
+_CUSTOMER_POLYGONS = (
+    "select c_custkey id, 177 as bytes, c_acctbal min_x, c_acctbal + 4 max_x,"
+    " c_custkey::double min_y, c_custkey::double + 4 max_y from customer"
+)
 _CUSTOMER_POINTS = "select c_custkey id, c_name category, c_acctbal x, c_custkey::double y from customer"
 _ORDER_POINTS = "select o_orderkey id, o_orderpriority category, o_totalprice x, o_custkey::double y from orders"
 _LAYER_RANK = (
@@ -683,8 +712,10 @@ def _reader_sql() -> dict[str, str]:
         "q_read_lines": "select c_custkey id, (9 + 16 * n)::int as bytes, c_acctbal min_x, c_acctbal + (n - 1) max_x,"
         " c_custkey::double - (n - 1) min_y, c_custkey::double max_y"
         " from (select *, 2 + c_custkey % 4 as n from customer)",
-        "q_read_polygons": "select c_custkey id, 177 as bytes, c_acctbal min_x, c_acctbal + 4 max_x,"
-        " c_custkey::double min_y, c_custkey::double + 4 max_y from customer",
+        "q_read_polygons": _CUSTOMER_POLYGONS,
+        "q_gml_polygons": _CUSTOMER_POLYGONS,
+        "q_read_bbox": _CUSTOMER_POLYGONS + " where c_acctbal <= 4000 and c_acctbal + 4 >= -100"
+        " and c_custkey <= 1200 and c_custkey + 4 >= 100",
         "q_read_gpkg_mixed": "select c_custkey id, c_name category, case when c_acctbal >= 0 then c_acctbal end balance"
         " from customer",
         "q_read_gpkg_layer": "select o_orderkey feature_id, o_orderkey id, o_orderpriority category, o_totalprice x,"

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructField, StructType
 
-from featureframe.functions.buffers import binary_layout, doubles_at, fixed_width_binary
+from featureframe.functions.buffers import binary_layout, doubles_at, fixed_width_binary, gather
 
 # WKB geometry type codes
 POINT, LINESTRING, POLYGON = 1, 2, 3
@@ -113,17 +113,77 @@ def _plain_points(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, val
     return plain
 
 
+# a batch goes geometry by geometry once so few of them have parts left
+_FEW = 8
+
+
+def corners(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """``minx, maxx, miny, maxy`` of each geometry in ``data``, not numbers for null or empty ones.
+
+    All geometries of a batch are walked at once, a line, ring or point of each at a time.
+    """
+    found = np.full((len(starts), 4), np.nan)
+    plain = _plain_points(data, starts, lengths, valid)
+    found[plain] = np.repeat(doubles_at(data, starts[plain] + 5, 2, "<f8"), 2, axis=1)
+    rows = np.flatnonzero(valid & ~plain & (lengths >= 5))
+    alone = [rows[data[starts[rows]] != 1]]  # the other byte order
+    rows = rows[data[starts[rows]] == 1]
+    at, runs = starts[rows].copy(), []
+    parts, rings, width = np.ones(len(rows), np.int64), np.zeros(len(rows), np.int64), np.full(len(rows), 2)
+    while len(rows) > _FEW:
+        heads = np.flatnonzero(rings == 0)
+        code = gather(data, at[heads] + 1, 4).view("<u4").ravel()
+        thousands = (code & 0xFFFF) // 1000
+        width[heads] = 2 + (code & 0x80000000 != 0).astype(int) + (code & 0x40000000 != 0) + np.array([0, 1, 1, 2])[np.minimum(thousands, 3)]
+        base = np.zeros(len(rows), np.int64)
+        base[heads] = (code & 0xFFFF) % 1000
+        at[heads] += 5
+        number = np.ones(len(rows), np.int64)
+        counted = base != POINT
+        number[counted] = gather(data, at[counted], 4).view("<u4").ravel()
+        at[counted] += 4
+        is_area = (base == POLYGON) | (base == 17)
+        is_run = (rings > 0) | np.isin(base, (POINT, LINESTRING, CIRCULARSTRING))
+        runs.append(np.stack([rows, at, number, width])[:, is_run])
+        at[is_run] += (8 * number * width)[is_run]
+        # members of a collection follow it, so they only add to what is left
+        parts += np.where(is_run | is_area, 0, number - 1)
+        ended = np.where(rings > 0, rings == 1, is_run | (is_area & (number == 0)))
+        rings = np.where(rings > 0, rings - 1, np.where(is_area, number, 0))
+        parts -= ended
+        left = parts > 0
+        rows, at, parts, rings, width = (one[left] for one in (rows, at, parts, rings, width))
+    if runs:
+        _bound_runs(found, data, np.concatenate(runs, axis=1))
+    for row in np.concatenate([*alone, rows]).tolist():
+        found[row] = _bounds(data[starts[row] : starts[row] + lengths[row]].tobytes())
+    found[np.isnan(found).any(axis=1)] = np.nan
+    return found
+
+
+def _bound_runs(found: np.ndarray, data: np.ndarray, runs: np.ndarray) -> None:
+    """Puts the bounds of runs of points (row, place, points, width) into their rows."""
+    row, at, number, width = runs[:, np.lexsort((runs[1], runs[0]))]
+    places = np.repeat(at - 8 * width * (np.cumsum(number) - number), number) + 8 * np.arange(number.sum()) * np.repeat(width, number)
+    if not len(places):
+        return
+    xy = doubles_at(data, places, 2, "<f8")
+    owner = np.repeat(row, number)
+    whole = ~np.isnan(xy).any(axis=1)
+    owner, xy = owner[whole], xy[whole]
+    if not len(owner):
+        return
+    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+    low, high = np.minimum.reduceat(xy, first), np.maximum.reduceat(xy, first)
+    found[owner[first]] = np.stack([low[:, 0], high[:, 0], low[:, 1], high[:, 1]], axis=1)
+
+
 @F.arrow_udf(ArrayType(DoubleType()))
 def wkb_bounds(wkb: pa.Array) -> pa.Array:
     """``[minx, maxx, miny, maxy]`` of each geometry; null for null or empty ones."""
-    data, starts, lengths, valid = binary_layout(wkb)
-    corners = np.full((len(wkb), 4), np.nan)
-    plain = _plain_points(data, starts, lengths, valid)
-    corners[plain] = np.repeat(doubles_at(data, starts[plain] + 5, 2, "<f8"), 2, axis=1)
-    for row in np.flatnonzero(valid & ~plain).tolist():
-        corners[row] = _bounds(wkb[row].as_py())
+    found = corners(*binary_layout(wkb))
     offsets = pa.array(np.arange(len(wkb) + 1, dtype=np.int32) * 4)
-    return pa.ListArray.from_arrays(offsets, pa.array(corners.ravel()), mask=pa.array(np.isnan(corners).any(axis=1)))
+    return pa.ListArray.from_arrays(offsets, pa.array(found.ravel()), mask=pa.array(np.isnan(found).any(axis=1)))
 
 
 @F.arrow_udf(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())]))

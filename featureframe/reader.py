@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from featureframe.functions.boxes import box_of
 from featureframe.operators.schema import conform, layer_schema
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.plans.chunks import id_ranges, place_by_size, place_evenly
@@ -47,6 +48,7 @@ def read_vector_files(
     mode: str = "PERMISSIVE",
     spark: SparkSession | None = None,
     split_bytes: int = SPLIT_BYTES,
+    bbox: tuple[float, float, float, float] | None = None,
 ) -> DataFrame:
     """One layer of every matching file as a DataFrame with geometry as WKB.
 
@@ -76,9 +78,15 @@ def read_vector_files(
         split_bytes: Size above which a file is read by several tasks under the
             "files" strategy, and GeoJSON and GML under both. It changes how a file
             is read, never its rows.
+        bbox: ``(min_x, min_y, max_x, max_y)`` in the coordinates of the files; only rows
+            whose geometry's bounds meet it, edges included. GeoPackages are searched by
+            their R-tree if they have one, else by the envelopes before geometries,
+            shapefiles by the bounds of the file and of its records, before anything is
+            decoded; text files are filtered by what is parsed.
     """
     session = active_session(spark)
     strategy = ConcurrencyStrategy(concurrency_strategy)
+    box = box_of(bbox)
     if isinstance(layer_identifier, int) and layer_identifier < 0:
         raise ValueError(f"Layer index {layer_identifier} is below 0.")
 
@@ -109,13 +117,14 @@ def read_vector_files(
                 allow_missing=coerce_to_schema,
                 allow_additional=coerce_to_schema or not inferred,
                 mode=mode,
+                box=box,
             )
             for ranges in _plan_ranges(sources, catalog, ideal_chunk_size, layer_identifier, mode, split_bytes)
         ]
     for kind in sorted(sources.kinds & TEXT_SOURCES.keys()):
         found = _text_features(sources, kind, layer_identifier, mode, split_bytes)
         strict = inferred and not coerce_to_schema
-        frames.append(TEXT_SOURCES[kind].read(found, schema, geom_field_name, strict))
+        frames.append(TEXT_SOURCES[kind].read(found, schema, geom_field_name, strict, box))
     return reduce(DataFrame.union, frames) if frames else session.createDataFrame([], schema)
 
 

@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
+from featureframe.functions.boxes import Box
 from featureframe.functions.coordinates import geojson_wkb
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData
-from featureframe.sources.records import Located, blocks, chosen, decoded, fitted, opened
+from featureframe.sources.records import Located, blocks, chosen, decoded, fitted, near, opened
 from featureframe.types import OGR_TO_SPARK
 
 _TOKEN = re.compile(rb'"[^"\\]*+(?:\\.[^"\\]*+)*+"|"|[{}\[\]:,]', re.DOTALL)
@@ -219,7 +220,9 @@ def _attribute(name: str, kind: str, largest: float | None) -> dict:
     return {"name": name, "ogr_type": pair[0], "ogr_subtype": pair[1]}
 
 
-def read(found: DataFrame, schema: StructType, geom_field_name: str, strict: bool = False) -> DataFrame:
+def read(
+    found: DataFrame, schema: StructType, geom_field_name: str, strict: bool = False, box: Box | None = None
+) -> DataFrame:
     """Features as rows of the schema; properties a feature lacks are null.
 
     With ``strict`` a property the schema does not have, or a value of another type, is an error.
@@ -227,7 +230,7 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str, strict: boo
     wanted = [field for field in schema.fields if field.name != geom_field_name]
     texts = StructType([StructField(field.name, _raw_type(field.dataType)) for field in wanted])
     members = [StructField("properties", texts)] if wanted else []
-    if geom_field_name in schema.names:
+    if geom_field_name in schema.names or box is not None:
         members.append(StructField("geometry", StringType()))
     # values of other types make a record corrupt too, so those are parsed again to tell
     members.append(StructField(_CORRUPT, StringType()))
@@ -247,10 +250,13 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str, strict: boo
         )
         whole = whole.when(F.size(more) > 0, F.raise_error(hint))
     parsed = parsed.select("path", whole.otherwise(F.col("f")).alias("f"))
+    geometry = geojson_wkb(F.col("f.geometry"))
+    if box is not None:
+        parsed, geometry = near(parsed.withColumn("wkb", geometry), F.col("wkb"), box), F.col("wkb")
 
     def column(field: StructField) -> Column:
         if field.name == geom_field_name:
-            return geojson_wkb(F.col("f.geometry")).cast(field.dataType).alias(field.name)
+            return geometry.cast(field.dataType).alias(field.name)
         raw = F.col("f.properties").getField(field.name)
         if isinstance(field.dataType, ArrayType):
             return raw.alias(field.name)

@@ -12,12 +12,16 @@ import sqlite3
 import struct
 from collections.abc import Iterator
 from contextlib import closing
+from itertools import compress
 from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
 
+from featureframe.functions.boxes import Box
+from featureframe.functions.buffers import binary_layout, doubles_at
 from featureframe.functions.gpb import ENVELOPE_BYTES, FIXED_BYTES
-from featureframe.functions.wkb import LINESTRING, POINT, POLYGON, little_endian
+from featureframe.functions.wkb import LINESTRING, POINT, POLYGON, corners, little_endian
 from featureframe.sources.layers import (
     BATCH_BYTES,
     BATCH_ROWS,
@@ -206,14 +210,25 @@ def fetch(
 
 
 def _fetch(
-    db: sqlite3.Connection, table: str, columns: list[str], start: int | None, stop: int | None
+    db: sqlite3.Connection,
+    table: str,
+    columns: list[str],
+    start: int | None,
+    stop: int | None,
+    index: str | None = None,
+    box: Box | None = None,
 ) -> Iterator[tuple[int, list[list]]]:
-    ranges = [("rowid >= ?", start), ("rowid < ?", stop)]
-    where = " and ".join(text for text, value in ranges if value is not None)
+    """Rows of rowids in ``[start, stop)``; with an R-tree ``index`` only those it has near the box."""
+    conditions = [("rowid >= ?", [start]), ("rowid < ?", [stop])]
+    conditions = [(text, values) for text, values in conditions if values != [None]]
+    if index is not None:
+        near = "select id from {} where minx <= ? and maxx >= ? and miny <= ? and maxy >= ?".format(identifier(index))
+        conditions.append((f"rowid in ({near})", [box.max_x, box.min_x, box.max_y, box.min_y]))
+    where = " and ".join(text for text, _ in conditions)
     chosen = ", ".join(identifier(name) for name in columns) or "1"
     query = f"select {chosen} from {identifier(table)}" + (f" where {where}" if where else "")
     db.text_factory = bytes  # Arrow decodes whole columns
-    cursor = db.execute(query, [value for _, value in ranges if value is not None])
+    cursor = db.execute(query, [value for _, values in conditions for value in values])
     size = _FIRST_ROWS
     while rows := cursor.fetchmany(size):
         values = [list(column) for column in zip(*rows)]
@@ -221,6 +236,18 @@ def _fetch(
         size = _next_size(size, values)
 
 
+def _spatial_index(db: sqlite3.Connection, layer: str, geometry: str) -> str | None:
+    """The R-tree over a geometry column, if there is one that this SQLite can read."""
+    name = f"rtree_{layer}_{geometry}"
+    if name not in _tables(db):
+        return None
+    try:
+        db.execute(f"select id from {identifier(name)} limit 1").fetchall()
+    except sqlite3.OperationalError:  # SQLite without the module
+        return None
+    return name
+
+
 def _next_size(size: int, values: list[list]) -> int:
     """Rows to fetch next, so that geometries as large as the last ones fit a batch."""
     stride = max(len(values[0]) // 256, 1)
@@ -229,18 +256,47 @@ def _next_size(size: int, values: list[list]) -> int:
     return max(1, min(BATCH_ROWS, size * 8, fitting))
 
 
-def batches(path: str, layer: str, start: int | None, stop: int | None, columns: list[str] | None) -> RowBatches:
-    """Rows of a layer with plain WKB geometry; ``columns`` limits what is read."""
+def batches(
+    path: str, layer: str, start: int | None, stop: int | None, columns: list[str] | None, box: Box | None = None
+) -> RowBatches:
+    """Rows of a layer with plain WKB geometry; ``columns`` limits what is read.
+
+    With a ``box`` only rows whose geometry's bounds meet it: those the layer's R-tree has
+    near, told apart by the envelopes in their headers before anything is decoded.
+    """
     with closing(connect(path)) as db:
         geometry = _geometry_column(db, layer)
+        if box is not None and geometry is None:
+            return
+        index = None if box is None else _spatial_index(db, layer, geometry)
         wanted = [a for a in _attributes(db, layer, geometry) if columns is None or a.name in columns]
         names = [a.name for a in wanted] + ([geometry] if geometry else [])
-        for count, values in _fetch(db, layer, names, start, stop):
+        for count, values in _fetch(db, layer, names, start, stop, index, box):
+            if box is not None:
+                near = box.meets(_corners(values[-1]))
+                count, values = int(near.sum()), [list(compress(column, near)) for column in values]
+                if not count:
+                    continue
             shapes = pa.array([_wkb(blob) for blob in values[-1]], pa.binary()) if geometry else None
             arrays = {a.name: _array(a, column) for a, column in zip(wanted, values)}
             yield Rows(count, arrays, shapes)
 
 
+def _corners(blobs: list[bytes | None]) -> np.ndarray:
+    """``minx, maxx, miny, maxy`` of each geometry, from the header where that has them."""
+    data, starts, lengths, valid = binary_layout(pa.array(blobs, pa.binary()))
+    valid = valid & (lengths >= FIXED_BYTES)
+    flags = np.zeros(len(starts), np.uint8)
+    flags[valid] = data[starts[valid] + 3]
+    sizes = np.array([_HEADER_BYTES.get(code << 1, -1) for code in range(8)])[flags >> 1 & 7]
+    valid &= (sizes > 0) & (lengths >= sizes)
+    found = corners(data, starts + sizes, lengths - sizes, valid & (sizes == FIXED_BYTES))
+    for bit, dtype in ((1, "<f8"), (0, ">f8")):
+        boxed = np.flatnonzero(valid & (sizes > FIXED_BYTES) & (flags & 1 == bit))
+        found[boxed] = doubles_at(data, starts[boxed] + FIXED_BYTES, 4, dtype)
+    return found
+
+
 def _wkb(blob: bytes | None) -> bytes | None:
     """The WKB behind a GPB header; a geometry flagged as empty is still a geometry."""
     if blob is None:

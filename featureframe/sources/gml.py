@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from featureframe.functions.boxes import Box
 from featureframe.functions.coordinates import gml_wkb
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData
-from featureframe.sources.records import Located, chosen, decoded, fitted, opened
+from featureframe.sources.records import Located, chosen, decoded, fitted, near, opened
 
 # Elements features are wrapped in
 _WRAPPERS = ("member", "featureMember", "featureMembers")
@@ -255,7 +256,9 @@ def _attribute(row: dict) -> dict:
     return {"name": row["name"], "ogr_type": kind, "ogr_subtype": 0}
 
 
-def read(found: DataFrame, schema: StructType, geom_field_name: str, strict: bool = False) -> DataFrame:
+def read(
+    found: DataFrame, schema: StructType, geom_field_name: str, strict: bool = False, box: Box | None = None
+) -> DataFrame:
     """Feature elements as rows of the schema; elements a feature lacks are null.
 
     With ``strict`` a value of another type is an error.
@@ -268,17 +271,20 @@ def read(found: DataFrame, schema: StructType, geom_field_name: str, strict: boo
         with_corrupt = StructType([*texts.fields, StructField(_CORRUPT, StringType())])
         options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": _CORRUPT}
         columns += [F.from_xml("feature", with_corrupt, options).alias("f")]
-    if geom_field_name in schema.names:
+    if geom_field_name in schema.names or box is not None:
         columns.append(F.nullif(F.regexp_extract("feature", _GEOMETRY, 0), F.lit("")).alias("shape"))
     parsed = found.select(*columns)
     if inner:
         message = F.concat(F.lit("A feature cannot be parsed in "), F.col("path"))
         broken = F.col(f"f.{_CORRUPT}").isNotNull()
         parsed = parsed.withColumn("f", F.when(broken, F.raise_error(message)).otherwise(F.col("f")))
+    geometry = gml_wkb(F.col("shape")) if "shape" in parsed.columns else None
+    if box is not None:
+        parsed, geometry = near(parsed.withColumn("wkb", geometry), F.col("wkb"), box), F.col("wkb")
 
     def column(field: StructField) -> Column:
         if field.name == geom_field_name:
-            return gml_wkb(F.col("shape")).cast(field.dataType).alias(field.name)
+            return geometry.cast(field.dataType).alias(field.name)
         raw = F.col("fid") if field.name in FID_FIELDS else F.col("f").getField(field.name)
         return fitted(raw, field, F.col("path"), strict).alias(field.name)
 

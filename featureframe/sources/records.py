@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField
 
+from featureframe.functions.boxes import Box
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData, absent, open_binary
 
@@ -162,6 +163,11 @@ def chosen(names: list[str], layer: LayerIdentifier, path: str) -> int:
     return layer or 0
 
 
+def near(parsed: DataFrame, geometry: Column, box: Box | None) -> DataFrame:
+    """Rows whose geometry, a column of well-known binary, has bounds that meet the box; all rows without one."""
+    return parsed if box is None else parsed.filter(box.meets_wkb(geometry))
+
+
 def fitted(text: Column, field: StructField, path: Column, strict: bool) -> Column:
     """``typed``; where files are not to be fitted, a value that is none of the type is an error."""
     value = typed(text, field.dataType)

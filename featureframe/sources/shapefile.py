@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from featureframe.functions import wkb
+from featureframe.functions.boxes import Box
 from featureframe.functions.buffers import doubles_at, gather
 from featureframe.sources.layers import (
     BATCH_BYTES,
@@ -70,14 +71,28 @@ def describe(path: str, layer: str) -> Layer:
         return Layer(layer, count, table.attributes, 0, count - 1)
 
 
-def batches(path: str, layer: str, start: int | None, stop: int | None, columns: list[str] | None) -> RowBatches:
-    """Rows with ordinals in ``[start, stop)``; ``columns`` limits what is decoded."""
+def batches(
+    path: str, layer: str, start: int | None, stop: int | None, columns: list[str] | None, box: Box | None = None
+) -> RowBatches:
+    """Rows with ordinals in ``[start, stop)``; ``columns`` limits what is decoded.
+
+    With a ``box`` only rows whose geometry's bounds meet it, told by the bounds each
+    record begins with; nothing of other records is decoded.
+    """
     with _open(path, layer) as (table, shapes):
+        if box is not None and (shapes is None or not shapes.may_meet(box)):
+            return
         total = _record_count(table, shapes)
         start, stop = max(start or 0, 0), total if stop is None else min(stop, total)
         for low, high in _cuts(shapes, start, stop):
-            arrays, kept = table.read(low, high, columns)
-            geometry = shapes.read(low, high) if shapes else pa.nulls(high - low, pa.binary())
+            near = None
+            if box is not None:
+                near, geometry = shapes.read_near(low, high, box)
+                if not near.any():
+                    continue
+            else:
+                geometry = shapes.read(low, high) if shapes else pa.nulls(high - low, pa.binary())
+            arrays, kept = table.read(low, high, columns, near)
             if not kept.all():  # records flagged as deleted
                 mask = pa.array(kept)
                 arrays = {name: array.filter(mask) for name, array in arrays.items()}
@@ -170,17 +185,22 @@ class _Table:
             position += width
         self.dtype = np.dtype({"names": names, "formats": formats, "offsets": offsets, "itemsize": self.record_bytes})
 
-    def read(self, low: int, high: int, columns: list[str] | None) -> tuple[dict[str, pa.Array], np.ndarray]:
-        """Attribute arrays of records ``[low, high)`` and which are not deleted."""
+    def read(
+        self, low: int, high: int, columns: list[str] | None, chosen: np.ndarray | None = None
+    ) -> tuple[dict[str, pa.Array], np.ndarray]:
+        """Attribute arrays of records ``[low, high)``, or of the ``chosen`` of them, and which are not deleted."""
         wanted = [a for a in self.attributes if columns is None or a.name in columns]
+        rows = high - low if chosen is None else int(chosen.sum())
         if self.path is None or low >= self.count:
-            return {a.name: pa.nulls(high - low) for a in wanted}, np.ones(high - low, dtype=bool)
+            return {a.name: pa.nulls(rows) for a in wanted}, np.ones(rows, dtype=bool)
         self.file.seek(self.header_bytes + low * self.record_bytes)
         data = self.file.read((min(high, self.count) - low) * self.record_bytes)
         if len(data) < (min(high, self.count) - low) * self.record_bytes:
             raise ValueError(f"{self.path} ends before record {high}.")
         records = np.frombuffer(data, self.dtype)
-        missing = high - low - len(records)
+        if chosen is not None:
+            records = records[chosen[: len(records)]]
+        missing = rows - len(records)
         arrays = {}
         for attribute in wanted:
             array = self._array(records[attribute.name], attribute)
@@ -270,20 +290,56 @@ class _Shapes:
         words = np.frombuffer(self.index.read(known * SHX_RECORD), ">i4")
         return words.reshape(-1, 2).astype(np.int64) * 2
 
-    def read(self, low: int, high: int) -> pa.Array:
+    def _records(self, low: int, high: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """Bytes that hold the records of ``[low, high)`` the index has, and where in them each begins and its size."""
         entries = self.entries(low, high)
-        missing = pa.nulls(high - low - len(entries), pa.binary())
-        if not len(entries):
-            return missing
         begin, sizes = entries[:, 0] + 8, entries[:, 1]
+        if not len(entries):
+            return b"", begin, sizes
         if self._shapes is None:
             self._shapes = self._files.enter_context(open_binary(self.path))
         data, starts = _read_records(self._shapes, begin, sizes)
         if len(data) < int((starts + sizes).max()):
             raise ValueError(f"{self.path} ends before record {low + len(entries)}.")
+        return data, starts, sizes
+
+    def read(self, low: int, high: int) -> pa.Array:
+        data, starts, sizes = self._records(low, high)
+        missing = pa.nulls(high - low - len(starts), pa.binary())
+        if not len(starts):
+            return missing
         geometry = _to_wkb(data, starts, sizes)
         return pa.concat_arrays([geometry, missing]) if len(missing) else geometry
 
+    def may_meet(self, box: Box) -> bool:
+        """Whether the bounds in the file's header meet the box; bounds without an extent say nothing."""
+        if self._shapes is None:
+            self._shapes = self._files.enter_context(open_binary(self.path))
+        self._shapes.seek(36)
+        head = self._shapes.read(32)
+        if len(head) < 32:
+            raise NotVectorData(f"{self.path} ends in its header.")
+        min_x, min_y, max_x, max_y = struct.unpack("<4d", head)
+        known = min_x < max_x or min_y < max_y
+        return not known or bool(box.meets(np.array([[min_x, max_x, min_y, max_y]]))[0])
+
+    def read_near(self, low: int, high: int, box: Box) -> tuple[np.ndarray, pa.Array]:
+        """Which records of ``[low, high)`` meet the box, and the geometry of these alone."""
+        data, starts, sizes = self._records(low, high)
+        near = np.zeros(high - low, bool)
+        if not len(starts):
+            return near, pa.nulls(0, pa.binary())
+        view, found = np.frombuffer(data, np.uint8), np.full((len(starts), 4), np.nan)
+        codes = gather(view, starts, 4).view("<i4").ravel()
+        points = np.isin(codes, POINT_TYPES)
+        found[points] = np.repeat(doubles_at(view, starts[points] + 4, 2, "<f8"), 2, axis=1)
+        others = ~points & (codes != 0)
+        found[others] = doubles_at(view, starts[others] + 4, 4, "<f8")[:, [0, 2, 1, 3]]
+        near[: len(starts)] = meeting = box.meets(found)
+        if not meeting.any():
+            return near, pa.nulls(0, pa.binary())
+        return near, _to_wkb(data, starts[meeting], sizes[meeting])
+
 
 def _read_records(file: BinaryIO, begin: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Bytes holding the records and where in them each record starts."""

@@ -21,6 +21,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from featureframe.functions.boxes import Box
 from featureframe.operators.fit import fit
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources import geopackage, shapefile
@@ -150,8 +151,9 @@ def read_ranges(
     allow_missing: bool = False,
     allow_additional: bool = False,
     mode: str = "PERMISSIVE",
+    box: Box | None = None,
 ) -> DataFrame:
-    """Rows of every ``(path, source, layer_name, start, stop)``.
+    """Rows of every ``(path, source, layer_name, start, stop)``, with a ``box`` those whose geometry's bounds meet it.
 
     A null ``layer_name`` is resolved from ``layer_identifier`` when the file is
     opened. Only attributes in ``schema`` are decoded. A file that is no vector data
@@ -192,7 +194,7 @@ def read_ranges(
                     continue
                 check(path, attributes)
                 strict = set() if allow_missing else unlike(attributes)
-                for rows in reader.batches(path, layer, row["start"], row["stop"], wanted):
+                for rows in reader.batches(path, layer, row["start"], row["stop"], wanted, box):
                     yield _fitted(rows, arrow_schema, geom_field_name, path, strict)
 
     columns = ["path", "source", "layer_name", "start", "stop"]

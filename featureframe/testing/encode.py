@@ -153,11 +153,15 @@ def _layers(rows: list[dict]) -> Iterator[tuple[str, list[dict]]]:
         yield layer, list(group)
 
 
-def write_geopackage(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
-    _put(target, lambda path: _geopackage(path, rows, attributes))
+def write_geopackage(target: str, rows: list[dict], attributes: list[tuple[str, str]], indexed: bool = False) -> None:
+    _put(target, lambda path: _geopackage(path, rows, attributes, indexed))
 
 
-def _geopackage(path: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
+def _write_indexed_geopackage(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
+    write_geopackage(target, rows, attributes, indexed=True)
+
+
+def _geopackage(path: str, rows: list[dict], attributes: list[tuple[str, str]], indexed: bool) -> None:
     with closing(sqlite3.connect(path)) as db:
         db.executescript(
             "create table gpkg_contents (table_name TEXT primary key, data_type TEXT, srs_id INTEGER,"
@@ -177,6 +181,10 @@ def _geopackage(path: str, rows: list[dict], attributes: list[tuple[str, str]])
             ]
             marks = ",".join("?" * (len(attributes) + 2))
             db.executemany(f'insert into "{layer}" values ({marks})', values)
+            if indexed:
+                db.execute(f'create virtual table "rtree_{layer}_geom" using rtree(id, minx, maxx, miny, maxy)')
+                boxes = [(row["fid"], *(_box(parts_of(row)) if row.get("shape") else (row["x"], row["x"], row["y"], row["y"]))) for row in found if row["x"] is not None]
+                db.executemany(f'insert into "rtree_{layer}_geom" values (?, ?, ?, ?, ?)', boxes)
             xs = [row["x"] for row in found if row["x"] is not None] or [None]
             ys = [row["y"] for row in found if row["x"] is not None] or [None]
             box = (min(xs), min(ys), max(xs), max(ys))
@@ -342,6 +350,17 @@ def write_geojson_sequence(target: str, rows: list[dict], attributes: list[tuple
     _put(target, lambda path: _dump(path, "".join(f"\x1e{json.dumps(one, indent=1)}\n" for one in features).encode()))
 
 
+def _gml_geometry(row: dict) -> str:
+    if not row.get("shape"):
+        return f"<gml:Point><gml:coordinates>{row['x']!r},{row['y']!r}</gml:coordinates></gml:Point>"
+    lists = [f"<gml:posList>{' '.join(repr(value) for vertex in part for value in vertex)}</gml:posList>" for part in parts_of(row)]
+    if len(lists) == 1:
+        return f"<gml:LineString>{lists[0]}</gml:LineString>"
+    rings = [f"<gml:LinearRing>{one}</gml:LinearRing>" for one in lists]
+    inner = "".join(f"<gml:interior>{one}</gml:interior>" for one in rings[1:])
+    return f"<gml:Polygon><gml:exterior>{rings[0]}</gml:exterior>{inner}</gml:Polygon>"
+
+
 def write_gml(target: str, rows: list[dict], attributes: list[tuple[str, str]]) -> None:
     namespaces = 'xmlns:ogr="http://ogr.maptools.org/" xmlns:gml="http://www.opengis.net/gml"'
     late = f"<!-- {'x' * (5 << 18)} -->"  # the first feature comes after 1 MiB
@@ -351,7 +370,7 @@ def write_gml(target: str, rows: list[dict], attributes: list[tuple[str, str]])
         values = "".join(f"<ogr:{n}>{escape(str(row[n]))}</ogr:{n}>" for n, _ in attributes if row[n] is not None)
         shape = ""
         if row["x"] is not None:
-            shape = f"<gml:Point><gml:coordinates>{row['x']!r},{row['y']!r}</gml:coordinates></gml:Point>"
+            shape = _gml_geometry(row)
             shape = f"<ogr:geometryProperty>{shape}</ogr:geometryProperty>"
         body = f'<ogr:{layer} fid="{layer}.{row["fid"]}">{shape}{values}</ogr:{layer}>'
         lines.append(f"<gml:featureMember>{body}</gml:featureMember>")
@@ -361,6 +380,7 @@ def write_gml(target: str, rows: list[dict], attributes: list[tuple[str, str]])
 
 WRITERS = {
     "geopackage": write_geopackage,
+    "geopackage-indexed": _write_indexed_geopackage,
     "shapefile": write_shapefile,
     "archive": write_archive,
     "zip": write_zip,
