@@ -22,7 +22,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from featureframe import describe_layers, read_vector_files
 from featureframe.functions import gpb
 from featureframe.functions.wkb import point_wkb, wkb_bounds, wkb_xy
-from featureframe.gpkg import computed_bounds, gpkg_bounds, gpkg_contents, gpkg_crs, read_gpkg, read_gpkg_tables
+from featureframe.gpkg import computed_bounds, gpkg_bounds, gpkg_contents, gpkg_crs, read_gpkg_files, read_gpkg_tables
 from featureframe.operators.schema import (
     add_missing_columns,
     conform,
@@ -560,14 +560,29 @@ def q_read_gpkg_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gpkg_tables(paths, "points").select("id", "category", "balance")
 
 
+def _merged_files(spark: SparkSession, sf_dir: str) -> str:
+    """Files of customers with a number as code; those in debt have text there, and one more column."""
+
+    def write(folder: str) -> None:
+        rows = _customers(spark, sf_dir).withColumn("segment", F.col("layer")).withColumn("layer", F.lit("points"))
+        number = rows.filter("x >= 0").select("layer", "fid", "x", "y", "id", F.col("id").alias("code"))
+        text = rows.filter("x < 0").select("layer", "fid", "x", "y", "id", F.col("category").alias("code"), "segment")
+        for name, own in (("a_", number), ("b_", text)):
+            file = F.concat(F.lit(name), _part("id", PART_ROWS), F.lit(".gpkg"))
+            write_vector_files(own.withColumn("file", file), folder, "geopackage")
+
+    return _once(spark, sf_dir, "customer-merged", write)
+
+
+def q_read_gpkg_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = list_files(_merged_files(spark, sf_dir), suffix="gpkg", spark=spark)
+    return read_gpkg_tables(paths, "points", merge_schemas=True).select("id", "code", "segment")
+
+
 def q_read_gpkg_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every file through the reader of one file, by turns its first layer and a named one."""
-    paths = [row["path"] for row in list_files(_order_files(spark, sf_dir), suffix="gpkg", spark=spark).collect()]
-    frames = [
-        read_gpkg(path, drop_gpb_header=bool(at % 2), layer_name="orders" if at % 2 else None, spark=spark)
-        for at, path in enumerate(sorted(paths))
-    ]
-    rows = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames)
+    """The first layer of every file, all files in one read."""
+    paths = list_files(_order_files(spark, sf_dir), suffix="gpkg", spark=spark)
+    rows = read_gpkg_files(paths, drop_gpb_header=True)
     point = wkb_xy("wkb_geometry").alias("p")
     return rows.select("feature_id", "id", "category", point).select("feature_id", "id", "category", "p.x", "p.y")
 
@@ -718,6 +733,8 @@ def _reader_sql() -> dict[str, str]:
         " and c_custkey <= 1200 and c_custkey + 4 >= 100",
         "q_read_gpkg_mixed": "select c_custkey id, c_name category, case when c_acctbal >= 0 then c_acctbal end balance"
         " from customer",
+        "q_read_gpkg_merged": "select c_custkey id, case when c_acctbal >= 0 then c_custkey::varchar else c_name end code,"
+        " case when c_acctbal < 0 then c_mktsegment end segment from customer",
         "q_read_gpkg_layer": "select o_orderkey feature_id, o_orderkey id, o_orderpriority category, o_totalprice x,"
         " o_custkey::double y from orders",
         "q_read_schema": "select t.pos, t.name, t.spark_type, count(*) as n from customer, (values (0, 'id', 'bigint'),"

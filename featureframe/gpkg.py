@@ -12,6 +12,7 @@ from contextlib import closing
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from featureframe.functions.gpb import FIXED_BYTES, envelope, header_bytes, header_length, split_geometry, wkb_bytes
@@ -21,15 +22,16 @@ from featureframe.session import active_session, settle
 from featureframe.sources import geopackage
 from featureframe.sources.listing import few_partitions
 from featureframe.sources.tasks import not_vector_data, read_table
-from featureframe.types import sqlite_spark_type
+from featureframe.types import sqlite_spark_type, wider_type
 
 RANGE_ROWS = 1_000_000
 
+_COLUMN = StructType([StructField("name", StringType()), StructField("type", StringType())])
 _TABLE_SCHEMA = StructType(
     [
         StructField("path", StringType()),
         StructField("layer_name", StringType()),
-        StructField("ddl", StringType()),
+        StructField("columns", ArrayType(_COLUMN)),
         StructField("source", StringType()),
         StructField("first_id", LongType()),
         StructField("last_id", LongType()),
@@ -40,58 +42,77 @@ _CONTENTS = "table_name string, srs_id int, min_x double, min_y double, max_x do
 _SRS = "srs_id int, definition string"
 
 
-def _describe_table(paths: DataFrame, table: str, range_rows: int) -> DataFrame:
-    """Columns and id bounds of one table in every file."""
+def _describe_table(paths: DataFrame, table: str | None, range_rows: int) -> DataFrame:
+    """Columns and id bounds of one table, or the first layer, in every file."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [_table_row(path, table, range_rows) for path in batch["path"].to_pylist()]
-            yield pa.RecordBatch.from_pylist(rows, pa_schema)
-
-    pa_schema = pa.schema(
-        [
-            ("path", pa.string()),
-            ("layer_name", pa.string()),
-            ("ddl", pa.string()),
-            ("source", pa.string()),
-            ("first_id", pa.int64()),
-            ("last_id", pa.int64()),
-            ("range_starts", pa.list_(pa.int64())),
-        ]
-    )
+            yield pa.RecordBatch.from_pylist(rows, arrow_schema)
+
+    arrow_schema = to_arrow_schema(_TABLE_SCHEMA)
     return few_partitions(paths).select("path").mapInArrow(describe, _TABLE_SCHEMA)
 
 
-def _table_row(path: str, table: str, range_rows: int) -> dict:
+def _table_row(path: str, table: str | None, range_rows: int) -> dict:
+    if table is None:
+        table = next(iter(geopackage.layer_names(path)), None)
+        if table is None:
+            return {"path": path}
     with closing(geopackage.connect(path)) as db:
         columns = geopackage.declared_columns(db, table)
         if not columns:
             return {"path": path, "layer_name": table}
         first, last = geopackage.id_bounds(db, table)
         counted = geopackage.row_count(db, table) if first is not None and last - first >= range_rows else 0
-    ddl = ", ".join(f"`{name.replace('`', '``')}` {sqlite_spark_type(declared)}" for name, declared, _ in columns)
-    row = {"path": path, "layer_name": table, "ddl": ddl, "source": "geopackage", "first_id": first, "last_id": last}
+    types = [{"name": name, "type": sqlite_spark_type(declared)} for name, declared, _ in columns]
+    row = {"path": path, "layer_name": table, "columns": types, "source": "geopackage", "first_id": first, "last_id": last}
     if counted and geopackage.is_sparse(counted, first, last):
         row["range_starts"] = geopackage.range_starts(path, table, range_rows)
     return row
 
 
+def _merged_columns(described: DataFrame) -> list[tuple[str, str]]:
+    """Every column any file has, in order of first appearance, with a type that holds all of its files'."""
+    columns = described.select("path", F.posexplode("columns").alias("pos", "column"))
+    first = F.min(F.struct("path", "pos", "column.name")).alias("first")
+    # one row per column name
+    found = columns.groupBy(F.lower("column.name").alias("key")).agg(first, F.collect_set("column.type").alias("types"))
+    return [(row["first"]["name"], wider_type(row["types"], row["first"]["name"])) for row in found.orderBy("first").collect()]
+
+
+def _columns_of_first(described: DataFrame, table: str | None) -> list[tuple[str, str]]:
+    """The columns of the first file by path; an error where another file has more."""
+    first = described.orderBy("path").select("columns").first()["columns"]
+    names = [one["name"].lower() for one in first]
+    more = F.filter("columns", lambda one: ~F.lower(one["name"]).isin(names))
+    other = described.filter(F.size(more) > 0).select("path", more["name"].alias("more")).first()
+    if other is not None:
+        raise ValueError(f"{other['path']} has more columns: {other['more']}; set merge_schemas=True to read all.")
+    return [(one["name"], one["type"]) for one in first]
+
+
 def _paths(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(path,)], "path string")
 
 
-def read_gpkg_tables(paths: DataFrame, table: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+def read_gpkg_tables(
+    paths: DataFrame, table: str | None = None, range_rows: int = RANGE_ROWS, merge_schemas: bool = False
+) -> DataFrame:
     """All columns of one table of many GeoPackage or SQLite files, read by rowid ranges.
 
-    Columns and types are those of the first file that has the table; columns a later
-    file lacks are null there.
+    Without a ``table`` it is every file's first layer. Columns and types are those of the
+    first file by path that has the table; columns a later file lacks are null there, more
+    columns are an error, and so is a value that does not fit, of a column that the file
+    declares with another type. With ``merge_schemas`` the result has the columns of all
+    files, each of a type that holds what any of them declares, so nothing is lost.
     """
-    described = settle(_describe_table(paths, table, range_rows)).filter("ddl is not null")
-    first = described.orderBy("path").select("ddl").first()
-    if first is None:
-        raise ValueError(f"No file has a table {table}.")
-    ranges = place_evenly(id_ranges(described, range_rows))
-    return read_table(ranges, table, StructType.fromDDL(first["ddl"]))
+    described = settle(_describe_table(paths, table, range_rows)).filter("columns is not null")
+    if described.isEmpty():
+        raise ValueError("No file has a layer." if table is None else f"No file has a table {table}.")
+    columns = _merged_columns(described) if merge_schemas else _columns_of_first(described, table)
+    schema = StructType.fromDDL(", ".join(f"`{name.replace('`', '``')}` {kind}" for name, kind in columns))
+    return read_table(place_evenly(id_ranges(described, range_rows)), schema)
 
 
 def read_gpkg_table(
@@ -235,7 +256,21 @@ def read_gpkg(
         layer_name: Layer to read; the first one if not given.
         spark: Session to use; the active one if not given.
     """
-    session = active_session(spark)
-    layer = layer_name or list_layers(path, session)[0]
-    table = read_gpkg_table(path, layer, session)
+    paths = _paths(active_session(spark), path)
+    return read_gpkg_files(paths, original_geometry_column_name, header_length, drop_gpb_header, layer_name)
+
+
+def read_gpkg_files(
+    paths: DataFrame,
+    original_geometry_column_name: str = "geom",
+    header_length: int | None = None,
+    drop_gpb_header: bool = False,
+    layer_name: str | None = None,
+    merge_schemas: bool = False,
+) -> DataFrame:
+    """As :func:`read_gpkg` for every file of ``paths`` (``path``) in one read, by the rules of :func:`read_gpkg_tables`.
+
+    Without a ``layer_name`` it is the first layer of each file.
+    """
+    table = read_gpkg_tables(paths, layer_name, merge_schemas=merge_schemas)
     return split_geometry(table, original_geometry_column_name, header_length, drop_gpb_header)

@@ -7,6 +7,7 @@ Spark decides where every file or range is read.
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Iterator
+from contextlib import closing
 from types import ModuleType
 
 import pyarrow as pa
@@ -26,7 +27,7 @@ from featureframe.operators.fit import fit
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources import geopackage, shapefile
 from featureframe.sources.layers import Attribute, Layer, NotVectorData, Rows
-from featureframe.types import OGR_TO_SPARK
+from featureframe.types import OGR_TO_SPARK, sqlite_spark_type
 
 RANGE_READERS: dict[str, ModuleType] = {"geopackage": geopackage, "shapefile": shapefile}
 
@@ -202,7 +203,12 @@ def read_ranges(
 
 
 def _fitted(
-    rows: Rows, schema: pa.Schema, geom_field_name: str, path: str = "", strict: Collection[str] = ()
+    rows: Rows,
+    schema: pa.Schema,
+    geom_field_name: str,
+    path: str = "",
+    strict: Collection[str] = (),
+    way_out: str = "coerce_to_schema",
 ) -> pa.RecordBatch:
     """Rows in the schema's types; no value of the columns in ``strict`` may get lost by that."""
     arrays = []
@@ -212,26 +218,43 @@ def _fitted(
             arrays.append(pa.nulls(rows.count, field.type))
             continue
         arrays.append(fit(values, field.type))
-        if field.name in strict and arrays[-1].null_count > _null_count(values):
-            raise RuntimeError(
-                f"{path} has values of {field.name} that are no {field.type}; set coerce_to_schema=True to fit it."
-            )
+        lost = field.name in strict and (arrays[-1].null_count > _null_count(values) or _rounded(values, field.type))
+        if lost:
+            raise RuntimeError(f"{path} has values of {field.name} that are no {field.type}; set {way_out}=True to fit it.")
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def _rounded(values: pa.Array | list, target: pa.DataType) -> bool:
+    """Whether integers become other numbers in a floating type."""
+    if not pa.types.is_floating(target) or not isinstance(values, list):
+        return False
+    return any(type(value) is int and int(float(value)) != value for value in values)
+
+
 def _null_count(values: pa.Array | list) -> int:
     return values.count(None) if isinstance(values, list) else values.null_count
 
 
-def read_table(ranges: DataFrame, table: str, schema: StructType) -> DataFrame:
-    """All columns of one SQLite table over ``(path, start, stop)`` rowid ranges, as stored."""
+def read_table(ranges: DataFrame, schema: StructType) -> DataFrame:
+    """Columns of SQLite tables over ``(path, layer_name, start, stop)`` rowid ranges, as stored.
+
+    A value that does not fit is an error where the file declares another type than the schema's.
+    """
     arrow_schema = to_arrow_schema(schema)
 
+    def unlike(path: str, table: str) -> set[str]:
+        with closing(geopackage.connect(path)) as db:
+            own = {name.lower(): sqlite_spark_type(declared) for name, declared, _ in geopackage.declared_columns(db, table)}
+        kinds = {field.name: field.dataType.simpleString() for field in schema}
+        return {name for name, kind in kinds.items() if own.get(name.lower(), kind) != kind}
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                for count, values in geopackage.fetch(row["path"], table, schema.names, row["start"], row["stop"]):
+                path, table = row["path"], row["layer_name"]
+                strict = unlike(path, table)
+                for count, values in geopackage.fetch(path, table, schema.names, row["start"], row["stop"]):
                     columns = dict(zip(schema.names, values))
-                    yield _fitted(Rows(count, columns, None), arrow_schema, "")
+                    yield _fitted(Rows(count, columns, None), arrow_schema, "", path, strict, "merge_schemas")
 
-    return ranges.select("path", "start", "stop").mapInArrow(read, schema)
+    return ranges.select("path", "layer_name", "start", "stop").mapInArrow(read, schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from enum import Enum
 from types import MappingProxyType
 
@@ -124,6 +125,25 @@ def sqlite_spark_type(declared: str) -> str:
     return SQLITE_TO_SPARK.get(base_declared_type(declared), "string")
 
 
+#: Numbers and truth values, each type with room for all before it but for large integers in ``double``.
+_WIDENING = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def wider_type(types: Collection[str], name: str = "") -> str:
+    """A type that holds values of all of ``types``: the widest number, else text; blobs hold text too."""
+    kinds = set(types)
+    if len(kinds) == 1:
+        return next(iter(kinds))
+    if "binary" in kinds:
+        if kinds <= {"binary", "string"}:
+            return "binary"
+        raise ValueError(f"The column {name} has values of {sorted(kinds)}, which no type holds.")
+    if not kinds <= set(_WIDENING) or (len(kinds) > 1 and "boolean" in kinds):
+        return "string"
+    widest = max(kinds, key=_WIDENING.index)
+    return "double" if widest == "float" else widest
+
+
 def sqlite_ogr_type(declared: str) -> tuple[int, int]:
     """OGR (type, subtype) of one declared type; unknown names read as string."""
     return SQLITE_TO_OGR.get(base_declared_type(declared), (4, 0))

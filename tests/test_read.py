@@ -7,6 +7,7 @@ import os
 import pathlib
 import resource
 import sqlite3
+import struct
 from contextlib import closing
 
 import pyarrow as pa
@@ -16,12 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from featureframe import describe_layers, read_vector_files
-from featureframe.gpkg import read_gpkg_tables
+from featureframe.gpkg import read_gpkg_files, read_gpkg_tables
 from featureframe.plans.catalog import feature_counts, select_layer, skipped_files
 from featureframe.sources import geopackage as source
 from featureframe.sources import shapefile
 from featureframe.sources.layers import NotVectorData
 from featureframe.sources.tasks import not_vector_data
+from featureframe.testing.encode import write_geopackage
 from tests.conftest import (
     FIRST,
     OTHER_FIRST,
@@ -335,3 +337,64 @@ def test_columns_a_table_lacks_are_null(spark, tmp_path):
     paths = spark.createDataFrame([(str(tmp_path / f"{name}.sqlite"),) for name in "ab"], "path string")
     rows = read_gpkg_tables(paths, "t").collect()
     assert sorted((row.name, row.owner) for row in rows) == [("a", None), ("b", None)]
+
+
+def _sqlite_files(folder, **tables):
+    """Files of a table ``t``: its columns with their types, and rows."""
+    for name, (columns, rows) in tables.items():
+        with closing(sqlite3.connect(folder / f"{name}.sqlite")) as db:
+            db.execute(f"create table t ({columns})")
+            db.executemany(f"insert into t values ({','.join('?' * len(rows[0]))})", rows)
+            db.commit()
+
+
+def _sqlite_paths(spark, folder):
+    return spark.createDataFrame([(str(path),) for path in sorted(folder.iterdir())], "path string")
+
+
+def test_tables_with_other_types_or_more_columns(spark, tmp_path):
+    _sqlite_files(tmp_path, a=("code INTEGER", [(7,)]), b=("code TEXT", [("x17",), ("8",)]))
+    with pytest.raises(Exception, match="code that are no int64; set merge_schemas"):
+        read_gpkg_tables(_sqlite_paths(spark, tmp_path), "t").collect()
+    _sqlite_files(tmp_path, c=("CODE INTEGER, owner TEXT", [(9, "o")]))
+    with pytest.raises(ValueError, match=r"c.sqlite has more columns: \['owner'\]"):
+        read_gpkg_tables(_sqlite_paths(spark, tmp_path), "t")
+    merged = read_gpkg_tables(_sqlite_paths(spark, tmp_path), "t", merge_schemas=True)
+    assert merged.schema.simpleString() == "struct<code:string,owner:string>"
+    assert sorted(map(tuple, merged.collect())) == [("7", None), ("8", None), ("9", "o"), ("x17", None)]
+
+
+def test_fitting_values_of_other_types_are_read(spark, tmp_path):
+    _sqlite_files(tmp_path, a=("code BIGINT, n INTEGER", [("7", 1)]), b=("code TEXT, n SMALLINT", [("8", 2), (None, None)]))
+    rows = read_gpkg_tables(_sqlite_paths(spark, tmp_path), "t").collect()
+    assert sorted(map(tuple, rows), key=str) == [("7", 1), ("8", 2), (None, None)]
+
+
+def test_merged_types_lose_nothing(spark, tmp_path):
+    columns = "i {}, r {}, b {}, d {}"
+    _sqlite_files(
+        tmp_path,
+        a=(columns.format("MEDIUMINT", "FLOAT", "BLOB", "DATE"), [(1, 0.5, b"\0", "2020-01-31")]),
+        b=(columns.format("INTEGER", "INTEGER", "TEXT", "DATETIME"), [(2**40, 3, "é", "2020-01-31T00:00:00Z")]),
+    )
+    merged = read_gpkg_tables(_sqlite_paths(spark, tmp_path), "t", merge_schemas=True)
+    assert merged.schema.simpleString() == "struct<i:bigint,r:double,b:binary,d:string>"
+    expected = [(1, 0.5, b"\0", "2020-01-31"), (2**40, 3.0, "é".encode(), "2020-01-31T00:00:00Z")]
+    assert sorted((row.i, row.r, bytes(row.b), row.d) for row in merged.collect()) == expected
+    _sqlite_files(tmp_path, c=("r INTEGER", [(2**53 + 1,)]))
+    with pytest.raises(Exception, match="r that are no double"):
+        read_gpkg_tables(_sqlite_paths(spark, tmp_path), "t", merge_schemas=True).collect()
+    _sqlite_files(tmp_path, d=("b INTEGER", [(1,)]))
+    with pytest.raises(ValueError, match="column b has values of .* which no type holds"):
+        read_gpkg_tables(_sqlite_paths(spark, tmp_path), "t", merge_schemas=True)
+
+
+def test_first_layers_of_many_files_in_one_read(spark, tmp_path):
+    for name, layer in (("a", "one"), ("b", "two")):
+        rows = [{"fid": 1, "id": 1, "category": name, "x": 1.0, "y": 2.0, "layer": layer}]
+        write_geopackage(str(tmp_path / f"{name}.gpkg"), rows, [("id", "bigint"), ("category", "string")])
+    found = read_gpkg_files(_sqlite_paths(spark, tmp_path), drop_gpb_header=True)
+    assert sorted((row.category, bytes(row.wkb_geometry)) for row in found.collect()) == [
+        (name, struct.pack("<BIdd", 1, 1, 1, 2)) for name in "ab"
+    ]
+    assert read_gpkg_files(_sqlite_paths(spark, tmp_path), layer_name="two").count() == 1
