@@ -44,15 +44,20 @@ class TextEncoder:
     """Ids of texts as little-endian bytes of ``dtype``.
 
     At most ``limit`` pieces are remembered; then all are forgotten, which costs time
-    but changes no result. Names of special tokens inside a text are ordinary text.
+    but changes no result. The name of a special token inside a text is that token, as it
+    is to the library, unless ``names_are_text``.
     """
 
-    def __init__(self, vocabulary: bytes, limit: int = 500_000):
+    def __init__(self, vocabulary: bytes, limit: int = 500_000, names_are_text: bool = False):
         from tokenizers import Tokenizer
 
         text = vocabulary.decode("utf-8")
         self._library = Tokenizer.from_str(text)
-        self._library.encode_special_tokens = True
+        self._library.encode_special_tokens = names_are_text
+        described = json.loads(text)
+        names = "|".join(re.escape(token["content"]) for token in described.get("added_tokens", []))
+        # whichever way the vocabulary wants them spelled: such texts go through the library
+        self._names = re.compile(names or "(?!)", re.IGNORECASE)
         self._merges = self._library.model
         size = self._library.get_vocab_size(with_added_tokens=True)
         #: The narrowest type that holds every id.
@@ -60,7 +65,7 @@ class TextEncoder:
         self._limit = limit
         self._known: dict[str, bytes] = {}
         self._letters = _byte_letters()
-        self._pattern, self._lower = self._plain_pattern(json.loads(text))
+        self._pattern, self._lower = self._plain_pattern(described)
 
     @staticmethod
     def _plain_pattern(described: dict) -> tuple[re.Pattern | None, bool]:
@@ -76,7 +81,7 @@ class TextEncoder:
         return None, False
 
     def __call__(self, text: str) -> bytes:
-        if self._pattern is None or not _PLAIN.fullmatch(text):
+        if self._pattern is None or not _PLAIN.fullmatch(text) or self._names.search(text):
             return b"".join(self._by_library(chunks(text)))
         pieces = self._pattern.findall(text.lower() if self._lower else text)
         try:

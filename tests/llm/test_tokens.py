@@ -22,9 +22,10 @@ BYTES, WORDS = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def plain_ids(path: str):
+def plain_ids(path: str, names_are_text: bool = False):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    if names_are_text:
+        tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -33,12 +34,13 @@ def crc(ids) -> int:
 
 
 @pytest.mark.parametrize("path", [BYTES, WORDS])
-def test_encoder_gives_the_librarys_ids(path):
-    plain, encoder = plain_ids(path), TextEncoder(open(path, "rb").read(), limit=50)
+@pytest.mark.parametrize("names_are_text", [False, True])
+def test_encoder_gives_the_librarys_ids(path, names_are_text):
+    plain, encoder = plain_ids(path, names_are_text), TextEncoder(open(path, "rb").read(), 50, names_are_text)
     letters = [" ", "\n", "  ", "\t", "a", "b", " the", "'s", "'LL", "9", "12", "!", "é", "É", "ſ", "İ", "Σ", "ŉ", "×", "中"]
-    letters += ["😀", "²", "́", "\xa0", " ", "\x1c", "\x85", "<|endoftext|>", "Å", "re"]
+    letters += ["😀", "²", "́", "\xa0", " ", "\x1c", "\x85", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "Å", "re"]
     chance = random.Random(11)
-    for few in (letters, letters[:13]):
+    for few in (letters, letters[:13], ["<|endoftext|>", "<|startoftext|>", "a", " ", "\n", "  ", "<|"]):
         for _ in range(1500):
             text = "".join(chance.choice(few) for _ in range(chance.randint(0, 25)))
             assert np.frombuffer(encoder(text), encoder.dtype).tolist() == plain(text), text
