@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import random
 import re
+import zlib
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -256,10 +258,37 @@ def test_languages(spark, make_docs):
     assert model.languages == ["aa", "bb", "cc"]
     found = language.predict(frame, model).collect()
     assert all(row.lang_pred == "abc"[row.doc_id % 3] * 2 and 0.5 < row.score <= 1 for row in found)
+    learned = defaultdict(list)
+    for doc_id, text, lang in rows:
+        if lang and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            learned[lang].append(language.plain(text))
+    for row in found[::7]:
+        parsed = language.plain(rows[row.doc_id][1])
+        costs = {}
+        for lang, texts in learned.items():
+            whole = "\n".join(sorted(texts))
+            costs[lang] = brute_phrases(whole, parsed) * math.log2(max(len(whole), 1024)) / len(parsed)
+        assert row.lang_pred == min(sorted(costs), key=costs.get)
+        assert np.allclose(row.entropy, [costs[lang] for lang in sorted(costs)])
     awkward = {row.doc_id: row for row in language.predict(make_docs(TEXTS), model).collect()}
     assert all((awkward[n].lang_pred, awkward[n].score) == ("und", 0.0) for n in (3, 4, 5))
 
 
+def test_phrases_go_on_across_words():
+    automaton = language.SuffixAutomaton.of(" one two three ")
+    assert automaton.phrases(" one two three ") == 1 and automaton.phrases(" two one ") == 2
+    again = language.SuffixAutomaton.unpacked(automaton.packed())
+    assert (again.letters, again.targets, again.ways) == (automaton.letters, automaton.targets, automaton.ways)
+
+
+def test_texts_without_letters_teach_no_language(spark):
+    rows = [(1, "12 34", "aa"), (2, None, "bb"), (3, "some words here", "cc"), (3, "another text", "cc")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(frame, learn=F.lit(True))
+    assert model.languages == ["cc"] and model.sizes == [len(" another text ")]
+    assert {row.lang_pred for row in language.predict(frame, model).collect()} == {"cc", "und"}
+
+
 def test_nothing_to_learn_languages_from(docs, no_docs):
     model = language.train(no_docs, learn=F.lit(True))
     assert model.languages == []
