@@ -22,7 +22,7 @@ from featureframe.functions.boxes import Box
 from featureframe.functions.coordinates import geojson_wkb
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData
-from featureframe.sources.records import Located, blocks, chosen, decoded, fitted, near, opened
+from featureframe.sources.records import Located, blocks, chosen, decoded, fitted, near, opened, size_of
 from featureframe.types import OGR_TO_SPARK
 
 _TOKEN = re.compile(rb'"[^"\\]*+(?:\\.[^"\\]*+)*+"|"|[{}\[\]:,]', re.DOTALL)
@@ -86,14 +86,18 @@ def locate(path: str, layer: LayerIdentifier) -> Located:
 class _Nesting:
     """Follows quotes and brackets from block to block."""
 
-    def __init__(self) -> None:
-        self.depth = 0
+    def __init__(self, depth: int = 0, in_string: bool = False, escaped: bool = False) -> None:
+        self.depth = depth
         self.closed = False
-        self._in_string = False
-        self._slashes = 0
+        self._in_string = in_string
+        self._slashes = int(escaped)
 
-    def feed(self, block: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Where objects of the outermost level open and close in the block."""
+    def state(self) -> tuple[int, bool, bool]:
+        """What the constructor takes to go on from here."""
+        return self.depth, self._in_string, self._slashes % 2 == 1
+
+    def brackets(self, block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where brackets outside strings are, which ones, and how deep it is after each."""
         letters = np.frombuffer(block, np.uint8)
         quotes = np.flatnonzero(letters == 0x22)
         if self._slashes or b"\\" in block:
@@ -102,15 +106,22 @@ class _Nesting:
         outside = (np.searchsorted(quotes, marks) + self._in_string) % 2 == 0
         marks = marks[outside]
         kinds = letters[marks]
-        steps = np.where(kinds | 0x20 == 0x7B, 1, -1)
-        after = self.depth + np.cumsum(steps)
+        after = self.depth + np.cumsum(np.where(kinds | 0x20 == 0x7B, 1, -1))
+        self._in_string = bool((len(quotes) + self._in_string) % 2)
+        self.depth = int(after[-1]) if len(after) else self.depth
+        return marks, kinds, after
+
+    def feed(self, block: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where objects of the outermost level open and close in the block."""
+        before = self.depth
+        marks, kinds, after = self.brackets(block)
         past = np.flatnonzero(after < 0)  # the array of features closes
         if len(past):
             self.closed = True
-            marks, kinds, steps, after = (one[: past[0]] for one in (marks, kinds, steps, after))
-        self._in_string = bool((len(quotes) + self._in_string) % 2)
-        self.depth = int(after[-1]) if len(after) else self.depth
-        return marks[(kinds == 0x7B) & (after - steps == 0)], marks[(kinds == 0x7D) & (after == 0)]
+            marks, kinds, after = (one[: past[0]] for one in (marks, kinds, after))
+            self.depth = int(after[-1]) if len(after) else before
+        opened = (kinds == 0x7B) & (after == 1)
+        return marks[opened], marks[(kinds == 0x7D) & (after == 0)]
 
     def _unescaped(self, letters: np.ndarray, quotes: np.ndarray) -> np.ndarray:
         places = np.arange(len(letters))
@@ -154,20 +165,47 @@ def _check_gap(path: str, gap: bytes) -> None:
         raise ValueError(f"{path} has text between features: {gap.strip(_BETWEEN)[:40]!r}")
 
 
-def plan(path: str, key: str, step: int) -> list[tuple[int, int | None]]:
-    """Ranges of about ``step`` bytes; one pass that only looks at brackets."""
-    nesting = _Nesting()
-    at = int(key)
-    cuts = [at]
+#: State at the first feature: depth, whether in a string, whether the next character is escaped.
+BEGIN = (0, False, False)
+
+
+def block_starts(path: str, key: str, step: int) -> list[int]:
+    """Where blocks of ``step`` bytes begin from the first feature on."""
     with opened(path) as file:
-        for block in blocks(file, at, None):
-            opens = nesting.feed(block)[0] + at
-            while len(later := opens[opens >= cuts[-1] + step]):
-                cuts.append(int(later[0]))
-            at += len(block)
+        return list(range(int(key), max(size_of(file), int(key) + 1), step))
+
+
+def summary(path: str, start: int, stop: int | None) -> list[list]:
+    """What a block does to each state it may begin in, depth aside: the state after it, the depth
+    it adds, and the lowest depth in between."""
+    ways = [(quoted, escaped) for quoted in (False, True) for escaped in (False, True)]
+    followed, lowest = {way: _Nesting(0, *way) for way in ways}, dict.fromkeys(ways, 0)
+    with opened(path) as file:
+        for block in blocks(file, start, stop):
+            for way, nesting in followed.items():
+                lowest[way] = min(lowest[way], int(nesting.brackets(block)[2].min(initial=lowest[way])))
+    return [[*way, *followed[way].state(), lowest[way]] for way in ways]
+
+
+def after(state: tuple, of_block: list[list]) -> tuple | None:
+    """The state after a block with that summary; None where the array of features closes in it."""
+    depth, *way = state
+    change, quoted, escaped, lowest = next(row[2:] for row in of_block if row[:2] == way)
+    return None if depth + lowest < 0 else (depth + change, quoted, escaped)
+
+
+def cut(path: str, start: int, stop: int | None, state: tuple) -> int | None:
+    """Where the first feature of a block that begins in ``state`` begins."""
+    nesting, at = _Nesting(*state), start
+    with opened(path) as file:
+        for block in blocks(file, start, stop):
+            opens = nesting.feed(block)[0]
+            if len(opens):
+                return at + int(opens[0])
             if nesting.closed:
-                break
-    return list(zip(cuts, [*cuts[1:], None]))
+                return None
+            at += len(block)
+    return None
 
 
 def layers(path: str) -> list[tuple[str, int]]:

@@ -24,11 +24,13 @@ from featureframe.functions.boxes import Box
 from featureframe.functions.coordinates import gml_wkb
 from featureframe.plans.catalog import LayerIdentifier
 from featureframe.sources.layers import NotVectorData
-from featureframe.sources.records import Located, chosen, decoded, fitted, near, opened
+from featureframe.sources.records import Located, blocks, chosen, decoded, fitted, near, opened, size_of
 
 # Elements features are wrapped in
 _WRAPPERS = ("member", "featureMember", "featureMembers")
 _READ_BYTES = 1 << 20
+_LOOK_BYTES = 4096
+_SPACE = re.compile(rb"\s")
 _ENCODING = re.compile(rb"""<\?xml[^>]*?\sencoding\s*=\s*["']([\w.:-]+)["']""")
 # Marks of comments and of sections of plain text
 _SECTION = re.compile(rb"<!--|<!\[CDATA\[")
@@ -113,40 +115,58 @@ def layers(path: str) -> list[tuple[str, int]]:
     return [(_local(element), count) for element, count in counts.items()]
 
 
-def plan(path: str, key: str, step: int) -> list[tuple[int, int | None]]:
-    """Ranges of ``step`` bytes; any place will do that is in no comment and no CDATA section."""
+#: State outside comments and CDATA sections; inside it is the mark that began the section.
+BEGIN = ""
+
+
+def block_starts(path: str, key: str, step: int) -> list[int]:
+    """Where blocks of about ``step`` bytes begin: after white space, which no mark has."""
+    with opened(path) as file:
+        size, starts = size_of(file), [0]
+        for start in range(step, size, step):
+            file.seek(start)
+            at = start
+            while block := file.read(_LOOK_BYTES):
+                if space := _SPACE.search(block):
+                    starts.append(at + space.end())
+                    break
+                at += len(block)
+    return [start for start in dict.fromkeys(starts) if start < max(size, 1)]
+
+
+def summary(path: str, start: int, stop: int | None) -> list[list]:
+    """The state after a block for each state it may begin in."""
+    states = [BEGIN, *(mark.decode() for mark in _SECTION_ENDS)]
+    with opened(path) as file:
+        return [[state, _followed(file, start, stop, state)[0]] for state in states]
+
+
+def after(state: str, of_block: list[list]) -> str | None:
+    return dict(of_block)[state]
+
+
+def cut(path: str, start: int, stop: int | None, state: str) -> int | None:
+    """Where a block that begins in ``state`` is first outside of all sections."""
+    if not state:
+        return start
     with opened(path) as file:
-        size = file.seek(0, os.SEEK_END) if hasattr(file, "seekable") else file.size()
-        starts = list(range(0, max(size, 1), step))
-        at = 0
-        for begin, end in _sections(file):
-            while at < len(starts) and starts[at] <= begin:
-                at += 1
-            while at < len(starts) and starts[at] < end:
-                starts[at] = end
-                at += 1
-    starts = [start for start in dict.fromkeys(starts) if start < max(size, 1)]
-    return list(zip(starts, [*starts[1:], None]))
-
-
-def _sections(file: BinaryIO) -> Iterator[tuple[int, int]]:
-    """Where comments and CDATA sections begin and end."""
-    file.seek(0)
-    base, text, begin, wanted = 0, b"", 0, _SECTION
-    while block := file.read(_READ_BYTES):
+        return _followed(file, start, stop, state, leave=True)[1]
+
+
+def _followed(file: BinaryIO, start: int, stop: int | None, state: str, leave: bool = False) -> tuple[str, int | None]:
+    """The state after some bytes; or, to ``leave``, where they are first outside of all sections, if they are."""
+    mark, base, text = state.encode(), start, b""
+    for block in blocks(file, start, stop, _READ_BYTES):
         text, at = text + block, 0
-        while found := wanted.search(text, at):
+        while found := (_SECTION_ENDS[mark] if mark else _SECTION).search(text, at):
             at = found.end()
-            if wanted is _SECTION:
-                begin, wanted = base + found.start(), _SECTION_ENDS[found[0]]
-            else:
-                yield begin, base + at
-                wanted = _SECTION
+            mark = b"" if mark else found[0]
+            if leave and not mark:
+                return "", base + at
         # a mark may go on in the next block
         kept = max(at, len(text) - len("<![CDATA["))
         base, text = base + kept, text[kept:]
-    if wanted is not _SECTION:
-        yield begin, base + len(text)
+    return mark.decode(), None
 
 
 def features(path: str, key: str, start: int | None, stop: int | None) -> Iterator[str]:

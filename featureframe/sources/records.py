@@ -1,24 +1,29 @@
 """Text files of features, cut into one record per feature inside the tasks.
 
-A format module says where a file's features are (``locate``), where it can be cut
-(``plan``), and yields the features of a byte range (``features``). Files up to a size
+A format module says where a file's features are (``locate``), what a block of it does to
+what follows (``summary``, ``after``), where it can be cut (``cut``), and yields the features
+of a byte range (``features``). Files up to a size
 are read by the task Spark's listing packed them into. Larger ones are planned first, one
 row per range, and read by as many tasks.
 """
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Iterator
 from types import ModuleType
 from typing import BinaryIO, NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField
 
 from featureframe.functions.boxes import Box
 from featureframe.plans.catalog import LayerIdentifier
+from featureframe.plans.chunks import place_evenly
+from featureframe.session import settle
 from featureframe.sources.layers import NotVectorData, absent, open_binary
 
 BLOCK_BYTES = 8 << 20
@@ -53,11 +58,16 @@ def decoded(path: str, text: bytes, encoding: str) -> str:
         raise ValueError(f"{path} has a feature that is not {encoding}: {error}") from None
 
 
-def blocks(file: BinaryIO, start: int, stop: int | None) -> Iterator[bytes]:
-    """The bytes from ``start`` up to ``stop`` or the end, a block at a time."""
+def size_of(file: BinaryIO) -> int:
+    return file.seek(0, os.SEEK_END) if hasattr(file, "seekable") else file.size()
+
+
+def blocks(file: BinaryIO, start: int, stop: int | None, most: int | None = None) -> Iterator[bytes]:
+    """The bytes from ``start`` up to ``stop`` or the end, a block of at most ``most`` bytes at a time."""
+    most = BLOCK_BYTES if most is None else most
     file.seek(start)
     while stop is None or start < stop:
-        block = file.read(BLOCK_BYTES if stop is None else min(BLOCK_BYTES, stop - start))
+        block = file.read(most if stop is None else min(most, stop - start))
         if not block:
             return
         start += len(block)
@@ -101,20 +111,71 @@ def whole_files(files: DataFrame, module: ModuleType, layer: LayerIdentifier, mo
     return files.select("path").mapInArrow(run, FEATURES)
 
 
+def _states(module: ModuleType, summaries: list) -> list:
+    """The state each block begins in, from the summaries of those before it; None after the last feature."""
+    states = [module.BEGIN]
+    for one in summaries[:-1]:
+        states.append(None if states[-1] is None else module.after(states[-1], one))
+    return states
+
+
+def plan(module: ModuleType, path: str, key: str, step: int) -> list[tuple[int, int | None]]:
+    """What :func:`planned` finds for one file, in this process."""
+    starts = module.block_starts(path, key, step)
+    stops = [*starts[1:], None]
+    states = _states(module, [module.summary(path, *ends) for ends in zip(starts, stops)])
+    cuts = [module.cut(path, *ends) for ends in zip(starts, stops, states) if ends[2] is not None]
+    cuts = [starts[0], *(cut for cut in cuts[1:] if cut is not None)]
+    return list(zip(cuts, [*cuts[1:], None]))
+
+
 def planned(files: DataFrame, module: ModuleType, layer: LayerIdentifier, step: int, mode: str) -> DataFrame:
-    """Ranges of about ``step`` bytes that begin and end between features."""
+    """Ranges of about ``step`` bytes that begin and end between features.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Whether a place is between features depends on all before it. So every block is summed
+    up by a task of its own, for each state it may begin in; the summaries of a file, one row
+    a block, then give the state each block does begin in, and tasks look for the first
+    feature from there.
+    """
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch["path"].to_pylist():
                 if found := _located(module, path, layer, mode):
-                    starts, stops = zip(*module.plan(path, found.key, step))
+                    starts = module.block_starts(path, found.key, step)
                     n = len(starts)
                     columns = [[path] * n, [found.layer_name] * n, [found.key] * n]
-                    arrays = [*(pa.array(column) for column in columns), *(pa.array(c, pa.int64()) for c in (starts, stops))]
+                    arrays = [*(pa.array(column) for column in columns), *(pa.array(c, pa.int64()) for c in (starts, [*starts[1:], None]))]
                     yield pa.RecordBatch.from_arrays(arrays, ["path", "layer_name", "key", "start", "stop"])
 
-    return files.select("path").mapInArrow(run, RANGES)
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [json.dumps(module.summary(row["path"], row["start"], row["stop"])) for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "told"])
+
+    def told(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("start")
+        states = _states(module, [json.loads(one) for one in rows["told"].to_pylist()])
+        found = pa.array([None if state is None else json.dumps(state) for state in states], pa.string())
+        return rows.set_column(rows.schema.get_field_index("told"), "told", found)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [module.cut(row["path"], row["start"], row["stop"], json.loads(row["told"])) for row in batch.to_pylist()]
+            yield batch.set_column(batch.schema.get_field_index("start"), "start", pa.array(found, pa.int64()))
+
+    with_told = f"{RANGES}, told string"
+    found = settle(files.select("path").mapInArrow(locate, RANGES))
+    summaries = place_evenly(found).mapInArrow(summed, with_told)
+    # one row per block
+    states = settle(summaries.groupBy("path").applyInArrow(told, with_told).filter("told is not null"))
+    first = F.min("start").over(Window.partitionBy("path"))
+    begins = states.withColumn("begin", first)
+    first_range = begins.filter(F.col("start") == F.col("begin")).select(*found.columns)
+    later = place_evenly(settle(begins.filter(F.col("start") > F.col("begin")).drop("begin"))).mapInArrow(cut, with_told)
+    cuts = first_range.union(later.filter("start is not null").select(*found.columns))
+    following = F.lead("start").over(Window.partitionBy("path").orderBy("start"))
+    return cuts.withColumn("stop", following)
 
 
 def ranged(ranges: DataFrame, module: ModuleType) -> DataFrame:

@@ -68,7 +68,7 @@ def test_geojson_layouts_and_splits(spark, tmp_path, monkeypatch, layout, split_
         path = str(tmp_path / "a.geojson")
         (tmp_path / "a.geojson").write_text(LAYOUTS[layout])
         key = geojson.locate(path, None).key
-        ranges = geojson.plan(path, key, split_bytes)
+        ranges = records.plan(geojson, path, key, split_bytes)
         found = [json.loads(text) for start, stop in ranges for text in geojson.features(path, key, start, stop)]
         assert [(f["properties"]["id"], f["geometry"]) for f in found] == [
             (f["properties"]["id"], f["geometry"]) for f in FEATURES
@@ -333,7 +333,7 @@ def test_gml_ranges_of_every_size(tmp_path, monkeypatch):
     path = str(tmp_path / "a.gml")
     key = gml.locate(path, None).key
     for step in (7, 100, 10_000):
-        found = [text for start, stop in gml.plan(path, key, step) for text in gml.features(path, key, start, stop)]
+        found = [text for start, stop in records.plan(gml, path, key, step) for text in gml.features(path, key, start, stop)]
         assert len(found) == 20 and all(text.startswith("<") and text.endswith(">") for text in found)
 
 
@@ -391,7 +391,7 @@ def test_gml_comments_at_every_split(tmp_path, monkeypatch):
         whole = list(gml.features(path, key, None, None))
         assert [one.count("<ogr:id>") for one in whole] == [1, 1, 1] and not any("<!" in one for one in whole)
         for step in range(1, len(text) + 1, 1 if read_bytes > 11 else 13):
-            assert whole == [one for start, stop in gml.plan(path, key, step) for one in gml.features(path, key, start, stop)]
+            assert whole == [one for start, stop in records.plan(gml, path, key, step) for one in gml.features(path, key, start, stop)]
 
 
 @pytest.mark.parametrize("suffix", ["geojson", "gml"])
@@ -404,3 +404,27 @@ def test_text_in_another_encoding_is_an_error(spark, tmp_path, suffix):
     (tmp_path / f"a.{suffix}").write_bytes(text.encode("latin-1"))
     with pytest.raises(Exception, match="codec can't decode|not well-formed|No file could be opened"):
         read(spark, tmp_path, suffix=suffix).collect()
+
+
+@pytest.mark.parametrize(("suffix", "module"), [("geojson", geojson), ("gml", gml)])
+def test_tasks_plan_what_one_process_does(spark, tmp_path, suffix, module):
+    """Two files of differing length, each block of which may begin anywhere."""
+    if suffix == "geojson":
+        notes = [{**f, "note": "\\" * (i % 4) + '"}{[' + "]" * (i % 3)} for i, f in enumerate(FEATURES[:60])]
+        texts = [document(notes, after={"features": [{}, {"a": [1]}]}), document(FEATURES[:5], indent=2)]
+    else:
+        texts = [collection(*MARKED * 5, plural=True), collection(*ROADS[:30])]
+    paths = []
+    for n, text in enumerate(texts):
+        paths.append(str(tmp_path / f"{n}.{suffix}"))
+        (tmp_path / f"{n}.{suffix}").write_text(text)
+    files = spark.createDataFrame([(path,) for path in paths], "path string")
+    found = {}
+    for row in records.planned(files, module, None, 150, "FAILFAST").collect():
+        found.setdefault(row.path, []).append((row.start, row.stop, row.key))
+    for path in paths:
+        key = module.locate(path, None).key
+        expected = records.plan(module, path, key, 150)
+        assert sorted(found[path]) == [(*ends, key) for ends in expected] and len(expected) >= 5
+        whole = list(module.features(path, key, None, None))
+        assert whole == [one for ends in expected for one in module.features(path, key, *ends)]
