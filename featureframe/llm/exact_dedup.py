@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from featureframe.llm.common import ids_and_texts
 
@@ -31,7 +32,7 @@ def _hash(text: Column) -> Column:
 
 def _best(extra: list[str] = ()) -> Column:
     """Largest for the most code points, then the smallest id; null ids come last."""
-    return F.max(F.struct(F.length("text").alias("points"), (-F.col("doc_id")).alias("minus_id"), *extra))
+    return F.max(F.struct(F.length("text").alias("points"), F.bitwise_not("doc_id").alias("downwards"), *extra))
 
 
 def duplicate_groups(docs: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
         .select(
             "content",
             F.sha2(F.col("plain").cast("binary"), 256).alias("text_sha256"),
-            (-F.col("best.minus_id")).alias("keep_id"),
+            F.bitwise_not("best.downwards").alias("keep_id"),
             "group_size",
         )
     )
@@ -69,15 +70,26 @@ def find_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The row of each group that stays, with all its columns; one row also where ids repeat."""
+    """The row of each group that stays, with all its columns; one row also where ids repeat.
+
+    Of rows alike in length and id the largest stays, column by column; maps compare as their sorted entries.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = _normalised(text)
+    maps = [isinstance(field.dataType, MapType) for field in docs.schema]
+    own = [F.col(f"`{name.replace('`', '``')}`") for name in docs.columns]
+    # names of columns may have dots, and be anything
+    places = [f"c{n}" for n in range(len(own))]
+    row = [(F.array_sort(F.map_entries(one)) if is_map else one).alias(at) for one, is_map, at in zip(own, maps, places, strict=True)]
     order = F.struct(
-        F.length(text).alias("points"), (-F.col("doc_id").cast("long")).alias("minus_id"), F.struct(*docs.columns).alias("row")
+        F.length(text).alias("points"), F.bitwise_not(F.col("doc_id").cast("long")).alias("downwards"), F.struct(*row).alias("row")
     )
-    return (
+    kept = (
         docs.select(plain.alias("plain"), order.alias("order"))
         .groupBy(_hash(F.col("plain")).alias("content"), "plain")
         .agg(F.max("order").alias("order"))
-        .select("order.row.*")
+    )
+    found = [F.col(f"order.row.{at}") for at in places]
+    return kept.select(
+        *((F.map_from_entries(one) if is_map else one).alias(name) for one, is_map, name in zip(found, maps, docs.columns, strict=True))
     )
