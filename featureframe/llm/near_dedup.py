@@ -280,7 +280,7 @@ def find_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, mar
         .select("node", "centre", _estimate(hasher, F.col("one"), F.col("other")).alias("estimate"))
         .filter(F.col("estimate") >= least)
         .groupBy("node")
-        .agg(F.max_by("centre", F.struct("estimate", -F.col("centre"))).alias("centre"))
+        .agg(F.max_by("centre", F.struct("estimate", F.bitwise_not("centre"))).alias("centre"))
         .select(F.col("node").alias("a"), F.col("centre").alias("b"))
     )
     links = settle(_confirm(likeliest, sets, percent))
