@@ -363,7 +363,7 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             dtype=object,
         )
 
-    row = F.struct(*docs.columns).alias("row")
+    row = F.struct(*(F.col(f"`{name.replace('`', '``')}`") for name in docs.columns)).alias("row")
     rows = docs.select(row).withColumn("content", F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))))
     same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("own_id")) & (F.col("content") == F.col("own_content"))
     text = put_names(F.col("row.text").cast("string"), F.col("spans")).alias("text")
