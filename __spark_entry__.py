@@ -7,11 +7,11 @@ folder with the operator under test and return the rows it gives.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
 from functools import partial, reduce
+from types import ModuleType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -779,28 +779,27 @@ def _reader_sql() -> dict[str, str]:
     }
 
 
-def _has_corpus_operators() -> bool:
-    """The corpus operators may have been taken out; the rest works without them."""
-    return all(importlib.util.find_spec(name) for name in ("featureframe.llm", "featureframe.llm.queries", "corpus_pipeline"))
+def _corpus_modules() -> tuple[ModuleType, ModuleType] | None:
+    """The corpus operators may have been taken out, or a library they need; the rest works without them."""
+    try:
+        import corpus_pipeline
+        from featureframe.llm import queries as corpus_queries
+    except ImportError:
+        return None
+    return corpus_pipeline, corpus_queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = _reader_queries()
-    if _has_corpus_operators():
-        import corpus_pipeline
-        from featureframe.llm.queries import QUERIES
-
-        found |= QUERIES | {"pipeline": corpus_pipeline.run}
+    if modules := _corpus_modules():
+        found |= modules[1].QUERIES | {"pipeline": modules[0].run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     found = _reader_sql()
-    if _has_corpus_operators():
-        import corpus_pipeline
-        from featureframe.llm.queries import ORACLE
-
-        found |= ORACLE
-        if corpus_pipeline.ORACLE_SQL is not None:
-            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    if modules := _corpus_modules():
+        found |= modules[1].ORACLE
+        if modules[0].ORACLE_SQL is not None:
+            found["pipeline"] = modules[0].ORACLE_SQL
     return found

@@ -18,7 +18,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from featureframe.functions.gpb import FIXED_BYTES, envelope, header_bytes, header_length, split_geometry, wkb_bytes
 from featureframe.functions.wkb import wkb_bounds
 from featureframe.plans.chunks import id_ranges, place_evenly
-from featureframe.session import active_session, settle
+from featureframe.session import active_session, settle, ship_package
 from featureframe.sources import geopackage
 from featureframe.sources.listing import few_partitions
 from featureframe.sources.tasks import not_vector_data, read_table
@@ -51,6 +51,7 @@ def _describe_table(paths: DataFrame, table: str | None, range_rows: int) -> Dat
             yield pa.RecordBatch.from_pylist(rows, arrow_schema)
 
     arrow_schema = to_arrow_schema(_TABLE_SCHEMA)
+    ship_package(paths.sparkSession)
     return few_partitions(paths).select("path").mapInArrow(describe, _TABLE_SCHEMA)
 
 
@@ -141,6 +142,7 @@ def _small_table(paths: DataFrame, table: str, ddl: str) -> DataFrame:
                     arrays = [pa.array(column, kind) for column, kind in zip([[path] * count, *values], types)]
                     yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
+    ship_package(paths.sparkSession)
     return few_partitions(paths).select("path").mapInArrow(read, schema)
 
 
@@ -179,6 +181,7 @@ def gpkg_crs(paths: DataFrame) -> DataFrame:
                     arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
                     yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
+    ship_package(paths.sparkSession)
     return few_partitions(paths).select("path").mapInArrow(read, schema)
 
 

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def active_session(spark: SparkSession | None = None) -> SparkSession:
+    """The session of a read, whose workers get this package."""
     session = spark or SparkSession.getActiveSession()
     if session is None:
         raise RuntimeError("No active SparkSession; pass one with spark=.")
+    ship_package(session)
     return session
 
 

@@ -6,8 +6,11 @@ import fnmatch
 import os
 import re
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,8 +74,8 @@ def _files(spark: SparkSession, root: str, glob: str, recursive: bool) -> DataFr
         if error.getCondition() != "PATH_NOT_FOUND" or (recursive and "://" in root):
             raise
         files = spark.createDataFrame([], "path string, length long")
-    hidden = list(_hidden_files(root, glob, recursive))
-    return files.unionByName(spark.createDataFrame(hidden, files.schema)) if hidden else files
+    hidden = _hidden_files(spark, root, glob, recursive)
+    return files if hidden is None else files.unionByName(hidden)
 
 
 def _left_out(name: str) -> bool:
@@ -80,20 +83,45 @@ def _left_out(name: str) -> bool:
     return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
 
-def _hidden_files(root: str, glob: str, recursive: bool) -> Iterator[tuple[str, int]]:
-    """Matching files Spark leaves out, by their own name or a folder's."""
+def _hidden_files(spark: SparkSession, root: str, glob: str, recursive: bool) -> DataFrame | None:
+    """Matching files Spark leaves out, by their own name or a folder's; None where there are none.
+
+    Folders are looked into level by level, those of a level by many tasks, until no folder is left.
+    """
     matches = re.compile(_as_regex(glob)).fullmatch
-    folders = [(root, False)]
-    while folders:
-        folder, inside = folders.pop()
+
+    def candidates(folder: str, inside: bool) -> Iterator[tuple[str, int | None, bool]]:
+        """Folders to look into, and hidden files that match."""
         for path, length in folder_entries(folder):
             name = path.rsplit("/", 1)[-1]
             hidden = inside or _left_out(name)
-            if length is None:
-                if recursive:
-                    folders.append((path, hidden))
-            elif hidden and matches(name):
-                yield path, length
+            if (recursive if length is None else hidden and matches(name)):
+                yield path, length, hidden
+
+    if next(candidates(root, False), None) is None:
+        return None
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int64(), pa.bool_()]
+        for batch in batches:
+            for folder, inside in zip(batch["path"].to_pylist(), batch["hidden"].to_pylist()):
+                found = candidates(folder, inside)
+                while rows := list(islice(found, _ENTRIES_PER_BATCH)):
+                    yield pa.RecordBatch.from_arrays([pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)], _ENTRY_NAMES)
+
+    level = spark.createDataFrame([(root, None, False)], _ENTRY)
+    files, folders = [], 1
+    while folders:
+        dealt = level.repartition(min(folders, metadata_tasks(spark)), F.xxhash64("path"))
+        entries = settle(dealt.mapInArrow(look, _ENTRY))
+        files.append(entries.filter("length is not null").select("path", "length"))
+        level = entries.filter("length is null")
+        folders = level.count()
+    return reduce(DataFrame.union, files)
+
+
+_ENTRY, _ENTRY_NAMES = "path string, length long, hidden boolean", ["path", "length", "hidden"]
+_ENTRIES_PER_BATCH = 10_000
 
 
 def _as_regex(glob: str) -> str:

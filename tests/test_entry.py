@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 
 import duckdb
 import pytest
@@ -26,6 +27,14 @@ def test_every_sql_has_its_query():
     assert entry.oracle_sql().keys() <= entry.queries().keys()
 
 
+def test_readers_work_without_the_corpus_operators(monkeypatch):
+    every = entry.queries()
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    alone = entry.queries()
+    assert alone.keys() == {name for name in every if name.startswith("q_")}
+    assert entry.oracle_sql().keys() <= alone.keys()
+
+
 def ordered(rows):
     return sorted(rows, key=lambda row: [(value is None, str(value)) for value in row])
 
