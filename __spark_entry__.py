@@ -337,6 +337,15 @@ def q_read_shapefile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_xy(read_vector_files(folder, suffix=".shp", spark=spark))
 
 
+def q_read_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points as Spark's geometry type, and back."""
+    spark.conf.set("spark.sql.geospatial.enabled", "true")
+    folder = _customer_files(spark, sf_dir, "shapefile", "shp")
+    points = read_vector_files(folder, suffix="shp", geometry_type="geometry", srid=3857, spark=spark)
+    point = wkb_xy(F.st_asbinary("geometry")).alias("p")
+    return points.select("id", F.st_srid("geometry").alias("srid"), point).select("id", "srid", "p.x", "p.y")
+
+
 def q_read_shapefile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _customer_files(spark, sf_dir, "shapefile", "shp")
     return _with_xy(
@@ -729,6 +738,7 @@ def _reader_sql() -> dict[str, str]:
         " from (select *, 2 + c_custkey % 4 as n from customer)",
         "q_read_polygons": _CUSTOMER_POLYGONS,
         "q_gml_polygons": _CUSTOMER_POLYGONS,
+        "q_read_geometry": "select c_custkey id, 3857 srid, c_acctbal x, c_custkey::double y from customer",
         "q_read_bbox": _CUSTOMER_POLYGONS + " where c_acctbal <= 4000 and c_acctbal + 4 >= -100"
         " and c_custkey <= 1200 and c_custkey + 4 >= 100",
         "q_read_gpkg_mixed": "select c_custkey id, c_name category, case when c_acctbal >= 0 then c_acctbal end balance"

@@ -49,6 +49,8 @@ def read_vector_files(
     spark: SparkSession | None = None,
     split_bytes: int = SPLIT_BYTES,
     bbox: tuple[float, float, float, float] | None = None,
+    geometry_type: str = "binary",
+    srid: int = 0,
 ) -> DataFrame:
     """One layer of every matching file as a DataFrame with geometry as WKB.
 
@@ -83,10 +85,16 @@ def read_vector_files(
             their R-tree if they have one, else by the envelopes before geometries,
             shapefiles by the bounds of the file and of its records, before anything is
             decoded; text files are filtered by what is parsed.
+        geometry_type: "binary" (well-known binary) or "geometry", Spark's own type, which
+            needs ``spark.sql.geospatial.enabled`` and must be asked for.
+        srid: Coordinate system of a "geometry" column, one that Spark knows; 0 for none.
+            Coordinates are not changed.
     """
     session = active_session(spark)
     strategy = ConcurrencyStrategy(concurrency_strategy)
     box = box_of(bbox)
+    if geometry_type not in ("binary", "geometry"):
+        raise ValueError(f"Geometry type {geometry_type!r} is neither 'binary' nor 'geometry'.")
     if isinstance(layer_identifier, int) and layer_identifier < 0:
         raise ValueError(f"Layer index {layer_identifier} is below 0.")
 
@@ -125,7 +133,11 @@ def read_vector_files(
         found = _text_features(sources, kind, layer_identifier, mode, split_bytes)
         strict = inferred and not coerce_to_schema
         frames.append(TEXT_SOURCES[kind].read(found, schema, geom_field_name, strict, box))
-    return reduce(DataFrame.union, frames) if frames else session.createDataFrame([], schema)
+    found = reduce(DataFrame.union, frames) if frames else session.createDataFrame([], schema)
+    if geometry_type == "geometry" and geom_field_name in schema.names:
+        geometry = F.st_setsrid(F.st_geomfromwkb(F.col(f"`{geom_field_name}`")), srid)
+        found = found.withColumn(geom_field_name, geometry)
+    return found
 
 
 def _sources(

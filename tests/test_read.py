@@ -398,3 +398,22 @@ def test_first_layers_of_many_files_in_one_read(spark, tmp_path):
         (name, struct.pack("<BIdd", 1, 1, 1, 2)) for name in "ab"
     ]
     assert read_gpkg_files(_sqlite_paths(spark, tmp_path), layer_name="two").count() == 1
+
+
+def test_geometry_as_sparks_own_type(spark, geopackage):
+    folder = str(pathlib.Path(geopackage).parent)
+    plain = read_vector_files(folder, suffix="gpkg", spark=spark)
+    assert plain.schema["geometry"].dataType.simpleString() == "binary"
+    spark.conf.set("spark.sql.geospatial.enabled", "true")
+    try:
+        own = read_vector_files(folder, suffix="gpkg", spark=spark, geometry_type="geometry", srid=4326)
+        assert own.schema["geometry"].dataType.simpleString() == "geometry(4326)"
+        back = own.select("id", "category", F.st_asbinary("geometry"), F.st_srid("geometry")).collect()
+        assert sorted(row[:3] for row in back) == sorted(map(tuple, plain.collect()))
+        assert {row[3] for row in back} == {4326}
+        without = read_vector_files(folder, suffix="gpkg", spark=spark, geometry_type="geometry", schema=plain.select("id").schema)
+        assert without.columns == ["id"]
+    finally:
+        spark.conf.set("spark.sql.geospatial.enabled", "false")
+    with pytest.raises(ValueError, match="neither"):
+        read_vector_files(folder, suffix="gpkg", spark=spark, geometry_type="geography")
