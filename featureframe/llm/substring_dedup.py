@@ -1,4 +1,10 @@
-"""Passages that documents share, by relative Lempel-Ziv factoring against reference blocks.
+"""Passages that documents share, by an index of all phrases of all reference blocks.
+
+The method this stands for is relative Lempel-Ziv parsing. What is kept of it: every block is
+an indexed reference, factors are found greedily from left to right, and phrases across
+their ends are checked. What is not: a factor names no place in a reference. That would
+take the place of every phrase of the corpus through the shuffle beside its hash, about half
+as much again of what is the largest shuffle here, beyond the disk this is allowed.
 
 Every block of documents is a reference for all documents of larger ids. Its index
 holds each phrase of ``WINDOW`` words that starts in it, with the smallest id of the
@@ -95,16 +101,12 @@ def _rolling(hashes: np.ndarray, window: int, factor: int) -> np.ndarray:
 def _index_entries(window: int, parts: int):
     def run(table: pa.Table) -> pa.Table:
         block = _Block(table.column("doc_id").to_pylist(), table.column("text").to_pylist(), window, parts)
-        by_part = block.part[block.sent]
-        bounds = np.searchsorted(by_part, np.arange(parts + 1))
+        # only parts the block has phrases of, so its work does not grow with their number
+        own_parts, starts = np.unique(block.part[block.sent], return_index=True)
         rows = []
-        for part in range(parts):
-            entries = block.sent[bounds[part] : bounds[part + 1]]
-            if len(entries):
-                docs, counts = np.unique(block.first_doc[entries], return_counts=True)
-                rows.append(
-                    (part, block.hash[entries].tobytes(), block.ids[docs].tobytes(), counts.astype(np.int32).tobytes())
-                )
+        for part, entries in zip(own_parts.tolist(), np.split(block.sent, starts[1:]), strict=True) if len(own_parts) else ():
+            docs, counts = np.unique(block.first_doc[entries], return_counts=True)
+            rows.append((part, block.hash[entries].tobytes(), block.ids[docs].tobytes(), counts.astype(np.int32).tobytes()))
         number = table.column("block")[0].as_py()
         columns = list(zip(*rows, strict=True)) or [[], [], [], []]
         return pa.table(
@@ -153,9 +155,8 @@ def _parse(window: int, parts: int):
         block = _Block(ids, docs.column("text").to_pylist(), window, parts)
         earlier = np.zeros(len(block.hash), bool)
         by_part = block.part[block.sent]
-        bounds = np.searchsorted(by_part, np.arange(parts + 1))
         for part, found in zip(answers.column("part").to_pylist(), answers.column("found"), strict=True):
-            entries = block.sent[bounds[part] : bounds[part + 1]]
+            entries = block.sent[slice(*np.searchsorted(by_part, [part, part + 1]))]
             bits = np.frombuffer(found.as_py(), np.uint8)
             earlier[entries] = np.unpackbits(bits, count=len(entries)).astype(bool)
         found = earlier[block.distinct] | (block.ids[block.doc] > block.ids[block.first_doc][block.distinct])

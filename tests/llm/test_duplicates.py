@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from featureframe.llm import exact_dedup, near_dedup, substring_dedup
@@ -91,6 +92,12 @@ def test_passages_at_random(make_docs):
     assert passages_of(found) == Counter(brute_passages(texts, 5))
 
 
+def test_work_of_a_block_does_not_grow_with_the_parts(make_docs):
+    table = pa.table({"doc_id": [1], "text": [" ".join(f"w{n}" for n in range(60))], "block": pa.array([0], pa.int64())})
+    rows = substring_dedup._index_entries(13, 10**9)(table)
+    assert 0 < rows.num_rows <= 48 and sum(map(len, rows.column("phrases").to_pylist())) == 48 * 8
+
+
 def test_no_passages(no_docs):
     assert substring_dedup.remove_shared_passages(no_docs).count() == 0
 
