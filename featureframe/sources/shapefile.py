@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from featureframe.functions import wkb
+from featureframe.functions.assemble import Parts, assemble, offsets_of
 from featureframe.functions.boxes import Box
 from featureframe.functions.buffers import doubles_at, gather
 from featureframe.sources.layers import (
@@ -363,51 +364,67 @@ def _to_wkb(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
         xy = np.zeros((len(codes), 2))
         xy[valid] = doubles_at(view, starts[valid] + 4, 2, "<f8")
         return wkb.encode_points(xy[:, 0], xy[:, 1], valid)
-    areas = _ring_areas(data, starts[np.isin(codes, POLYGON_TYPES)])
-    records = zip(starts.tolist(), lengths.tolist(), codes.tolist())
-    return pa.array([_shape_wkb(data, at, at + size, code, areas.get(at)) for at, size, code in records], pa.binary())
-
-
-def _ring_areas(data: bytes, starts: np.ndarray) -> dict[int, list[float]]:
-    """Twice the signed area of every ring (clockwise is negative) of the polygons with
-    several rings, by record start; all rings of a batch at once."""
-    view = np.frombuffer(data, np.uint8)
-    counts = gather(view, starts + 36, 8).view("<i4")
-    many = counts[:, 0] > 1
-    records = list(zip(starts[many].tolist(), counts[many].tolist()))
-    if not records:
-        return {}
-    blocks, ring_starts, base = [], [], 0
-    for at, (rings, points) in records:
-        begin = at + 44 + 4 * rings
-        blocks.append(data[begin : begin + 16 * points])
-        ring_starts += [base + start for start in struct.unpack_from(f"<{rings}i", data, at + 44)]
-        base += points
-    first = np.array([*ring_starts, base])
-    sizes = np.diff(first)
-    points = np.frombuffer(b"".join(blocks), "<f8").reshape(-1, 2)
-    x, y = (points - np.repeat(points[np.minimum(first[:-1], base - 1)], sizes, axis=0)).T
-    cross = np.zeros(base + 1)
-    cross[: base - 1] = x[:-1] * y[1:] - x[1:] * y[:-1]
-    cross[np.maximum(first[1:] - 1, 0)] = 0  # no edge from one ring to the next
-    totals = np.where(sizes > 0, np.add.reduceat(cross, first[:-1]), 0.0).tolist()
-    areas, at_ring = {}, 0
-    for at, (rings, _) in records:
-        areas[at] = totals[at_ring : at_ring + rings]
-        at_ring += rings
+    plain = np.isin(codes, (3, 5))  # 2D lines and polygons, all at once
+    found, together = _parted(view, starts, codes, np.flatnonzero(plain))
+    alone = np.ones(len(codes), bool)
+    alone[together] = False
+    records = zip(*(one[alone].tolist() for one in (starts, lengths, codes)))
+    others = pa.array([_shape_wkb(data, at, at + size, code) for at, size, code in records], pa.binary())
+    order = np.empty(len(codes), np.int64)
+    order[together], order[alone] = np.arange(len(together)), len(together) + np.arange(len(others))
+    return pa.concat_arrays([found, others]).take(pa.array(order))
+
+
+def _parted(view: np.ndarray, starts: np.ndarray, codes: np.ndarray, records: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """WKB of the 2D lines among ``records`` and of their polygons with one outer ring, and which these are."""
+    counts = gather(view, starts[records] + 36, 8).view("<i4").reshape(-1, 2).astype(np.int64)
+    rings = counts[:, 0]
+    owner = np.repeat(np.arange(len(records)), rings)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(rings) - rings, rings)
+    low = gather(view, starts[records][owner] + 44 + 4 * nth, 4).view("<i4").ravel().astype(np.int64)
+    last = np.append(owner[1:] != owner[:-1], True)[: len(owner)]
+    sizes = np.where(last, counts[owner, 1], np.append(low[1:], 0)[: len(owner)]) - low
+    at = starts[records][owner] + 44 + 4 * rings[owner] + 16 * low
+    is_area = codes[records] == 5
+    # clockwise rings are outer
+    is_outer = is_area[owner] & (_twice_areas(view, at, sizes, is_area[owner] & (rings[owner] > 1)) <= 0)
+    outer = np.bincount(owner[is_outer], minlength=len(records))
+    chosen = ~is_area | (outer == 1)
+    kept = chosen[owner]
+    owner, at, sizes, is_outer = owner[kept], at[kept], sizes[kept], is_outer[kept]
+    # the outer ring comes first, whatever its place in the record
+    order = np.lexsort((~is_outer, owner))
+    at, sizes = at[order], sizes[order]
+    number, areas = rings[chosen], is_area[chosen]
+    kind = np.where(areas, wkb.POLYGON, np.where(number == 1, wkb.LINESTRING, wkb.MULTILINESTRING))
+    each = np.ones(len(number), np.int64)
+    within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    xy = doubles_at(view, np.repeat(at, sizes) + 16 * within, 2, "<f8")
+    xyz = np.column_stack([xy, np.zeros(len(xy))])
+    parts = Parts(np.arange(len(number)), each * 0, kind, offsets_of(each), offsets_of(number), offsets_of(sizes), xyz, np.zeros(len(xy), bool))
+    return assemble(parts, len(number)), records[chosen]
+
+
+def _twice_areas(view: np.ndarray, at: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Twice the signed area (clockwise is negative) of the wanted rings of points; 0 of others and of empty ones."""
+    areas = np.zeros(len(at))
+    some = np.flatnonzero(wanted & (sizes > 0))
+    if not len(some):
+        return areas
+    at, sizes = at[some], sizes[some]
+    first = np.cumsum(sizes) - sizes
+    places = np.repeat(at - 16 * first, sizes) + 16 * np.arange(sizes.sum())
+    points = doubles_at(view, places, 2, "<f8")
+    x, y = (points - np.repeat(points[first], sizes, axis=0)).T
+    cross = np.zeros(len(points))
+    cross[:-1] = x[:-1] * y[1:] - x[1:] * y[:-1]
+    cross[first + sizes - 1] = 0  # no edge from one ring to the next
+    areas[some] = np.add.reduceat(cross, first)
     return areas
 
 
-# Well-known binary heads of the plain 2D shapes
-_LINE, _POLYGON = struct.pack("<BI", 1, wkb.LINESTRING), struct.pack("<BI", 1, wkb.POLYGON)
-
-
-def _shape_wkb(data: bytes, at: int, end: int, code: int, areas: list[float] | None) -> bytes | None:
-    """WKB of the shape record whose content is ``data[at:end]``.
-
-    Shapefile points and counts are little-endian as in WKB, so 2D shapes of one part
-    are put together from slices of the record.
-    """
+def _shape_wkb(data: bytes, at: int, end: int, code: int) -> bytes | None:
+    """WKB of the shape record whose content is ``data[at:end]``."""
     if code == 0:
         return None
     if code in POINT_TYPES:
@@ -421,10 +438,6 @@ def _shape_wkb(data: bytes, at: int, end: int, code: int, areas: list[float] | N
     if code not in LINE_TYPES + POLYGON_TYPES:
         raise ValueError(f"Shape type {code} is not supported.")
     part_count, count = struct.unpack_from("<2i", data, at + 36)
-    if part_count == 1 and code == 3:
-        return _LINE + data[at + 40 : at + 44] + data[at + 48 : at + 48 + 16 * count]
-    if part_count == 1 and code == 5:
-        return _POLYGON + data[at + 36 : at + 44] + data[at + 48 : at + 48 + 16 * count]
     starts = struct.unpack_from(f"<{part_count}i", data, at + 44)
     shape = _vertices(data, at + 44 + 4 * part_count, count, end, code)
     parts = list(zip(starts, (*starts[1:], count)))
@@ -434,7 +447,7 @@ def _shape_wkb(data: bytes, at: int, end: int, code: int, areas: list[float] | N
     head = shape.head(wkb.POLYGON)
     polygons = [
         head + struct.pack("<I", len(rings)) + b"".join(runs[ring] for ring in rings)
-        for rings in _rings_by_polygon(shape, parts, areas)
+        for rings in _rings_by_polygon(shape, parts)
     ]
     return _one_or_many(polygons, shape, wkb.MULTIPOLYGON)
 
@@ -500,12 +513,13 @@ def _contains(ring: np.ndarray, point: np.ndarray) -> bool:
     return bool((crosses & (point[0] < at)).sum() % 2)
 
 
-def _rings_by_polygon(
-    shape: _Vertices, parts: list[tuple[int, int]], areas: list[float] | None
-) -> list[list[int]]:
+def _rings_by_polygon(shape: _Vertices, parts: list[tuple[int, int]]) -> list[list[int]]:
     """Group rings: clockwise ones are outer, the others go to the smallest outer around them."""
-    if areas is None:
-        return [[0]]
+    if len(parts) < 2:
+        return [list(range(len(parts)))]
+    low, high = np.array(parts, np.int64).T
+    raw = np.ascontiguousarray(shape.xy()).view(np.uint8).ravel()
+    areas = _twice_areas(raw, 16 * low, high - low, np.ones(len(parts), bool)).tolist()
     outer = [i for i, area in enumerate(areas) if area <= 0]
     inner = [i for i, area in enumerate(areas) if area > 0]
     if len(outer) == 1:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 import struct
 
 import numpy as np
@@ -67,6 +68,22 @@ def test_polygons_and_holes(tmp_path):
     assert geometries(write(tmp_path, shapes, 5)) == [polygon(CW), polygon(CW, HOLE), multi, polygon(HOLE)]
 
 
+def test_shapes_all_at_once_are_those_one_by_one():
+    """Lines and polygons of any number of parts, the outer ring at any place, nulls and Z shapes between."""
+    chance, shapes = random.Random(6), []
+    for _ in range(400):
+        rings = [chance.choice([CW, HOLE, FAR, FAR_HOLE, CW[:1]]) for _ in range(chance.randint(0, 4))]
+        lines = [[(chance.random(), chance.random()) for _ in range(chance.randint(0, 4))] for _ in range(chance.randint(0, 3))]
+        line = lines or [[(0, 0), (1, 1)]]
+        z = [5.0] * sum(map(len, line))
+        shapes.append(chance.choice([parts_shape(5, rings), parts_shape(3, lines), parts_shape(13, line, z=z), struct.pack("<i", 0)]))
+    sizes = np.array(list(map(len, shapes)))
+    starts, data = np.cumsum(sizes) - sizes, b"".join(shapes)
+    found = shapefile._to_wkb(data, starts, sizes).to_pylist()
+    codes = [int.from_bytes(shape[:4], "little") for shape in shapes]
+    assert found == [shapefile._shape_wkb(data, at, at + size, code) for at, size, code in zip(starts.tolist(), sizes.tolist(), codes)]
+
+
 def test_hole_goes_to_the_smallest_outer_ring_around_it(tmp_path):
     island = [(2.5, 2.5), (2.5, 3.5), (3.5, 3.5), (3.5, 2.5), (2.5, 2.5)]
     lake = [(2.8, 2.8), (3.0, 2.8), (3.0, 3.0), (2.8, 3.0), (2.8, 2.8)]
