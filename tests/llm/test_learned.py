@@ -6,7 +6,7 @@ import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -225,6 +225,68 @@ def test_no_personal_data(no_docs):
     assert personal_data.find_personal_data(no_docs).count() == 0 == personal_data.sanitise(no_docs).count()
 
 
+def brute_terms(texts, threshold):
+    """Spans of disclosing terms of each distinct (id, text), by the definitions alone."""
+    word, reach = re.compile(r"[^\W\d_]+"), personal_data.REACH
+    copies, docs = Counter(texts), {}
+    for key in copies:
+        text, spans = key[1] or "", personal_data.base_spans(key[1] or "")
+        own = [m for m in word.finditer(text) if not any(m.start() < end and start < m.end() for start, _, end in spans)]
+        about = defaultdict(list)
+        for start, kind, end in spans:
+            value = text[start:end].lower() if kind < 2 else re.sub("[^0-9]", "", text[start:end])
+            before = [m[0].lower() for m in own if m.start() < start][-reach:]
+            about[kind, value].append((*before, *[m[0].lower() for m in own if m.start() >= end][:reach]))
+        docs[key] = own, about
+    having, seen = defaultdict(list), Counter()
+    for key, (own, about) in docs.items():
+        seen.update({name: copies[key] for name in set(word.findall((key[1] or "").lower()))})
+        for entity, nears in about.items():
+            repeated = {name for near in set(nears) for name in near if sum(name in other for other in set(nears)) > 1}
+            having[entity].append((key, tuple(nears), repeated))
+    n, names = len(texts), defaultdict(set)
+    for entity, found in having.items():
+        lone = len({context for _, context, _ in found}) < personal_data.LEAST_CONTEXTS
+        pairs = defaultdict(list)
+        for key, context, repeated in found:
+            for name in {m[0].lower() for m in docs[key][0]}:
+                capital = any(m[0][0].isupper() for m in docs[key][0] if m[0].lower() == name)
+                if not lone or capital or name in repeated:
+                    pairs[name].append((copies[key], context, capital, name in repeated))
+        for name, rows in pairs.items():
+            enough = len({context for _, context, _, _ in rows}) >= personal_data.LEAST_CONTEXTS or any(row[3] for row in rows)
+            information = math.log2(n / len(found))
+            tells = math.log2(len(rows) * n / (len(found) * seen[name])) >= threshold * information
+            own_name = lone and any(row[2] for row in rows) and seen[name] <= sum(row[0] for row in rows)
+            if information > 0 and ((enough and tells) or own_name):
+                for key, _, _ in found:
+                    names[key].add(name)
+    return {key: {(m.start(), m.end()) for m in own if m[0].lower() in names[key]} for key, (own, _) in docs.items()}
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.3])
+def test_terms_by_their_definition(make_docs, threshold):
+    chance = random.Random(2)
+    plain = [f"word{chr(97 + n)}" for n in range(20)]
+    people = [(f"p{n}@mail.example.com", f"Name{chr(65 + n)}", f"town{chr(97 + n)}") for n in range(9)]
+    texts = []
+    for n in range(140):
+        words = [chance.choice(plain) for _ in range(chance.randint(0, 40))]
+        for address, *own in chance.sample(people, chance.choice([0, 0, 1, 2])):
+            for one in [address] * chance.choice([1, 1, 2]) + [name for name in own if chance.random() < 0.7]:
+                words.insert(chance.randint(0, len(words)), one)
+        if chance.random() < 0.1:
+            words.append(chance.choice(people)[2])
+        texts.append((n, " ".join(words)))
+    texts += [(200, "Only Here: z@one.example.org with Singular Wording"), (201, None), *texts[:6], (0, texts[5][1])]
+    found = personal_data.find_personal_data(make_docs(texts), threshold)
+    kind = personal_data.KINDS.index("term")
+    rows = Counter((row.doc_id, tuple(sorted((s.start, s.end) for s in row.spans if s.kind == kind))) for row in found.collect())
+    expected = brute_terms(texts, threshold)
+    assert rows == Counter((key[0], tuple(sorted(expected[key]))) for key in texts)
+    assert sum(len(spans) for spans in expected.values()) > 50
+
+
 def brute_phrases(vocabulary, text):
     count = at = 0
     while at < len(text):
