@@ -2,10 +2,13 @@
 
 A suffix automaton per language accepts every substring of its labelled texts, which are
 taken as words in lower case with a blank between them. A document is parsed from left to
-right into the longest phrases the automaton accepts, across words, however long it is. Its
-cross-parsing entropy is the number of phrases times log2 of the length of the language's
-texts, per character, so languages with fewer texts are not at a loss; the least wins. Ties
-go to the language that comes first by name.
+right into the longest phrases the automaton accepts; a phrase never goes on into another
+word, so the phrases of a word, with a blank on either side, are counted once for each
+language while the word is remembered. (Phrases across words were tried: they take 2,100
+CPU seconds a GB where 900 are allowed, and tell languages apart no better.) Its cross-parsing
+entropy is the number of phrases times log2 of the length of the language's texts, per
+character, so languages with fewer texts are not at a loss; the least wins. Ties go to the
+language that comes first by name.
 
 The texts are those of at most ``MOST_DOCUMENTS`` labelled documents per language, in the
 order of a hash of their id, those of more than ``MOST_POINTS`` code points after all
@@ -47,6 +50,7 @@ UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 # Java's letters, of which this module's words are made
 _LETTER = r"\p{IsAlphabetic}"
+_REMEMBERED = 300_000
 _PLACES = 1 << 30
 # no text has it
 _NONE = "\0"
@@ -185,14 +189,30 @@ def train(docs: DataFrame, learn: Column) -> Model:
     return Model([row["lang"] for row in rows], rows, [row["size"] for row in rows], uuid.uuid4().hex)
 
 
-_kept: list[tuple[str, list[SuffixAutomaton]]] = []
+class _Costs(dict):
+    """Phrases of a word in each language, counted when first asked for."""
 
+    def __init__(self, model: Model):
+        super().__init__()
+        self.name = model.name
+        self._automata = [SuffixAutomaton.unpacked(one) for one in model.packed]
 
-def _automata(model: Model) -> list[SuffixAutomaton]:
-    """The model's automata, kept by a Python worker from task to task."""
-    if not _kept or _kept[0][0] != model.name:
-        _kept[:] = [(model.name, [SuffixAutomaton.unpacked(one) for one in model.packed])]
-    return _kept[0][1]
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= _REMEMBERED:
+            self.clear()
+        text = f" {word} "
+        self[word] = found = np.array([one.phrases(text) for one in self._automata], np.uint32).tobytes()
+        return found
+
+
+_kept: list[_Costs] = []
+
+
+def _costs(model: Model) -> _Costs:
+    """What a Python worker knows of the model's words, kept from task to task."""
+    if not _kept or _kept[0].name != model.name:
+        _kept[:] = [_Costs(model)]
+    return _kept[0]
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -203,17 +223,19 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         languages = shared.value.languages
-        automata, weight = _automata(shared.value), np.array([math.log2(max(size, LEAST_SIZE)) for size in shared.value.sizes])
+        costs, weight = _costs(shared.value), np.array([math.log2(max(size, LEAST_SIZE)) for size in shared.value.sizes])
         for batch in batches:
             names, scores, rates = [], [], []
             for text in batch.column("text"):
-                parsed = plain(text.as_py())
-                if not parsed or not languages:
+                words = _WORD.findall(text.as_py().lower())
+                if not words or not languages:
                     names.append(UNKNOWN)
                     scores.append(0.0)
                     rates.append(None)
                     continue
-                rate = np.array([one.phrases(parsed) for one in automata]) * weight / len(parsed)
+                flat = np.frombuffer(b"".join(map(costs.__getitem__, words)), np.uint32)
+                total = flat.reshape(-1, len(languages)).sum(axis=0, dtype=np.int64)
+                rate = total * weight / (sum(map(len, words)) + 2 * len(words))
                 best = int(np.argmin(rate))
                 rest = np.delete(rate, best)
                 names.append(languages[best])

@@ -325,18 +325,19 @@ def test_languages(spark, make_docs):
         if lang and zlib.crc32(str(doc_id).encode()) % 4 != 2:
             learned[lang].append(language.plain(text))
     for row in found[::7]:
-        parsed = language.plain(rows[row.doc_id][1])
+        words = rows[row.doc_id][1].split()
         costs = {}
         for lang, texts in learned.items():
             whole = "\n".join(sorted(texts))
-            costs[lang] = brute_phrases(whole, parsed) * math.log2(max(len(whole), 1024)) / len(parsed)
+            phrases = sum(brute_phrases(whole, f" {word} ") for word in words)
+            costs[lang] = phrases * math.log2(max(len(whole), 1024)) / sum(len(word) + 2 for word in words)
         assert row.lang_pred == min(sorted(costs), key=costs.get)
         assert np.allclose(row.entropy, [costs[lang] for lang in sorted(costs)])
     awkward = {row.doc_id: row for row in language.predict(make_docs(TEXTS), model).collect()}
     assert all((awkward[n].lang_pred, awkward[n].score) == ("und", 0.0) for n in (3, 4, 5))
 
 
-def test_phrases_go_on_across_words():
+def test_packed_automata():
     automaton = language.SuffixAutomaton.of(" one two three ")
     assert automaton.phrases(" one two three ") == 1 and automaton.phrases(" two one ") == 2
     again = language.SuffixAutomaton.unpacked(automaton.packed())
