@@ -7,9 +7,10 @@ the root from that row alone.
 
 Leaves get their place in the source by a sort over ranges of (source, id) and the counts
 of these ranges, so a source is not tied to a task. ``FAN ** DEPTH`` consecutive leaves are
-an aligned block. A block keeps each of its levels as one string, the hex digests one after
-the other: parents are the hashes of its substrings of ``FAN`` digests, and the siblings of
-a node are what stands to the left and right of it in its substring. The roots of the
+an aligned block. A block keeps each of its levels as a list of digests: parents are the
+hashes of runs of ``FAN`` of them, and the siblings of a node are those to the left and
+right of it in its run. They are reached by place, so what a row costs grows with the levels
+and not with the rows of its block. The roots of the
 blocks are the nodes of the next round, until every source has one block; then the roots of
 the sources are. Blocks meet what is above them one to one, however large their source.
 
@@ -34,11 +35,9 @@ from featureframe.session import new_shared_folder
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Fixed value: nodes hashed together.
 FAN = 3
-#: Levels of a block: 2,187 leaves, whose lowest level is a string of 140 kB.
+#: Levels of a block: 2,187 leaves, with 140 kB of digests in the lowest level.
 DEPTH = 7
 
-_DIGITS = 64
-_RUN = FAN * _DIGITS
 _PATH = "array<struct<left:string,right:string>>"
 
 
@@ -84,23 +83,24 @@ def _indexed(rows: DataFrame) -> DataFrame:
 
 
 def _parents(level: Column) -> Column:
-    runs = F.sequence(F.lit(0), F.ceil((F.length(level) / _RUN)).cast("int") - 1)
-    return F.array_join(F.transform(runs, lambda run: _hash(F.substring(level, run * _RUN + 1, F.lit(_RUN)))), "")
+    starts = F.sequence(F.lit(0), F.size(level) - 1, F.lit(FAN))
+    # places past the end give null, which the text of a run leaves out
+    return F.transform(starts, lambda start: _hash(F.concat_ws("", *(F.get(level, start + n) for n in range(FAN)))))
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
-    """``tree, block, nodes, levels``; ``levels`` are strings of digests, the block's root last."""
+    """``tree, block, nodes, levels``; ``levels`` are lists of digests, the block's root alone in the last."""
     size = FAN**DEPTH
     whole = nodes.groupBy("tree").agg(F.max("at").alias("last")).select(F.col("tree").alias("of"), (F.col("last") >= size).alias("parted"))
     # all nodes of a block have one row, and a tree has one row for each of its blocks
     found = nodes.groupBy("tree", F.floor(F.col("at") / size).alias("block")).agg(
-        F.array_sort(F.collect_list(F.struct("at", "digest", "held"))).alias("nodes")
+        F.sort_array(F.collect_list(F.struct("at", "digest", "held"))).alias("nodes")
     )
     found = found.join(whole, _same("tree", "of"))
-    lowest = F.array_join(F.col("nodes.digest"), "")
+    lowest = F.col("nodes.digest")
     # while a tree has several blocks, each goes up by all levels; a lone block ends at one node
     higher = lambda levels, top: F.when(
-        F.col("parted") | (F.length(top) > _DIGITS), F.concat(levels, F.array(_parents(top)))
+        F.col("parted") | (F.size(top) > 1), F.concat(levels, F.array(_parents(top)))
     ).otherwise(levels)
     levels = F.aggregate(
         F.sequence(F.lit(1), F.lit(DEPTH)), F.array(lowest), lambda levels, _: higher(levels, F.element_at(levels, -1))
@@ -114,10 +114,11 @@ def _siblings(levels: Column, at: Column) -> Column:
 
     def beside(level: Column, n: Column) -> Column:
         node = F.floor(at / powers[n]).cast("int")
-        place, start = node % FAN * _DIGITS, F.floor(node / FAN).cast("int") * _RUN
-        left = F.substring(level, start + 1, place)
-        right = F.substring(level, start + place + _DIGITS + 1, F.lit(_RUN) - place - _DIGITS)
-        return F.struct(left.alias("left"), right.alias("right"))
+        place = node % FAN
+        # places past the end give null, as do those on the other side
+        left = (F.when(place >= n, F.get(level, node - n)) for n in range(FAN - 1, 0, -1))
+        right = (F.when(place + n < FAN, F.get(level, node + n)) for n in range(1, FAN))
+        return F.struct(F.concat_ws("", *left).alias("left"), F.concat_ws("", *right).alias("right"))
 
     return F.transform(F.slice(levels, F.lit(1), F.size(levels) - 1), beside)
 
@@ -128,7 +129,7 @@ def _climbed(nodes: DataFrame, above_trees: Callable[[DataFrame], DataFrame]) ->
     ``above_trees`` takes ``tree, subroot`` and gives ``tree, path, root``.
     """
     blocks = _kept(_blocks(nodes), "blocks")
-    tops = blocks.select("tree", F.col("block").alias("at"), F.element_at("levels", -1).alias("digest"))
+    tops = blocks.select("tree", F.col("block").alias("at"), F.element_at(F.element_at("levels", -1), 1).alias("digest"))
     if blocks.filter("block > 0").isEmpty():
         trees = tops.select("tree", F.col("digest").alias("subroot"))
         ends = above_trees(trees).withColumnRenamed("tree", "of")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -160,6 +161,27 @@ def test_a_changed_row_is_found(spark):
     assert {row.doc_id for row in found.collect() if not row.good} == set(range(0, 30, 3))
 
 
+def seconds_of_paths(spark, monkeypatch, depth):
+    """The paths of 2,000 rows of a full block of ``depth`` levels."""
+    monkeypatch.setattr(merkle, "DEPTH", depth)
+    size = merkle.FAN**depth
+    nodes = spark.range(size).select(F.lit("s").alias("tree"), F.col("id").alias("at"), F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("digest"), F.struct("id").alias("held"))
+    blocks = merkle._blocks(nodes).select("levels").localCheckpoint()
+    paths = blocks.select(F.transform(F.sequence(F.lit(0), F.lit(1999)), lambda n: merkle._siblings(F.col("levels"), (n * 7919 % size).cast("int"))))
+    taken = []
+    for _ in range(3):
+        began = time.perf_counter()
+        paths.write.format("noop").mode("overwrite").save()
+        taken.append(time.perf_counter() - began)
+    return min(taken)
+
+
+def test_a_path_costs_levels_not_blocks(spark, monkeypatch):
+    """81 times the leaves are four levels more; work that grows with the block takes several seconds."""
+    narrow, wide = (seconds_of_paths(spark, monkeypatch, depth) for depth in (5, 9))
+    assert wide < 5 * narrow + 1
+
+
 def test_no_manifest(spark):
     assert merkle.manifest(spark.createDataFrame([], FIELDS)).count() == 0
 
